@@ -36,9 +36,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def rnd(c, digits: int = 6):
+    """``round(x·10^d)/10^d`` — the same float operations as the oracle's
+    ``round(x, d)``, so ties round alike on both sides."""
+    m = float(10 ** digits)
+    return F.round(c * m, 0) / m
+
+
 def r6(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (see module doc)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    return df.select(*[rnd(F.col(f.name), digits).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -99,3 +106,301 @@ def d1_mean_shift_drift(spark, sf_dir):
 @register("d1_mean_shift_drift_sensitive", _d1_sql(0.01))
 def d1_mean_shift_drift_sensitive(spark, sf_dir):
     return _d1(spark, sf_dir, 0.01)
+
+
+# ── monitoring (A9–A13, A20, T1–T3, P9, F12) ─────────────────────────────────
+
+from vigil.operators import monitor  # noqa: E402
+
+PRED_COLS_SQL = ("id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, symbol, price, quantity, "
+                 "trade_time, is_buyer_maker, fraud_score, is_fraud, threshold")
+
+
+def _pred_text(df: DataFrame) -> DataFrame:
+    return df.select("id", ts_text("ts"), "symbol", "price", "quantity", "trade_time",
+                     "is_buyer_maker", "fraud_score", "is_fraud", "threshold")
+
+
+@register("a9_summary_stats", V.with_(V.DASHBOARD) + """
+SELECT count(*) AS total,
+       CAST(sum(is_fraud) AS BIGINT) AS flagged,
+       round(avg(fraud_score), 6) AS avg_score,
+       round(max(fraud_score), 6) AS max_score,
+       round(avg(price), 6) AS avg_price,
+       count(*) - coalesce(CAST(sum(is_fraud) AS BIGINT), 0) AS legit,
+       round(CASE WHEN count(*) = 0 THEN 0.0
+                  ELSE CAST(coalesce(sum(is_fraud), 0) AS DOUBLE) / count(*) * 100 END, 6) AS flag_rate_pct
+FROM dash""")
+def a9_summary_stats(spark, sf_dir):
+    return r6(monitor.summary_stats(tables.dashboard_predictions(spark, sf_dir)))
+
+
+@register("a10_volume_over_time", V.with_(V.DASHBOARD) + """
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:')
+         || lpad(CAST(CAST(floor(second(ts) / 10) * 10 AS INTEGER) AS VARCHAR), 2, '0') AS bucket,
+       count(*) AS total,
+       CAST(sum(is_fraud) AS BIGINT) AS fraud_count,
+       round(avg(fraud_score), 6) AS avg_score
+FROM dash GROUP BY 1 ORDER BY bucket DESC LIMIT 60""")
+def a10_volume_over_time(spark, sf_dir):
+    return r6(monitor.volume_over_time(tables.dashboard_predictions(spark, sf_dir)))
+
+
+@register("a11_volume_5s", V.with_(V.DASHBOARD) + """
+SELECT strftime(time_bucket(INTERVAL 5 SECOND, ts), '%Y-%m-%d %H:%M:%S.%f') AS bucket_start,
+       count(fraud_score) AS total,
+       CAST(sum(is_fraud) AS BIGINT) AS fraud,
+       round(avg(fraud_score), 6) AS avg_score
+FROM dash GROUP BY 1""")
+def a11_volume_5s(spark, sf_dir):
+    v = monitor.volume_by_window(tables.dashboard_predictions(spark, sf_dir))
+    return r6(v.select(ts_text("bucket_start"), "total", "fraud", "avg_score"))
+
+
+@register("a12_score_histogram", V.with_(V.DASHBOARD) + """,
+c AS (SELECT is_fraud, CAST(least(floor(fraud_score * 40), 39) AS INTEGER) AS bin, count(*) AS n
+      FROM dash WHERE fraud_score BETWEEN 0 AND 1 GROUP BY ALL),
+g AS (SELECT CAST(l.range AS INTEGER) AS is_fraud, CAST(b.range AS INTEGER) AS bin
+      FROM range(0, 2) l, range(0, 40) b)
+SELECT g.is_fraud, g.bin, round(CAST(g.bin AS DOUBLE) / 40, 6) AS bin_start, coalesce(c.n, 0) AS n
+FROM g LEFT JOIN c ON g.is_fraud = c.is_fraud AND g.bin = c.bin""")
+def a12_score_histogram(spark, sf_dir):
+    return r6(monitor.score_histogram(tables.dashboard_predictions(spark, sf_dir)))
+
+
+@register("a13_score_heatmap", V.with_(V.DASHBOARD) + """
+SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS minute,
+       CAST(floor(second(ts) / 10) * 10 AS INTEGER) AS slot,
+       round(avg(fraud_score), 6) AS mean_score,
+       count(*) AS n
+FROM dash GROUP BY 1, 2""")
+def a13_score_heatmap(spark, sf_dir):
+    h = monitor.score_heatmap(tables.dashboard_predictions(spark, sf_dir))
+    return r6(h.select(ts_text("minute"), "slot", "mean_score", "n"))
+
+
+@register("t1_recent_predictions", V.with_(V.DASHBOARD) + f"""
+SELECT {PRED_COLS_SQL} FROM dash ORDER BY dash.ts DESC, id DESC LIMIT 500""")
+def t1_recent_predictions(spark, sf_dir):
+    return _pred_text(monitor.recent(tables.dashboard_predictions(spark, sf_dir)))
+
+
+@register("t2_fraud_alerts", V.with_(V.DASHBOARD) + f"""
+SELECT {PRED_COLS_SQL} FROM dash WHERE is_fraud = 1 ORDER BY dash.ts DESC, id DESC LIMIT 50""")
+def t2_fraud_alerts(spark, sf_dir):
+    return _pred_text(monitor.fraud_alerts(tables.dashboard_predictions(spark, sf_dir)))
+
+
+@register("a20_reader_status", V.with_(V.PREDICTIONS) + """
+SELECT count(*) FILTER (WHERE fraud_score >= 0) AS total,
+       count(*) FILTER (WHERE fraud_score < 0) AS errors,
+       strftime(max(ts) FILTER (WHERE fraud_score >= 0), '%Y-%m-%d %H:%M:%S.%f') AS last_ts
+FROM predictions""")
+def a20_reader_status(spark, sf_dir):
+    s = monitor.reader_status(tables.predictions(spark, sf_dir))
+    return s.select("total", "errors", ts_text("last_ts"))
+
+
+@register("p9_score_band", V.with_(V.DASHBOARD) + """
+SELECT id, fraud_score,
+       CASE WHEN fraud_score >= 0.8 THEN 'high' WHEN fraud_score >= 0.5 THEN 'moderate'
+            ELSE 'legit' END AS band
+FROM dash""")
+def p9_score_band(spark, sf_dir):
+    return monitor.with_score_band(tables.dashboard_predictions(spark, sf_dir)) \
+        .select("id", "fraud_score", "band")
+
+
+@register("f12_parse_log_time", V.with_(V.PREDICTIONS) + """
+SELECT id, hour(ts) AS hour,
+       strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS minute,
+       CAST(floor(second(ts) / 10) * 10 AS INTEGER) AS slot
+FROM predictions""")
+def f12_parse_log_time(spark, sf_dir):
+    p = tables.predictions(spark, sf_dir)
+    text = p.select("id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    parts = monitor.log_time_parts(text)
+    return parts.select("id", "hour", ts_text("minute"), "slot")
+
+
+# ── joins (J1, J6) ───────────────────────────────────────────────────────────
+
+from vigil.operators import checks, joins, profile  # noqa: E402
+
+
+@register("j1_merge_identity", V.with_(V.IDENTITY) + "SELECT * FROM merged")
+def j1_merge_identity(spark, sf_dir):
+    return joins.merge_identity(tables.documents_meta(spark, sf_dir),
+                                tables.identity(spark, sf_dir), key="doc_id")
+
+
+@register("j6_missing_keys", """
+SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def j6_missing_keys(spark, sf_dir):
+    return joins.missing_keys(tables.documents_meta(spark, sf_dir),
+                              tables.identity(spark, sf_dir), "doc_id")
+
+
+@register("j6_matched_keys", """
+SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d
+WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def j6_matched_keys(spark, sf_dir):
+    return joins.matched_keys(tables.documents_meta(spark, sf_dir),
+                              tables.identity(spark, sf_dir), "doc_id")
+
+
+# ── profiling (A1, A3, A4, A14–A19, T5, T6) ──────────────────────────────────
+
+_MERGED_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+
+
+def _null_rates_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6)"
+             f" AS null_rate FROM merged" for c in _MERGED_COLS]
+    return V.with_(V.IDENTITY) + "\nUNION ALL\n".join(parts)
+
+
+def _merged(spark, sf_dir):
+    return joins.merge_identity(tables.documents_meta(spark, sf_dir),
+                                tables.identity(spark, sf_dir), key="doc_id")
+
+
+@register("a1_null_rates", _null_rates_sql())
+def a1_null_rates(spark, sf_dir):
+    return r6(profile.null_rates(_merged(spark, sf_dir))
+              .withColumnRenamed("column", "column_name"))
+
+
+@register("t5_top_null_columns",
+          f"SELECT * FROM ({_null_rates_sql()}) WHERE null_rate > 0 "
+          "ORDER BY null_rate DESC, column_name LIMIT 20")
+def t5_top_null_columns(spark, sf_dir):
+    rates = profile.null_rates(_merged(spark, sf_dir))
+    return r6(profile.top_null_columns(rates, 20).withColumnRenamed("column", "column_name"))
+
+
+@register("a3_class_balance", V.with_(V.TRANSACTIONS) + """,
+c AS (SELECT isFraud AS label, count(*) AS n FROM transactions GROUP BY 1)
+SELECT label, n, round(CAST(n AS DOUBLE) / (SELECT sum(n) FROM c), 6) AS rate,
+       CAST(floor((SELECT sum(n) FILTER (WHERE label = 0) FROM c)
+                  / (SELECT sum(n) FILTER (WHERE label = 1) FROM c)) AS BIGINT) AS neg_per_pos
+FROM c""")
+def a3_class_balance(spark, sf_dir):
+    return r6(profile.class_balance(tables.transactions(spark, sf_dir), "isFraud"))
+
+
+@register("a4_class_weight", V.with_(V.TRANSACTIONS) + """
+SELECT round(CAST(count(*) FILTER (WHERE isFraud = 0) AS DOUBLE)
+             / nullif(count(*) FILTER (WHERE isFraud = 1), 0), 6) AS class_weight
+FROM transactions""")
+def a4_class_weight(spark, sf_dir):
+    return r6(profile.class_weight(tables.transactions(spark, sf_dir), "isFraud"))
+
+
+@register("a14_label_rate_by_category", V.with_(V.TRANSACTIONS) + """
+SELECT card4 AS value, round(avg(CAST(isFraud AS DOUBLE)), 6) AS label_rate, count(*) AS n
+FROM transactions WHERE card4 IS NOT NULL GROUP BY card4""")
+def a14_label_rate_by_category(spark, sf_dir):
+    return r6(profile.label_rate_by_category(tables.transactions(spark, sf_dir), "card4", "isFraud"))
+
+
+_Q10 = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+
+
+@register("a15_label_rate_by_quantile", V.with_(V.TRANSACTIONS) + f""",
+v AS (SELECT TransactionAmt AS x, isFraud FROM transactions
+      WHERE TransactionAmt IS NOT NULL AND NOT isnan(TransactionAmt)),
+e AS (SELECT list_sort(list_distinct(quantile_cont(x, {_Q10}))) AS edges FROM v),
+b AS (SELECT greatest(len(list_filter(e.edges, lambda q: q < v.x)), 1) AS bucket, v.isFraud, e.edges
+      FROM v, e)
+SELECT bucket, round(edges[bucket], 6) AS lower, round(edges[bucket + 1], 6) AS upper,
+       round(avg(CAST(isFraud AS DOUBLE)), 6) AS label_rate, count(*) AS n
+FROM b GROUP BY bucket, edges""")
+def a15_label_rate_by_quantile(spark, sf_dir):
+    return r6(profile.label_rate_by_quantile(tables.transactions(spark, sf_dir),
+                                             "TransactionAmt", "isFraud", 10)
+              .withColumn("bucket", F.col("bucket").cast("bigint")))
+
+
+@register("a16_describe_amount", V.with_(V.TRANSACTIONS) + """
+SELECT round(min(TransactionAmt), 6) AS min, round(quantile_cont(TransactionAmt, 0.5), 6) AS median,
+       round(avg(TransactionAmt), 6) AS mean, round(max(TransactionAmt), 6) AS max
+FROM transactions""")
+def a16_describe_amount(spark, sf_dir):
+    return r6(profile.describe(tables.transactions(spark, sf_dir), "TransactionAmt"))
+
+
+def _hist_sql(expr: str, bins: int = 100) -> str:
+    return V.with_(V.TRANSACTIONS) + f""",
+v AS (SELECT {expr} AS x FROM transactions WHERE TransactionAmt IS NOT NULL),
+r AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / {bins} AS step FROM v),
+g AS (SELECT x, lo, hi, step,
+             least(greatest(CAST(coalesce(floor((x - lo) / nullif(step, 0)), {bins - 1}) AS BIGINT), 0),
+                   {bins - 1}) AS i0 FROM v, r),
+b AS (SELECT CASE WHEN step = 0 THEN {bins - 1}
+                  WHEN x < i0 * step + lo THEN i0 - 1
+                  WHEN i0 < {bins - 1} AND x >= (CASE WHEN i0 + 1 >= {bins} THEN hi
+                                                     ELSE (i0 + 1) * step + lo END) THEN i0 + 1
+                  ELSE i0 END AS bin FROM g),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(k.range AS INTEGER) AS bin,
+       round(k.range * r.step + r.lo, 6) AS lower,
+       round(CASE WHEN k.range + 1 >= {bins} THEN r.hi ELSE (k.range + 1) * r.step + r.lo END, 6) AS upper,
+       coalesce(c.n, 0) AS n
+FROM range(0, {bins}) k CROSS JOIN r LEFT JOIN c ON c.bin = k.range"""
+
+
+@register("a17_histogram_amount", _hist_sql("TransactionAmt"))
+def a17_histogram_amount(spark, sf_dir):
+    return r6(profile.histogram(tables.transactions(spark, sf_dir), "TransactionAmt", 100))
+
+
+@register("a17_histogram_log_amount", _hist_sql("ln(1 + TransactionAmt)"))
+def a17_histogram_log_amount(spark, sf_dir):
+    return r6(profile.histogram(tables.transactions(spark, sf_dir), "TransactionAmt", 100, log=True))
+
+
+_TX_NUMERIC = ["TransactionID", "TransactionDT", "TransactionAmt", "card1", "acct_balance"]
+
+
+def _corr_sql() -> str:
+    parts = [f"""SELECT '{c}' AS column_name,
+  round(CASE WHEN stddev_pop(x) * stddev_pop(y) = 0 THEN NULL
+             ELSE covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END, 6) AS corr
+FROM (SELECT CAST({c} AS DOUBLE) AS x, CAST(isFraud AS DOUBLE) AS y FROM transactions
+      WHERE {c} IS NOT NULL)""" for c in _TX_NUMERIC]
+    return V.with_(V.TRANSACTIONS) + "\nUNION ALL\n".join(parts)
+
+
+@register("a18_label_correlation", _corr_sql())
+def a18_label_correlation(spark, sf_dir):
+    return r6(profile.label_correlation(tables.transactions(spark, sf_dir), "isFraud")
+              .withColumnRenamed("column", "column_name"))
+
+
+@register("t6_top_correlated",
+          f"SELECT * FROM ({_corr_sql()}) WHERE corr IS NOT NULL ORDER BY abs(corr) DESC, column_name LIMIT 20")
+def t6_top_correlated(spark, sf_dir):
+    c = profile.label_correlation(tables.transactions(spark, sf_dir), "isFraud")
+    return r6(profile.top_correlated(c, 20).withColumnRenamed("column", "column_name"))
+
+
+@register("a19_distinct_label_check", V.with_(V.TRANSACTIONS) + """
+SELECT count(DISTINCT isFraud) AS n_distinct, count(DISTINCT isFraud) = 2 AS passed FROM transactions""")
+def a19_distinct_label_check(spark, sf_dir):
+    return profile.distinct_label_check(tables.transactions(spark, sf_dir), "isFraud")
+
+
+@register("e11_validate_transactions", V.with_(V.TRANSACTIONS) + """,
+s AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(DISTINCT isFraud) AS DOUBLE) AS k,
+             avg(CAST(isFraud AS DOUBLE)) AS rate, min(TransactionAmt) AS amt FROM transactions)
+SELECT 'required_columns' AS "check", true AS passed, 0.0::DOUBLE AS observed, 0.0::DOUBLE AS "limit" FROM s
+UNION ALL SELECT 'binary_label', k = 2, k, 2.0 FROM s
+UNION ALL SELECT 'min_rows', n > 100000, n, 100000.0 FROM s
+UNION ALL SELECT 'min_rows_documented', n >= 1000, n, 1000.0 FROM s
+UNION ALL SELECT 'label_rate_low', coalesce(rate >= 0.001, false), round(rate, 6), 0.001 FROM s
+UNION ALL SELECT 'label_rate_high', coalesce(rate <= 0.5, false), round(rate, 6), 0.5 FROM s
+UNION ALL SELECT 'amount_non_negative', coalesce(amt >= 0, true), round(amt, 6), 0.0 FROM s""")
+def e11_validate_transactions(spark, sf_dir):
+    return r6(checks.validate_transactions(tables.transactions(spark, sf_dir)))

@@ -9,7 +9,7 @@ predictions AS (
          'U' || CAST(user_id AS VARCHAR) AS symbol,
          value AS price,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS quantity,
-         epoch_ms(ts) AS trade_time,
+         epoch_us(ts) // 1000 AS trade_time,
          event_type IN ('view', 'click') AS is_buyer_maker,
          CASE WHEN event_type = 'error' THEN CAST(-1.0 AS DOUBLE)
               ELSE round(least(value / 340.0, 1.0), 6) END AS fraud_score,
