@@ -108,8 +108,9 @@ def drift_decision(result: DataFrame) -> DataFrame:
         "decision", F.when(detected, "drift_detected").otherwise("no_drift"))
 
 
-def drift_alert(result: DataFrame, now=None) -> DataFrame:
-    """One alert row per group whose drift was detected."""
+def drift_alert(result: DataFrame, keep=()) -> DataFrame:
+    """One alert row per group whose drift was detected; ``keep`` copies
+    result columns next to the alert fields."""
     fired = result.where(F.col("drift_score").isNotNull() & F.col("drift_detected"))
     msg = F.format_string(
         "Fraud score drift detected. Window mean=%.6f, Baseline mean=%.6f, "
@@ -118,7 +119,7 @@ def drift_alert(result: DataFrame, now=None) -> DataFrame:
         F.col("threshold").cast("string"))
     key_cols = [c for c in result.columns if c not in _D1_COLS]
     return fired.select(
-        *key_cols,
+        *key_cols, *keep,
         F.lit(ALERT_TYPE).alias("alert_type"),
         severity("drift_score", F.col("threshold")).alias("severity"),
         msg.alias("message"),
@@ -272,7 +273,8 @@ def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_
 # ── count-window drift (D5, W1, W2) ──────────────────────────────────────────
 
 def count_window_drift(log: DataFrame, n: int = COUNT_WINDOW, by=(), score_col="fraud_score",
-                       order_cols=("ts", "id"), ts_col="ts", center: float = 0.5) -> DataFrame:
+                       order_cols=("ts", "id"), ts_col="ts", center: float = 0.5,
+                       digits: int | None = 6) -> DataFrame:
     """Tumbling windows of ``n`` successful scores in arrival order;
     z = |mean(window) − mean(all so far)| / pop-std(all so far), where "so
     far" includes the window; pop-std 0 → 1e-6; incomplete windows emit
@@ -300,10 +302,11 @@ def count_window_drift(log: DataFrame, n: int = COUNT_WINDOW, by=(), score_col="
     g_std = F.sqrt(g_var)
     g_std = F.when(g_std == 0, F.lit(STD_FLOOR)).otherwise(g_std)
     z = F.abs((F.col("w_mean") - F.lit(center)) - g_mean_c) / g_std
+    rd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
     return run.where(F.col("N") >= 2).select(
         *by, F.col("window_no").cast("bigint").alias("window_no"),
         F.col("ts_end").alias("ts"),
-        F.bround(z, 6).alias("drift_score"),
-        F.bround("w_mean", 6).alias("mean_score"),
-        F.bround("w_std", 6).alias("std_score"),
+        rd(z).alias("drift_score"),
+        rd(F.col("w_mean")).alias("mean_score"),
+        rd(F.col("w_std")).alias("std_score"),
         F.col("cnt").cast("int").alias("window_size"))

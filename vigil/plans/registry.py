@@ -404,3 +404,234 @@ UNION ALL SELECT 'label_rate_high', coalesce(rate <= 0.5, false), round(rate, 6)
 UNION ALL SELECT 'amount_non_negative', coalesce(amt >= 0, true), round(amt, 6), 0.0 FROM s""")
 def e11_validate_transactions(spark, sf_dir):
     return r6(checks.validate_transactions(tables.transactions(spark, sf_dir)))
+
+
+# ── drift family (D2–D8, A5–A8, W1, T3) ──────────────────────────────────────
+
+W_START = NOW - _dt.timedelta(hours=24)
+B_START = W_START - _dt.timedelta(days=7)
+W_SQL = f"ts >= {NOW_SQL} - INTERVAL 24 HOUR AND ts <= {NOW_SQL}"
+B_SQL = f"ts >= {NOW_SQL} - INTERVAL 8 DAY AND ts < {NOW_SQL} - INTERVAL 24 HOUR"
+MONITORED = ["TransactionAmt", "hour_of_day", "day_of_week"]
+
+
+def _period(df: DataFrame, lo, hi, hi_inclusive: bool) -> DataFrame:
+    t = df.schema["ts"].dataType
+    lo_l = F.lit(lo.strftime("%Y-%m-%d %H:%M:%S")).cast(t)
+    hi_l = F.lit(hi.strftime("%Y-%m-%d %H:%M:%S")).cast(t)
+    return df.where((F.col("ts") >= lo_l) & ((F.col("ts") <= hi_l) if hi_inclusive else (F.col("ts") < hi_l)))
+
+
+def _windows(spark, sf_dir):
+    """(recent 24 h, baseline 7 d before it) of successful predictions, with
+    the monitored features in unscaled form (Q8/Q9)."""
+    p = tables.predictions(spark, sf_dir).where(F.col("fraud_score") >= 0)
+    feats = p.select("*", (F.col("price") * F.col("quantity")).alias("TransactionAmt"),
+                     F.hour("ts").cast("double").alias("hour_of_day"),
+                     F.weekday("ts").cast("double").alias("day_of_week"))
+    return _period(feats, W_START, NOW, True), _period(feats, B_START, W_START, False)
+
+
+FEATS_SQL = V.with_(V.PREDICTIONS) + f""",
+feats AS (SELECT *, price * quantity AS TransactionAmt, CAST(hour(ts) AS DOUBLE) AS hour_of_day,
+                 CAST(isodow(ts) - 1 AS DOUBLE) AS day_of_week
+          FROM predictions WHERE fraud_score >= 0),
+recent AS (SELECT * FROM feats WHERE {W_SQL}),
+base AS (SELECT * FROM feats WHERE {B_SQL})"""
+
+
+def _moments_sql(rel: str, prefix: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS feature, count({f}) AS {prefix}_n, avg({f}) AS {prefix}_mean, "
+        f"stddev_samp({f}) AS {prefix}_std FROM {rel}" for f in MONITORED)
+
+
+@register("a6_recent_stats", V.with_(V.PREDICTIONS) + f"""
+SELECT count(*) AS n_predictions, round(avg(CAST(is_fraud AS DOUBLE)), 6) AS fraud_rate,
+       round(avg(fraud_score), 6) AS avg_score, round(avg(price * quantity), 6) AS transaction_amt_mean,
+       round(avg(CAST(hour(ts) AS DOUBLE)), 6) AS hour_of_day_mean
+FROM predictions WHERE {W_SQL}""")
+def a6_recent_stats(spark, sf_dir):
+    p = _period(tables.predictions(spark, sf_dir), W_START, NOW, True)
+    return r6(drift.recent_stats(p))
+
+
+@register("a7_baseline_stats", FEATS_SQL + f"""
+SELECT feature, base_n AS n, round(base_mean, 6) AS mean, round(base_std, 6) AS std
+FROM ({_moments_sql('base', 'base')})""")
+def a7_baseline_stats(spark, sf_dir):
+    _, base = _windows(spark, sf_dir)
+    return r6(drift.feature_moments(base, MONITORED))
+
+
+@register("a8_flag_rate", V.with_(V.PREDICTIONS) + """
+SELECT is_buyer_maker, round(avg(CAST(is_fraud AS DOUBLE)), 6) AS flag_rate
+FROM predictions GROUP BY is_buyer_maker""")
+def a8_flag_rate(spark, sf_dir):
+    return r6(drift.flag_rate(tables.predictions(spark, sf_dir), by=["is_buyer_maker"]))
+
+
+@register("j3_compare_features", FEATS_SQL + f""",
+r AS ({_moments_sql('recent', 'recent')}),
+b AS ({_moments_sql('base', 'base')})
+SELECT r.feature, round(abs(recent_mean - base_mean) / base_std, 4) AS z
+FROM r JOIN b ON r.feature = b.feature
+WHERE recent_mean IS NOT NULL AND base_mean IS NOT NULL AND base_std IS NOT NULL AND base_std <> 0""")
+def j3_compare_features(spark, sf_dir):
+    recent_df, base = _windows(spark, sf_dir)
+    out = drift.zscore_drift(recent_df, base, MONITORED, baseline_rate="is_fraud")
+    return out.select(F.explode("feature_z").alias("feature", "z")).select("feature", rnd(F.col("z"), 4).alias("z"))
+
+
+@register("d2_zscore_drift", FEATS_SQL + f""",
+r AS ({_moments_sql('recent', 'recent')}),
+b AS ({_moments_sql('base', 'base')}),
+z AS (SELECT r.feature, round(abs(recent_mean - base_mean) / base_std, 4) AS z
+      FROM r JOIN b ON r.feature = b.feature
+      WHERE recent_mean IS NOT NULL AND base_mean IS NOT NULL AND base_std <> 0),
+rate AS (SELECT (SELECT count(*) FROM recent) AS n_recent,
+                abs(coalesce((SELECT avg(CAST(is_fraud AS DOUBLE)) FROM recent), 0)
+                    - coalesce((SELECT avg(CAST(is_fraud AS DOUBLE)) FROM base), 0.035)) AS change)
+SELECT n_recent, round(change, 6) AS fraud_rate_change,
+       CAST((change > 0.05)::INTEGER + (SELECT count(*) FROM z WHERE z > 3.0) AS INTEGER) AS n_reasons,
+       (change > 0.05) OR (SELECT count(*) FROM z WHERE z > 3.0) > 0 AS drift_detected
+FROM rate""")
+def d2_zscore_drift(spark, sf_dir):
+    recent_df, base = _windows(spark, sf_dir)
+    out = drift.zscore_drift(recent_df, base, MONITORED, baseline_rate="is_fraud")
+    return r6(out.select("n_recent", "fraud_rate_change", F.size("reason").alias("n_reasons"),
+                         "drift_detected"))
+
+
+def _bin_sql(x: str, n: int) -> str:
+    """numpy edge semantics over columns lo, hi, step (see functions/bins.py)."""
+    i0 = (f"least(greatest(CAST(coalesce(floor(({x} - lo) / nullif(step, 0)), {n - 1}) AS BIGINT), 0), "
+          f"{n - 1})")
+    edge = lambda i: f"(CASE WHEN {i} >= {n} THEN hi ELSE ({i}) * step + lo END)"
+    return (f"CASE WHEN step = 0 THEN {n - 1} WHEN {x} < {edge(i0)} THEN {i0} - 1 "
+            f"WHEN {i0} < {n - 1} AND {x} >= {edge(f'{i0} + 1')} THEN {i0} + 1 ELSE {i0} END")
+
+
+def _psi_sql(value: str, by: bool, bins: int = 10) -> str:
+    feat = "feature" if by else "'all'"
+    if by:
+        src = "\nUNION ALL\n".join(
+            f"SELECT '{f}' AS feature, 'e' AS side, {f} AS v FROM base UNION ALL "
+            f"SELECT '{f}', 'a', {f} FROM recent" for f in MONITORED)
+    else:
+        src = f"SELECT 'all' AS feature, 'e' AS side, {value} AS v FROM base UNION ALL " \
+              f"SELECT 'all', 'a', {value} FROM recent"
+    return FEATS_SQL + f""",
+bothv AS (SELECT * FROM ({src}) WHERE v IS NOT NULL AND NOT isnan(v)),
+r AS (SELECT feature, min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / {bins} AS step
+      FROM bothv GROUP BY feature),
+g AS (SELECT b.feature, side, {_bin_sql('v', bins)} AS bin
+      FROM bothv b JOIN r ON b.feature = r.feature),
+c AS (SELECT feature, bin, count(*) FILTER (WHERE side = 'e') AS e_c,
+             count(*) FILTER (WHERE side = 'a') AS a_c FROM g GROUP BY ALL),
+t AS (SELECT feature, sum(e_c) AS e_n, sum(a_c) AS a_n FROM c GROUP BY feature),
+f AS (SELECT t.feature, k.range AS bin, coalesce(c.e_c, 0) AS e_c, coalesce(c.a_c, 0) AS a_c, e_n, a_n
+      FROM t CROSS JOIN range(0, {bins}) k LEFT JOIN c ON c.feature = t.feature AND c.bin = k.range),
+p AS (SELECT feature, (e_c + 1e-6) / (e_n + 1e-6 * {bins}) AS e_p, (a_c + 1e-6) / (a_n + 1e-6 * {bins}) AS a_p,
+             e_n, a_n FROM f),
+s AS (SELECT feature, sum((a_p - e_p) * ln(a_p / e_p)) AS psi, CAST(any_value(e_n) AS BIGINT) AS expected_n,
+             CAST(any_value(a_n) AS BIGINT) AS actual_n FROM p GROUP BY feature)
+SELECT {'feature, ' if by else ''}round(psi, 6) AS psi, expected_n, actual_n,
+       CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.2 THEN 'minor' ELSE 'significant' END AS psi_band
+FROM s"""
+
+
+@register("d3_psi_score", _psi_sql("fraud_score", by=False))
+def d3_psi_score(spark, sf_dir):
+    recent_df, base = _windows(spark, sf_dir)
+    return r6(drift.psi(base, recent_df, "fraud_score"))
+
+
+@register("d3_psi_features", _psi_sql("", by=True))
+def d3_psi_features(spark, sf_dir):
+    recent_df, base = _windows(spark, sf_dir)
+    long = lambda d: d.select(*[F.col(c).cast("double") for c in MONITORED]) \
+        .unpivot([], MONITORED, "feature", "value")
+    return r6(drift.psi(long(base), long(recent_df), "value", by=["feature"]))
+
+
+def _d5_sql(by: str | None) -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    key = f"{by}, " if by else ""
+    return V.with_(V.PREDICTIONS) + f""",
+ok AS (SELECT {key}id, ts, fraud_score - 0.5 AS x, fraud_score FROM predictions WHERE fraud_score >= 0),
+sq AS (SELECT *, row_number() OVER ({part}ORDER BY ts, id) AS seq FROM ok),
+w AS (SELECT {key}(seq - 1) // 50 AS window_no, count(*) AS cnt, sum(x) AS sx, sum(x * x) AS sxx,
+             avg(fraud_score) AS w_mean, stddev_pop(fraud_score) AS w_std, max(ts) AS ts_end
+      FROM sq GROUP BY ALL HAVING count(*) = 50),
+r AS (SELECT *, sum(cnt) OVER ({part}ORDER BY window_no) AS n_all,
+             sum(sx) OVER ({part}ORDER BY window_no) AS s_all,
+             sum(sxx) OVER ({part}ORDER BY window_no) AS ss_all FROM w),
+z AS (SELECT *, sqrt(greatest(ss_all / n_all - (s_all / n_all) * (s_all / n_all), 0)) AS g_std FROM r)
+SELECT {key}CAST(window_no AS BIGINT) AS window_no,
+       strftime(ts_end, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       round(abs((w_mean - 0.5) - s_all / n_all) / CASE WHEN g_std = 0 THEN 1e-6 ELSE g_std END, 6) AS drift_score,
+       round(w_mean, 6) AS mean_score, round(w_std, 6) AS std_score,
+       CAST(cnt AS INTEGER) AS window_size
+FROM z WHERE n_all >= 2"""
+
+
+def _d5(spark, sf_dir, by=()):
+    # Unrounded here; ``rnd`` applies the oracle's rounding once.
+    d = drift.count_window_drift(tables.predictions(spark, sf_dir), by=by, digits=None)
+    return d.select(*by, "window_no", ts_text("ts"), rnd(F.col("drift_score")).alias("drift_score"),
+                    rnd(F.col("mean_score")).alias("mean_score"),
+                    rnd(F.col("std_score")).alias("std_score"), "window_size")
+
+
+@register("d5_count_window_drift", _d5_sql(None))
+def d5_count_window_drift(spark, sf_dir):
+    return _d5(spark, sf_dir)
+
+
+@register("d5_count_window_drift_by_side", _d5_sql("is_buyer_maker"))
+def d5_count_window_drift_by_side(spark, sf_dir):
+    return _d5(spark, sf_dir, by=["is_buyer_maker"])
+
+
+@register("t3_drift_history", f"SELECT * FROM ({_d5_sql(None)}) ORDER BY ts DESC, window_no DESC LIMIT 200")
+def t3_drift_history(spark, sf_dir):
+    d = drift.count_window_drift(tables.predictions(spark, sf_dir), digits=None)
+    h = monitor.drift_history(d, 200)
+    return h.select("window_no", ts_text("ts"), rnd(F.col("drift_score")).alias("drift_score"),
+                    rnd(F.col("mean_score")).alias("mean_score"),
+                    rnd(F.col("std_score")).alias("std_score"), "window_size")
+
+
+@register("w1_sequence_number", V.with_(V.PREDICTIONS) + """
+SELECT id, row_number() OVER (ORDER BY ts, id) AS seq FROM predictions""")
+def w1_sequence_number(spark, sf_dir):
+    from vigil.operators.sequence import sequence_number
+    p = tables.predictions(spark, sf_dir).select("id", "ts")
+    return sequence_number(p, ["ts", "id"]).select("id", "seq")
+
+
+@register("d6_drift_decision", f"""
+SELECT *, CASE WHEN drift_score IS NOT NULL AND drift_detected THEN 'drift_detected'
+               ELSE 'no_drift' END AS decision
+FROM ({_d1_sql(0.01)})""")
+def d6_drift_decision(spark, sf_dir):
+    return drift.drift_decision(_d1(spark, sf_dir, 0.01))
+
+
+@register("d7_drift_alert", f"""
+SELECT 'FRAUD_SCORE_DRIFT' AS alert_type,
+       CASE WHEN drift_score > 2 * threshold THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+       window_mean, baseline_mean, drift_score, threshold
+FROM ({_d1_sql(0.01)}) WHERE drift_score IS NOT NULL AND drift_detected""")
+def d7_drift_alert(spark, sf_dir):
+    alert = drift.drift_alert(_d1(spark, sf_dir, 0.01),
+                              keep=["window_mean", "baseline_mean", "drift_score", "threshold"])
+    return alert.select("alert_type", "severity", "window_mean", "baseline_mean", "drift_score", "threshold")
+
+
+@register("d8_retrain_request", f"""
+SELECT 'drift_detection' AS triggered_by, drift_score, '{NOW.isoformat()}' AS triggered_at
+FROM ({_d1_sql(0.01)}) WHERE drift_score IS NOT NULL AND drift_detected""")
+def d8_retrain_request(spark, sf_dir):
+    return drift.retrain_request(_d1(spark, sf_dir, 0.01), NOW.isoformat())
