@@ -635,3 +635,103 @@ SELECT 'drift_detection' AS triggered_by, drift_score, '{NOW.isoformat()}' AS tr
 FROM ({_d1_sql(0.01)}) WHERE drift_score IS NOT NULL AND drift_detected""")
 def d8_retrain_request(spark, sf_dir):
     return drift.retrain_request(_d1(spark, sf_dir, 0.01), NOW.isoformat())
+
+
+# ── features (F1–F7, A2, J4) ─────────────────────────────────────────────────
+
+from vigil.operators import features as feat  # noqa: E402
+
+_TX_FEATURES = ["TransactionAmt", "ProductCD", "card4", "card1", "acct_balance",
+                "hour_of_day", "day_of_week"]
+_TX_UNSCALED_SQL = V.with_(V.TRANSACTIONS) + """,
+t AS (SELECT TransactionID,
+             fmod(CAST(TransactionDT AS DOUBLE) / 3600, 24) AS hour_of_day,
+             fmod(CAST(TransactionDT AS DOUBLE) / 86400, 7) AS day_of_week,
+             ln(1 + TransactionAmt) AS TransactionAmt,
+             coalesce(ProductCD, 'missing') AS pcd, coalesce(card4, 'missing') AS c4,
+             card1, acct_balance, isFraud FROM transactions),
+e1 AS (SELECT pcd, CAST(row_number() OVER (ORDER BY pcd) - 1 AS DOUBLE) AS code
+       FROM (SELECT DISTINCT pcd FROM t)),
+e2 AS (SELECT c4, CAST(row_number() OVER (ORDER BY c4) - 1 AS DOUBLE) AS code
+       FROM (SELECT DISTINCT c4 FROM t)),
+u AS (SELECT TransactionID, coalesce(TransactionAmt, -999.0) AS TransactionAmt,
+             coalesce(e1.code, -999.0) AS ProductCD, coalesce(e2.code, -999.0) AS card4,
+             coalesce(card1, -999.0) AS card1, coalesce(acct_balance, -999.0) AS acct_balance,
+             hour_of_day, day_of_week, isFraud
+      FROM t LEFT JOIN e1 ON t.pcd = e1.pcd LEFT JOIN e2 ON t.c4 = e2.c4)"""
+
+
+def _scaled_sql(c: str) -> str:
+    return (f"round(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 "
+            f"ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END, 6) AS {c}")
+
+
+@register("f1_time_features", V.with_(V.TRANSACTIONS) + """
+SELECT TransactionID, round(fmod(CAST(TransactionDT AS DOUBLE) / 3600, 24), 6) AS hour_of_day,
+       round(fmod(CAST(TransactionDT AS DOUBLE) / 86400, 7), 6) AS day_of_week FROM transactions""")
+def f1_time_features(spark, sf_dir):
+    t = feat.time_feature_frame(tables.transactions(spark, sf_dir))
+    return r6(t.select("TransactionID", "hour_of_day", "day_of_week"))
+
+
+@register("f2_log_transform", V.with_(V.TRANSACTIONS) + """
+SELECT TransactionID, round(ln(1 + TransactionAmt), 6) AS TransactionAmt FROM transactions""")
+def f2_log_transform(spark, sf_dir):
+    t = tables.transactions(spark, sf_dir)
+    return r6(t.select("TransactionID", F.log1p("TransactionAmt").alias("TransactionAmt")))
+
+
+@register("f3_encode_categoricals", _TX_UNSCALED_SQL + """
+SELECT 'ProductCD' AS "column", pcd AS value, CAST(code AS INTEGER) AS code FROM e1
+UNION ALL SELECT 'card4', c4, CAST(code AS INTEGER) FROM e2""")
+def f3_encode_categoricals(spark, sf_dir):
+    return feat.fit_encoders(tables.transactions(spark, sf_dir), ["ProductCD", "card4"])
+
+
+@register("f4_fill_nulls", V.with_(V.IDENTITY) + """
+SELECT doc_id, lang, source, coalesce(CAST(n_chars AS DOUBLE), -999.0) AS n_chars,
+       coalesce(CAST(quality AS DOUBLE), -999.0) AS quality,
+       coalesce(CAST(toxic AS DOUBLE), -999.0) AS toxic FROM merged""")
+def f4_fill_nulls(spark, sf_dir):
+    m = _merged(spark, sf_dir)
+    num = ["n_chars", "quality", "toxic"]
+    return m.select("doc_id", "lang", "source", *[
+        F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(-999.0)), F.lit(-999.0)).alias(c) for c in num])
+
+
+@register("f5_standard_scale_fit", _TX_UNSCALED_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM u"
+    for c in _TX_FEATURES))
+def f5_standard_scale_fit(spark, sf_dir):
+    m = feat.fit_features(tables.transactions(spark, sf_dir), label="isFraud")
+    unscaled = m.transform(tables.transactions(spark, sf_dir), scale=False, with_label=False)
+    return r6(feat.fit_scaler(unscaled, m.feature_cols))
+
+
+@register("f6_class_weight_column", V.with_(V.TRANSACTIONS) + """
+SELECT TransactionID, isFraud,
+       round(CASE WHEN isFraud = 1 THEN (SELECT CAST(count(*) FILTER (WHERE isFraud = 0) AS DOUBLE)
+                                               / count(*) FILTER (WHERE isFraud = 1) FROM transactions)
+                  ELSE 1.0 END, 6) AS weight
+FROM transactions""")
+def f6_class_weight_column(spark, sf_dir):
+    t = tables.transactions(spark, sf_dir)
+    w = profile.class_weight(t, "isFraud").collect()[0]["class_weight"]
+    return r6(t.select("TransactionID", "isFraud", feat.class_weight_column("isFraud", w)))
+
+
+@register("f7_apply_features", _TX_UNSCALED_SQL + "\nSELECT TransactionID, "
+          + ", ".join(_scaled_sql(c) for c in _TX_FEATURES) + ", isFraud FROM u")
+def f7_apply_features(spark, sf_dir):
+    t = tables.transactions(spark, sf_dir)
+    m = feat.fit_features(t, label="isFraud")
+    return r6(m.transform(t, keep=["TransactionID"]))
+
+
+@register("a2_drop_high_null_columns", V.with_(V.IDENTITY) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate, "
+    f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.9 AS dropped FROM merged" for c in _MERGED_COLS))
+def a2_drop_high_null_columns(spark, sf_dir):
+    rates = profile.null_rates(_merged(spark, sf_dir))
+    return r6(rates.select(F.col("column").alias("column_name"), "null_rate",
+                           (F.col("null_rate") > feat.NULL_THRESHOLD).alias("dropped")))
