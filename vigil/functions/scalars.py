@@ -110,3 +110,10 @@ def parse_trade_json(value) -> Column:
     default case-insensitive resolver). Bad JSON → NULL map."""
     return F.from_json(_c(value).cast("string"), TRADE_JSON_SCHEMA,
                        {"mode": "PERMISSIVE"})
+
+
+def round_to(x, digits: int) -> Column:
+    """Round half away from zero as ``round(x·10^d)/10^d`` (the float steps of
+    most SQL engines' ``round`` on doubles)."""
+    m = float(10 ** digits)
+    return F.round(_c(x) * m, 0) / m

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions.scalars import round_to
 from vigil.operators import drift
 from vigil.plans import sql_views as V
 from vigil.sources import tables
@@ -39,8 +40,7 @@ def register(name: str, sql: str | None = None):
 def rnd(c, digits: int = 6):
     """``round(x·10^d)/10^d`` — the same float operations as the oracle's
     ``round(x, d)``, so ties round alike on both sides."""
-    m = float(10 ** digits)
-    return F.round(c * m, 0) / m
+    return round_to(c, digits)
 
 
 def r6(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -735,3 +735,108 @@ def a2_drop_high_null_columns(spark, sf_dir):
     rates = profile.null_rates(_merged(spark, sf_dir))
     return r6(rates.select(F.col("column").alias("column_name"), "null_rate",
                            (F.col("null_rate") > feat.NULL_THRESHOLD).alias("dropped")))
+
+
+# ── evaluation (E1–E5, T8, W3, W4) ───────────────────────────────────────────
+
+from vigil.operators import evaluate as ev  # noqa: E402
+
+_TH_SQL = "[0.3, 0.4, 0.5, 0.6, 0.7, 0.8]::DOUBLE[]"
+
+
+def _auc_sql(by: str | None) -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    key = f"{by}, " if by else ""
+    return V.with_(V.LABELLED) + f""",
+g AS (SELECT {key}score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+      FROM labelled_scores GROUP BY ALL),
+c AS (SELECT *, sum(neg) OVER ({part}ORDER BY score) AS neg_le FROM g)
+SELECT {key}round(sum(pos * (neg_le - neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+FROM c {'GROUP BY ' + by if by else ''}"""
+
+
+@register("e2_roc_auc", _auc_sql(None))
+def e2_roc_auc(spark, sf_dir):
+    return r6(ev.roc_auc(tables.labelled_scores(spark, sf_dir)))
+
+
+@register("e2_roc_auc_by_segment", _auc_sql("segment"))
+def e2_roc_auc_by_segment(spark, sf_dir):
+    return r6(ev.roc_auc(tables.labelled_scores(spark, sf_dir), by=["segment"]))
+
+
+_E3_SQL = V.with_(V.LABELLED) + f""",
+th AS (SELECT unnest({_TH_SQL}) AS threshold),
+c AS (SELECT threshold,
+             count(*) FILTER (WHERE score >= threshold AND label = 1) AS tp,
+             count(*) FILTER (WHERE score >= threshold AND label <> 1) AS fp,
+             count(*) FILTER (WHERE NOT (score >= threshold) AND label = 1) AS fn,
+             count(*) FILTER (WHERE NOT (score >= threshold) AND label <> 1) AS tn
+      FROM th, labelled_scores GROUP BY threshold),
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+                CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r,
+                CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0.0 END AS f FROM c),
+e3 AS (SELECT threshold, round(p, 4) AS precision, round(r, 4) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 4) AS f1, round(f, 4) AS fpr,
+       tp, fp, fn, tn, tp + fp AS flagged, fn AS missed FROM m)"""
+
+
+@register("e3_threshold_metrics", _E3_SQL + "\nSELECT * FROM e3")
+def e3_threshold_metrics(spark, sf_dir):
+    return ev.threshold_metrics(tables.labelled_scores(spark, sf_dir))
+
+
+@register("t8_recommend_threshold", _E3_SQL + """
+SELECT threshold, precision, recall, recall >= 0.7 AS meets_min_recall FROM e3
+ORDER BY (recall >= 0.7) DESC, CASE WHEN recall >= 0.7 THEN precision END DESC NULLS LAST,
+         CASE WHEN recall < 0.7 THEN recall END DESC NULLS LAST, threshold LIMIT 1""")
+def t8_recommend_threshold(spark, sf_dir):
+    return ev.recommend_threshold(ev.threshold_metrics(tables.labelled_scores(spark, sf_dir)))
+
+
+_CM_SQL = V.with_(V.LABELLED) + """,
+c AS (SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+             count(*) FILTER (WHERE score >= 0.5 AND label <> 1) AS fp,
+             count(*) FILTER (WHERE NOT (score >= 0.5) AND label = 1) AS fn,
+             count(*) FILTER (WHERE NOT (score >= 0.5) AND label <> 1) AS tn FROM labelled_scores)"""
+
+
+@register("e4_confusion_matrix", _CM_SQL + """
+SELECT 0 AS actual, 0 AS predicted, tn AS n FROM c UNION ALL SELECT 0, 1, fp FROM c
+UNION ALL SELECT 1, 0, fn FROM c UNION ALL SELECT 1, 1, tp FROM c""")
+def e4_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(tables.labelled_scores(spark, sf_dir), threshold=0.5)
+
+
+@register("e5_classification_report", _CM_SQL + """,
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+                CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+                CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+                CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+                CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0 FROM c),
+f AS (SELECT *, CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
+                CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+                s0 + s1 AS n FROM m)
+SELECT '0' AS class, round(p0, 4) AS precision, round(r0, 4) AS recall, round(f0, 4) AS f1,
+       CAST(s0 AS BIGINT) AS support FROM f
+UNION ALL SELECT '1', round(p1, 4), round(r1, 4), round(f1, 4), CAST(s1 AS BIGINT) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END, 4),
+                 CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 4), round((r0 + r1) / 2, 4), round((f0 + f1) / 2, 4),
+                 CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0.0 END, 4),
+                 round(CASE WHEN n > 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0.0 END, 4),
+                 round(CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, 4),
+                 CAST(n AS BIGINT) FROM f""")
+def e5_classification_report(spark, sf_dir):
+    return ev.classification_report(tables.labelled_scores(spark, sf_dir), threshold=0.5)
+
+
+@register("e1_stratified_split", V.with_(V.LABELLED) + """,
+n AS (SELECT label, count(*) AS n FROM labelled_scores GROUP BY label),
+k AS (SELECT label, n, CASE WHEN n < 2 THEN 0 ELSE greatest(1, least(n - 1, CAST(floor(0.2 * n + 0.5) AS BIGINT))) END AS k FROM n)
+SELECT label, true AS is_test, k AS n FROM k UNION ALL SELECT label, false, n - k FROM k""")
+def e1_stratified_split(spark, sf_dir):
+    s = ev.stratified_split(tables.labelled_scores(spark, sf_dir), "label", ["order_key", "line_number"])
+    return s.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
