@@ -840,3 +840,89 @@ SELECT label, true AS is_test, k AS n FROM k UNION ALL SELECT label, false, n -
 def e1_stratified_split(spark, sf_dir):
     s = ev.stratified_split(tables.labelled_scores(spark, sf_dir), "label", ["order_key", "line_number"])
     return s.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ── training and scoring (E6–E10, T7, T9, F8–F10, F13, J5) ───────────────────
+
+from vigil.operators import train as tr  # noqa: E402
+from vigil.operators import trades as trd  # noqa: E402
+from vigil.plans import training  # noqa: E402
+
+
+@register("e6_train_classifier")
+def e6_train_classifier(spark, sf_dir):
+    """Reference parameters (depth 6, η 0.1, 200 rounds, subsample/colsample 0.8,
+    class weight, seed 42); one summary row."""
+    run = training.training_run(spark, sf_dir)
+    gbt = run.model.stages[-1]
+    auc = ev.roc_auc(run.scored_test, "isFraud", "fraud_score")
+    return auc.select(F.lit(gbt.getNumTrees).alias("n_trees"),
+                      F.lit(len(run.features.feature_cols)).alias("n_features"), "auc", "n_pos", "n_neg")
+
+
+@register("e7_score_batch")
+def e7_score_batch(spark, sf_dir):
+    run = training.training_run(spark, sf_dir)
+    from vigil.functions.scalars import flag
+    return run.scored_test.select("TransactionID", "isFraud", "fraud_score",
+                                  flag("fraud_score", 0.5).alias("is_fraud"))
+
+
+@register("t7_top_importance")
+def t7_top_importance(spark, sf_dir):
+    run = training.training_run(spark, sf_dir)
+    return tr.feature_importance(spark, run.model, run.features.feature_cols, 10)
+
+
+@register("e10_evaluation_report")
+def e10_evaluation_report(spark, sf_dir):
+    return training.evaluation_report(spark, training.training_run(spark, sf_dir))
+
+
+@register("e9_promotion_gate")
+def e9_promotion_gate(spark, sf_dir):
+    """Candidate = the fresh model's test AUC; current = the last deployed
+    model from the metrics table (none yet → first deployment)."""
+    run = training.training_run(spark, sf_dir)
+    cand = ev.roc_auc(run.scored_test, "isFraud", "fraud_score") \
+        .select(F.lit("fraud_gbt").alias("model_name"), "auc")
+    current = spark.createDataFrame([], "model_name string, auc double, deployed_at timestamp")
+    return joins.compare_models(cand, tr.current_model(current, key=["model_name"]))
+
+
+_TRADE_FEATURES = ["TransactionAmt", "ProductCD", "card4", "card1", "acct_balance",
+                   "hour_of_day", "day_of_week"]
+
+
+@register("f10_map_trade", V.with_(V.PREDICTIONS) + """
+SELECT id AS trade_id, symbol,
+       round(ln(1 + price * quantity), 6) AS TransactionAmt,
+       CAST(-999 AS DOUBLE) AS ProductCD, CAST(-999 AS DOUBLE) AS card4,
+       CAST(-999 AS DOUBLE) AS card1, CAST(-999 AS DOUBLE) AS acct_balance,
+       CAST(hour(ts) AS DOUBLE) AS hour_of_day, CAST(isodow(ts) - 1 AS DOUBLE) AS day_of_week
+FROM predictions""")
+def f10_map_trade(spark, sf_dir):
+    m = trd.map_trade(tables.trades(spark, sf_dir), _TRADE_FEATURES)
+    return r6(m.select("trade_id", "symbol", *_TRADE_FEATURES))
+
+
+@register("f13_parse_trade_json", V.with_(V.PREDICTIONS) + """
+SELECT 'trade' AS event_type, id AS trade_id, symbol, price, quantity,
+       trade_time AS trade_ms, trade_time AS event_ms, is_buyer_maker, 'binance' AS source
+FROM predictions""")
+def f13_parse_trade_json(spark, sf_dir):
+    p = trd.parse_trades(tables.trade_json(spark, sf_dir).select("value"))
+    return p.select("event_type", "trade_id", "symbol", F.col("price").cast("double").alias("price"),
+                    F.col("quantity").cast("double").alias("quantity"), "trade_ms", "event_ms",
+                    "is_buyer_maker", "source")
+
+
+@register("t9_top_deviations")
+def t9_top_deviations(spark, sf_dir):
+    """Flagged live trades with their five most deviating (scaled) features."""
+    run = training.training_run(spark, sf_dir)
+    cols = run.features.feature_cols
+    mapped = trd.map_trade(tables.trades(spark, sf_dir), cols, run.features.log_transform_cols,
+                           model=run.features, scale=True)
+    scored = tr.score(run.model, mapped)
+    return tr.top_deviations(scored, cols, 5).select("trade_id", "fraud_score", "top_deviations")
