@@ -926,3 +926,37 @@ def t9_top_deviations(spark, sf_dir):
                            model=run.features, scale=True)
     scored = tr.score(run.model, mapped)
     return tr.top_deviations(scored, cols, 5).select("trade_id", "fraud_score", "top_deviations")
+
+
+# ── streaming (M1–M4): stream over a file source = batch result ─────────────
+
+from vigil.plans import streams  # noqa: E402
+
+
+@register("m1_score_trades_stream")
+def m1_score_trades_stream(spark, sf_dir):
+    run = training.training_run(spark, sf_dir)
+    log = streams.scored_log_stream(spark, sf_dir, run)
+    return log.select("trade_id", "symbol", "price", "quantity", "trade_time", "is_buyer_maker",
+                      "fraud_score", "is_fraud", "threshold")
+
+
+@register("m2_running_totals_stream", V.with_(V.PREDICTIONS) + """
+SELECT count(*) AS total, CAST(sum(is_fraud) AS BIGINT) AS flagged,
+       round(CAST(sum(is_fraud) AS DOUBLE) / count(*), 6) AS flag_rate FROM predictions""")
+def m2_running_totals_stream(spark, sf_dir):
+    return r6(streams.running_totals_stream(spark, sf_dir))
+
+
+@register("m3_volume_stream", ORACLE["a11_volume_5s"])
+def m3_volume_stream(spark, sf_dir):
+    v = streams.volume_stream(spark, sf_dir)
+    return r6(v.select(ts_text("bucket_start"), "total", "fraud", "avg_score"))
+
+
+@register("m4_count_window_drift_stream", _d5_sql("is_buyer_maker"))
+def m4_count_window_drift_stream(spark, sf_dir):
+    d = streams.count_window_stream(spark, sf_dir, "is_buyer_maker")
+    return d.select("is_buyer_maker", "window_no", ts_text("ts"),
+                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")],
+                    "window_size")
