@@ -960,3 +960,66 @@ def m4_count_window_drift_stream(spark, sf_dir):
     return d.select("is_buyer_maker", "window_no", ts_text("ts"),
                     *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")],
                     "window_size")
+
+
+# ── sources and sinks (S1, S3, S4, S5, K1, K10) ─────────────────────────────
+
+from vigil.sources import readers, sinks  # noqa: E402
+
+_TX_SCHEMA = ("TransactionID bigint, TransactionDT bigint, TransactionAmt double, ProductCD string, "
+              "card4 string, card1 double, acct_balance double, isFraud int")
+
+
+@register("s1_read_transactions", V.with_(V.TRANSACTIONS) + "SELECT * FROM transactions")
+def s1_read_transactions(spark, sf_dir):
+    """CSV with header written from the transactions adapter (K8 path), read
+    back with the explicit schema."""
+    path = streams.scratch(spark, "s1")
+    tables.transactions(spark, sf_dir).write.option("header", "true").csv(path)
+    return readers.read_transactions(spark, path, schema=_TX_SCHEMA)
+
+
+@register("s3_sample_head")
+def s3_sample_head(spark, sf_dir):
+    return readers.sample_head(tables.transactions(spark, sf_dir), 1000)
+
+
+def _logs(spark, sf_dir) -> str:
+    path = streams.scratch(spark, "logs")
+    sinks.write_prediction_log(tables.predictions(spark, sf_dir), path)
+    return path
+
+
+@register("s4_read_prediction_logs", V.with_(V.PREDICTIONS) + f"""
+SELECT id AS trade_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, symbol, fraud_score, is_fraud
+FROM predictions WHERE ts >= {NOW_SQL} - INTERVAL 8 DAY AND ts <= {NOW_SQL}""")
+def s4_read_prediction_logs(spark, sf_dir):
+    logs = readers.read_prediction_logs(spark, _logs(spark, sf_dir), since=B_START, until=NOW)
+    return logs.select("trade_id", ts_text("ts"), "symbol", "fraud_score", "is_fraud")
+
+
+@register("s5_recent_predictions", V.with_(V.PREDICTIONS) + f"""
+SELECT count(*) AS n_predictions, round(avg(CAST(is_fraud AS DOUBLE)), 6) AS fraud_rate,
+       round(avg(fraud_score), 6) AS avg_score, round(avg(price * quantity), 6) AS transaction_amt_mean,
+       round(avg(CAST(hour(ts) AS DOUBLE)), 6) AS hour_of_day_mean
+FROM predictions WHERE ts > {NOW_SQL} - INTERVAL 24 HOUR AND ts <= {NOW_SQL}""")
+def s5_recent_predictions(spark, sf_dir):
+    logs = readers.read_prediction_logs(spark, _logs(spark, sf_dir), since=W_START, until=NOW, strict=True)
+    typed = logs.select("ts", "is_fraud", "fraud_score", F.col("price").cast("double").alias("price"),
+                        F.col("quantity").cast("double").alias("quantity"))
+    return r6(drift.recent_stats(typed))
+
+
+_BASE_FEATS = ["TransactionAmt", "card1", "acct_balance"]
+
+
+@register("k10_baseline_histogram", V.with_(V.TRANSACTIONS) + """,
+bothv AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {c} AS v FROM transactions WHERE {c} IS NOT NULL AND NOT isnan({c})"
+    for c in _BASE_FEATS) + f"""),
+r AS (SELECT feature, min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 10 AS step FROM bothv GROUP BY feature)
+SELECT b.feature, CAST({_bin_sql('v', 10)} AS INTEGER) AS bin, count(*) AS n
+FROM bothv b JOIN r ON b.feature = r.feature GROUP BY ALL""")
+def k10_baseline_histogram(spark, sf_dir):
+    _, hist = sinks.baseline_tables(tables.transactions(spark, sf_dir), _BASE_FEATS)
+    return hist.select("feature", "bin", "n")
