@@ -784,7 +784,14 @@ e3 AS (SELECT threshold, round(p, 4) AS precision, round(r, 4) AS recall,
 
 @register("e3_threshold_metrics", _E3_SQL + "\nSELECT * FROM e3")
 def e3_threshold_metrics(spark, sf_dir):
-    return ev.threshold_metrics(tables.labelled_scores(spark, sf_dir))
+    return _e3(spark, sf_dir)
+
+
+def _e3(spark, sf_dir):
+    """Unrounded metrics, then the oracle's 4-digit rounding applied once."""
+    m = ev.threshold_metrics(tables.labelled_scores(spark, sf_dir), digits=None)
+    return m.select(*[rnd(F.col(c), 4).alias(c) if c in ("precision", "recall", "f1", "fpr") else c
+                      for c in m.columns])
 
 
 @register("t8_recommend_threshold", _E3_SQL + """
@@ -792,7 +799,7 @@ SELECT threshold, precision, recall, recall >= 0.7 AS meets_min_recall FROM e3
 ORDER BY (recall >= 0.7) DESC, CASE WHEN recall >= 0.7 THEN precision END DESC NULLS LAST,
          CASE WHEN recall < 0.7 THEN recall END DESC NULLS LAST, threshold LIMIT 1""")
 def t8_recommend_threshold(spark, sf_dir):
-    return ev.recommend_threshold(ev.threshold_metrics(tables.labelled_scores(spark, sf_dir)))
+    return ev.recommend_threshold(_e3(spark, sf_dir))
 
 
 _CM_SQL = V.with_(V.LABELLED) + """,
@@ -830,7 +837,9 @@ UNION ALL SELECT 'weighted avg', round(CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1)
                  round(CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, 4),
                  CAST(n AS BIGINT) FROM f""")
 def e5_classification_report(spark, sf_dir):
-    return ev.classification_report(tables.labelled_scores(spark, sf_dir), threshold=0.5)
+    r = ev.classification_report(tables.labelled_scores(spark, sf_dir), threshold=0.5, digits=None)
+    return r.select(*[rnd(F.col(c), 4).alias(c) if c in ("precision", "recall", "f1") else c
+                      for c in r.columns])
 
 
 @register("e1_stratified_split", V.with_(V.LABELLED) + """,
