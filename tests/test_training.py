@@ -96,3 +96,26 @@ def test_retrain_history_latest_first_then_ascending(spark):
     assert len(out) == 20 and out[0]["completed_at"] == "2024-01-06"
     assert out[-1]["completed_at"] == "2024-01-25" and out[0]["triggered_by"] == "drift"
     assert out[1]["triggered_by"] == "manual"
+
+
+def test_prefix_auc_last_round_equals_model(fitted, data):
+    valid = data.where(F.col("is_test"))
+    per_round = train.prefix_auc(fitted, valid, "isFraud").collect()
+    assert [r["k"] for r in per_round] == list(range(1, 11))
+    full = ev.roc_auc(train.score(fitted, valid), "isFraud", "fraud_score").first()["auc"]
+    assert per_round[-1]["auc"] == pytest.approx(full, abs=1e-12)
+
+
+def test_patience_stop():
+    aucs = [(k, 0.5 + 0.01 * min(k, 5)) for k in range(1, 40)]
+    assert train.patience_stop(aucs, 20) == {"best_iteration": 5, "best_val_auc": pytest.approx(0.55),
+                                             "stopped_at": 25, "early": True}
+    assert train.patience_stop([(1, 0.6), (2, 0.7)], 20)["stopped_at"] == 2
+
+
+def test_train_with_patience_stops_and_keeps_prefix(data):
+    tr_, va = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    model, stop = train.train_with_patience(tr_, va, FEATURES, "isFraud", patience=3, maxIter=12)
+    assert model.stages[-1].getNumTrees == stop["stopped_at"] <= 12
+    if stop["early"]:
+        assert stop["stopped_at"] - stop["best_iteration"] == 3

@@ -860,13 +860,18 @@ from vigil.plans import training  # noqa: E402
 
 @register("e6_train_classifier")
 def e6_train_classifier(spark, sf_dir):
-    """Reference parameters (depth 6, η 0.1, 200 rounds, subsample/colsample 0.8,
-    class weight, seed 42); one summary row."""
+    """Reference parameters (depth 6, η 0.1, at most 200 rounds, subsample /
+    colsample 0.8, class weight, seed 42, stop after 20 rounds without
+    validation-AUC gain); one summary row."""
     run = training.training_run(spark, sf_dir)
     gbt = run.model.stages[-1]
+    stop = training.stopping_summary(run)
     auc = ev.roc_auc(run.scored_test, "isFraud", "fraud_score")
     return auc.select(F.lit(gbt.getNumTrees).alias("n_trees"),
-                      F.lit(len(run.features.feature_cols)).alias("n_features"), "auc", "n_pos", "n_neg")
+                      F.lit(len(run.features.feature_cols)).alias("n_features"), "auc", "n_pos", "n_neg",
+                      F.lit(stop["best_iteration"]).cast("int").alias("best_iteration"),
+                      F.lit(stop["best_val_auc"]).cast("double").alias("best_val_auc"),
+                      F.lit(stop["stopped_at"]).cast("int").alias("patience_stop_round"))
 
 
 @register("e7_score_batch")
@@ -890,11 +895,12 @@ def e10_evaluation_report(spark, sf_dir):
 
 @register("e9_promotion_gate")
 def e9_promotion_gate(spark, sf_dir):
-    """Candidate = the fresh model's test AUC; current = the last deployed
-    model from the metrics table (none yet → first deployment)."""
+    """Candidate = the fresh model's best validation AUC over rounds (what the
+    reference reports); current = the last deployed model from the metrics
+    table (none yet → first deployment)."""
     run = training.training_run(spark, sf_dir)
-    cand = ev.roc_auc(run.scored_test, "isFraud", "fraud_score") \
-        .select(F.lit("fraud_gbt").alias("model_name"), "auc")
+    best = training.stopping_summary(run)["best_val_auc"]
+    cand = spark.createDataFrame([("fraud_gbt", best)], "model_name string, auc double")
     current = spark.createDataFrame([], "model_name string, auc double, deployed_at timestamp")
     return joins.compare_models(cand, tr.current_model(current, key=["model_name"]))
 
