@@ -1038,3 +1038,55 @@ FROM bothv b JOIN r ON b.feature = r.feature GROUP BY ALL""")
 def k10_baseline_histogram(spark, sf_dir):
     _, hist = sinks.baseline_tables(tables.transactions(spark, sf_dir), _BASE_FEATS)
     return hist.select("feature", "bin", "n")
+
+
+# ── small operators with their own queries (A5, P4, W2, S2, K2) ─────────────
+
+from vigil.functions.scalars import flag as _flag  # noqa: E402
+from vigil.operators.sequence import prefix_sums as _prefix_sums  # noqa: E402
+
+
+@register("a5_score_stats", V.with_(V.DASHBOARD) + """
+SELECT is_buyer_maker, round(avg(fraud_score), 6) AS score_mean, round(stddev_samp(fraud_score), 6) AS score_std,
+       round(min(fraud_score), 6) AS score_min, round(max(fraud_score), 6) AS score_max,
+       count(fraud_score) AS score_n
+FROM dash GROUP BY is_buyer_maker""")
+def a5_score_stats(spark, sf_dir):
+    d = tables.dashboard_predictions(spark, sf_dir)
+    return r6(d.groupBy("is_buyer_maker").agg(*drift.score_stats(F.col("fraud_score"), "score")))
+
+
+@register("p4_flag_at_threshold", V.with_(V.PREDICTIONS) + """
+SELECT id, fraud_score, CASE WHEN fraud_score >= 0.3 AND fraud_score <> -1 THEN 1 ELSE 0 END AS flagged
+FROM predictions""")
+def p4_flag_at_threshold(spark, sf_dir):
+    p = tables.predictions(spark, sf_dir)
+    return p.select("id", "fraud_score", _flag("fraud_score", 0.3).alias("flagged"))
+
+
+@register("w2_running_moments", V.with_(V.DASHBOARD) + """,
+d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(fraud_score) AS s FROM dash GROUP BY 1)
+SELECT strftime(day, '%Y-%m-%d') AS day, n,
+       sum(n) OVER (ORDER BY day) AS n_so_far,
+       round(sum(s) OVER (ORDER BY day) / sum(n) OVER (ORDER BY day), 6) AS mean_so_far
+FROM d""")
+def w2_running_moments(spark, sf_dir):
+    """Running count and mean of successful scores by day (distributed
+    prefix sums over the daily table)."""
+    d = tables.dashboard_predictions(spark, sf_dir)
+    daily = d.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"),
+                                                         F.sum("fraud_score").alias("s"))
+    run = _prefix_sums(daily, ["day"], {"n_so_far": F.col("n"), "s_so_far": F.col("s")})
+    return r6(run.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "n_so_far",
+                         (F.col("s_so_far") / F.col("n_so_far")).alias("mean_so_far")))
+
+
+@register("s2_read_columns", V.with_(V.PREDICTIONS) + "SELECT id, fraud_score FROM predictions")
+def s2_read_columns(spark, sf_dir):
+    return readers.read_columns(tables.predictions(spark, sf_dir), ["id", "not_logged", "fraud_score"])
+
+
+@register("k2_publish_trades")
+def k2_publish_trades(spark, sf_dir):
+    out, _quarantine = trd.publish_frame(tables.trade_json(spark, sf_dir).select("value"))
+    return out.select(F.col("key").cast("string").alias("key"), "value")
