@@ -207,10 +207,17 @@ def zscore_drift(recent: DataFrame, baseline: DataFrame, features: list[str],
     r_rate = recent.groupBy(*by).agg(F.count(F.lit(1)).alias("n_recent"),
                                      F.avg(F.col(recent_rate).cast("double")).alias("recent_rate"))
     b_rate = baseline.groupBy(*by).agg(F.avg(F.col(baseline_rate).cast("double")).alias("baseline_rate"))
-    rates = r_rate.join(b_rate, by, "left") if by else _one_row_pair(r_rate, b_rate)
+    if by:
+        rep = r_rate.join(b_rate, by, "left").join(z_agg, by, "left")
+    else:
+        # Global case: each side is one aggregate row — attach them as
+        # literals instead of joining one-row frames (no nested-loop join).
+        rr, br = r_rate.first(), b_rate.first()
+        rep = z_agg.select("*", F.lit(rr["n_recent"]).cast("bigint").alias("n_recent"),
+                           F.lit(rr["recent_rate"]).cast("double").alias("recent_rate"),
+                           F.lit(br["baseline_rate"]).cast("double").alias("baseline_rate"))
     change = F.abs(F.coalesce("recent_rate", F.lit(0.0))
                    - F.coalesce("baseline_rate", F.lit(default_rate)))
-    rep = (rates.join(z_agg, by, "left") if by else _one_row_pair(rates, z_agg))
     rate_reason = F.when(change > rate_threshold, F.format_string(
         "Fraud rate changed by %.2f%% (from %.2f%% to %.2f%%)",
         change * 100, F.coalesce("baseline_rate", F.lit(default_rate)) * 100,
@@ -228,13 +235,6 @@ def zscore_drift(recent: DataFrame, baseline: DataFrame, features: list[str],
         (F.size(reasons) > 0).alias("drift_detected"))
 
 
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two global (one-row) aggregates on a constant key; both sides are
-    one row by construction."""
-    k = "_vigil_one"
-    return a.withColumn(k, F.lit(1)).join(F.broadcast(b.withColumn(k, F.lit(1))), k, "left").drop(k)
-
-
 # ── PSI (D3, D4) ─────────────────────────────────────────────────────────────
 
 def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_BINS,
@@ -251,9 +251,14 @@ def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_
             .unionByName(actual.select(*by, v.alias("v"), F.lit("a").alias("side")))
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
     ranges = both.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # One row per group: grouped ranges join on the group key (AQE picks the
-    # strategy); the global range is one row by construction.
-    binned = both.join(ranges, by, "inner") if by else _one_row_pair(both, ranges)
+    # Grouped ranges (one row per group) join on the group key and AQE picks
+    # the strategy; the global range is two numbers, attached as literals.
+    if by:
+        binned = both.join(ranges, by, "inner")
+    else:
+        rg = ranges.first()
+        binned = both.select("*", F.lit(rg["lo"]).cast("double").alias("lo"),
+                             F.lit(rg["hi"]).cast("double").alias("hi"))
     counts = (binned.groupBy(*by, equal_width_bin(F.col("v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
               .agg(F.count(F.when(F.col("side") == "e", 1)).alias("e_c"),
                    F.count(F.when(F.col("side") == "a", 1)).alias("a_c")))
