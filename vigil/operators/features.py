@@ -183,12 +183,13 @@ def fit_features(df: DataFrame, label: str = LABEL, categorical=CATEGORICAL_COLS
     feature_cols = [c for c in kept if c not in set(unlisted)]
 
     enc_df = fit_encoders(staged, cats)
-    n_codes = enc_df.count()
-    if n_codes > max_inline_codes:
-        raise ValueError(f"{n_codes} category codes exceed the inline limit "
-                         f"{max_inline_codes}; encode with join_encoders() instead")
+    # One bounded job: at most max_inline_codes + 1 rows reach the driver.
+    codes = enc_df.limit(max_inline_codes + 1).collect()
+    if len(codes) > max_inline_codes:
+        raise ValueError(f"more than {max_inline_codes} category codes; "
+                         "encode with join_encoders() instead")
     encoders: dict[str, dict[str, int]] = {c: {} for c in cats}
-    for r in enc_df.collect():                     # bounded by the check above
+    for r in codes:
         encoders[r["column"]][r["value"]] = r["code"]
 
     provisional = FeatureModel(label=label, feature_cols=feature_cols, dropped=dropped,

@@ -138,23 +138,24 @@ PATIENCE = 20   # rounds without validation-AUC improvement before the reference
 
 def prefix_auc(model: PipelineModel, valid: DataFrame, label: str = "isFraud") -> DataFrame:
     """Validation AUC after every boosting round, in one distributed pass:
-    each tree's prediction (public tree models), the weighted contributions
-    unpivoted to (row, round), running margins per row (window partitioned by
-    row), then the grouped exact AUC per round. AUC is rank-based, so the
+    each tree's prediction (public tree models), running margins inside each
+    row (no shuffle), exploded to (round, margin), then the grouped exact AUC
+    per round (partial aggregation by (round, margin) before the shuffle). AUC is rank-based, so the
     margin stands in for the probability."""
     from vigil.operators.evaluate import roc_auc
     asm, gbt = model.stages[0], model.stages[-1]
-    cur = asm.transform(valid).select(F.monotonically_increasing_id().alias("_rid"),
-                                      F.col(label).alias("_y"), "features")
+    cur = asm.transform(valid).select(F.col(label).alias("_y"), "features")
     for i, tree in enumerate(gbt.trees):
         cur = tree.copy().setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(cur)
     w = gbt.treeWeights
-    long = cur.select("_rid", "_y", F.inline(F.array(*[
-        F.struct(F.lit(i + 1).alias("k"), (F.col(f"_t{i}") * F.lit(float(w[i]))).alias("c"))
-        for i in range(len(w))])))
-    from pyspark.sql import Window
-    run = Window.partitionBy("_rid").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    margins = long.select("k", "_y", F.sum("c").over(run).alias("margin"))
+    contrib = F.array(*[F.col(f"_t{i}") * F.lit(float(w[i])) for i in range(len(w))])
+    # Running margins inside the row (sequential sum, no shuffle): the
+    # accumulator carries the prefix array and the running total.
+    start = F.struct(F.array().cast("array<double>").alias("p"), F.lit(0.0).alias("s"))
+    prefix = F.aggregate(contrib, start, lambda acc, x: F.struct(
+        F.concat(acc["p"], F.array(acc["s"] + x)).alias("p"), (acc["s"] + x).alias("s")))
+    margins = cur.select("_y", F.posexplode(prefix["p"]).alias("pos", "margin")) \
+        .select((F.col("pos") + 1).alias("k"), "_y", "margin")
     return roc_auc(margins, "_y", "margin", by=["k"]).select("k", "auc").orderBy("k")
 
 
