@@ -134,3 +134,37 @@ def test_volume_stream_appends_with_watermark(spark, tmp_dir):
     # append mode emits only buckets the watermark (max ts − 10 s) has passed
     assert got.count() > 0 and got.agg(F.max("bucket_start")).first()[0] <= dt.datetime(2024, 1, 1, 0, 0, 50)
     assert got.agg(F.sum("total")).first()[0] <= len(rows)
+
+
+def test_count_window_stream_state_across_batches(spark, tmp_dir):
+    """Several micro-batches (one file each, in time order) give the same
+    windows as the batch operator: state carries the open window and the
+    running moments between batches."""
+    import datetime as dt
+    import time
+    import numpy as np
+    from vigil.operators import drift
+    from vigil.streaming.count_window import count_window_drift_stream
+    rng = np.random.default_rng(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(seconds=i), "A" if i % 3 else "B", float(np.round(rng.random(), 6)))
+            for i in range(420)]
+    schema = "id long, ts timestamp, symbol string, fraud_score double"
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    for j in range(0, 420, 70):                       # 6 files, written in time order
+        spark.createDataFrame(rows[j:j + 70], schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(tmp_dir, "out")
+    q = (count_window_drift_stream(stream, key="symbol", n=50).writeStream.outputMode("append")
+         .format("parquet").option("path", out).option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r["symbol"], r["window_no"]): (r["drift_score"], r["mean_score"])
+           for r in spark.read.parquet(out).collect()}
+    batch = drift.count_window_drift(spark.createDataFrame(rows, schema), n=50, by=["symbol"], digits=None)
+    exp = {(r["symbol"], r["window_no"]): (r["drift_score"], r["mean_score"]) for r in batch.collect()}
+    assert set(got) == set(exp) and len(exp) == 7
+    for k, (z, m) in exp.items():
+        assert got[k][0] == pytest.approx(z, rel=1e-9, abs=1e-12) and got[k][1] == pytest.approx(m)
