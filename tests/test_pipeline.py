@@ -53,6 +53,8 @@ def test_streaming_scorer_logs_and_alerts(spark, fitted, tmp_dir):
     assert rows["3"]["is_fraud"] == 0 and rows["unknown"]["fraud_score"] == -1.0
     alerts = spark.read.parquet(os.path.join(tmp_dir, "alerts")).collect()
     assert {r["trade_id"] for r in alerts} == {"12345", "2"}
+    status = scoring.reader_status(q)
+    assert status["total"] == 4 and status["errors"] == 2
     assert all(len(r["top_deviations"]) == 5 for r in alerts)
 
 
@@ -168,3 +170,32 @@ def test_count_window_stream_state_across_batches(spark, tmp_dir):
     assert set(got) == set(exp) and len(exp) == 7
     for k, (z, m) in exp.items():
         assert got[k][0] == pytest.approx(z, rel=1e-9, abs=1e-12) and got[k][1] == pytest.approx(m)
+
+
+def test_metric_docs_missing_path_is_empty(spark, tmp_dir):
+    schema = "auc double, deployed_at string"
+    assert readers.read_metric_docs(spark, os.path.join(tmp_dir, "none"), schema).count() == 0
+    spark.createDataFrame([(0.9, "2024-01-01")], schema).write.json(os.path.join(tmp_dir, "m"))
+    assert readers.read_metric_docs(spark, os.path.join(tmp_dir, "m"), schema).first()["auc"] == 0.9
+
+
+def test_heatmap_wide_zero_filled(spark):
+    import datetime as dt
+    from vigil.operators import monitor
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 5), 0.2), (dt.datetime(2024, 1, 1, 0, 1, 15), 0.6)]
+    p = spark.createDataFrame(rows, "ts timestamp, fraud_score double")
+    long = monitor.score_heatmap(p)
+    minutes = [dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 1)]
+    wide = {r["slot"]: list(r)[1:] for r in monitor.score_heatmap_wide(long, minutes).collect()}
+    assert wide == {0: [0.2, 0.0], 10: [0.0, 0.6]}
+
+
+def test_round6_matches_python_round(spark):
+    from vigil.functions.scalars import round6
+    import numpy as np
+    rng = np.random.default_rng(4)
+    vals = [0.1234565, 0.5, 2.675, 1.0000005, 0.03125, 0.12345649, -1.0000005, -0.0000125, 0.0,
+            123456789.1234565, 2.5e-7, 1.5e-6, 0.0000005]
+    vals += (np.round(rng.random(300), 7) + 0.0).tolist() + (rng.integers(0, 10 ** 8, 200) / 10 ** 7 + 5e-8).tolist()
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double").select(round6("x")).collect()]
+    assert got == [round(v, 6) for v in vals]

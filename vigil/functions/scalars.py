@@ -65,9 +65,43 @@ def log1p(x) -> Column:
     return F.log1p(_c(x))
 
 
+_SPLIT = 134217729.0   # 2^27 + 1, Dekker's splitter for IEEE doubles
+
+
+def _split(a):
+    c = a * _SPLIT
+    hi = c - (c - a)
+    return hi, a - hi
+
+
+def round_half_even_exact(x, digits: int = 6) -> Column:
+    """Python's ``round(x, digits)``: the exact binary value of ``x`` rounded
+    to ``digits`` decimals, half-even only on exact ties, then the nearest
+    double. ``x·10^d`` is formed error-free (Dekker two-product: ``p + e``),
+    so which side of the decimal tie ``x`` lies on is decided exactly — plain
+    ``bround`` decides on the shortest decimal repr instead (1.0000005 →
+    1.0, where Python gives 1.000001). Built-in arithmetic only."""
+    x = _c(x).cast("double")
+    m_ = float(10 ** digits)
+    p = x * m_
+    xh, xl = _split(x)
+    bh = float(int(m_ * _SPLIT) - int((m_ * _SPLIT) - m_))   # exact split of 10^d (an integer)
+    bl = m_ - bh
+    e = ((xh * bh - p) + xh * bl + xl * bh) + xl * bl        # x·10^d = p + e exactly
+    fl = F.floor(p).cast("double")
+    fl = F.when((p == fl) & (e < 0), fl - 1).otherwise(fl)   # floor of the exact product
+    d = (p - fl) - 0.5                                       # exact
+    up = F.when(d > 0, True).when(d < 0, False) \
+        .when(e > 0, True).when(e < 0, False) \
+        .otherwise(F.pmod(fl, F.lit(2.0)) == 1.0)            # exact tie → even
+    rounded = (fl + F.when(up, 1.0).otherwise(0.0)) / m_
+    big = F.abs(x) >= F.lit(2.0 ** 52 / m_)                  # already at or past 10^-d resolution
+    return F.when(x.isNull() | F.isnan(x) | big, x).otherwise(rounded)
+
+
 def round6(x) -> Column:
-    """6-digit round, half-even like Python's ``round``."""
-    return F.bround(_c(x), 6)
+    """6-digit round exactly as Python's ``round`` (see above)."""
+    return round_half_even_exact(x, 6)
 
 
 def weekday_monday0(ts) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.bins import equal_width_bin
-from vigil.functions.scalars import psi_band, severity
+from vigil.functions.scalars import psi_band, round_half_even_exact, severity
 from vigil.operators.sequence import prefix_sums
 
 # Fixed values of the reference's drift jobs.
@@ -199,8 +199,8 @@ def zscore_drift(recent: DataFrame, baseline: DataFrame, features: list[str],
          .where(F.col("recent_mean").isNotNull() & F.col("baseline_mean").isNotNull()
                 & F.col("baseline_std").isNotNull() & (F.col("baseline_std") != 0))
          .select(*by, "feature",
-                 F.round(F.abs(F.col("recent_mean") - F.col("baseline_mean"))
-                         / F.col("baseline_std"), 4).alias("z")))
+                 round_half_even_exact(F.abs(F.col("recent_mean") - F.col("baseline_mean"))
+                                       / F.col("baseline_std"), 4).alias("z")))
     z_agg = z.groupBy(*by).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "z")))).alias("feature_z"),
         F.array_sort(F.collect_list(F.when(F.col("z") > z_threshold, F.col("feature")))).alias("shifted"))
@@ -307,7 +307,7 @@ def count_window_drift(log: DataFrame, n: int = COUNT_WINDOW, by=(), score_col="
     g_std = F.sqrt(g_var)
     g_std = F.when(g_std == 0, F.lit(STD_FLOOR)).otherwise(g_std)
     z = F.abs((F.col("w_mean") - F.lit(center)) - g_mean_c) / g_std
-    rd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
+    rd = (lambda c: round_half_even_exact(c, digits)) if digits is not None else (lambda c: c)
     return run.where(F.col("N") >= 2).select(
         *by, F.col("window_no").cast("bigint").alias("window_no"),
         F.col("ts_end").alias("ts"),

@@ -17,6 +17,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.functions.scalars import round_half_even_exact
 from vigil.operators.sequence import prefix_sums
 
 # Fixed values of the reference's evaluation.
@@ -91,15 +92,15 @@ def _counts(df, label, score, thresholds, by):
 def threshold_metrics(df: DataFrame, label: str = "label", score: str = "score",
                       thresholds=THRESHOLDS, by=(), digits: int | None = DIGITS) -> DataFrame:
     """Per threshold tp/fp/fn/tn, precision, recall, f1, fpr (0 when
-    undefined), flagged and missed; ratios rounded half-even to ``digits``
-    (Python ``round`` on exactly representable ties such as 17/32)."""
+    undefined), flagged and missed; ratios rounded to ``digits`` exactly as
+    Python's ``round`` (17/32 → 0.5312)."""
     by = list(by)
     c = _counts(df, label, score, thresholds, by)
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     p, r = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
     f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     fpr = _ratio(fp, fp + tn)
-    rd = (lambda x: F.bround(x, digits)) if digits is not None else (lambda x: x)
+    rd = (lambda x: round_half_even_exact(x, digits)) if digits is not None else (lambda x: x)
     return c.select(*by, "threshold", rd(p).alias("precision"), rd(r).alias("recall"),
                     rd(f1).alias("f1"), rd(fpr).alias("fpr"), "tp", "fp", "fn", "tn",
                     (tp + fp).alias("flagged"), fn.alias("missed"))
@@ -142,7 +143,7 @@ def classification_report(df: DataFrame, label: str = "label", score: str = "sco
     n = s0 + s1
     acc = _ratio(tp + tn, n)
     wavg = lambda a, b: _ratio(a * s0 + b * s1, n)
-    rd = (lambda x: F.bround(x, digits)) if digits is not None else (lambda x: x)
+    rd = (lambda x: round_half_even_exact(x, digits)) if digits is not None else (lambda x: x)
     null = F.lit(None).cast("double")
     rows = [("0", p0, r0, f0, s0), ("1", p1, r1, f1_, s1), ("accuracy", null, null, acc, n),
             ("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1_) / 2, n),

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.scalars import flag
+from vigil.functions.scalars import flag, round6
 from vigil.operators import trades as trd
 from vigil.operators import train
 from vigil.operators.train import top_deviations
 
 DEFAULT_WATERMARK = "10 seconds"
+STATUS_METRICS = "scorer_status"
 VOLUME_WIDTH = "5 seconds"
 
 
@@ -34,7 +35,7 @@ def score_trades(raw: DataFrame, features, model, threshold: float = 0.5,
         F.col("_price").alias("price"), F.col("_quantity").alias("quantity"),
         F.coalesce("trade_ms", "event_ms").alias("trade_time"),
         F.col("is_buyer_maker"),
-        F.bround("fraud_score", 6).alias("fraud_score"),
+        round6(F.col("fraud_score")).alias("fraud_score"),
         flag("fraud_score", threshold).alias("is_fraud"),
         F.lit(float(threshold)).alias("threshold"),
         *features.feature_cols)
@@ -43,10 +44,12 @@ def score_trades(raw: DataFrame, features, model, threshold: float = 0.5,
 def log_writer(log_path: str, alerts_path: str | None = None, feature_cols=(), k: int = 5):
     """K1 + K3 as a ``foreachBatch`` function."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # Persist first: the batch plan (scoring, observed metrics) then runs
+        # once, whatever number of actions follow.
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
             out = batch.withColumn("batch", F.lit(int(batch_id))) \
                 .withColumn("dt", F.to_date(F.timestamp_millis("trade_time")))
             log_cols = [c for c in out.columns if c not in set(feature_cols)]
@@ -69,6 +72,11 @@ def start_scoring(raw_stream: DataFrame, features, model, log_path: str, checkpo
     """M1. ``dedup_watermark`` enables ``dropDuplicatesWithinWatermark`` on
     (symbol, trade id) for at-least-once sources."""
     scored = score_trades(raw_stream, features, model, threshold)
+    # A20 live: per-batch reader status in StreamingQueryProgress.observedMetrics.
+    scored = scored.observe(
+        STATUS_METRICS, F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("fraud_score") < 0).alias("errors"),
+        F.max("trade_time").alias("last_trade_ms"))
     if dedup_watermark:
         scored = (scored.withColumn("_et", F.timestamp_millis("trade_time"))
                   .withWatermark("_et", dedup_watermark)
@@ -79,6 +87,21 @@ def start_scoring(raw_stream: DataFrame, features, model, log_path: str, checkpo
     return w.start()
 
 
+def reader_status(query) -> dict:
+    """A20 from the live query: totals summed over the observed metrics of
+    the batches still in ``recentProgress``; last trade time of the latest."""
+    total = errors = 0
+    last = None
+    for p in query.recentProgress:
+        m = (p.get("observedMetrics") or {}).get(STATUS_METRICS) if isinstance(p, dict) else \
+            (p.observedMetrics or {}).get(STATUS_METRICS)
+        if m:
+            total += int(m["total"] or 0)
+            errors += int(m["errors"] or 0)
+            last = m["last_trade_ms"] if m["last_trade_ms"] is not None else last
+    return {"total": total, "errors": errors, "last_trade_ms": last}
+
+
 def running_totals(scored: DataFrame) -> DataFrame:
     """M2: total scored, flagged, flag rate (complete/update output mode)."""
     agg = scored.groupBy().agg(F.count(F.lit(1)).alias("total"),
