@@ -199,3 +199,21 @@ def test_round6_matches_python_round(spark):
     vals += (np.round(rng.random(300), 7) + 0.0).tolist() + (rng.integers(0, 10 ** 8, 200) / 10 ** 7 + 5e-8).tolist()
     got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double").select(round6("x")).collect()]
     assert got == [round(v, 6) for v in vals]
+
+
+def test_daily_drift_job(spark, tmp_dir):
+    import datetime as dt
+    from vigil.plans.drift_job import run_drift_job
+    from vigil.sources import sinks as sk
+    now = dt.datetime(2024, 1, 30)
+    base = tables.predictions(spark, "/root/testdata/sf0.01")
+    shifted = base.withColumn("fraud_score", F.when(
+        (F.col("ts") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")) & (F.col("fraud_score") >= 0),
+        F.least(F.col("fraud_score") + 0.2, F.lit(1.0))).otherwise(F.col("fraud_score")))
+    logs = os.path.join(tmp_dir, "logs")
+    sk.write_prediction_log(shifted, logs)
+    res = run_drift_job(spark, logs, os.path.join(tmp_dir, "reports"), now).first()
+    assert res["decision"] == "drift_detected" and res["drift_score"] > 0.05
+    kinds = {r["kind"]: r["count"] for r in spark.read.parquet(os.path.join(tmp_dir, "reports"))
+             .groupBy("kind").count().collect()}
+    assert kinds == {"drift": 1, "drift_alert": 1, "retrain_request": 1}

@@ -1090,3 +1090,20 @@ def s2_read_columns(spark, sf_dir):
 def k2_publish_trades(spark, sf_dir):
     out, _quarantine = trd.publish_frame(tables.trade_json(spark, sf_dir).select("value"))
     return out.select(F.col("key").cast("string").alias("key"), "value")
+
+
+# ── entry C: the daily drift job over written logs ──────────────────────────
+
+from vigil.plans import drift_job  # noqa: E402
+
+
+@register("d6_daily_drift_job", f"""
+SELECT *, CASE WHEN drift_score IS NOT NULL AND drift_detected THEN 'drift_detected'
+               ELSE 'no_drift' END AS decision
+FROM ({_d1_sql(0.05)})""")
+def d6_daily_drift_job(spark, sf_dir):
+    """Logs written date-partitioned (K1), read back by range (S4), D1 + D6,
+    reports appended (K7)."""
+    logs = _logs(spark, sf_dir)
+    res = drift_job.run_drift_job(spark, logs, streams.scratch(spark, "reports"), NOW)
+    return r6(res)
