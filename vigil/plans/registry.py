@@ -212,7 +212,7 @@ def p9_score_band(spark, sf_dir):
 
 
 @register("f12_parse_log_time", V.with_(V.PREDICTIONS) + """
-SELECT id, hour(ts) AS hour,
+SELECT id, CAST(hour(ts) AS INTEGER) AS hour,
        strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS minute,
        CAST(floor(second(ts) / 10) * 10 AS INTEGER) AS slot
 FROM predictions""")
@@ -1067,7 +1067,7 @@ def p4_flag_at_threshold(spark, sf_dir):
 @register("w2_running_moments", V.with_(V.DASHBOARD) + """,
 d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(fraud_score) AS s FROM dash GROUP BY 1)
 SELECT strftime(day, '%Y-%m-%d') AS day, n,
-       sum(n) OVER (ORDER BY day) AS n_so_far,
+       CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS n_so_far,
        round(sum(s) OVER (ORDER BY day) / sum(n) OVER (ORDER BY day), 6) AS mean_so_far
 FROM d""")
 def w2_running_moments(spark, sf_dir):
