@@ -36,12 +36,16 @@ def _ratio(num, den):
 def stratified_split(df: DataFrame, label: str, key_cols: list[str],
                      test_fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
     """E1 (W4): adds ``is_test``. Within each class, rows are ordered by a
-    seeded ``xxhash64`` of the key and the first k = round(f·n) (at least 1
-    and at most n−1 when n ≥ 2) go to test — exact class proportions,
-    deterministic, and without a per-class single-task sort: ranks come from
-    the range-partitioned prefix sums."""
+    seeded ``xxhash64`` of the key (ties by the key) and the first
+    k = round(f·n) (at least 1 and at most n−1 when n ≥ 2) go to test — exact
+    class proportions, deterministic, and without a per-class single-task
+    sort.
+
+    Only the narrow ``(label, hash, key)`` projection is ranked, with the
+    range-partitioned prefix sums; the k-th row of each class (one row per
+    class) is the cut, and the wide table is split by comparing each row
+    with its class's cut — a projection, so the wide rows never shuffle."""
     h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    staged = df.withColumn("_h", h)
     sizes = {r["k"]: r["n"] for r in
              df.groupBy(F.col(label).alias("k")).count().withColumnRenamed("count", "n").collect()}
 
@@ -50,10 +54,23 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str],
             return 0
         return max(1, min(n - 1, math.floor(test_fraction * n + 0.5)))
 
-    ranked = prefix_sums(staged, ["_h", *key_cols], {"_rank": F.lit(1).cast("bigint")}, [label])
-    cut = F.create_map(*[a for k, n in sizes.items() if k is not None for a in (F.lit(k), F.lit(k_of(n)))])
-    return ranked.withColumn("is_test", F.coalesce(F.col("_rank") <= cut[F.col(label)], F.lit(False))) \
-        .drop("_h", "_rank")
+    ks = {k: k_of(n) for k, n in sizes.items() if k is not None}
+    narrow = df.select(F.col(label).alias("_y"), h.alias("_h"),
+                       *[F.col(c).alias(f"_k{i}") for i, c in enumerate(key_cols)])
+    order = ["_h", *[f"_k{i}" for i in range(len(key_cols))]]
+    ranked = prefix_sums(narrow, order, {"_rank": F.lit(1).cast("bigint")}, ["_y"])
+    wanted = F.create_map(*[a for k, kk in ks.items() for a in (F.lit(k), F.lit(kk))])
+    cuts = ranked.where(F.col("_rank") == wanted[F.col("_y")]).select("_y", *order).collect()
+
+    types = [narrow.schema[c].dataType for c in order]
+    row_key = F.struct(*[c.alias(f"c{i}") for i, c in
+                         enumerate([h, *[F.col(k) for k in key_cols]])])
+    test = F.lit(False)
+    for r in cuts:      # one row per class
+        cut_key = F.struct(*[F.lit(r[c]).cast(t).alias(f"c{i}")
+                             for i, (c, t) in enumerate(zip(order, types))])
+        test = test | ((F.col(label) == F.lit(r["_y"])) & (row_key <= cut_key))
+    return df.withColumn("is_test", F.coalesce(test, F.lit(False)))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
