@@ -6,6 +6,7 @@ registry, the tests (stream = batch) and the bench."""
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +48,39 @@ _PRED_SCHEMA = ("id bigint, ts timestamp, symbol string, price double, quantity
                 "is_buyer_maker boolean, fraud_score double, is_fraud int")
 
 
-def _prediction_source(spark: SparkSession, sf_dir: str, base: str, successful_only: bool) -> DataFrame:
+def _stage_in_order(df: DataFrame, path: str, order: list[str], files: int) -> str:
+    """Replay staging: one distributed write in range layout (file part
+    number = position in ``order``), then increasing modification times by
+    part number through the Hadoop FileSystem API, because the file source
+    replays files in modification-time order and parallel writers finish in
+    any order. A Kafka source needs none of this: offsets are the order."""
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order) \
+        .write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(hpath(path))
+                   if st.getPath().getName().startswith("part-"))
+    base = int(time.time() * 1000) - 1000 * (len(parts) + 1)
+    for i, name in enumerate(parts):                  # one call per file, bounded by ``files``
+        fs.setTimes(hpath(name), base + 1000 * i, -1)
+    return path
+
+
+def _prediction_source(spark: SparkSession, sf_dir: str, base: str, successful_only: bool,
+                       files_per_trigger: int | None = None) -> DataFrame:
+    """The prediction log as a file stream. With ``files_per_trigger`` it is
+    replayed in arrival order (ts, id), that many files per micro-batch, so
+    no micro-batch — and no key's group in it — holds the whole table."""
     p = tables.predictions(spark, sf_dir)
     if successful_only:
         p = p.where(F.col("fraud_score") >= 0)
     staged = p.select("id", F.col("ts").cast("timestamp").alias("ts"), "symbol", "price", "quantity",
                       "is_buyer_maker", "fraud_score", "is_fraud")
+    if files_per_trigger:
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        src = _stage_in_order(staged, f"{base}/src", ["ts", "id"], files)
+        return file_stream(spark, src, _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
     return file_stream(spark, _stage(staged, f"{base}/src"), _PRED_SCHEMA)
 
 
@@ -90,11 +118,14 @@ def volume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("bucket_start").agg(latest).select("bucket_start", "v.*")
 
 
-def count_window_stream(spark: SparkSession, sf_dir: str, key: str = "is_buyer_maker") -> DataFrame:
-    """M4 keyed by ``key``, append mode."""
+def count_window_stream(spark: SparkSession, sf_dir: str, key: str = "is_buyer_maker",
+                        files_per_trigger: int = 2) -> DataFrame:
+    """M4 keyed by ``key``, append mode, over the log replayed in arrival
+    order a few files per micro-batch (the state carries the open window
+    between batches)."""
     base = scratch(spark, "m4")
     out = f"{base}/out"
-    src = _prediction_source(spark, sf_dir, base, False)
+    src = _prediction_source(spark, sf_dir, base, False, files_per_trigger)
     q = (count_window.count_window_drift_stream(src, key=key)
          .writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())

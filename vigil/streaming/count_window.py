@@ -4,7 +4,10 @@ arrival order, ordered by (event time, id) inside each micro-batch).
 Per key the state is the running moments of every successful score so far
 (n, Σ(x−c), Σ(x−c)²; c = 0.5) plus the open window's scores (at most ``n``
 values). Each completed window emits one row with the same definition as the
-batch operator D5; the incomplete window stays in state. The global form of
+batch operator D5; the incomplete window stays in state. A group is one key's
+rows of one micro-batch, so its size is bounded by the trigger
+(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), not by the table; the step
+is vectorised (cumulative sums and a reshape into windows). The global form of
 the reference is one key (one task); keyed by symbol it spreads over the
 cluster, and the batch D5 over the log table is the scalable global form.
 """
@@ -32,39 +35,53 @@ def _output_schema(key: str, key_type: str) -> str:
 
 
 def _step(n: int, key: str):
+    """One key's micro-batch, vectorised: the running moments are sequential
+    cumulative sums continuing the stored ones, completed windows are found
+    by position (the open window's scores come first), and only the new
+    incomplete window goes back into state."""
+    cols = [key, "window_no", "ts_us", "drift_score", "mean_score", "std_score", "window_size"]
+
     def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.exists:
             n_all, s_all, ss_all, window_no, win, last_us = state.get
-            win = list(win)
         else:
             n_all, s_all, ss_all, window_no, win, last_us = 0, 0.0, 0.0, 0, [], 0
-        batch = pd.concat(list(pdfs), ignore_index=True)
+        batch = pd.concat(list(pdfs), ignore_index=True)      # bounded by the trigger size
         batch = batch.sort_values(["ts_us", "id"], kind="mergesort")
-        rows = []
-        for s, t in zip(batch["score"].to_numpy(), batch["ts_us"].to_numpy()):
-            x = float(s) - CENTER
-            n_all += 1
-            s_all += x
-            ss_all += x * x
-            win.append(float(s))
-            last_us = max(last_us, int(t))
-            if len(win) == n:
-                if n_all >= 2:
-                    mean_c = s_all / n_all
-                    g_std = float(np.sqrt(max(ss_all / n_all - mean_c * mean_c, 0.0))) or STD_FLOOR
-                    w = np.asarray(win)
-                    total = 0.0
-                    for v in win:          # sequential sum, as the SQL aggregates do
-                        total += v
-                    w_mean = total / n
-                    rows.append((k[0], window_no, last_us,
-                                 abs((w_mean - CENTER) - mean_c) / g_std,
-                                 w_mean, float(w.std()), n))
-                window_no += 1
-                win, last_us = [], 0
-        state.update((n_all, s_all, ss_all, window_no, win, last_us))
-        cols = [key, "window_no", "ts_us", "drift_score", "mean_score", "std_score", "window_size"]
-        yield pd.DataFrame(rows, columns=cols)
+        x = batch["score"].to_numpy(dtype=np.float64)
+        t = batch["ts_us"].to_numpy(dtype=np.int64)
+        m, p = len(x), len(win)
+        xc = x - CENTER
+        # Σ(x−c) and Σ(x−c)² over every score so far, added in arrival order.
+        s_run = np.cumsum(np.r_[s_all, xc])[1:]
+        ss_run = np.cumsum(np.r_[ss_all, xc * xc])[1:]
+        n_run = n_all + np.arange(1, m + 1)
+        scores = np.r_[np.asarray(win, dtype=np.float64), x]
+        times = np.r_[np.full(p, last_us, dtype=np.int64), t]
+        done = (p + m) // n
+        out = pd.DataFrame(columns=cols)
+        if done:
+            w = scores[:done * n].reshape(done, n)
+            end = np.arange(1, done + 1) * n - p - 1           # batch row closing each window
+            g_n, g_s, g_ss = n_run[end], s_run[end], ss_run[end]
+            mean_c = g_s / g_n
+            g_std = np.sqrt(np.maximum(g_ss / g_n - mean_c * mean_c, 0.0))
+            g_std[g_std == 0] = STD_FLOOR
+            w_mean = np.cumsum(w, axis=1)[:, -1] / n           # sequential, as the SQL sum
+            keep = g_n >= 2
+            out = pd.DataFrame({
+                key: [k[0]] * int(keep.sum()),
+                "window_no": (window_no + np.arange(done))[keep],
+                "ts_us": times[:done * n].reshape(done, n).max(axis=1)[keep],
+                "drift_score": (np.abs((w_mean - CENTER) - mean_c) / g_std)[keep],
+                "mean_score": w_mean[keep], "std_score": w.std(axis=1)[keep],
+                "window_size": np.full(int(keep.sum()), n, dtype=np.int32)})
+            window_no += done
+        rest = scores[done * n:]
+        last_us = int(times[done * n:].max()) if len(rest) else 0
+        state.update((n_all + m, float(s_run[-1]) if m else s_all, float(ss_run[-1]) if m else ss_all,
+                      window_no, rest.tolist(), last_us))
+        yield out
     return fn
 
 
