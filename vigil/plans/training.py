@@ -43,7 +43,14 @@ def training_run(spark: SparkSession, sf_dir: str, key: str = "TransactionID",
         return _RUNS[memo]
     raw = tables.transactions(spark, sf_dir)
     fm = feat.fit_features(raw, label=label)
-    matrix = cut_lineage(ev.stratified_split(fm.transform(raw, keep=[key]), label, [key]))
+    matrix = ev.stratified_split(fm.transform(raw, keep=[key]), label, [key])
+    # Boosting revisits the matrix every round, so it should span every core.
+    # A large input arrives in far more scan splits than cores and is left as
+    # is; only a small one (a single row group) is spread before the checkpoint.
+    cores = spark.sparkContext.defaultParallelism
+    if matrix.rdd.getNumPartitions() < cores:
+        matrix = matrix.repartition(cores)
+    matrix = cut_lineage(matrix)
     train_part, valid = matrix.where(~F.col("is_test")), matrix.where(F.col("is_test"))
     opts = dict(params)
     if opts.pop("early_stopping", True):
