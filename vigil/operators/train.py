@@ -182,10 +182,12 @@ def train_with_patience(train: DataFrame, valid: DataFrame, feature_cols: list[s
     round (at most ``maxIter``).
 
     Spark's GBT has no warm start, but tree m depends only on (data, seed, m),
-    so a shorter fit is an exact prefix of a longer one. Rounds are grown by
-    doubling (2·patience, 4·patience, … up to maxIter) until the rule fires,
-    then the model is refit to exactly the stop round — at most about twice
-    the trees of the final model instead of always ``maxIter``."""
+    so a shorter fit is an exact prefix of a longer one. The first fit has
+    2·patience rounds. While the AUC is still rising the round count doubles;
+    once it has been flat for half the patience the next fit ends exactly at
+    the round where the rule fires unless the AUC improves again (best +
+    patience), which usually needs no refit. Otherwise the model is refit to
+    exactly the stop round. Either way the result is the same stop round."""
     max_iter = {**GBT_PARAMS, **overrides}["maxIter"]
     n = min(max_iter, 2 * patience)
     while True:
@@ -195,7 +197,11 @@ def train_with_patience(train: DataFrame, valid: DataFrame, feature_cols: list[s
         stop = patience_stop(aucs, patience)
         if stop["early"] or n >= max_iter:
             break
-        n = min(max_iter, 2 * n)
+        best = stop["best_iteration"]
+        if best is not None and n - best >= patience // 2:
+            n = min(max_iter, best + patience)
+        else:
+            n = min(max_iter, 2 * n)
     if stop["stopped_at"] != n:
         model = train_classifier(train, feature_cols, label, class_weight,
                                  **{**overrides, "maxIter": stop["stopped_at"]})
