@@ -101,8 +101,10 @@ def test_read_transactions_empty_dir_raises(spark, tmp_dir):
 def test_export_label_first(spark, tmp_dir):
     df = spark.createDataFrame([(1.0, 2.0, 1)], "a double, b double, isFraud int")
     sinks.export_label_first(df, ["a", "b"], "isFraud", tmp_dir)
-    line = open(glob.glob(os.path.join(tmp_dir, "*.csv"))[0]).readline().strip()
-    assert line == "1,1.0,2.0"
+    # The dataset may hold empty part files next to the one with the row.
+    lines = [ln.strip() for f in sorted(glob.glob(os.path.join(tmp_dir, "*.csv")))
+             for ln in open(f) if ln.strip()]
+    assert lines == ["1,1.0,2.0"]
 
 
 def test_append_report_partitions_by_kind(spark, tmp_dir):
