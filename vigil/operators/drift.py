@@ -285,23 +285,27 @@ def count_window_drift(log: DataFrame, n: int = COUNT_WINDOW, by=(), score_col="
     far" includes the window; pop-std 0 → 1e-6; incomplete windows emit
     nothing; values rounded to 6 digits.
 
-    Arrival order is numbered with the distributed :func:`sequence_number`
-    scheme (W1); the running moments over windows (W2) use the same prefix
-    sums over the per-window table, whose variance comes from sums shifted by
-    ``center`` to avoid cancellation."""
+    Arrival order is numbered with the distributed :func:`prefix_sums`
+    scheme (W1), which in the same pass carries the running Σ(x−c) and
+    Σ(x−c)² over every score so far (W2; shifted by ``center`` to avoid
+    cancellation). A window's "all so far" moments are those of its last row,
+    so the per-window table needs only one grouped aggregation — one range
+    pass over the log in total."""
     by = list(by)
     keep = [*by, *order_cols] + ([ts_col] if ts_col not in order_cols else [])
     ok = log.where(F.col(score_col) >= 0).select(*keep, F.col(score_col).alias("_s"))
-    seq = prefix_sums(ok, list(order_cols), {"_seq": F.lit(1).cast("bigint")}, by)
     x = F.col("_s") - F.lit(center)
+    seq = prefix_sums(ok, list(order_cols),
+                      {"_seq": F.lit(1).cast("bigint"), "_run_x": x, "_run_xx": x * x}, by)
+    last = F.max_by(F.struct("_seq", "_run_x", "_run_xx"), F.col("_seq"))
     per_window = (seq.withColumn("window_no", F.floor((F.col("_seq") - 1) / n))
                   .groupBy(*by, "window_no")
-                  .agg(F.count(F.lit(1)).alias("cnt"), F.sum(x).alias("sx"),
-                       F.sum(x * x).alias("sxx"), F.avg("_s").alias("w_mean"),
-                       F.stddev_pop("_s").alias("w_std"), F.max(ts_col).alias("ts_end"))
+                  .agg(F.count(F.lit(1)).alias("cnt"), F.avg("_s").alias("w_mean"),
+                       F.stddev_pop("_s").alias("w_std"), F.max(ts_col).alias("ts_end"),
+                       last.alias("_last"))
                   .where(F.col("cnt") == n))
-    run = prefix_sums(per_window, ["window_no"],
-                      {"N": F.col("cnt").cast("double"), "S": F.col("sx"), "SS": F.col("sxx")}, by)
+    run = per_window.select("*", F.col("_last._seq").cast("double").alias("N"),
+                            F.col("_last._run_x").alias("S"), F.col("_last._run_xx").alias("SS"))
     g_mean_c = F.col("S") / F.col("N")
     g_var = F.greatest(F.col("SS") / F.col("N") - g_mean_c * g_mean_c, F.lit(0.0))
     g_std = F.sqrt(g_var)
