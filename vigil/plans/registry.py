@@ -1040,6 +1040,45 @@ def k10_baseline_histogram(spark, sf_dir):
     return hist.select("feature", "bin", "n")
 
 
+# K4/K6/K8 write to the shared checkpoint folder and read back: the oracle is
+# the SQL of the table written (F7's matrix without the id; J1's merge).
+_F7_NO_ID_SQL = f"SELECT * EXCLUDE (TransactionID) FROM ({ORACLE['f7_apply_features']})"
+
+
+def _fitted_matrix(spark, sf_dir):
+    t = tables.transactions(spark, sf_dir)
+    m = feat.fit_features(t, label="isFraud")
+    return m, m.transform(t)
+
+
+@register("k4_write_features", _F7_NO_ID_SQL)
+def k4_write_features(spark, sf_dir):
+    """Feature columns in training order, label last, as parquet."""
+    m, matrix = _fitted_matrix(spark, sf_dir)
+    path = streams.scratch(spark, "k4")
+    sinks.write_features(matrix, m.feature_cols, "isFraud", path)
+    return r6(spark.read.parquet(path))
+
+
+@register("k6_export_label_first", _F7_NO_ID_SQL)
+def k6_export_label_first(spark, sf_dir):
+    """Headerless CSV with the label first, read back by position."""
+    m, matrix = _fitted_matrix(spark, sf_dir)
+    path = streams.scratch(spark, "k6")
+    sinks.export_label_first(matrix, m.feature_cols, "isFraud", path)
+    schema = ", ".join(["isFraud int"] + [f"{c} double" for c in m.feature_cols])
+    return r6(spark.read.schema(schema).option("header", "false").csv(path))
+
+
+@register("k8_write_merged", ORACLE["j1_merge_identity"])
+def k8_write_merged(spark, sf_dir):
+    merged = joins.merge_identity(tables.documents_meta(spark, sf_dir),
+                                  tables.identity(spark, sf_dir), key="doc_id")
+    path = streams.scratch(spark, "k8")
+    sinks.write_merged(merged, path)
+    return spark.read.parquet(path)
+
+
 # ── small operators with their own queries (A5, P4, W2, S2, K2) ─────────────
 
 from vigil.functions.scalars import flag as _flag  # noqa: E402
