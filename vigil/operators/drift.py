@@ -77,7 +77,15 @@ def mean_shift_drift(log: DataFrame, now, window_hours: float = WINDOW_HOURS,
     df = log.where((ts >= lo) & (ts <= hi))
     if exclude_failed:
         df = df.where(F.col(score_col).isNull() | (F.col(score_col) >= 0))
-    in_window = ts >= mid
+    return _shift_by_period(df, ts >= mid, list(by), threshold, min_n, window_hours, baseline_days,
+                            score_col, flag_col)
+
+
+def _shift_by_period(df: DataFrame, in_window: Column, by: list, threshold: float, min_n: int,
+                     window_hours: float, baseline_days: float, score_col: str,
+                     flag_col: str) -> DataFrame:
+    """D1's one grouped aggregation: window and baseline are conditional
+    aggregates of the same scan (partial aggregation before the shuffle)."""
     score = F.col(score_col).cast("double")
     flag = F.col(flag_col).cast("double")
     agg = df.groupBy(*by).agg(
@@ -101,6 +109,47 @@ def mean_shift_drift(log: DataFrame, now, window_hours: float = WINDOW_HOURS,
     )
 
 
+def daily_mean_shift_drift(log: DataFrame, first_day, last_day, window_hours: float = WINDOW_HOURS,
+                           baseline_days: float = BASELINE_DAYS, threshold: float = DRIFT_THRESHOLD,
+                           min_n: int = MIN_PREDICTIONS, by=(), exclude_failed: bool = True,
+                           score_col: str = "fraud_score", ts_col: str = "ts",
+                           flag_col: str = "is_fraud") -> DataFrame:
+    """D1 as of every midnight from ``first_day`` to ``last_day`` — the
+    daily drift job over a history, one ``as_of`` row per day (and group).
+
+    Each row is copied to the as-of days whose range ``[as_of − window −
+    baseline, as_of]`` holds it: at most ⌈range/1 day⌉ + 1 copies, a bounded
+    expansion inside the task, never a join of days with rows. Then D1's
+    conditional aggregates grouped by ``as_of``. Days whose range holds no row
+    have no report."""
+    first_day = _dt.date.fromisoformat(first_day) if isinstance(first_day, str) else first_day
+    last_day = _dt.date.fromisoformat(last_day) if isinstance(last_day, str) else last_day
+    if isinstance(first_day, _dt.datetime):
+        first_day = first_day.date()
+    if isinstance(last_day, _dt.datetime):
+        last_day = last_day.date()
+    span_s = window_hours * 3600 + baseline_days * 86400
+    ts_type = log.schema[ts_col].dataType
+    ts = F.col(ts_col)
+    lo = _ts_literal(_dt.datetime.combine(first_day, _dt.time()) - _dt.timedelta(seconds=span_s), ts_type)
+    hi = _ts_literal(_dt.datetime.combine(last_day, _dt.time()), ts_type)
+    df = log.where((ts >= lo) & (ts <= hi))
+    if exclude_failed:
+        df = df.where(F.col(score_col).isNull() | (F.col(score_col) >= 0))
+    day = F.to_date(ts)
+    start = F.greatest(F.when(ts == day.cast(ts_type), day).otherwise(F.date_add(day, 1)),
+                       F.lit(first_day))
+    end = F.least(F.to_date(ts + F.expr(f"make_dt_interval(0, 0, 0, {float(span_s)})")),
+                  F.lit(last_day))
+    days = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
+    as_of = F.col("as_of")
+    expanded = (df.select(*by, ts_col, score_col, flag_col, F.explode(days).alias("_day"))
+                .withColumn("as_of", F.col("_day").cast(ts_type)))
+    w_start = as_of - F.expr(f"make_dt_interval(0, 0, 0, {float(window_hours * 3600)})")
+    return _shift_by_period(expanded, F.col(ts_col) >= w_start, [*by, "as_of"], threshold, min_n,
+                            window_hours, baseline_days, score_col, flag_col)
+
+
 def drift_decision(result: DataFrame) -> DataFrame:
     """NULL score → no drift; otherwise the detected flag decides."""
     detected = F.col("drift_score").isNotNull() & F.col("drift_detected")

@@ -1079,6 +1079,41 @@ def k8_write_merged(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# K7 + S8: the daily drift job over the whole log (D1 as of every midnight
+# from the first full day to NOW), appended to the reports dataset, then the
+# latest 20 drift reports.
+FIRST_DAY = _dt.date(2024, 1, 2)
+
+
+@register("s8_latest_drift_reports", V.with_(V.PREDICTIONS) + f""",
+days AS (SELECT d AS as_of FROM range(TIMESTAMP '{FIRST_DAY} 00:00:00', {NOW_SQL} + INTERVAL 1 DAY,
+                                      INTERVAL 1 DAY) t(d)),
+j AS (SELECT days.as_of, p.fraud_score, p.ts >= days.as_of - INTERVAL 24 HOUR AS w
+      FROM days JOIN predictions p ON p.ts >= days.as_of - INTERVAL 8 DAY AND p.ts <= days.as_of
+      WHERE p.fraud_score IS NULL OR p.fraud_score >= 0),
+s AS (SELECT as_of, count(fraud_score) FILTER (WHERE w) AS window_n,
+             avg(fraud_score) FILTER (WHERE w) AS window_mean,
+             count(fraud_score) FILTER (WHERE NOT w) AS baseline_n,
+             avg(fraud_score) FILTER (WHERE NOT w) AS baseline_mean
+      FROM j GROUP BY as_of),
+d AS (SELECT *, CASE WHEN window_n >= 50 AND baseline_n >= 50
+                     THEN abs(window_mean - baseline_mean) END AS drift FROM s)
+SELECT {SQL_TS.format(c='as_of')} AS as_of, window_n, baseline_n,
+       round(window_mean, 6) AS window_mean, round(baseline_mean, 6) AS baseline_mean,
+       round(drift, 6) AS drift_score, coalesce(drift > 0.05, false) AS drift_detected,
+       CASE WHEN drift > 0.05 THEN 'drift_detected' ELSE 'no_drift' END AS decision
+FROM d ORDER BY as_of DESC LIMIT 20""")
+def s8_latest_drift_reports(spark, sf_dir):
+    daily = drift.drift_decision(drift.daily_mean_shift_drift(
+        tables.predictions(spark, sf_dir), FIRST_DAY, NOW.date()))
+    path = streams.scratch(spark, "k7")
+    sinks.append_report(daily.withColumn("as_of", ts_text("as_of")), path, "drift")
+    reports = spark.read.parquet(path).where(F.col("kind") == "drift")
+    latest = readers.latest_reports(reports, 20, "as_of")
+    return r6(latest.select("as_of", "window_n", "baseline_n", "window_mean", "baseline_mean",
+                            "drift_score", "drift_detected", "decision"))
+
+
 # ── small operators with their own queries (A5, P4, W2, S2, K2) ─────────────
 
 from vigil.functions.scalars import flag as _flag  # noqa: E402
