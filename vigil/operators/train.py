@@ -183,13 +183,14 @@ def train_with_patience(train: DataFrame, valid: DataFrame, feature_cols: list[s
 
     Spark's GBT has no warm start, but tree m depends only on (data, seed, m),
     so a shorter fit is an exact prefix of a longer one. The first fit has
-    2·patience rounds. While the AUC is still rising the round count doubles;
+    patience + 1 rounds (the fewest in which the rule can fire). While the AUC
+    is still rising the round count doubles;
     once it has been flat for half the patience the next fit ends exactly at
     the round where the rule fires unless the AUC improves again (best +
     patience), which usually needs no refit. Otherwise the model is refit to
     exactly the stop round. Either way the result is the same stop round."""
     max_iter = {**GBT_PARAMS, **overrides}["maxIter"]
-    n = min(max_iter, 2 * patience)
+    n = min(max_iter, patience + 1)
     while True:
         model = train_classifier(train, feature_cols, label, class_weight,
                                  **{**overrides, "maxIter": n})
