@@ -766,6 +766,34 @@ def e2_roc_auc_by_segment(spark, sf_dir):
     return r6(ev.roc_auc(tables.labelled_scores(spark, sf_dir), by=["segment"]))
 
 
+# T4: a metrics history — exact AUC of the labelled scores per segment and
+# ship month, one metrics row per (segment, deployed_at) — and the current
+# model per segment, the row with the latest deployed_at.
+@register("t4_current_model", f"""
+WITH ls AS (SELECT l_linestatus AS segment, date_trunc('month', l_shipdate) AS deployed_at,
+                   CAST(l_returnflag = 'R' AS INTEGER) AS label,
+                   least(l_extendedprice / 100000.0, 1.0) AS score FROM lineitem),
+g AS (SELECT segment, deployed_at, score, count(*) FILTER (WHERE label = 1) AS pos,
+             count(*) FILTER (WHERE label <> 1) AS neg FROM ls GROUP BY ALL),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY segment, deployed_at ORDER BY score) AS neg_le FROM g),
+m AS (SELECT segment, deployed_at,
+             sum(pos * (neg_le - neg / 2.0))
+               / NULLIF(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc,
+             CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+      FROM c GROUP BY segment, deployed_at)
+SELECT segment, {SQL_TS.format(c='deployed_at')} AS deployed_at, round(auc, 6) AS auc, n_pos, n_neg
+FROM m QUALIFY row_number() OVER (PARTITION BY segment ORDER BY deployed_at DESC) = 1""")
+def t4_current_model(spark, sf_dir):
+    li = tables.read_table(spark, sf_dir, "lineitem")
+    scored = li.select(F.col("l_linestatus").alias("segment"),
+                       F.date_trunc("month", "l_shipdate").alias("deployed_at"),
+                       (F.col("l_returnflag") == "R").cast("int").alias("label"),
+                       F.least(F.col("l_extendedprice") / 100000.0, F.lit(1.0)).alias("score"))
+    metrics = ev.roc_auc(scored, by=["segment", "deployed_at"])
+    cur = tr.current_model(metrics, key=["segment"], ts_col="deployed_at")
+    return r6(cur.select("segment", ts_text("deployed_at"), "auc", "n_pos", "n_neg"))
+
+
 _E3_SQL = V.with_(V.LABELLED) + f""",
 th AS (SELECT unnest({_TH_SQL}) AS threshold),
 c AS (SELECT threshold,
