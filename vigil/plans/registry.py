@@ -728,6 +728,16 @@ def f7_apply_features(spark, sf_dir):
     return r6(m.transform(t, keep=["TransactionID"]))
 
 
+@register("k5_feature_metadata_roundtrip", ORACLE["f7_apply_features"])
+def k5_feature_metadata_roundtrip(spark, sf_dir):
+    """K5 + S9: the fitted pipeline saved as tables (encoders, feature stats,
+    config row), loaded back and applied — must equal F7."""
+    t = tables.transactions(spark, sf_dir)
+    path = streams.scratch(spark, "k5")
+    feat.fit_features(t, label="isFraud").save(spark, path)
+    return r6(feat.FeatureModel.load(spark, path).transform(t, keep=["TransactionID"]))
+
+
 @register("a2_drop_high_null_columns", V.with_(V.IDENTITY) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate, "
     f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.9 AS dropped FROM merged" for c in _MERGED_COLS))
