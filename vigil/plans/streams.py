@@ -68,17 +68,20 @@ def _stage_in_order(df: DataFrame, path: str, order: list[str], files: int) -> s
 
 
 def _prediction_source(spark: SparkSession, sf_dir: str, base: str, successful_only: bool,
-                       files_per_trigger: int | None = None) -> DataFrame:
+                       files_per_trigger: int | None = None,
+                       rows_per_file: int = 2500) -> DataFrame:
     """The prediction log as a file stream. With ``files_per_trigger`` it is
-    replayed in arrival order (ts, id), that many files per micro-batch, so
-    no micro-batch — and no key's group in it — holds the whole table."""
+    replayed in arrival order (ts, id) in files of about ``rows_per_file``
+    rows, that many files per micro-batch: a micro-batch — and any key's
+    group in it — has a fixed size, whatever the table size or the session's
+    shuffle width."""
     p = tables.predictions(spark, sf_dir)
     if successful_only:
         p = p.where(F.col("fraud_score") >= 0)
     staged = p.select("id", F.col("ts").cast("timestamp").alias("ts"), "symbol", "price", "quantity",
                       "is_buyer_maker", "fraud_score", "is_fraud")
     if files_per_trigger:
-        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        files = max(1, -(-staged.count() // rows_per_file))
         src = _stage_in_order(staged, f"{base}/src", ["ts", "id"], files)
         return file_stream(spark, src, _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
     return file_stream(spark, _stage(staged, f"{base}/src"), _PRED_SCHEMA)
@@ -121,13 +124,21 @@ def volume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_window_stream(spark: SparkSession, sf_dir: str, key: str = "is_buyer_maker",
                         files_per_trigger: int = 2) -> DataFrame:
     """M4 keyed by ``key``, append mode, over the log replayed in arrival
-    order a few files per micro-batch (the state carries the open window
-    between batches)."""
+    order, two files of about 2,500 rows per micro-batch (the state carries
+    the open window between batches)."""
     base = scratch(spark, "m4")
     out = f"{base}/out"
     src = _prediction_source(spark, sf_dir, base, False, files_per_trigger)
-    q = (count_window.count_window_drift_stream(src, key=key)
-         .writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    _run(q)
+    # The state store's partition count is fixed when the query first starts
+    # (from the shuffle width). One state partition per core; the session's
+    # own setting is restored once the replay has finished.
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        q = (count_window.count_window_drift_stream(src, key=key)
+             .writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        _run(q)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     return spark.read.parquet(out)
