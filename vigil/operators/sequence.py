@@ -6,7 +6,8 @@ a second time (the range layout does not satisfy its clustering). Instead:
 
 1. range-partition on the (unique) ordering key and sort within partitions —
    Spark samples the key to choose boundaries, so partitions are balanced
-   even when one hour or one symbol holds a third of the rows; the layout is
+   even when one hour or one symbol holds a third of the rows, and AQE merges
+   adjacent small ones up to the advisory partition size; the layout is
    checkpointed to the shared folder so both passes below see the same
    partitions and a lost executor does not re-sample;
 2. per (partition, group) totals — a partial aggregation, at most
@@ -93,8 +94,6 @@ def prefix_sums(df: DataFrame, order_cols: list[str], values: dict[str, object],
     in narrow frames."""
     by = list(by)
     keys = by + list(order_cols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vcols, lcols = [f"_v_{k}" for k in values], [f"_l_{k}" for k in values]
     staged = df.select("*", *[(e if isinstance(e, Column) else F.lit(e)).alias(v)
                               for v, e in zip(vcols, values.values())])
@@ -102,8 +101,12 @@ def prefix_sums(df: DataFrame, order_cols: list[str], values: dict[str, object],
              for v in vcols]
     staged = staged.select(*df.columns, *[F.coalesce(F.col(v).cast(t), F.lit(0).cast(t)).alias(v)
                                           for v, t in zip(vcols, kinds)])
-    ranged = cut_lineage(staged.repartitionByRange(n, *keys)
-                         .withColumn(_PID, F.spark_partition_id())
+    # Without an explicit count AQE may merge adjacent range partitions up to
+    # the advisory size; the partition id is read after that, so it still
+    # follows the key order.
+    spread = (staged.repartitionByRange(num_partitions, *keys) if num_partitions
+              else staged.repartitionByRange(*keys))
+    ranged = cut_lineage(spread.withColumn(_PID, F.spark_partition_id())
                          .sortWithinPartitions(*keys))
 
     totals = ranged.groupBy(_PID, *by).agg(
