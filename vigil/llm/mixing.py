@@ -16,7 +16,7 @@ reruns agree. Null texts have size 0, a null source is a source of its own
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import WORD
@@ -37,6 +37,12 @@ def _source_tag(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
 
 
+def _id_string(rows: DataFrame) -> Column:
+    """The id as text, for the tie order: a struct by its fields."""
+    text = F.to_json("_id") if rows.schema["_id"].dataType.typeName() == "struct" else F.col("_id").cast("string")
+    return F.coalesce(text, F.lit(""))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                    max_repeat: int = MAX_REPEAT) -> DataFrame:
     """``sizes`` (source, source_size) -> with weight and target. Capping is
@@ -92,11 +98,27 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     joined = rows.join(targets.withColumnRenamed("source", "_source"),
                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "weight")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    tie = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
+    tie = F.md5(F.concat(F.lit(seed + "|"), _id_string(rows)).cast("binary"))
     return systematic_sample(joined.withColumn("_tie", tie), expected, "source", ["size", "_tie"], seed).select(
         F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies")
 
 
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  **options) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it (rows that
+    it does not take go). Repeated rows are numbered, so each is sampled once."""
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    numbered = docs.withColumn("_hash", F.xxhash64(text_col)).withColumn("_nth", F.row_number().over(
+        Window.partitionBy(id_col, "_hash").orderBy(*[F.col(c) for c in rest] or [F.lit(0)])))
+    rows = numbered.select(F.struct(id_col, "_hash", "_nth").alias("_row"), F.col(source_col).alias("_src"),
+                           word_count(F.col(text_col)).alias("_size"))
+    mixed = mix_sources(rows, "_row", "_src", "_size", **options).where("copies > 0").select(
+        F.col(f"_row.{id_col}").alias("_id"), F.col("_row._hash").alias("_h"), F.col("_row._nth").alias("_k"), "copies")
+    j = numbered.join(mixed, numbered[id_col].eqNullSafe(mixed["_id"]) & (numbered["_hash"] == mixed["_h"])
+                      & (numbered["_nth"] == mixed["_k"]))
+    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*docs.columns)
+
+
 def op7_query(docs: DataFrame) -> DataFrame:
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mix_sources(sized).select(

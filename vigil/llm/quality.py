@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vigil.llm.common import WordHashes, byte_list, map_batches, window_hashes
 
@@ -135,5 +136,12 @@ def compression_bands(docs: DataFrame, text_col: str = "text", bands: Bands = DE
     return map_batches(source, fn, schema)
 
 
+def keep_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns."""
+    judged = compression_bands(docs.withColumn("_text", docs[text_col]).select("_text", F.struct(*docs.columns).alias("_row")),
+                               "_text")
+    return judged.where("kept").select("_row.*")
+
+
 def op2_query(docs: DataFrame) -> DataFrame:
     return compression_bands(docs.select("doc_id", "text")).drop("text")
