@@ -37,7 +37,7 @@ def split_documents(docs: DataFrame, id_col: str, text_col: str, *extra) -> Data
                        F.col(text_col).alias("text"), *extra)
 
 
-def iter_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list]]]:
+def iter_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[int, list[list]]]:
     """(block number, columns) where columns are the ids, the text bytes and
     any further columns of the block's documents."""
     held: list[list] = []
@@ -52,7 +52,7 @@ def iter_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[l
         columns = [batch.column(1).to_pylist(), byte_list(batch.column(2)),
                    *[batch.column(i).to_pylist() for i in range(3, batch.num_columns)]]
         for row in zip(*columns):
-            if size and size + len(row[1]) > BLOCK_BYTES:
+            if size and size + len(row[1]) > block_bytes:
                 yield split * MAX_BLOCKS_PER_SPLIT + seq, held
                 held = [[] for _ in held]
                 size, seq = 0, seq + 1

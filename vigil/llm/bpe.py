@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.blocks import Packer, deliver, from_planes, iter_blocks, iter_chunks, planes, split_documents
+from vigil.llm.blocks import BLOCK_BYTES, Packer, deliver, from_planes, iter_blocks, iter_chunks, planes, split_documents
 
 FLUSH_WORDS = 200_000          # answered words a task holds before packing them by block
 
@@ -90,10 +90,10 @@ def _words_of_block(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, list[i
     return [distinct[i] for i in order], rank[codes] if len(codes) else codes, counts
 
 
-def word_requests(source: DataFrame) -> DataFrame:
+def word_requests(source: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(word, block, idx): every distinct word of every block, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, columns in iter_blocks(batches):
+        for block, columns in iter_blocks(batches, block_bytes):
             words, _, _ = _words_of_block(columns[1])
             by_word = sorted(range(len(words)), key=words.__getitem__)
             for at in range(0, len(words), 50_000):
@@ -104,11 +104,11 @@ def word_requests(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "word binary, block bigint, idx int")
 
 
-def word_chunks(source: DataFrame) -> DataFrame:
+def word_chunks(source: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, kind, seq, ids, blob): documents as codes, packed in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer()
-        for block, columns in iter_blocks(batches):
+        for block, columns in iter_blocks(batches, block_bytes):
             _, codes, counts = _words_of_block(columns[1])
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
             for seq, part in enumerate(iter_chunks([4 * n for n in counts])):
@@ -128,7 +128,7 @@ def _arrow_type(df: DataFrame, column: str):
     return to_arrow_type(df.schema[column].dataType)
 
 
-def encode_words(requests: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_words(requests: DataFrame, tokenizer_path: str, flush_words: int = FLUSH_WORDS) -> DataFrame:
     """Encode every distinct word once and pack the ids by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, packer = load_tokenizer(tokenizer_path), Packer()
@@ -181,7 +181,7 @@ def encode_words(requests: DataFrame, tokenizer_path: str) -> DataFrame:
             ids.append(flat[np.arange(int(n.sum())) + shift])
             last, last_ids = words[-1], table[-1]
             held += len(words)
-            if held >= FLUSH_WORDS:
+            if held >= flush_words:
                 yield flush()
                 held = 0
         out = flush()
@@ -222,7 +222,8 @@ class _WordTable:
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_id",
-                     text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                     text_col: str = "text", with_ids: bool = False, block_bytes: int = BLOCK_BYTES,
+                     flush_words: int = FLUSH_WORDS) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every document, with the
     ids and the decoded text when ``with_ids``. ``docs`` must be a table."""
     path = tokenizer_path or default_tokenizer()
@@ -262,7 +263,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, id_col:
 
     schema = (f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, "
               "decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else ""))
-    return deliver(encode_words(word_requests(source), path), word_chunks(source), run, schema).withColumnRenamed(
+    return deliver(encode_words(word_requests(source, block_bytes), path, flush_words),
+                   word_chunks(source, block_bytes), run, schema).withColumnRenamed(
         "doc_id", id_col)
 
 

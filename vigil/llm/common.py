@@ -37,7 +37,7 @@ def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)       # an empty table has no files to infer it from
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.blocks import Packer, deliver, iter_blocks, iter_chunks, split_documents
+from vigil.llm.blocks import BLOCK_BYTES, Packer, deliver, iter_blocks, iter_chunks, split_documents
 from vigil.llm.bpe import _arrow_type
 from vigil.llm.common import shared_table
 from vigil.session import cut_lineage
@@ -70,11 +70,11 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[starts], np.add.reduceat(c, starts)
 
 
-def requests(source: DataFrame, order: int = ORDER) -> DataFrame:
+def requests(source: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Distinct keys of every block with their training counts: ``kind`` word
     (word, idx) and ``bytes`` (gram); and one ``total`` row per block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, (_, texts, tested) in iter_blocks(batches):
+        for block, (_, texts, tested) in iter_blocks(batches, block_bytes):
             index: dict[bytes, int] = {}
             trained: Counter = Counter()
             tokens = 0
@@ -258,13 +258,13 @@ def _answer_bytes(gram_rows: DataFrame, order: int) -> DataFrame:
     return answered.select("block", "gram", "logp").mapInArrow(run, _ANSWER)
 
 
-def _text_chunks(source: DataFrame) -> DataFrame:
+def _text_chunks(source: DataFrame, block_bytes: int) -> DataFrame:
     """(block, kind 2, seq, doc_ids, tested, blob): texts packed in chunks."""
     id_type = _arrow_type(source, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer()
-        for block, (ids, texts, tested) in iter_blocks(batches):
+        for block, (ids, texts, tested) in iter_blocks(batches, block_bytes):
             for seq, part in enumerate(iter_chunks([len(t) for t in texts])):
                 own = texts[part]
                 blob = packer.pack(np.array([len(t) for t in own], np.int64),
@@ -323,7 +323,8 @@ class _BlockModel:
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    order: int = ORDER, tested: Column | None = None) -> DataFrame:
+                    order: int = ORDER, tested: Column | None = None,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score).
     ``tested`` marks the documents not learned from. ``docs`` must be a table."""
     if not 1 <= order <= 6:
@@ -331,7 +332,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mark = tested if tested is not None else held_out(F.col(id_col))
     source = split_documents(docs, id_col, text_col, mark.alias("tested"))
     id_type = _arrow_type(source, "doc_id")
-    asked = shared_table(requests(source, order), "lm-requests", ["kind"])
+    asked = shared_table(requests(source, order, block_bytes), "lm-requests", ["kind"])
     words = asked.where("kind = 'word'")
     answers = _answer_words(words).unionByName(
         _answer_bytes(asked.where("kind = 'bytes'").select("block", "gram", "n"), order))
@@ -367,7 +368,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = (f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens bigint, "
               "n_known bigint, log_counts double, score double, stat bigint")
-    scored = shared_table(deliver(answers, _text_chunks(source), run, schema), "lm-scores")
+    scored = shared_table(deliver(answers, _text_chunks(source, block_bytes), run, schema), "lm-scores")
     # One row: distinct trained words. The end token is one more, counted once
     # per training document; every document has one.
     known_words = scored.agg(F.coalesce(F.sum("stat"), F.lit(0)).alias("words"))

@@ -113,10 +113,10 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = numbered.select(F.struct(id_col, "_hash", "_nth").alias("_row"), F.col(source_col).alias("_src"),
                            word_count(F.col(text_col)).alias("_size"))
     mixed = mix_sources(rows, "_row", "_src", "_size", **options).where("copies > 0").select(
-        F.col(f"_row.{id_col}").alias("_id"), F.col("_row._hash").alias("_h"), F.col("_row._nth").alias("_k"), "copies")
+        F.col(f"_row.{id_col}").alias("_id"), F.col("_row._hash").alias("_h"), F.col("_row._nth").alias("_k"), F.col("copies").alias("_copies"))
     j = numbered.join(mixed, numbered[id_col].eqNullSafe(mixed["_id"]) & (numbered["_hash"] == mixed["_h"])
                       & (numbered["_nth"] == mixed["_k"]))
-    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*docs.columns)
+    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
 
 
 def op7_query(docs: DataFrame) -> DataFrame:
