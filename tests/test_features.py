@@ -13,6 +13,10 @@ from vigil.operators import features as feat
 from vigil.operators import trades as trd
 
 
+def codes(model, column):
+    return {r["value"]: r["code"] for r in model.codes(column).collect()}
+
+
 @pytest.fixture(scope="module")
 def raw(spark):
     return spark.createDataFrame(raw_transactions())
@@ -24,12 +28,12 @@ def model(raw):
 
 
 def test_high_null_column_dropped(model):
-    assert "almost_empty" in model.dropped
-    assert "almost_empty" not in model.feature_cols
+    assert "sparse_note" in model.dropped
+    assert "sparse_note" not in model.feature_cols
 
 
 def test_useful_column_kept(model):
-    assert "useful_col" in model.feature_cols
+    assert "basket_weight" in model.feature_cols
 
 
 def test_id_and_time_source_dropped(model):
@@ -58,13 +62,12 @@ def test_log_transform_shrinks_and_non_negative(raw, model):
 
 
 def test_encoders_are_integer_codes_in_code_point_order(model):
-    enc = model.encoders["ProductCD"]
-    assert enc == {"C": 0, "H": 1, "R": 2, "S": 3, "W": 4}
-    assert sorted(model.encoders["card4"]) == ["mastercard", "missing", "visa"]
+    assert codes(model, "ProductCD") == {"kiosk": 0, "phone": 1, "store": 2, "web": 3}
+    assert codes(model, "card4") == {"blue": 0, "green": 1, "missing": 2}
 
 
 def test_null_category_encoded_as_missing(raw, model):
-    out = model.transform(raw, scale=False).where(F.col("card4") == model.encoders["card4"]["missing"])
+    out = model.transform(raw, scale=False).where(F.col("card4") == codes(model, "card4")["missing"])
     assert out.count() == raw.where(F.col("card4").isNull()).count() > 0
 
 
@@ -105,9 +108,9 @@ def test_save_load_roundtrip(spark, model, raw, tmp_dir):
     model.save(spark, tmp_dir)
     back = feat.FeatureModel.load(spark, tmp_dir)
     assert back.feature_cols == model.feature_cols
-    assert back.encoders == model.encoders
-    a = model.transform(raw).orderBy("isFraud").collect()
-    b = back.transform(raw).orderBy("isFraud").collect()
+    assert sorted(back.encoders.collect()) == sorted(model.encoders.collect())
+    a = model.transform(raw, keep=["TransactionID"]).orderBy("TransactionID").collect()
+    b = back.transform(raw, keep=["TransactionID"]).orderBy("TransactionID").collect()
     assert a == b
 
 
@@ -123,6 +126,20 @@ def test_join_encoders_equals_inline(spark, raw, model):
     assert sorted(joined.collect()) == sorted(inline.collect())
 
 
+def test_encoder_of_any_size(spark):
+    """More values than any driver-side table should hold: every value keeps
+    its own code through fit and apply, and an unseen one is filled."""
+    n = 120_000
+    df = spark.range(n).select(F.format_string("user-%07d", "id").alias("card6"), F.rand(1).alias("x"),
+                               (F.col("id") % 9 == 0).cast("int").alias("isFraud"))
+    m = feat.fit_features(df)
+    assert m.metadata()["encoders"] == {"card6": n}
+    out = m.transform(df.withColumn("id", F.substring("card6", 6, 7).cast("int")), keep=["id"], scale=False)
+    assert out.where(F.col("card6") != F.col("id")).count() == 0 and out.count() == n
+    new = spark.createDataFrame([("nobody", 0.5, 0)], "card6 string, x double, isFraud int")
+    assert m.transform(new, scale=False).first()["card6"] == -999.0
+
+
 # ── trade mapper (F8–F10, F13, P3) ───────────────────────────────────────────
 
 FEATURES = ["TransactionAmt", "hour_of_day", "day_of_week", "card1"]
@@ -135,10 +152,10 @@ def _trade_df(spark, msgs):
 def test_mapper_amount_time_and_fill(spark):
     p = trd.parse_trades(_trade_df(spark, [TRADE]))
     r = trd.map_trade(p, FEATURES).first()
-    assert r["TransactionAmt"] == pytest.approx(math.log1p(1062.5))
-    assert r["hour_of_day"] == 0 and r["day_of_week"] == 0       # 2024-01-01 is a Monday (UTC)
+    assert r["TransactionAmt"] == pytest.approx(math.log1p(1400.2))
+    assert r["hour_of_day"] == 6 and r["day_of_week"] == 1       # a Tuesday (UTC)
     assert r["card1"] == -999.0
-    assert r["_trade_id"] == "12345" and r["_symbol"] == "BTCUSDT"
+    assert r["_trade_id"] == "777" and r["_symbol"] == "ETHUSDT"
 
 
 def test_mapper_second_example(spark):
@@ -151,7 +168,7 @@ def test_mapper_missing_fields(spark):
     msg = {k: v for k, v in TRADE.items() if k not in ("p", "T")}
     r = trd.map_trade(trd.parse_trades(_trade_df(spark, [msg])), FEATURES).first()
     assert r["TransactionAmt"] == 0.0           # missing price counts as 0
-    assert r["hour_of_day"] == 0                # falls back to E
+    assert r["hour_of_day"] == 6                # falls back to E
 
 
 def test_case_distinct_fields_parse(spark):
@@ -176,7 +193,7 @@ def test_vector_length_and_type(spark):
 def test_publish_frame_keys_source_and_quarantine(spark):
     out, bad = trd.publish_frame(_trade_df(spark, [TRADE, dict(TRADE, s=None), "{broken"]))
     rows = out.collect()
-    assert [bytes(r["key"]).decode() for r in rows] == ["BTCUSDT", "BTCUSDT"]
+    assert [bytes(r["key"]).decode() for r in rows] == ["ETHUSDT", "BTCUSDT"]
     doc = json.loads(rows[0]["value"])
-    assert doc["source"] == "binance" and doc["t"] == 12345 and doc["T"] == 1704067200000
+    assert doc["source"] == "binance" and doc["t"] == 777 and doc["T"] == TRADE["T"]
     assert bad.count() == 1

@@ -2,13 +2,14 @@
 
 Two phases, as in Spark ML:
 
-* ``fit_features`` runs a few aggregation jobs whose results are small and
-  bounded by the schema, never by the row count: the null-rate decision (one
-  row per column), the encoder table (one row per distinct category value),
-  and the scaler table (one row per feature column).
-* ``FeatureModel.transform`` is one narrow projection — no shuffle, no join
-  when the encoder table is under a checked size (map literals), and a
-  broadcast/shuffle join per categorical column beyond it.
+* ``fit_features`` runs a few aggregation jobs. What reaches the driver is
+  bounded by the schema: the null-rate decision (one row per column) and the
+  scaler (one row per feature column). The encoders stay a table (one row per
+  distinct category value) from fit to save, load and apply, so a column may
+  have any number of values.
+* ``FeatureModel.transform`` is one projection over an equi-join per
+  categorical column; Catalyst and AQE broadcast a small encoder and shuffle a
+  large one. The same plan runs on a stream (stream-static joins).
 
 Order of the steps (fixed by the reference): time features → drop high-null
 and fixed columns → log1p → label encoding (NULL → "missing") → fill the
@@ -20,14 +21,17 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field, fields
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.scalars import NULL_FILL, time_features
 from vigil.operators.profile import high_null_columns, null_rates
+from vigil.operators.sequence import sequence_number
+from vigil.session import cut_lineage
 
 # Fixed values of the reference's feature engineering.
 LABEL = "isFraud"
@@ -42,9 +46,7 @@ MISSING_CATEGORY = "missing"
 NULL_THRESHOLD = 0.9
 TIME_SOURCE = "TransactionDT"
 
-# Encoder tables up to this many entries are inlined as map literals in the
-# projection; larger ones are joined (never silently truncated).
-MAX_INLINE_CODES = 100_000
+ENCODER_SCHEMA = "column string, value string, code int"
 
 
 @dataclass
@@ -55,7 +57,7 @@ class FeatureModel:
     unlisted_strings: list[str]
     log_transform_cols: list[str]
     categorical_cols: list[str]
-    encoders: dict[str, dict[str, int]]
+    encoders: DataFrame                    # (column, value, code)
     means: dict[str, float]
     stds: dict[str, float]
     class_weight: float | None
@@ -67,12 +69,15 @@ class FeatureModel:
     def transform(self, df: DataFrame, keep=(), scale: bool = True,
                   with_label: bool = True) -> DataFrame:
         """F7 apply: one projection producing ``keep`` + ``feature_cols`` (+
-        label). Missing input columns are treated as all-NULL."""
+        label). Missing input columns are treated as all-NULL; a value that the
+        fit did not see encodes as the fill value."""
+        cats = [c for c in self.categorical_cols if c in self.feature_cols]
         cols = _pre_encode(df, self.time_source)
+        coded = _join_codes(df, self.encoders, cats)
         out = []
         for c in self.feature_cols:
-            if c in self.encoders:
-                x = _encode(cols.get(c), self.encoders[c])
+            if c in cats:
+                x = F.col(f"_code_{c}").cast("double")
             else:
                 x = cols.get(c, F.lit(None)).cast("double")
                 if c in self.log_transform_cols:
@@ -83,35 +88,41 @@ class FeatureModel:
                 x = F.lit(0.0) if sd == 0 else (x - F.lit(mu)) / F.lit(sd)
             out.append(x.alias(c))
         lab = [F.col(self.label)] if with_label and self.label in df.columns else []
-        return df.select(*[F.col(k) for k in keep], *out, *lab)
+        return coded.select(*[F.col(k) for k in keep], *out, *lab)
 
     # ── K5 / S9 persistence: small tables + one config row, no pickles ────
     def save(self, spark: SparkSession, path: str) -> None:
-        enc = [(c, v, int(k)) for c, m in self.encoders.items() for v, k in m.items()]
-        spark.createDataFrame(enc, "column string, value string, code int") \
-            .write.mode("overwrite").parquet(os.path.join(path, "encoders"))
+        self.encoders.write.mode("overwrite").parquet(os.path.join(path, "encoders"))
         stats = [(c, i, self.means[c], self.stds[c]) for i, c in enumerate(self.feature_cols)]
         spark.createDataFrame(stats, "column string, ord int, mean double, std double") \
             .write.mode("overwrite").parquet(os.path.join(path, "feature_stats"))
-        cfg = {k: v for k, v in asdict(self).items() if k not in ("encoders", "means", "stds")}
+        cfg = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("encoders", "means", "stds")}
         spark.createDataFrame([(json.dumps(cfg),)], "config string") \
             .write.mode("overwrite").json(os.path.join(path, "config"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FeatureModel":
-        if not os.path.exists(path) and not path.startswith(("s3", "hdfs", "gs", "abfs")):
-            raise FileNotFoundError(path)
-        cfg = json.loads(spark.read.json(os.path.join(path, "config")).collect()[0]["config"])
-        encoders: dict[str, dict[str, int]] = {}
-        for r in spark.read.parquet(os.path.join(path, "encoders")).collect():
-            encoders.setdefault(r["column"], {})[r["value"]] = r["code"]
+        try:
+            cfg = json.loads(spark.read.json(os.path.join(path, "config")).first()["config"])
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise FileNotFoundError(path) from None
+        encoders = spark.read.schema(ENCODER_SCHEMA).parquet(os.path.join(path, "encoders"))
         stats = spark.read.parquet(os.path.join(path, "feature_stats")).orderBy("ord").collect()
         return FeatureModel(encoders=encoders, means={r["column"]: r["mean"] for r in stats},
                             stds={r["column"]: r["std"] for r in stats}, **cfg)
 
+    def codes(self, column: str) -> DataFrame:
+        """(value, code) of one categorical column."""
+        return self.encoders.where(F.col("column") == column).select("value", "code")
+
     def metadata(self) -> dict:
-        """Feature metadata in the reference's shape (FIXTURES §4)."""
-        return {"feature_cols": list(self.feature_cols), "encoders": self.encoders,
+        """Feature metadata in the reference's shape (FIXTURES §4), with the
+        number of codes per column; the codes themselves are a table
+        (``codes``), as a column may have any number."""
+        counts = self.encoders.groupBy("column").count().collect()      # one row per column
+        return {"feature_cols": list(self.feature_cols), "encoders": {r["column"]: r["count"] for r in counts},
                 "log_transform_cols": list(self.log_transform_cols),
                 "null_fill_value": self.null_fill_value, "class_weight": self.class_weight,
                 "null_threshold": NULL_THRESHOLD}
@@ -125,15 +136,18 @@ def _pre_encode(df: DataFrame, time_source: str | None) -> dict:
     return cols
 
 
-def _encode(x, mapping: dict[str, int]):
-    """J4 lookup: NULL → "missing"; unseen value → NULL (filled later)."""
-    if x is None:
-        x = F.lit(None)
-    key = F.coalesce(x.cast("string"), F.lit(MISSING_CATEGORY))
-    if not mapping:
-        return F.lit(None).cast("double")
-    m = F.create_map(*[a for k, v in sorted(mapping.items()) for a in (F.lit(k), F.lit(v))])
-    return F.try_element_at(m, key).cast("double")
+def _join_codes(df: DataFrame, encoders: DataFrame, cols: list[str]) -> DataFrame:
+    """Adds ``_code_<col>`` per column by an equi-join on the value (NULL →
+    "missing"; an unseen value finds no row). One row per value on the right,
+    so no row is repeated, and a frequent value is one hot key of a join whose
+    other side AQE broadcasts or splits."""
+    out = df
+    for c in cols:
+        table = encoders.where(F.col("column") == c).select(
+            F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}"))
+        value = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+        out = out.join(table, F.coalesce(value, F.lit(MISSING_CATEGORY)) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    return out
 
 
 def time_feature_frame(df: DataFrame) -> DataFrame:
@@ -147,14 +161,15 @@ def time_feature_frame(df: DataFrame) -> DataFrame:
 def fit_encoders(df: DataFrame, cols: list[str]) -> DataFrame:
     """F3 fit: (column, value, code) with codes 0… in code-point order of the
     distinct values (UTF-8 byte order = code-point order), NULL → "missing".
-    One unpivot + distinct for all categorical columns; the window that
-    numbers the values is partitioned by column."""
+    One unpivot + distinct for all categorical columns; the values are
+    numbered by a range-partitioned sequence per column, so a column with very
+    many values is spread over tasks."""
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, value string, code int")
+        return df.sparkSession.createDataFrame([], ENCODER_SCHEMA)
     long = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias(c)
                        for c in cols]).unpivot([], cols, "column", "value").distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return long.select("column", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    numbered = sequence_number(long, ["value"], by=["column"], name="seq")
+    return numbered.select("column", "value", (F.col("seq") - 1).cast("int").alias("code"))
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -167,8 +182,7 @@ def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def fit_features(df: DataFrame, label: str = LABEL, categorical=CATEGORICAL_COLS,
                  log_cols=LOG_TRANSFORM_COLS, drop_cols=DROP_COLS,
-                 null_threshold: float = NULL_THRESHOLD, fill: float = NULL_FILL,
-                 max_inline_codes: int = MAX_INLINE_CODES) -> FeatureModel:
+                 null_threshold: float = NULL_THRESHOLD, fill: float = NULL_FILL) -> FeatureModel:
     """F7 fit (F1 → A2 → F2 → F3 → F4 → F5, then A4)."""
     staged = time_feature_frame(df)
     candidates = [c for c in staged.columns if c != label]
@@ -182,16 +196,7 @@ def fit_features(df: DataFrame, label: str = LABEL, categorical=CATEGORICAL_COLS
                 and not isinstance(staged.schema[c].dataType, numeric_types)]
     feature_cols = [c for c in kept if c not in set(unlisted)]
 
-    enc_df = fit_encoders(staged, cats)
-    # One bounded job: at most max_inline_codes + 1 rows reach the driver.
-    codes = enc_df.limit(max_inline_codes + 1).collect()
-    if len(codes) > max_inline_codes:
-        raise ValueError(f"more than {max_inline_codes} category codes; "
-                         "encode with join_encoders() instead")
-    encoders: dict[str, dict[str, int]] = {c: {} for c in cats}
-    for r in codes:
-        encoders[r["column"]][r["value"]] = r["code"]
-
+    encoders = cut_lineage(fit_encoders(staged, cats))
     provisional = FeatureModel(label=label, feature_cols=feature_cols, dropped=dropped,
                                unlisted_strings=unlisted, log_transform_cols=[c for c in log_cols if c in kept],
                                categorical_cols=cats, encoders=encoders,
@@ -199,28 +204,20 @@ def fit_features(df: DataFrame, label: str = LABEL, categorical=CATEGORICAL_COLS
     unscaled = provisional.transform(df, scale=False, with_label=False)
     stats = {r["column"]: (r["mean"], r["std"]) for r in fit_scaler(unscaled, feature_cols).collect()}
     weight = df.agg(F.try_divide(F.count_if(F.col(label) == 0).cast("double"),
-                                 F.count_if(F.col(label) == 1).cast("double")).alias("w")).collect()[0]["w"]
+                                 F.count_if(F.col(label) == 1).cast("double")).alias("w")).first()["w"]
     provisional.means = {c: float(stats[c][0]) if stats[c][0] is not None else 0.0 for c in feature_cols}
     provisional.stds = {c: float(stats[c][1]) if stats[c][1] is not None else 0.0 for c in feature_cols}
     provisional.class_weight = weight
     return provisional
 
 
-def join_encoders(df: DataFrame, encoders: DataFrame, cols: list[str],
-                  broadcast_limit: int = MAX_INLINE_CODES) -> DataFrame:
-    """J4 for encoder tables too large to inline: one equi-join per column on
-    (value). Each per-column table is broadcast only when its counted size is
-    under ``broadcast_limit``; otherwise AQE plans a shuffle join."""
-    out = df
-    for c in cols:
-        table = encoders.where(F.col("column") == c).select(
-            F.col("value").alias(f"_v_{c}"), F.col("code").cast("double").alias(f"_code_{c}"))
-        n = table.count()
-        side = F.broadcast(table) if n <= broadcast_limit else table
-        key = F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY))
-        out = (out.join(side, key == F.col(f"_v_{c}"), "left")
-               .drop(c, f"_v_{c}").withColumnRenamed(f"_code_{c}", c))
-    return out
+def join_encoders(df: DataFrame, encoders: DataFrame, cols: list[str], fill: float = NULL_FILL) -> DataFrame:
+    """J4 as an operator: the columns replaced by their codes; a value without
+    a code becomes ``fill``."""
+    coded = _join_codes(df, encoders, cols)
+    return coded.select(*[
+        F.coalesce(F.col(f"_code_{c}").cast("double"), F.lit(float(fill))).alias(c) if c in cols else F.col(c)
+        for c in df.columns])
 
 
 def class_weight_column(label: str, weight: float, name: str = "weight"):
