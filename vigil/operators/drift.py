@@ -235,36 +235,34 @@ def zscore_drift(recent: DataFrame, baseline: DataFrame, features: list[str],
                  default_rate: float = DEFAULT_BASELINE_RATE) -> DataFrame:
     """Label-rate change and per-feature z = |Δmean| / baseline std.
 
-    Both sides are unpivoted to (feature, mean, std) and inner-joined on
-    feature name (J3), skipping features missing on a side or with std 0.
+    Features are compared by name (J3), skipping those missing on a side or
+    with std 0.
     ``recent`` and ``baseline`` must already hold the monitored features
     under the same names, unscaled (Q8/Q9)."""
     by = list(by)
-    r_mom = feature_moments(recent, features, by).select(
-        *by, "feature", F.col("mean").alias("recent_mean"))
-    b_mom = feature_moments(baseline, features, by).select(
-        *by, "feature", F.col("mean").alias("baseline_mean"), F.col("std").alias("baseline_std"))
-    z = (r_mom.join(b_mom, [*by, "feature"], "inner")
-         .where(F.col("recent_mean").isNotNull() & F.col("baseline_mean").isNotNull()
-                & F.col("baseline_std").isNotNull() & (F.col("baseline_std") != 0))
-         .select(*by, "feature",
-                 round_half_even_exact(F.abs(F.col("recent_mean") - F.col("baseline_mean"))
-                                       / F.col("baseline_std"), 4).alias("z")))
-    z_agg = z.groupBy(*by).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "z")))).alias("feature_z"),
-        F.array_sort(F.collect_list(F.when(F.col("z") > z_threshold, F.col("feature")))).alias("shifted"))
-    r_rate = recent.groupBy(*by).agg(F.count(F.lit(1)).alias("n_recent"),
-                                     F.avg(F.col(recent_rate).cast("double")).alias("recent_rate"))
-    b_rate = baseline.groupBy(*by).agg(F.avg(F.col(baseline_rate).cast("double")).alias("baseline_rate"))
+    # One scan and one map-side aggregation per side: the moments of every
+    # feature and the flag rate come out as one row per group.
+    def side(df: DataFrame, prefix: str, rate: str) -> DataFrame:
+        moments = [F.struct(F.avg(F.col(f).cast("double")).alias("mean"),
+                            F.stddev_samp(F.col(f).cast("double")).alias("std")).alias(f"{prefix}_{f}") for f in features]
+        return df.groupBy(*by).agg(F.count(F.lit(1)).alias(f"n_{prefix}"),
+                                   F.avg(F.col(rate).cast("double")).alias(f"{prefix}_rate"), *moments)
+
+    sides = side(recent, "recent", recent_rate), side(baseline, "baseline", baseline_rate)
     if by:
-        rep = r_rate.join(b_rate, by, "left").join(z_agg, by, "left")
-    else:
-        # Global case: each side is one aggregate row — attach them as
-        # literals instead of joining one-row frames (no nested-loop join).
-        rr, br = r_rate.first(), b_rate.first()
-        rep = z_agg.select("*", F.lit(rr["n_recent"]).cast("bigint").alias("n_recent"),
-                           F.lit(rr["recent_rate"]).cast("double").alias("recent_rate"),
-                           F.lit(br["baseline_rate"]).cast("double").alias("baseline_rate"))
+        wide = sides[0].join(sides[1], by, "left")
+    else:                                              # two one-row aggregates
+        wide = sides[0].withColumn("_one", F.lit(1)).join(sides[1].withColumn("_one", F.lit(1)), "_one").drop("_one")
+    entries = []
+    for f in sorted(features):
+        mean, base, std = F.col(f"recent_{f}.mean"), F.col(f"baseline_{f}.mean"), F.col(f"baseline_{f}.std")
+        usable = mean.isNotNull() & base.isNotNull() & std.isNotNull() & (std != 0)
+        z = round_half_even_exact(F.abs(mean - base) / F.nullif(std, F.lit(0.0)), 4)
+        entries.append(F.when(usable, F.struct(F.lit(f).alias("feature"), z.alias("z"))))
+    told = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    rep = wide.withColumn("_z", told).withColumns({
+        "feature_z": F.map_from_entries("_z"),
+        "shifted": F.transform(F.filter("_z", lambda e: e["z"] > z_threshold), lambda e: e["feature"])})
     change = F.abs(F.coalesce("recent_rate", F.lit(0.0))
                    - F.coalesce("baseline_rate", F.lit(default_rate)))
     rate_reason = F.when(change > rate_threshold, F.format_string(
@@ -287,7 +285,7 @@ def zscore_drift(recent: DataFrame, baseline: DataFrame, features: list[str],
 # ── PSI (D3, D4) ─────────────────────────────────────────────────────────────
 
 def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_BINS,
-        by=(), epsilon: float = PSI_EPSILON) -> DataFrame:
+        by=(), epsilon: float = PSI_EPSILON, few_groups: bool = False) -> DataFrame:
     """D3: population stability index between two samples of ``value_col``.
 
     Pass 1: min/max over both sides per group (one row per group).
@@ -301,9 +299,11 @@ def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
     ranges = both.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     # Grouped ranges (one row per group) join on the group key and AQE picks
-    # the strategy; the global range is two numbers, attached as literals.
+    # the strategy; with ``few_groups`` (groups bounded by the schema, such as
+    # feature names) they are broadcast, so raw rows are not moved. The global
+    # range is two numbers, attached as literals.
     if by:
-        binned = both.join(ranges, by, "inner")
+        binned = both.join(F.broadcast(ranges) if few_groups else ranges, by, "inner")
     else:
         rg = ranges.first()
         binned = both.select("*", F.lit(rg["lo"]).cast("double").alias("lo"),
