@@ -44,34 +44,82 @@ def test_streaming_scorer_logs_and_alerts(spark, fitted, tmp_dir):
         fh.write("\n".join(json.dumps(m) if isinstance(m, dict) else m for m in msgs) + "\n")
     q = scoring.start_scoring(trade_stream(spark, "text", path=src), fm, model,
                               os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "ckpt"),
-                              alerts_path=os.path.join(tmp_dir, "alerts"), threshold=0.0)
+                              alerts_path=os.path.join(tmp_dir, "alerts"), threshold=0.0,
+                              quarantine_path=os.path.join(tmp_dir, "bad"))
     q.awaitTermination()
-    log = spark.read.parquet(os.path.join(tmp_dir, "log"))
+    log = readers.read_prediction_logs(spark, os.path.join(tmp_dir, "log"), fmt="parquet")
     rows = {r["trade_id"]: r for r in log.collect()}
-    assert len(rows) == 4
-    assert rows["12345"]["fraud_score"] >= 0 and rows["3"]["fraud_score"] == -1.0
-    assert rows["3"]["is_fraud"] == 0 and rows["unknown"]["fraud_score"] == -1.0
+    assert len(rows) == 3
+    assert rows[777]["fraud_score"] >= 0 and rows[3]["fraud_score"] == -1.0 and rows[3]["is_fraud"] == 0
+    assert rows[777]["ts"].isoformat() == "2024-03-05T06:07:08"
+    assert [r["message"] for r in spark.read.parquet(os.path.join(tmp_dir, "bad")).collect()] == ["{broken"]
     alerts = spark.read.parquet(os.path.join(tmp_dir, "alerts")).collect()
-    assert {r["trade_id"] for r in alerts} == {"12345", "2"}
+    assert {r["trade_id"] for r in alerts} == {777, 2}
     status = scoring.reader_status(q)
     assert status["total"] == 4 and status["errors"] == 2
-    assert all(len(r["top_deviations"]) == 5 for r in alerts)
+    totals = scoring.log_status(spark, os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "bad")).first()
+    assert totals.asDict() == status
+    known = {"TransactionAmt", "hour_of_day", "day_of_week"}
+    for r in alerts:                                    # no filled feature is called deviating
+        assert {d["feature"] for d in r["top_deviations"]} <= known and r["top_deviations"]
+        devs = [d["deviation"] for d in r["top_deviations"]]
+        assert devs == sorted(devs, reverse=True)
 
 
-def test_empty_batch_writes_nothing(spark, fitted, tmp_dir):
-    fm, _ = fitted
-    writer = scoring.log_writer(os.path.join(tmp_dir, "log"))
-    empty = spark.createDataFrame([], "trade_id string, trade_time bigint, is_fraud int")
-    writer(empty, 0)
-    assert not os.path.exists(os.path.join(tmp_dir, "log"))
-
-
-def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    writer = scoring.log_writer(os.path.join(tmp_dir, "log"))
-    batch = spark.createDataFrame([("a", 1704067200000, 0)], "trade_id string, trade_time bigint, is_fraud int")
-    writer(batch, 7)
-    writer(batch, 7)
-    assert spark.read.parquet(os.path.join(tmp_dir, "log")).count() == 1
+def test_dedup_keeps_messages_without_an_id_and_old_trades(spark, fitted, tmp_dir):
+    fm, model = fitted
+    src = os.path.join(tmp_dir, "src")
+    old = dict(TRADE, t=5, T=TRADE["T"] - 10**9, E=TRADE["E"] - 10**9)
+    no_id = {k: v for k, v in TRADE.items() if k != "t"}
+    batches = [[TRADE, TRADE, "{a", "{b", "{c"], [TRADE, old, no_id, no_id]]
+    os.makedirs(src)
+    for i, msgs in enumerate(batches):
+        with open(os.path.join(src, f"part-{i}.txt"), "w") as fh:
+            fh.write("\n".join(json.dumps(m) if isinstance(m, dict) else m for m in msgs) + "\n")
+    q = scoring.start_scoring(trade_stream(spark, "text", path=src, max_files_per_trigger=1), fm, model,
+                              os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "ckpt"),
+                              quarantine_path=os.path.join(tmp_dir, "bad"), dedup_watermark="1 hour")
+    q.awaitTermination()
+    ids = sorted(r["trade_id"] or 0 for r in spark.read.parquet(os.path.join(tmp_dir, "log")).collect())
+    assert ids == [0, 0, 5, 777]
+    assert spark.read.parquet(os.path.join(tmp_dir, "bad")).count() == 3
+
+
+_BATCH = ("timestamp string, trade_id bigint, symbol string, price string, quantity string, trade_time bigint, "
+          "is_buyer_maker boolean, fraud_score double, is_fraud int, threshold double, parsed boolean, message string")
+
+
+def test_replayed_batch_is_idempotent_and_runs_stay_apart(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "log")
+    row = ("2024-01-01T00:00:00", 1, "a", "1", "1", 1704067200000, False, 0.1, 0, 0.5, True, "")
+    batch = spark.createDataFrame([row], _BATCH)
+    scoring.log_writer(path, run="a")(batch, 7)
+    scoring.log_writer(path, run="a")(batch, 7)
+    assert spark.read.parquet(path).count() == 1
+    scoring.log_writer(path, run="b")(batch, 7)
+    scoring.log_writer(path, run="b")(batch.limit(0), 8)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_two_flushes_both_stay(spark, tmp_dir):
+    log = tables.predictions(spark, SF)
+    sinks.write_prediction_log(log.where("id < 100"), tmp_dir)
+    sinks.write_prediction_log(log.where("id >= 100 AND id < 150"), tmp_dir)
+    assert readers.read_prediction_logs(spark, tmp_dir).count() == log.where("id < 150").count()
+
+
+def test_logs_are_read_by_column_name(spark, tmp_dir):
+    for name, text in {
+            "a.csv": "timestamp,trade_id,fraud_score,threshold\n2024-01-01T00:00:00,1,0.5,0.8\n",
+            "b.csv": "threshold,fraud_score,trade_id,timestamp,symbol\n0.7,0.25,2,2024-01-02T00:00:00,x\n",
+            "c.csv": "1,2,3\n4,5,6\n"}.items():
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(text)
+    rows = readers.read_prediction_logs(spark, tmp_dir).orderBy("trade_id").collect()
+    assert [(r["trade_id"], r["fraud_score"], r["threshold"], r["symbol"]) for r in rows] == [
+        (1, 0.5, 0.8, None), (2, 0.25, 0.7, "x")]
+    bad = readers.rejected_log_files(spark, tmp_dir).collect()
+    assert [os.path.basename(r["file"]) for r in bad] == ["c.csv"]
 
 
 def test_prediction_log_csv_roundtrip(spark, tmp_dir):

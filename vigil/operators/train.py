@@ -13,15 +13,16 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.scalars import FAILED_SCORE
+from vigil.functions.scalars import FAILED_SCORE, NULL_FILL
 from vigil.operators.features import class_weight_column
 
 # Fixed values of the reference's training job.
@@ -51,7 +52,22 @@ def train_classifier(train: DataFrame, feature_cols: list[str], label: str = "is
     return Pipeline(stages=[asm, gbt]).fit(data)
 
 
-def score(model: PipelineModel, df: DataFrame, score_col: str = "fraud_score",
+@dataclass(frozen=True)
+class LinearScorer:
+    """A logistic model with given coefficients (a rule agreed by hand, or a
+    model fitted elsewhere); scores like a fitted pipeline."""
+    coefficients: dict[str, float]
+    intercept: float = 0.0
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        z = F.lit(float(self.intercept))
+        for name, weight in self.coefficients.items():
+            z = z + F.lit(float(weight)) * F.col(name)
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        return df.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
+
+
+def score(model, df: DataFrame, score_col: str = "fraud_score",
           valid=None) -> DataFrame:
     """Positive-class probability; rows flagged invalid (inputs that did
     not parse) get −1.0, the reference's failed-call score."""
@@ -91,19 +107,21 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols:
 
 def top_deviations(df: DataFrame, feature_cols: list[str], k: int = 5,
                    means: dict | None = None, stds: dict | None = None,
-                   name: str = "top_deviations") -> DataFrame:
-    """Per row, the k features furthest from the training mean in
-    standard deviations (on scaled features, |value|). Per-row array work —
-    no shuffle."""
+                   name: str = "top_deviations", fill: float = NULL_FILL, values: str | None = None) -> DataFrame:
+    """Per row, the k features furthest from the training mean in standard
+    deviations, of unscaled values (``values`` names a struct that holds them,
+    else the columns do). A feature that was filled or never varied in training
+    says nothing about the row and is left out, so fewer than k may remain.
+    Per-row array work, no shuffle."""
     items = []
     for c in feature_cols:
-        x = F.col(c).cast("double")
+        x = (F.col(f"{values}.{c}") if values else F.col(c)).cast("double")
         dev = F.abs(x) if means is None else \
             F.abs(F.try_divide(x - F.lit(means[c]), F.lit(stds[c] or None)))
-        items.append(F.struct(F.coalesce(dev, F.lit(0.0)).alias("deviation"),
+        items.append(F.struct(F.when(x != F.lit(float(fill)), dev).alias("deviation"),
                               F.lit(c).alias("feature"), x.alias("value")))
-    ranked = F.slice(F.sort_array(F.array(*items), asc=False), 1, k)
-    return df.withColumn(name, ranked)
+    told = F.filter(F.array(*items), lambda i: i["deviation"].isNotNull())
+    return df.withColumn(name, F.slice(F.sort_array(told, asc=False), 1, k))
 
 
 def evaluation_row(spark: SparkSession, auc: float | None, metrics: list[dict],

@@ -24,8 +24,8 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 # The event table covers 2024-01-01 … 2024-01-30; monitoring runs "now" at its end.
-NOW = _dt.datetime(2024, 1, 30, 0, 0, 0)
-NOW_SQL = "TIMESTAMP '2024-01-30 00:00:00'"
+NOW = _dt.datetime(2024, 1, 31, 0, 0, 0)
+NOW_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
 def register(name: str, sql: str | None = None):
@@ -552,7 +552,7 @@ def d3_psi_features(spark, sf_dir):
     recent_df, base = _windows(spark, sf_dir)
     long = lambda d: d.select(*[F.col(c).cast("double") for c in MONITORED]) \
         .unpivot([], MONITORED, "feature", "value")
-    return r6(drift.psi(long(base), long(recent_df), "value", by=["feature"]))
+    return r6(drift.psi(long(base), long(recent_df), "value", by=["feature"], few_groups=True))
 
 
 def _d5_sql(by: str | None) -> str:
@@ -972,18 +972,17 @@ def f13_parse_trade_json(spark, sf_dir):
 
 @register("t9_top_deviations")
 def t9_top_deviations(spark, sf_dir):
-    """Flagged live trades with their five most deviating (scaled) features."""
+    """Flagged live trades with their most deviating features."""
     run = training.training_run(spark, sf_dir)
-    cols = run.features.feature_cols
-    mapped = trd.map_trade(tables.trades(spark, sf_dir), cols, run.features.log_transform_cols,
-                           model=run.features, scale=True)
-    scored = tr.score(run.model, mapped)
-    return tr.top_deviations(scored, cols, 5).select("trade_id", "fraud_score", "top_deviations")
+    trades = scoring.score_trades(tables.trade_json(spark, sf_dir), run.features, run.model, scale=True)
+    return tr.top_deviations(trades.where(F.col("is_fraud") == 1), run.features.feature_cols, 5, run.features.means,
+                             run.features.stds, values="features").select("trade_id", "fraud_score", "top_deviations")
 
 
 # ── streaming (M1–M4): stream over a file source = batch result ─────────────
 
 from vigil.plans import streams  # noqa: E402
+from vigil.streaming import scoring  # noqa: E402
 
 
 @register("m1_score_trades_stream")
@@ -1032,9 +1031,9 @@ def s1_read_transactions(spark, sf_dir):
     return readers.read_transactions(spark, path, schema=_TX_SCHEMA)
 
 
-@register("s3_sample_head")
+@register("s3_sample_head", V.with_(V.TRANSACTIONS) + "SELECT * FROM transactions ORDER BY TransactionID LIMIT 1000")
 def s3_sample_head(spark, sf_dir):
-    return readers.sample_head(tables.transactions(spark, sf_dir), 1000)
+    return readers.sample_head(tables.transactions(spark, sf_dir), 1000, ["TransactionID"])
 
 
 def _logs(spark, sf_dir) -> str:
@@ -1198,10 +1197,106 @@ def s2_read_columns(spark, sf_dir):
     return readers.read_columns(tables.predictions(spark, sf_dir), ["id", "not_logged", "fraud_score"])
 
 
-@register("k2_publish_trades")
+@register("k2_publish_trades", V.with_(V.PREDICTIONS) + """
+SELECT symbol AS key, id AS trade_id, symbol, price, quantity, trade_time AS trade_ms, is_buyer_maker, 'binance' AS source
+FROM predictions""")
 def k2_publish_trades(spark, sf_dir):
+    """The published messages, read back field by field."""
     out, _quarantine = trd.publish_frame(tables.trade_json(spark, sf_dir).select("value"))
-    return out.select(F.col("key").cast("string").alias("key"), "value")
+    at = lambda path, kind: F.get_json_object("value", f"$.{path}").cast(kind)
+    return out.select(F.col("key").cast("string").alias("key"), at("t", "bigint").alias("trade_id"),
+                      at("s", "string").alias("symbol"), at("p", "double").alias("price"),
+                      at("q", "double").alias("quantity"), at("T", "bigint").alias("trade_ms"),
+                      at("m", "boolean").alias("is_buyer_maker"), at("source", "string").alias("source"))
+
+
+# A scorer with given coefficients over the features a trade has, so that the
+# whole stream can be compared with SQL.
+_LINEAR = tr.LinearScorer({"TransactionAmt": 0.9, "hour_of_day": -0.05, "day_of_week": 0.1}, -4.5)
+_LINEAR_FEATURES = ["TransactionAmt", "card1", "day_of_week", "hour_of_day"]
+_LINEAR_MEANS = {"TransactionAmt": 4.0, "card1": 0.0, "day_of_week": 3.0, "hour_of_day": 11.5}
+_LINEAR_STDS = {"TransactionAmt": 1.5, "card1": 1.0, "day_of_week": 2.0, "hour_of_day": 7.0}
+_BROKEN_EVERY = 10             # every tenth message is cut short in the quarantine query
+
+
+def _linear_features(spark):
+    return feat.FeatureModel(
+        label="isFraud", feature_cols=_LINEAR_FEATURES, dropped=[], unlisted_strings=[],
+        log_transform_cols=["TransactionAmt"], categorical_cols=[],
+        encoders=spark.createDataFrame([], feat.ENCODER_SCHEMA), means=_LINEAR_MEANS, stds=_LINEAR_STDS,
+        class_weight=None)
+
+
+_SCORED = V.PREDICTIONS + """,
+raw AS (SELECT *, ln(1 + price * quantity) AS amt, CAST(hour(ts) AS DOUBLE) AS h, CAST(isodow(ts) - 1 AS DOUBLE) AS w
+        FROM predictions),
+scored AS (SELECT id AS trade_id, symbol, price, quantity, trade_time, is_buyer_maker, ts, amt, h, w,
+                  round(1 / (1 + exp(-(-4.5 + 0.9 * amt - 0.05 * h + 0.1 * w))), 6) AS fraud_score FROM raw)"""
+
+
+@register("m1_scored_log", V.with_(_SCORED) + """
+SELECT trade_id, symbol, price, quantity, trade_time, is_buyer_maker,
+       fraud_score, CAST(fraud_score >= 0.5 AS INTEGER) AS is_fraud, CAST(0.5 AS DOUBLE) AS threshold FROM scored""")
+def m1_scored_log(spark, sf_dir):
+    """M1 with given coefficients; its log through the drift job's reader."""
+    base = streams.score_events(spark, sf_dir, _linear_features(spark), _LINEAR)
+    log = readers.read_prediction_logs(spark, base + "/log", fmt="parquet")
+    return log.select("trade_id", "symbol", F.col("price").cast("double").alias("price"),
+                      F.col("quantity").cast("double").alias("quantity"), "trade_time", "is_buyer_maker",
+                      rnd(F.col("fraud_score")).alias("fraud_score"), "is_fraud", "threshold")
+
+
+@register("c_stream_log_to_drift", _d1_sql(0.05).replace(
+    V.with_(V.PREDICTIONS), V.with_(_SCORED.replace("predictions AS (", "base AS (", 1).replace(
+        "FROM predictions)", "FROM base)") + """,
+predictions AS (SELECT ts, fraud_score, CAST(fraud_score >= 0.5 AS INTEGER) AS is_fraud FROM scored)""")))
+def c_stream_log_to_drift(spark, sf_dir):
+    """Events streamed through M1, then the drift decision over that log."""
+    base = streams.score_events(spark, sf_dir, _linear_features(spark), _LINEAR)
+    log = readers.read_prediction_logs(spark, base + "/log", since=B_START, until=NOW, fmt="parquet")
+    return r6(drift.mean_shift_drift(log, NOW))
+
+
+@register("k2_quarantine", V.with_(V.PREDICTIONS) + f"""
+SELECT count(*) AS n_in, count(*) FILTER (WHERE id % {_BROKEN_EVERY} <> 0) AS n_scored,
+       count(*) FILTER (WHERE id % {_BROKEN_EVERY} = 0) AS n_quarantined FROM predictions""")
+def k2_quarantine(spark, sf_dir):
+    """Every message ends in the log or in the quarantine, also with dedup on."""
+    good = tables.trades(spark, sf_dir).select("trade_id").where(f"trade_id % {_BROKEN_EVERY} = 0").select(
+        F.concat(F.lit('{"t": '), F.col("trade_id").cast("string")).alias("value"))
+    whole = trd.parse_trades(tables.trade_json(spark, sf_dir).select("value")).where(
+        f"trade_id % {_BROKEN_EVERY} <> 0").select("value")
+    messages = whole.unionByName(good)
+    base = streams.score_events(spark, sf_dir, _linear_features(spark), _LINEAR, messages=messages,
+                                dedup_watermark="1 hour")
+    log = spark.read.parquet(base + "/log").agg(F.count(F.lit(1)).alias("n_scored")).withColumn("_k", F.lit(0))
+    bad = spark.read.parquet(base + "/quarantine").agg(F.count(F.lit(1)).alias("n_quarantined")).withColumn("_k", F.lit(0))
+    asked = messages.agg(F.count(F.lit(1)).alias("n_in")).withColumn("_k", F.lit(0))
+    return asked.join(log, "_k").join(bad, "_k").drop("_k")
+
+
+@register("k3_alerts", V.with_(_SCORED) + """
+SELECT trade_id, feature, round(deviation, 6) AS deviation, k AS place FROM (
+  SELECT trade_id, feature, deviation, row_number() OVER (PARTITION BY trade_id ORDER BY deviation DESC, feature DESC) AS k
+  FROM (SELECT trade_id, 'TransactionAmt' AS feature, abs((amt - 4.0) / 1.5) AS deviation FROM scored WHERE fraud_score >= 0.5
+        UNION ALL SELECT trade_id, 'day_of_week', abs((w - 3.0) / 2.0) FROM scored WHERE fraud_score >= 0.5
+        UNION ALL SELECT trade_id, 'hour_of_day', abs((h - 11.5) / 7.0) FROM scored WHERE fraud_score >= 0.5))""")
+def k3_alerts(spark, sf_dir):
+    """Alerts of the stream: the features of a flagged trade by deviation; the
+    filled ones (card1) are never among them."""
+    base = streams.score_events(spark, sf_dir, _linear_features(spark), _LINEAR)
+    alerts = spark.read.parquet(base + "/alerts")
+    items = alerts.select("trade_id", F.posexplode("top_deviations").alias("pos", "d"))
+    return items.select("trade_id", "d.feature", rnd(F.col("d.deviation")).alias("deviation"),
+                        (F.col("pos") + 1).cast("bigint").alias("place"))
+
+
+@register("f3_encode_many_values", V.with_(V.TRANSACTIONS) + """
+SELECT TransactionID, CAST(row_number() OVER (ORDER BY CAST(TransactionID AS VARCHAR)) - 1 AS DOUBLE) AS code FROM transactions""")
+def f3_encode_many_values(spark, sf_dir):
+    """F3/J4 with as many values as rows: encoders are a table throughout."""
+    t = tables.transactions(spark, sf_dir).select("TransactionID", F.col("TransactionID").cast("string").alias("code"))
+    return feat.join_encoders(t, feat.fit_encoders(t, ["code"]), ["code"])
 
 
 # ── entry C: the daily drift job over written logs ──────────────────────────

@@ -35,13 +35,21 @@ def _run(query) -> None:
 
 def scored_log_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     """M1 over the trade messages of ``events`` (JSON lines)."""
+    return spark.read.parquet(score_events(spark, sf_dir, run.features, run.model) + "/log")
+
+
+def score_events(spark: SparkSession, sf_dir: str, features, model, threshold: float = 0.5,
+                 messages: DataFrame | None = None, **options) -> str:
+    """Stream the trade messages of ``events`` (or ``messages``) through M1;
+    the folder holds ``log``, ``alerts`` and ``quarantine``."""
     base = scratch(spark, "m1")
-    src = _stage(tables.trade_json(spark, sf_dir).select("value"), f"{base}/src", "text")
-    raw = trade_stream(spark, "text", path=src)
-    q = scoring.start_scoring(raw, run.features, run.model, f"{base}/log", f"{base}/ckpt",
-                              alerts_path=f"{base}/alerts")
+    src = _stage((messages if messages is not None else tables.trade_json(spark, sf_dir)).select("value"),
+                 f"{base}/src", "text")
+    q = scoring.start_scoring(trade_stream(spark, "text", path=src), features, model, f"{base}/log", f"{base}/ckpt",
+                              alerts_path=f"{base}/alerts", quarantine_path=f"{base}/quarantine",
+                              threshold=threshold, **options)
     _run(q)
-    return spark.read.parquet(f"{base}/log")
+    return base
 
 
 _PRED_SCHEMA = ("id bigint, ts timestamp, symbol string, price double, quantity double, "

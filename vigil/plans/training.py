@@ -32,25 +32,23 @@ class TrainingRun:
 
 
 _RUNS: dict = {}
+MATRIX_PARTITIONS = 16     # fixed layout of the training matrix; raise it with the input, on purpose
 
 
 def training_run(spark: SparkSession, sf_dir: str, key: str = "TransactionID",
-                 label: str = "isFraud", **params) -> TrainingRun:
+                 label: str = "isFraud", layout: int = MATRIX_PARTITIONS, **params) -> TrainingRun:
     """Memoised per (input, params) within the session's process, so several
     registered queries over the same model train it once."""
-    memo = (sf_dir, tuple(sorted(params.items())))
+    memo = (spark.sparkContext.applicationId, sf_dir, key, label, layout, tuple(sorted(params.items())))
     if memo in _RUNS:
         return _RUNS[memo]
     raw = tables.transactions(spark, sf_dir)
     fm = feat.fit_features(raw, label=label)
     matrix = ev.stratified_split(fm.transform(raw, keep=[key]), label, [key])
-    # Boosting revisits the matrix every round, so it should span every core.
-    # A large input arrives in far more scan splits than cores and is left as
-    # is; only a small one (a single row group) is spread before the checkpoint.
-    cores = spark.sparkContext.defaultParallelism
-    if matrix.rdd.getNumPartitions() < cores:
-        matrix = matrix.repartition(cores)
-    matrix = cut_lineage(matrix)
+    # Row sampling in the boosted trees is seeded per partition, so the layout
+    # is part of the model: one hash layout by key for every input size and
+    # core count.
+    matrix = cut_lineage(matrix.repartition(layout, key))
     train_part, valid = matrix.where(~F.col("is_test")), matrix.where(F.col("is_test"))
     opts = dict(params)
     if opts.pop("early_stopping", True):

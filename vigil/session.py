@@ -21,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -70,11 +71,14 @@ def get_session(master: str | None = None, app: str = "vigil",
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, registering it with the
-    SparkContext. Only when the session names none (local runs, tests) do we
-    create a private temp folder."""
+    SparkContext. Only a local master may leave it unset (tests): we then
+    create a private temp folder; on a cluster that folder would not be shared,
+    so an unset one is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext

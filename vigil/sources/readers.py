@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,20 +45,78 @@ def read_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[c for c in cols if c in df.columns])
 
 
-def sample_head(df: DataFrame, n: int = 1000) -> DataFrame:
-    """S3: the first ``n`` rows for cheap validation (limit is pushed to the
-    scan; no full read)."""
-    return df.limit(n)
+def sample_head(df: DataFrame, n: int = 1000, order: list[str] | None = None) -> DataFrame:
+    """S3: the first ``n`` rows for cheap validation: of the scan (the limit is
+    pushed down, no full read), or, with ``order``, of that order, which makes
+    the sample repeatable (a top-n per partition, no full sort)."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def _ts(value) -> str:
     return value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else str(value)
 
 
+LOG_COLUMNS = [f.split()[0] for f in PREDICTION_LOG_SCHEMA.split(", ")]
+_LOG_TYPES = dict(f.split() for f in PREDICTION_LOG_SCHEMA.split(", "))
+
+
+def _missing_path(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
+def _log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of every log file, with its file and the file's time."""
+    return spark.read.text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn(
+        "_mtime", F.col("_metadata.file_modification_time"))
+
+
+def _is_header(line) -> object:
+    """A line that names known columns only; no line of values does."""
+    names = F.transform(F.split(line, ","), lambda x: F.trim(F.regexp_replace(x, '"', "")))
+    return (F.size(F.array_except(names, F.array(*map(F.lit, LOG_COLUMNS)))) == 0) & F.array_contains(
+        names, F.lit("fraud_score"))
+
+
+def _read_csv_logs(spark: SparkSession, path: str) -> DataFrame:
+    """Values are matched with columns by the header of their own file, so
+    files may order their columns differently or lack some. The distinct
+    headers (a few layouts, however many files) come to the driver; each
+    layout is parsed with its own order and the parts are united by name."""
+    lines = _log_lines(spark, path)
+    headers = lines.where(_is_header(F.col("value"))).select("_file", F.col("value").alias("_header")).distinct()
+    keep = [c for c in lines.columns if c not in ("value", "_file")]
+    parts = []
+    for r in headers.select("_header").distinct().orderBy("_header").collect():
+        names = [x.strip().strip('"') for x in r["_header"].split(",")]
+        schema = ", ".join(f"{n} {_LOG_TYPES[n]}" for n in names)
+        own = headers.where(F.col("_header") == r["_header"]).select("_file")
+        rows = lines.join(own, "_file", "left_semi").where((F.col("value") != r["_header"]) & (F.col("value") != ""))
+        parts.append(rows.select(*keep, F.from_csv("value", schema).alias("r")).select(*keep, "r.*"))
+    if not parts:
+        return lines.where(F.lit(False)).select(
+            *keep, *[F.lit(None).cast(t).alias(c) for c, t in _LOG_TYPES.items()])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def rejected_log_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason) of the CSV log files whose rows ``read_prediction_logs``
+    cannot take: they have lines, but no header of known columns."""
+    lines = _log_lines(spark, path).where(F.col("value") != "")
+    per_file = lines.groupBy(F.col("_file").alias("file")).agg(
+        F.count_if(_is_header(F.col("value"))).alias("headers"))
+    return per_file.where("headers = 0").select("file", F.lit("no header of known columns").alias("reason"))
+
+
 def read_prediction_logs(spark: SparkSession, path: str, since=None, until=None,
-                         by: str = "row", strict: bool = False) -> DataFrame:
-    """S4/S5 (+U1): every log file under ``path`` concatenated (union by
-    schema), unparsable files skipped, nothing → empty typed frame.
+                         by: str = "row", strict: bool = False, fmt: str = "csv") -> DataFrame:
+    """S4/S5 (+U1): every log file under ``path`` concatenated by column name
+    (a column that a file lacks is null); a missing path is an empty typed
+    frame. Reads what both writers leave: the batch writer's CSV and the stream
+    writer's Parquet (``fmt``). Unreadable files fail the job; files without a
+    usable header are listed by ``rejected_log_files``.
 
     ``by="row"``   keeps rows whose parsed ``timestamp`` is in range; with a
                    ``dt=`` date layout the date predicate prunes partitions.
@@ -65,18 +124,22 @@ def read_prediction_logs(spark: SparkSession, path: str, since=None, until=None,
                    rule) through the hidden ``_metadata`` column, which reaches
                    the scan's data filters.
     ``strict`` makes the lower bound exclusive (S5)."""
-    r = spark.read.option("header", "true").option("ignoreCorruptFiles", "true") \
-        .option("recursiveFileLookup", "false").schema(PREDICTION_LOG_SCHEMA)
     try:
-        df = r.csv(path)
-    except Exception as e:  # noqa: BLE001 — missing path → empty frame
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+        if fmt == "csv":
+            df = _read_csv_logs(spark, path)
+        else:
+            df = spark.read.option("mergeSchema", "true").format(fmt).load(path).withColumn(
+                "_mtime", F.col("_metadata.file_modification_time"))
+    except AnalysisException as e:
+        if not _missing_path(e):
             raise
         return spark.createDataFrame([], PREDICTION_LOG_SCHEMA).withColumn(
             "ts", F.lit(None).cast("timestamp"))
-    df = df.withColumn("ts", F.to_timestamp("timestamp"))
+    extra = [c for c in ("dt", "_mtime") if c in df.columns]
+    df = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in _LOG_TYPES.items()],
+                   *extra).withColumn("ts", F.to_timestamp("timestamp"))
     if by == "mtime":
-        col = F.col("_metadata.file_modification_time")
+        col = F.col("_mtime")
     else:
         col = F.col("ts")
         if "dt" in df.columns:
@@ -91,7 +154,7 @@ def read_prediction_logs(spark: SparkSession, path: str, since=None, until=None,
         df = df.where(col > lo if strict else col >= lo)
     if until is not None:
         df = df.where(col <= F.lit(_ts(until)).cast("timestamp"))
-    return df
+    return df.drop("_mtime")
 
 
 def read_metric_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -99,8 +162,8 @@ def read_metric_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     left-join / coalesce for the "none" case)."""
     try:
         return spark.read.schema(schema).json(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+    except AnalysisException as e:
+        if not _missing_path(e):
             raise
         return spark.createDataFrame([], schema)
 

@@ -14,10 +14,9 @@ from vigil.functions.bins import equal_width_bin
 
 def write_prediction_log(log: DataFrame, path: str, fmt: str = "csv",
                          max_records_per_file: int | None = None) -> None:
-    """K1 (batch form): the 10-column log with a header, partitioned by
-    date so readers prune by ``dt``; an empty input writes nothing."""
-    if log.isEmpty():
-        return
+    """K1 (batch form): append a flush of the 10-column log, with a header,
+    partitioned by date so readers prune by ``dt``. Earlier flushes stay; an
+    empty input adds no row."""
     ts = F.col("ts")
     out = log.select(
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
@@ -26,7 +25,7 @@ def write_prediction_log(log: DataFrame, path: str, fmt: str = "csv",
         F.col("quantity").cast("string").alias("quantity"),
         "trade_time", "is_buyer_maker", "fraud_score", "is_fraud", "threshold",
         F.to_date(ts).alias("dt"))
-    w = out.write.mode("overwrite").option("header", "true").partitionBy("dt")
+    w = out.write.mode("append").option("header", "true").partitionBy("dt")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.format(fmt).save(path)
@@ -61,8 +60,10 @@ def baseline_tables(train: DataFrame, features: list[str], bins: int = PSI_BINS)
     moments = feature_moments(train, features)
     long = train.select(*[F.col(c).cast("double").alias(c) for c in features]) \
         .unpivot([], features, "feature", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    # The range is one row per feature: it is aggregated map-side and attached
+    # as a broadcast (bounded by the feature list), so raw rows never move.
     rng = long.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    hist = (long.join(rng, "feature")
+    hist = (long.join(F.broadcast(rng), "feature")
             .groupBy("feature", "lo", "hi", equal_width_bin(F.col("v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n")))
     return moments, hist

@@ -1,21 +1,26 @@
 """Live scoring and stream aggregates (M1–M3, K1, K3).
 
 M1 is ``readStream → parse (F13) → map (F10) → score (E7) → flag (P4)`` and a
-``foreachBatch`` that writes the prediction log (K1) and the alerts (K3).
-Each micro-batch overwrites only its own ``batch`` partition (dynamic
-partition overwrite), so a batch replayed after a failure rewrites the same
-files instead of duplicating rows; an empty batch writes nothing.
+``foreachBatch`` that writes the prediction log (K1), the alerts (K3) and the
+quarantine of messages that are not JSON. The log has the ten columns of the
+batch writer, so the drift job reads either. Each micro-batch overwrites only
+its own ``run``/``batch`` partition (dynamic partition overwrite), so a batch
+replayed after a failure rewrites the same files instead of duplicating rows,
+and a query with a new checkpoint does not touch the batches of an older one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.scalars import flag, round6
 from vigil.operators import trades as trd
 from vigil.operators import train
 from vigil.operators.train import top_deviations
+from vigil.sources.readers import LOG_COLUMNS
 
 DEFAULT_WATERMARK = "10 seconds"
 STATUS_METRICS = "scorer_status"
@@ -24,43 +29,56 @@ VOLUME_WIDTH = "5 seconds"
 
 def score_trades(raw: DataFrame, features, model, threshold: float = 0.5,
                  scale: bool = False) -> DataFrame:
-    """Parse → map → score → flag; works on batch and streaming frames.
-    Unparsable input scores −1.0 and is never flagged."""
-    parsed = trd.parse_trades(raw)
-    mapped = trd.map_trade(parsed, features.feature_cols, features.log_transform_cols,
-                           model=features, scale=scale)
-    scored = train.score(model, mapped, valid=trd.inputs_valid())
+    """Parse → map → score → flag; works on batch and streaming frames. The log
+    columns, ``parsed``, the raw message and ``features`` (unscaled values, a
+    struct). A message without numbers where they belong scores −1.0 and is
+    never flagged; one that is not JSON has ``parsed`` false. ``scale`` applies
+    the fitted scaler to what the model sees."""
+    cols = list(features.feature_cols)
+    mapped = trd.map_trade(trd.parse_trades(raw), cols, features.log_transform_cols)
+    told = mapped.withColumn("_told", F.struct(*cols))
+    if scale:
+        told = told.withColumns({
+            c: F.lit(0.0) if not features.stds[c] else (F.col(c) - F.lit(features.means[c])) / F.lit(features.stds[c])
+            for c in cols})
+    scored = train.score(model, told, valid=trd.inputs_valid())
+    made = F.coalesce("trade_ms", "event_ms")
     return scored.select(
-        F.col("_trade_id").alias("trade_id"), F.col("_symbol").alias("symbol"),
-        F.col("_price").alias("price"), F.col("_quantity").alias("quantity"),
-        F.coalesce("trade_ms", "event_ms").alias("trade_time"),
-        F.col("is_buyer_maker"),
+        F.date_format(F.timestamp_millis(made), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "trade_id", F.col("_symbol").alias("symbol"),
+        F.col("_price").cast("string").alias("price"), F.col("_quantity").cast("string").alias("quantity"),
+        made.alias("trade_time"), F.col("is_buyer_maker"),
         round6(F.col("fraud_score")).alias("fraud_score"),
         flag("fraud_score", threshold).alias("is_fraud"),
         F.lit(float(threshold)).alias("threshold"),
-        *features.feature_cols)
+        F.col("_parsed").alias("parsed"), F.col("value").alias("message"), F.col("_told").alias("features"))
+
 
+def log_writer(log_path: str, alerts_path: str | None = None, features=None, k: int = 5,
+               quarantine_path: str | None = None, run: str = "0"):
+    """K1 + K3 + quarantine as a ``foreachBatch`` function. ``dt`` is the day of
+    the trade, or of arrival when the trade names none, so date pruning loses no
+    row; ``run`` keeps queries with different checkpoints apart."""
+    def put(out: DataFrame, path: str) -> None:
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt", "run", "batch").parquet(path))
 
-def log_writer(log_path: str, alerts_path: str | None = None, feature_cols=(), k: int = 5):
-    """K1 + K3 as a ``foreachBatch`` function."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # Persist first: the batch plan (scoring, observed metrics) then runs
         # once, whatever number of actions follow.
         batch = batch.persist()
         try:
-            if batch.isEmpty():
-                return
-            out = batch.withColumn("batch", F.lit(int(batch_id))) \
-                .withColumn("dt", F.to_date(F.timestamp_millis("trade_time")))
-            log_cols = [c for c in out.columns if c not in set(feature_cols)]
-            (out.select(*log_cols).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch", "dt").parquet(log_path))
+            out = batch.withColumns({
+                "run": F.lit(run), "batch": F.lit(int(batch_id)),
+                "dt": F.to_date(F.coalesce(F.timestamp_millis("trade_time"), F.current_timestamp()))})
+            keys = ["dt", "run", "batch"]
+            put(out.where("parsed").select(*LOG_COLUMNS, *keys), log_path)
+            if quarantine_path:
+                put(out.where(~F.col("parsed")).select("message", *keys), quarantine_path)
             if alerts_path:
-                alerts = top_deviations(out.where(F.col("is_fraud") == 1), list(feature_cols), k)
-                (alerts.select(*log_cols, "top_deviations").write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch", "dt").parquet(alerts_path))
+                alerts = top_deviations(out.where(F.col("parsed") & (F.col("is_fraud") == 1)), features.feature_cols, k,
+                                        features.means, features.stds, values="features")
+                put(alerts.select(*LOG_COLUMNS, "top_deviations", *keys), alerts_path)
         finally:
             batch.unpersist()
     return write
@@ -68,28 +86,35 @@ def log_writer(log_path: str, alerts_path: str | None = None, feature_cols=(), k
 
 def start_scoring(raw_stream: DataFrame, features, model, log_path: str, checkpoint: str,
                   alerts_path: str | None = None, threshold: float = 0.5, trigger: dict | None = None,
-                  dedup_watermark: str | None = None):
-    """M1. ``dedup_watermark`` enables ``dropDuplicatesWithinWatermark`` on
-    (symbol, trade id) for at-least-once sources."""
-    scored = score_trades(raw_stream, features, model, threshold)
+                  dedup_watermark: str | None = None, quarantine_path: str | None = None, scale: bool = False):
+    """M1. ``dedup_watermark`` drops repeats of a (symbol, trade id) that arrive
+    within that time of each other, for at-least-once sources. Time of arrival
+    is what is compared, so an old trade is never late; messages without an id
+    are not comparable and all stay."""
+    scored = score_trades(raw_stream, features, model, threshold, scale)
+    if dedup_watermark:
+        known = F.col("parsed") & F.col("trade_id").isNotNull()
+        scored = (scored.withColumns({
+            "_arrived": F.current_timestamp(),
+            "_same": F.when(known, F.concat_ws(":", "symbol", F.col("trade_id").cast("string"))).otherwise(F.uuid())})
+            .withWatermark("_arrived", dedup_watermark)
+            .dropDuplicatesWithinWatermark(["_same"]).drop("_arrived", "_same"))
     # A20 live: per-batch reader status in StreamingQueryProgress.observedMetrics.
     scored = scored.observe(
         STATUS_METRICS, F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("fraud_score") < 0).alias("errors"),
         F.max("trade_time").alias("last_trade_ms"))
-    if dedup_watermark:
-        scored = (scored.withColumn("_et", F.timestamp_millis("trade_time"))
-                  .withWatermark("_et", dedup_watermark)
-                  .dropDuplicatesWithinWatermark(["symbol", "trade_id"]).drop("_et"))
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     w = scored.writeStream.foreachBatch(
-        log_writer(log_path, alerts_path, features.feature_cols)).option("checkpointLocation", checkpoint)
+        log_writer(log_path, alerts_path, features, quarantine_path=quarantine_path, run=run)).option(
+        "checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
 def reader_status(query) -> dict:
-    """A20 from the live query: totals summed over the observed metrics of
-    the batches still in ``recentProgress``; last trade time of the latest."""
+    """A20 of the recent batches of a live query (as many as Spark keeps the
+    progress of); ``log_status`` has the totals."""
     total = errors = 0
     last = None
     for p in query.recentProgress:
@@ -102,6 +127,19 @@ def reader_status(query) -> dict:
     return {"total": total, "errors": errors, "last_trade_ms": last}
 
 
+def log_status(spark: SparkSession, log_path: str, quarantine_path: str | None = None) -> DataFrame:
+    """A20 totals from the tables the stream writes, whatever its age: messages,
+    errors (failed scores and quarantined messages), time of the last trade."""
+    rows = spark.read.parquet(log_path).select("fraud_score", "trade_time")
+    out = rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("fraud_score") < 0).alias("errors"),
+                   F.max("trade_time").alias("last_trade_ms"))
+    if quarantine_path is None:
+        return out
+    bad = spark.read.schema("message string, dt date").parquet(quarantine_path).agg(F.count(F.lit(1)).alias("bad"))
+    return out.join(bad).select((F.col("total") + F.col("bad")).alias("total"),
+                                (F.col("errors") + F.col("bad")).alias("errors"), "last_trade_ms")
+
+
 def running_totals(scored: DataFrame) -> DataFrame:
     """M2: total scored, flagged, flag rate (complete/update output mode)."""
     agg = scored.groupBy().agg(F.count(F.lit(1)).alias("total"),

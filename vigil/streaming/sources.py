@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "earliest",
-                         max_offsets_per_trigger: int | None = None) -> dict:
+                         max_offsets_per_trigger: int | None = None,
+                         fail_on_data_loss: bool = True) -> dict:
     """M6: ``earliest`` (the scorer) or ``latest`` (the dashboard reader);
-    progress lives in the query checkpoint, not in consumer-group commits."""
+    progress lives in the query checkpoint, not in consumer-group commits.
+    Expired offsets stop the query unless the caller accepts the loss."""
     if starting not in ("earliest", "latest"):
         raise ValueError(starting)
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting, "failOnDataLoss": str(bool(fail_on_data_loss)).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
