@@ -21,6 +21,36 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from vigil.session import get_session  # noqa: E402
 
 
+def wide_frame(spark, sf_dir: str):
+    """64 feature columns and a label from the vectors of ``embeddings``."""
+    from pyspark.sql import functions as F
+
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return e.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(64)],
+                    (F.col("label") % 2).cast("int").alias("isFraud"))
+
+
+def wide(spark, sf_dir: str) -> dict:
+    """Seconds and cells per second of the per-column operators at 64 columns."""
+    from vigil.operators import features, profile
+
+    df = wide_frame(spark, sf_dir)
+    cols = [c for c in df.columns if c.startswith("f")]
+    cells = df.count() * len(cols)
+    runs = {
+        "a1_null_rates": lambda: profile.null_rates(df, cols),
+        "f5_scaler": lambda: features.fit_scaler(df, cols),
+        "f7_fit_apply": lambda: features.fit_features(df, categorical=[], drop_cols=["vec_id"]).transform(df),
+    }
+    out = {"cells": cells}
+    for name, run in runs.items():
+        t0 = time.perf_counter()
+        run().write.format("noop").mode("overwrite").save()
+        s = time.perf_counter() - t0
+        out[name] = {"sec": round(s, 3), "cells_per_sec": round(cells / s)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -51,6 +81,7 @@ def main() -> None:
         "metric": "headline_total_wall", "value": round(sum(timings.values()), 3), "unit": "sec",
         "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus, "rows_in": {"lineitem": n_lineitem, "events": n_events},
+        "wide": wide(spark, sf_dir),
         "train_trees": training.training_run(spark, sf_dir).model.stages[-1].getNumTrees,
     }))
     spark.stop()

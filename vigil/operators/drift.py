@@ -120,8 +120,9 @@ def daily_mean_shift_drift(log: DataFrame, first_day, last_day, window_hours: fl
     Each row is copied to the as-of days whose range ``[as_of − window −
     baseline, as_of]`` holds it: at most ⌈range/1 day⌉ + 1 copies, a bounded
     expansion inside the task, never a join of days with rows. Then D1's
-    conditional aggregates grouped by ``as_of``. Days whose range holds no row
-    have no report."""
+    conditional aggregates grouped by ``as_of``. Without groups every day has a
+    row; one whose range holds no row of the log reports no scores and no
+    drift, as D1 does. With groups, a group has rows for its own days."""
     first_day = _dt.date.fromisoformat(first_day) if isinstance(first_day, str) else first_day
     last_day = _dt.date.fromisoformat(last_day) if isinstance(last_day, str) else last_day
     if isinstance(first_day, _dt.datetime):
@@ -146,8 +147,17 @@ def daily_mean_shift_drift(log: DataFrame, first_day, last_day, window_hours: fl
     expanded = (df.select(*by, ts_col, score_col, flag_col, F.explode(days).alias("_day"))
                 .withColumn("as_of", F.col("_day").cast(ts_type)))
     w_start = as_of - F.expr(f"make_dt_interval(0, 0, 0, {float(window_hours * 3600)})")
-    return _shift_by_period(expanded, F.col(ts_col) >= w_start, [*by, "as_of"], threshold, min_n,
-                            window_hours, baseline_days, score_col, flag_col)
+    out = _shift_by_period(expanded, F.col(ts_col) >= w_start, [*by, "as_of"], threshold, min_n,
+                           window_hours, baseline_days, score_col, flag_col)
+    if by or last_day < first_day:
+        return out
+    days = log.sparkSession.range((last_day - first_day).days + 1).select(
+        F.date_add(F.lit(first_day), F.col("id").cast("int")).cast(ts_type).alias("as_of"))
+    fill = {"window_n": F.lit(0).cast("bigint"), "baseline_n": F.lit(0).cast("bigint"),
+            "drift_detected": F.lit(False), "threshold": F.lit(float(threshold)),
+            "window_hours": F.lit(float(window_hours)), "baseline_days": F.lit(float(baseline_days))}
+    full = days.join(out, "as_of", "left")
+    return full.select(*[F.coalesce(F.col(c), fill[c]).alias(c) if c in fill else F.col(c) for c in out.columns])
 
 
 def drift_decision(result: DataFrame) -> DataFrame:

@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions import scalars
 from vigil.functions.scalars import round_to
 from vigil.operators import drift
 from vigil.plans import sql_views as V
+from vigil.session import cut_lineage
 from vigil.sources import tables
 
 QUERIES: dict = {}
@@ -779,8 +781,17 @@ def e2_roc_auc_by_segment(spark, sf_dir):
 # T4: a metrics history — exact AUC of the labelled scores per segment and
 # ship month, one metrics row per (segment, deployed_at) — and the current
 # model per segment, the row with the latest deployed_at.
-@register("t4_current_model", f"""
-WITH ls AS (SELECT l_linestatus AS segment, date_trunc('month', l_shipdate) AS deployed_at,
+def _auc_history(spark, sf_dir):
+    """Exact AUC per segment and month: a history of deployed metrics."""
+    li = tables.read_table(spark, sf_dir, "lineitem")
+    scored = li.select(F.col("l_linestatus").alias("segment"),
+                       F.date_trunc("month", "l_shipdate").alias("deployed_at"),
+                       (F.col("l_returnflag") == "R").cast("int").alias("label"),
+                       F.least(F.col("l_extendedprice") / 100000.0, F.lit(1.0)).alias("score"))
+    return ev.roc_auc(scored, by=["segment", "deployed_at"])
+
+
+_AUC_HISTORY_SQL = """WITH ls AS (SELECT l_linestatus AS segment, date_trunc('month', l_shipdate) AS deployed_at,
                    CAST(l_returnflag = 'R' AS INTEGER) AS label,
                    least(l_extendedprice / 100000.0, 1.0) AS score FROM lineitem),
 g AS (SELECT segment, deployed_at, score, count(*) FILTER (WHERE label = 1) AS pos,
@@ -791,19 +802,67 @@ m AS (SELECT segment, deployed_at,
                / NULLIF(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc,
              CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
       FROM c GROUP BY segment, deployed_at)
+"""
+
+
+@register("t4_current_model", _AUC_HISTORY_SQL + f"""
 SELECT segment, {SQL_TS.format(c='deployed_at')} AS deployed_at, round(auc, 6) AS auc, n_pos, n_neg
 FROM m QUALIFY row_number() OVER (PARTITION BY segment ORDER BY deployed_at DESC) = 1""")
 def t4_current_model(spark, sf_dir):
-    li = tables.read_table(spark, sf_dir, "lineitem")
-    scored = li.select(F.col("l_linestatus").alias("segment"),
-                       F.date_trunc("month", "l_shipdate").alias("deployed_at"),
-                       (F.col("l_returnflag") == "R").cast("int").alias("label"),
-                       F.least(F.col("l_extendedprice") / 100000.0, F.lit(1.0)).alias("score"))
-    metrics = ev.roc_auc(scored, by=["segment", "deployed_at"])
+    metrics = _auc_history(spark, sf_dir)
     cur = tr.current_model(metrics, key=["segment"], ts_col="deployed_at")
     return r6(cur.select("segment", ts_text("deployed_at"), "auc", "n_pos", "n_neg"))
 
 
+@register("e9_gate_outcomes", _AUC_HISTORY_SQL + f"""
+SELECT c.segment, {SQL_TS.format(c='c.deployed_at')} AS deployed_at, round(c.auc, 6) AS auc,
+       round(p.auc, 6) AS current_auc, round(c.auc - p.auc, 6) AS improvement,
+       CASE WHEN c.auc IS NULL THEN false WHEN p.auc IS NULL THEN true ELSE c.auc - p.auc >= 0.005 END AS deploy,
+       CASE WHEN c.auc IS NULL THEN 'skip_no_auc' WHEN p.auc IS NULL THEN 'first_deployment'
+            WHEN c.auc - p.auc >= 0.005 THEN 'deploy' ELSE 'keep_current' END AS reason
+FROM m c LEFT JOIN m p ON c.segment = p.segment AND p.deployed_at + INTERVAL 1 MONTH = c.deployed_at""")
+def e9_gate_outcomes(spark, sf_dir):
+    """E9 against stored metrics: every month's model of a segment is the
+    candidate to the month before it; all four outcomes occur."""
+    history = cut_lineage(_auc_history(spark, sf_dir).select("segment", "deployed_at", "auc"))
+    stored = history.select("segment", F.add_months("deployed_at", 1).cast("timestamp").alias("deployed_at"), "auc")
+    gate = joins.compare_models(history.withColumn("deployed_at", F.col("deployed_at").cast("timestamp")), stored,
+                                key=["segment", "deployed_at"])
+    return r6(gate.select("segment", ts_text("deployed_at"), "auc", "current_auc", "improvement", "deploy", "reason"))
+
+
+@register("f11_round6", """
+SELECT event_id, round(value / 7.0, 6) AS rounded FROM events""")
+def f11_round6(spark, sf_dir):
+    ev_ = tables.read_table(spark, sf_dir, "events")
+    return ev_.select("event_id", scalars.round6(F.col("value") / 7.0).alias("rounded"))
+
+
+@register("p3_order_features", V.with_(V.TRANSACTIONS) + """
+SELECT TransactionID, coalesce(card1, -999.0) AS v0, CAST(-999 AS DOUBLE) AS v1, coalesce(TransactionAmt, -999.0) AS v2
+FROM transactions""")
+def p3_order_features(spark, sf_dir):
+    t = trd.order_features(tables.transactions(spark, sf_dir), ["card1", "not_there", "TransactionAmt"])
+    return t.select("TransactionID", *[F.get("feature_vector", F.lit(k)).alias(f"v{k}") for k in range(3)])
+
+
+@register("e12_retrain_history", V.with_(V.PREDICTIONS) + """,
+r AS (SELECT strftime(ts, '%Y-%m-%d') AS completed_at, count(*) AS n_rows, round(avg(fraud_score), 6) AS score
+      FROM predictions GROUP BY 1)
+SELECT completed_at, CASE WHEN n_rows % 2 = 0 THEN 'drift_detection' ELSE 'manual' END AS triggered_by, n_rows, score
+FROM r QUALIFY row_number() OVER (ORDER BY completed_at DESC) <= 20""")
+def e12_retrain_history(spark, sf_dir):
+    """S7 + E12: one report per day appended as JSON documents, read back with
+    a schema; the latest 20, a missing trigger reads as manual."""
+    p = tables.predictions(spark, sf_dir)
+    daily = p.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("completed_at")).agg(
+        F.count(F.lit(1)).alias("n_rows"), rnd(F.avg("fraud_score")).alias("score"))
+    path = streams.scratch(spark, "retrain")
+    daily.withColumn("triggered_by", F.when(F.col("n_rows") % 2 == 0, "drift_detection")).write.json(path)
+    docs = readers.read_metric_docs(spark, path, "completed_at string, triggered_by string, n_rows bigint, score double")
+    return tr.retrain_history(docs, 20).select("completed_at", "triggered_by", "n_rows", "score")
+
+
 _E3_SQL = V.with_(V.LABELLED) + f""",
 th AS (SELECT unnest({_TH_SQL}) AS threshold),
 c AS (SELECT threshold,

@@ -111,7 +111,8 @@ def running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 in update mode: every batch appends the buckets it changed with its
+    """M3 in update mode over the log replayed in time order, so no row is
+    behind the watermark: every batch appends the buckets it changed with its
     batch id; the current value of a bucket is its latest row."""
     base = scratch(spark, "m3")
     out = f"{base}/out"
@@ -120,7 +121,8 @@ def volume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         (batch.withColumn("batch", F.lit(int(bid))).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out))
 
-    q = (scoring.volume_stream(_prediction_source(spark, sf_dir, base, True))
+    src = _prediction_source(spark, sf_dir, base, True, files_per_trigger=4, rows_per_file=800)
+    q = (scoring.volume_stream(src)
          .writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     _run(q)
