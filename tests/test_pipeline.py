@@ -142,8 +142,9 @@ def test_log_reader_mtime_mode_and_missing_path(spark, tmp_dir):
 
 def test_read_transactions_empty_dir_raises(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "empty"))
-    with pytest.raises(Exception):
-        readers.read_transactions(spark, os.path.join(tmp_dir, "empty"), schema="a int")
+    for name in ("empty", "missing"):
+        with pytest.raises(readers.EmptyInputError):
+            readers.read_transactions(spark, os.path.join(tmp_dir, name), schema="a int")
 
 
 def test_export_label_first(spark, tmp_dir):

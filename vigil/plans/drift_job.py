@@ -26,15 +26,10 @@ def run_drift_job(spark: SparkSession, log_path: str, reports_path: str, now: _d
         logs, now, threshold=threshold, by=by, exclude_failed=exclude_failed)).cache()
     try:
         stamp = now.replace(tzinfo=_dt.timezone.utc)
-        sinks.append_report(result.select(F.to_json(F.struct("*")).alias("document")),
-                            reports_path, "drift", at=stamp)
-        alert = drift.drift_alert(result)
-        if not alert.isEmpty():
-            sinks.append_report(alert.select(F.to_json(F.struct("*")).alias("document")),
-                                reports_path, "drift_alert", at=stamp)
-            request = drift.retrain_request(result, stamp.isoformat())
-            sinks.append_report(request.select(F.to_json(F.struct("*")).alias("document")),
-                                reports_path, "retrain_request", at=stamp)
+        # Alert and request are projections that keep the drifted rows only.
+        sinks.append_report(result, reports_path, "drift", at=stamp)
+        sinks.append_report(drift.drift_alert(result), reports_path, "drift_alert", at=stamp)
+        sinks.append_report(drift.retrain_request(result, stamp.isoformat()), reports_path, "retrain_request", at=stamp)
         return result.select(*result.columns)
     finally:
         result.unpersist()

@@ -1204,7 +1204,9 @@ def s8_latest_drift_reports(spark, sf_dir):
         tables.predictions(spark, sf_dir), FIRST_DAY, NOW.date()))
     path = streams.scratch(spark, "k7")
     sinks.append_report(daily.withColumn("as_of", ts_text("as_of")), path, "drift")
-    reports = spark.read.parquet(path).where(F.col("kind") == "drift")
+    reports = readers.read_reports(spark, path, "drift", "as_of string, window_n bigint, baseline_n bigint, "
+                                   "window_mean double, baseline_mean double, drift_score double, "
+                                   "drift_detected boolean, decision string")
     latest = readers.latest_reports(reports, 20, "as_of")
     return r6(latest.select("as_of", "window_n", "baseline_n", "window_mean", "baseline_mean",
                             "drift_score", "drift_detected", "decision"))

@@ -28,14 +28,21 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
                       schema: str | None = None) -> DataFrame:
     """Headered CSV (or parquet) of raw transactions; an input without
     files is an error, as in the reference trainer."""
+    try:
+        # Paths only: no content is read, no list of files comes to the driver.
+        none = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if not _missing_path(e):
+            raise
+        none = True
+    if none:
+        raise EmptyInputError(f"no input files under {path}")
     if fmt == "csv":
         r = spark.read.option("header", "true")
         r = r.schema(schema) if schema else r.option("inferSchema", "true")
         df = r.csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    if not df.inputFiles():
-        raise EmptyInputError(f"no input files under {path}")
     return df
 
 
@@ -168,6 +175,19 @@ def read_metric_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def read_reports(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """The reports of one kind with their documents as columns; a missing
+    dataset is an empty typed frame."""
+    try:
+        rows = spark.read.schema("document string, reported_at string, kind string").parquet(path)
+    except AnalysisException as e:
+        if not _missing_path(e):
+            raise
+        rows = spark.createDataFrame([], "document string, reported_at string, kind string")
+    return rows.where(F.col("kind") == kind).select("reported_at", F.from_json("document", schema).alias("d")).select(
+        "reported_at", "d.*")
+
+
 def latest_reports(reports: DataFrame, n: int = 20, order_col: str = "completed_at") -> DataFrame:
     """The last ``n`` reports, returned oldest first."""
     return reports.orderBy(F.desc(order_col)).limit(n).orderBy(order_col)

@@ -42,9 +42,12 @@ def export_label_first(matrix: DataFrame, feature_cols: list[str], label: str, p
 
 
 def append_report(report: DataFrame, path: str, kind: str, at: _dt.datetime | None = None) -> None:
-    """K7: append a report row to the ``reports`` dataset partitioned by kind."""
+    """K7: append the rows of a report to the ``reports`` dataset, partitioned
+    by kind. Every kind has one shape, ``reported_at`` and the row as a JSON
+    ``document`` (``readers.read_reports`` takes it apart); no rows append
+    nothing."""
     stamp = (at or _dt.datetime.now(_dt.timezone.utc)).isoformat()
-    (report.withColumn("kind", F.lit(kind)).withColumn("reported_at", F.lit(stamp))
+    (report.select(F.to_json(F.struct("*")).alias("document"), F.lit(stamp).alias("reported_at"), F.lit(kind).alias("kind"))
      .write.mode("append").partitionBy("kind").parquet(path))
 
 
