@@ -105,6 +105,34 @@ def test_prefixes_share_a_token_under_each_order():
             assert len(np.intersect1d(nj._prefix(x, full, x[:3])[1], nj._prefix(y, full, x[:3])[1]))
 
 
+def test_sketches_bound_the_difference(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**48, 200).astype(np.uint64))]
+    for _ in range(30):
+        keep = sets[-1][rng.random(len(sets[-1])) < 0.93]
+        sets.append(np.unique(np.concatenate([keep, rng.integers(0, 2**48, 12).astype(np.uint64)])))
+    df = spark.createDataFrame([(bytes([i]), nj.pack(s)) for i, s in enumerate(sets)], "cls binary, tokens binary")
+    bits = {r["cls"][0]: [r[c] for c in nj.SKETCH_COLUMNS] for r in nj.sketches(df).collect()}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            apart = sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(bits[i], bits[j]))
+            assert apart <= len(np.setxor1d(x, y)) and (i != j or apart == 0)
+
+
+def test_family_of_loose_copies(spark):
+    """Edits of one text: the pairs around the threshold decide the components."""
+    rng = random.Random(11)
+    words = prose(77, 150).split()
+    rows = []
+    for k in range(120):
+        own = list(words)
+        for _ in range(rng.randrange(0, 9)):
+            own[rng.randrange(len(own))] = f"edit{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    got = sorted(map(tuple, nj.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=order)
+    assert got == sorted(brute(rows), key=order)
+
+
 def test_pack_round_trip():
     x = np.unique(np.random.default_rng(1).integers(0, 2**48, 100).astype(np.uint64))
     assert (nj.unpack(nj.pack(x)) == x).all() and len(nj.pack(x)) == 6 * len(x)

@@ -16,9 +16,9 @@ pair must pass this test under three orders:
    before their full overlap is counted.
 
 Which class a token has is read from corpus counts: all tokens of the hash
-region below ``REGION`` are counted over all documents, a bit array of fixed
+region below ``Bounds.region`` are counted over all documents, a bit array of fixed
 size marks the repeated ones (a false mark only moves a token to a later
-class), and the ``HOT_TOKENS`` most frequent ones are listed. Any outcome gives
+class), and the most frequent ones are listed. Any outcome gives
 a total order, so the join is exact whatever these bounds are; they bound what
 is broadcast.
 
@@ -26,7 +26,12 @@ Equal sets are one class and meet only once. Within a posting list each class
 is first compared with one leader (the class with the smallest share of unique
 tokens), which joins families of near copies with a linear number of pairs; then
 the pairs of classes that are in different components are compared, so no link
-between components is lost.
+between components is lost. Those pairs must also pass the length and
+positional filters and a parity sketch, a lower bound of the sets' difference,
+inside the join, which keeps families of loosely similar texts (thousands of
+edits of one text that are mostly further apart than the threshold) from being
+written out as pairs. The comparisons inside such a family still grow with the
+square of its size.
 
 Nulls, empty texts and texts without words have an empty set and link with
 nothing (their component is their own id). Repeated rows are one class. A null
@@ -36,24 +41,40 @@ id never becomes a component id unless its whole component has no other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import WordHashes, byte_list, map_batches, shared_table, window_hashes
+from vigil.llm.common import WordHashes, byte_list, map_batches, mix, shared_table, window_hashes
 from vigil.session import cut_lineage
 
 WIDTH = 5                      # fixed values of the contract: 5 words, 80 %
 NUM, DEN = 4, 5
 TOKEN_BITS = 48                # stored bits of a token (six bytes)
-REGION = int(0.32 * 2**TOKEN_BITS)
-FILTER_BITS = 26               # bit array of repeated tokens: 8 MB
-HOT_DF = 64
-HOT_TOKENS = 1 << 18           # 2 MB
 STAR_ROUNDS = 2
+GROUP = 500                    # documents a task holds as arrays at a time
+REMEMBERED = 100_000           # names of sets a task remembers as sent
+POSTING = ["token", "cls", "n", "pos", "lone"]
+SKETCH = 512
+SKETCH_COLUMNS = [f"s{k}" for k in range(SKETCH // 64)]
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Sizes of what the rare-first order is read from. They change the order,
+    hence the work, never the result."""
+    region: int = int(0.32 * 2**TOKEN_BITS)      # tokens below are counted
+    filter_bits: int = 26                        # bit array of repeated tokens: 8 MB
+    hot_df: int = 64                             # documents from which a token is frequent
+    hot_tokens: int = 1 << 18                    # most frequent tokens listed: 2 MB
+
+
+BOUNDS = Bounds()
 
 
 def pack(tokens: np.ndarray) -> bytes:
@@ -70,61 +91,48 @@ def prefix_length(n: int) -> int:
     return n - (NUM * n + DEN - 1) // DEN + 1
 
 
-def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, cls, tokens): set size, a 128-bit name of the set, and its
-    tokens in ascending order (null for an empty set)."""
-    cache: list[WordHashes] = []
+def set_of(text: bytes, hashes: WordHashes) -> tuple[int, bytes | None, np.ndarray]:
+    """(set size, a 128-bit name of the set, its tokens in ascending order)."""
+    found = np.unique(window_hashes(hashes.of(text.lower().split()), WIDTH))
+    if not len(found):
+        return 0, None, found
+    return len(found), xxhash.xxh3_128_digest(found.tobytes()), np.unique(found >> np.uint64(64 - TOKEN_BITS))
 
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not cache:
-            cache.append(WordHashes())
-        sizes, names, blobs = [], [], []
-        for text in byte_list(batch.column(1)):
-            found = np.unique(window_hashes(cache[0].of(text.lower().split()), WIDTH))
-            sizes.append(len(found))
-            names.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-            blobs.append(pack(np.unique(found >> np.uint64(64 - TOKEN_BITS))) if len(found) else None)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-             pa.array(blobs, pa.binary())], ["doc_id", "n", "cls", "tokens"])
 
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(source, fn, f"doc_id {source.schema[0].dataType.simpleString()}, "
-                                   "n bigint, cls binary, tokens binary")
-
-
-def token_counts(sets: DataFrame) -> DataFrame:
+def token_counts(source: DataFrame, bounds: Bounds = BOUNDS) -> DataFrame:
     """(token, df) of the counted region, where df is 2 or more."""
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts = [unpack(b) for b in batch.column(0).to_pylist() if b]
-        counted = [t[:np.searchsorted(t, REGION)] for t in parts]
-        found = np.concatenate(counted) if counted else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64))], ["token"])
-
-    tokens = map_batches(sets.select("tokens").where(F.col("tokens").isNotNull()), fn, "token bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                found = [t[:np.searchsorted(t, bounds.region)] for t in (
+                    set_of(text, hashes)[2] for text in byte_list(batch.column(0).slice(at, GROUP)))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], ["token"])
+
+    tokens = source.select("text").where(F.col("text").isNotNull()).mapInArrow(run, "token bigint")
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
 
 
-def order_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def order_tables(counts: DataFrame, bounds: Bounds = BOUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(bit array of repeated tokens, sorted most frequent tokens); both have a
-    fixed largest size: 2**FILTER_BITS bits and HOT_TOKENS integers."""
-    low = np.uint64((1 << FILTER_BITS) - 1)
-    words = counts.select(F.expr(f"token & {int(low)}").alias("bit")).groupBy(
+    fixed largest size: 2**filter_bits bits and hot_tokens integers."""
+    low = (1 << bounds.filter_bits) - 1
+    words = counts.select(F.expr(f"token & {low}").alias("bit")).groupBy(
         F.expr("bit div 64").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow()
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table = np.zeros(1 << (bounds.filter_bits - 6), np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    hot = counts.where(F.col("df") > HOT_DF).orderBy(F.desc("df"), "token").limit(HOT_TOKENS) \
+    hot = counts.where(F.col("df") > bounds.hot_df).orderBy(F.desc("df"), "token").limit(bounds.hot_tokens) \
         .select("token").toArrow().column("token").to_numpy()
     return table.view(np.uint64), np.sort(hot.astype(np.uint64))
 
 
-def _prefix(tokens: np.ndarray, repeated: np.ndarray, hot: np.ndarray) -> tuple[int, np.ndarray]:
+def _prefix(tokens: np.ndarray, repeated: np.ndarray, hot: np.ndarray, bounds: Bounds = BOUNDS) -> tuple[int, np.ndarray]:
     """(unique tokens in the prefix, the other prefix tokens in rare-first order)."""
     p = prefix_length(len(tokens))
-    cut = int(np.searchsorted(tokens, REGION))
+    cut = int(np.searchsorted(tokens, bounds.region))
     region, rest = tokens[:cut], tokens[cut:]
-    bit = region & np.uint64((1 << FILTER_BITS) - 1)
+    bit = region & np.uint64((1 << bounds.filter_bits) - 1)
     seen = (repeated[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
     unique = int(cut - np.count_nonzero(seen))
     if unique >= p:
@@ -138,36 +146,60 @@ def _prefix(tokens: np.ndarray, repeated: np.ndarray, hot: np.ndarray) -> tuple[
     return unique, np.concatenate([again[~is_hot], rest, again[is_hot]])[:p - unique]
 
 
-def prefix_index(sets: DataFrame, repeated: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """Rows of two kinds for documents that may have a partner: ``posting``
-    (token, cls, n, pos, lone) and ``set`` (cls, n, tokens). ``lone`` is the
-    share of unique tokens in thousandths."""
-    sc = sets.sparkSession.sparkContext
-    tables = sc.broadcast((repeated, hot))
+def prefix_index(source: DataFrame, repeated: np.ndarray, hot: np.ndarray, bounds: Bounds = BOUNDS) -> DataFrame:
+    """Rows of three kinds: ``doc`` (doc_id, n, cls) for every document, and for
+    sets that may have a partner ``posting`` (token, cls, n, pos, lone) and
+    ``set`` (cls, tokens). ``lone`` is the share of unique tokens in
+    thousandths. A task leaves out postings of sets it has just emitted, so
+    copies that stand together are not sent one by one."""
+    tables = source.sparkSession.sparkContext.broadcast((repeated, hot))
+    id_type = to_arrow_type(source.schema["doc_id"].dataType)
+    names = ["kind", "doc_id", "token", "cls", "n", "pos", "lone", "tokens"]
+    types = [pa.string(), id_type, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bits, frequent = tables.value
-        kind, token, cls, size, pos, lone, blobs = [], [], [], [], [], [], []
-        for name, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            tokens = unpack(blob)
-            unique, prefix = _prefix(tokens, bits, frequent)
-            m = len(prefix)
-            if not m:
-                continue
-            kind += ["posting"] * m + ["set"]
-            token += prefix.astype(np.int64).tolist() + [None]
-            pos += list(range(unique, unique + m)) + [None]
-            cls += [name] * (m + 1)
-            size += [len(tokens)] * (m + 1)
-            lone += [1000 * unique // len(tokens)] * (m + 1)
-            blobs += [None] * m + [blob]
+    def batch_of(rows: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(kind, pa.string()), pa.array(token, pa.int64()), pa.array(cls, pa.binary()),
-             pa.array(size, pa.int64()), pa.array(pos, pa.int64()), pa.array(lone, pa.int64()),
-             pa.array(blobs, pa.binary())], ["kind", "token", "cls", "n", "pos", "lone", "tokens"])
+            [columns[c] if c in columns else pa.nulls(rows, t) for c, t in zip(names, types)], names)
 
-    return map_batches(sets.where(F.col("tokens").isNotNull()).select("cls", "tokens"), fn,
-                       "kind string, token bigint, cls binary, n bigint, pos bigint, lone bigint, tokens binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, frequent = tables.value
+        hashes, sent = WordHashes(), set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                sizes, classes, found = [], [], []
+                for text in byte_list(batch.column(1).slice(at, GROUP)):
+                    n, name, tokens = set_of(text, hashes)
+                    sizes.append(n)
+                    classes.append(name)
+                    if n and name not in sent:
+                        unique, prefix = _prefix(tokens, bits, frequent, bounds)
+                        if len(prefix):
+                            found.append((name, tokens, unique, prefix))
+                            if len(sent) >= REMEMBERED:
+                                sent.clear()
+                            sent.add(name)
+                m = len(sizes)
+                yield batch_of(m, kind=pa.array(["doc"] * m), doc_id=batch.column(0).slice(at, GROUP),
+                               cls=pa.array(classes, pa.binary()), n=pa.array(sizes, pa.int64()))
+                if not found:
+                    continue
+                lengths = np.array([len(f[3]) for f in found])
+                total = int(lengths.sum())
+                begin = np.repeat(np.cumsum(lengths) - lengths - [f[2] for f in found], lengths)
+                owner = pa.DictionaryArray.from_arrays(
+                    pa.array(np.repeat(np.arange(len(found), dtype=np.int32), lengths)),
+                    pa.array([f[0] for f in found], pa.binary())).cast(pa.binary())
+                yield batch_of(
+                    total, kind=pa.array(["posting"] * total), cls=owner,
+                    token=pa.array(np.concatenate([f[3] for f in found]).astype(np.int64)),
+                    n=pa.array(np.repeat([len(f[1]) for f in found], lengths).astype(np.int64)),
+                    pos=pa.array((np.arange(total) - begin).astype(np.int64)),
+                    lone=pa.array(np.repeat([1000 * f[2] // len(f[1]) for f in found], lengths).astype(np.int64)))
+                yield batch_of(len(found), kind=pa.array(["set"] * len(found)), cls=pa.array([f[0] for f in found], pa.binary()),
+                               tokens=pa.array([pack(f[1]) for f in found], pa.binary()))
+
+    return source.mapInArrow(run, f"kind string, doc_id {source.schema['doc_id'].dataType.simpleString()}, token bigint, "
+                                  "cls binary, n bigint, pos bigint, lone bigint, tokens binary")
 
 
 def _may_link(a: str, b: str) -> Column:
@@ -193,6 +225,30 @@ def _linked(x: np.ndarray, y: np.ndarray) -> bool:
     return DEN * inter >= NUM * (len(x) + len(y) - inter)
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """(cls, s0 .. s7): for each of 512 hash classes of tokens, whether the set
+    holds an odd number of them. A token in one of two sets only flips one bit,
+    so the bits in which two sketches differ are at most as many as the tokens
+    in which the sets differ."""
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.zeros((batch.num_rows, SKETCH), np.uint8)
+        for i, blob in enumerate(batch.column(1).to_pylist()):
+            at = (mix(unpack(blob)) & np.uint64(SKETCH - 1)).astype(np.int64)
+            rows[i] = np.bincount(at, minlength=SKETCH) & 1
+        words = np.packbits(rows, axis=1).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(SKETCH // 64)]],
+            ["cls", *SKETCH_COLUMNS])
+
+    return map_batches(sets.select("cls", "tokens"), fn, "cls binary, " + ", ".join(f"{c} bigint" for c in SKETCH_COLUMNS))
+
+
+def _near_sketches(a: str, b: str) -> Column:
+    """Linked sets differ in at most (|a| + |b|) / 9 tokens."""
+    apart = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SKETCH_COLUMNS), F.lit(0))
+    return (NUM + DEN) * apart <= (DEN - NUM) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets reach the threshold."""
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
@@ -255,10 +311,23 @@ def _star_pairs(postings: DataFrame) -> DataFrame:
         F.least("l.cls", "m.cls").alias("a"), F.greatest("l.cls", "m.cls").alias("b")).distinct()
 
 
+def _open_lists(postings: DataFrame, links: DataFrame) -> DataFrame:
+    """The posting lists that hold several components: their postings with
+    ``component`` and ``first``, the component of the list's leader."""
+    labels = components(links).select(F.col("node").alias("cls"), "component")
+    tagged = postings.select(*POSTING).join(labels, "cls", "left").withColumn(
+        "component", F.coalesce("component", "cls"))
+    lists = tagged.groupBy("token").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.min(F.struct("lone", "cls", "component")).alias("lead")).where("lo <> hi")
+    return shared_table(tagged.join(lists.select("token", F.col("lead.component").alias("first")), "token"),
+                        "open-lists")
+
+
 def class_links(postings: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) links of classes that span the same components as all links."""
     links = tried = None
-    current, tagged = postings, None
+    current = opened = postings
     for _ in range(STAR_ROUNDS):
         pairs = _star_pairs(current)
         if tried is not None:
@@ -266,44 +335,43 @@ def class_links(postings: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = cut_lineage(pairs)
         found = cut_lineage(verify(pairs, sets))
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else cut_lineage(links.unionByName(found))
-        labels = components(links).select(F.col("node").alias("cls"), "component")
-        tagged = cut_lineage(postings.join(labels, "cls", "left").withColumn(
-            "component", F.coalesce("component", "cls")))
-        split = tagged.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.min(F.struct("lone", "cls", "component")).alias("lead"))
-        open_lists = split.where(F.col("lo") != F.col("hi"))
-        tagged = cut_lineage(tagged.join(open_lists.select("token", F.col("lead.component").alias("first")), "token"))
+        links = found if links is None else links.unionByName(found)
+        opened = _open_lists(opened, links)
         # The next round's lists: what the leader's component did not take in.
-        current = tagged.where(F.col("component") != F.col("first")).select(*postings.columns)
-    left, right = tagged.alias("x"), tagged.alias("y")
-    crossing = left.join(right, F.col("x.token") == F.col("y.token")).where(
-        (F.col("x.component") < F.col("y.component")) & _may_link("x", "y")).select(
+        current = opened.where(F.col("component") != F.col("first"))
+    wanted = sets.join(opened.select("cls").distinct(), "cls", "left_semi")
+    marked = shared_table(opened.join(sketches(wanted), "cls"), "marked-lists")
+    left, right = marked.alias("x"), marked.alias("y")
+    crossing = left.join(right, (F.col("x.token") == F.col("y.token")) & (
+        F.col("x.component") < F.col("y.component")) & _may_link("x", "y") & _near_sketches("x", "y")).select(
         F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
     rest = cut_lineage(crossing.join(tried, ["a", "b"], "left_anti"))
     return links.unionByName(verify(rest, sets))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    bounds: Bounds = BOUNDS) -> DataFrame:
     """(id, n_shingles, component_id) of every row: component_id is the
     smallest id reachable over links of Jaccard 0.8 or more."""
-    sets = shared_table(shingle_sets(docs, id_col, text_col), "sets")
-    counts = cut_lineage(token_counts(sets))
-    repeated, hot = order_tables(counts)
-    index = shared_table(prefix_index(sets, repeated, hot), "prefix-index", ["kind"])
-    postings = cut_lineage(index.where("kind = 'posting'").groupBy("token", "cls").agg(
-        F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("lone").alias("lone")))
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
-    postings = cut_lineage(postings.join(lists, "token"))
-    active = index.where("kind = 'set'").groupBy("cls").agg(F.max("tokens").alias("tokens"))
-    active = shared_table(active.join(postings.select("cls").distinct(), "cls", "left_semi"), "active-sets")
-    labels = components(class_links(postings, active))
-    classes = sets.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least_id"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    repeated, hot = order_tables(cut_lineage(token_counts(source, bounds)), bounds)
+    index = shared_table(prefix_index(source, repeated, hot, bounds), "prefix-index", ["kind"])
+    # One shuffle by token serves the removal of copies and of lists of one.
+    distinct = index.where("kind = 'posting'").repartition("token").groupBy("token", "cls").agg(
+        F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("lone").alias("lone"))
+    lists = distinct.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
+    postings = shared_table(distinct.join(lists, "token").select(*POSTING), "postings")
+    wanted = postings.select("cls").distinct()
+    sets = shared_table(index.where("kind = 'set'").groupBy("cls").agg(F.max("tokens").alias("tokens")).join(
+        wanted, "cls", "left_semi"), "sets")
+    labels = components(class_links(postings, sets))
+    members = index.where("kind = 'doc'").select("doc_id", "n", "cls")
+    classes = members.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least_id"))
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    members = cut_lineage(named.join(least, "component").select("cls", "component_id"))
-    return sets.select("doc_id", "n", "cls").join(members, "cls", "left").select(
+    ids = cut_lineage(named.join(least, "component").select("cls", "component_id"))
+    return members.join(ids, "cls", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
