@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.blocks import BLOCK_BYTES, Packer, deliver, from_planes, iter_blocks, iter_chunks, planes, split_documents
 
-FLUSH_WORDS = 200_000          # answered words a task holds before packing them by block
+FLUSH_WORDS = 1_000_000        # answered words a task holds before packing them by block
 
 
 def default_tokenizer() -> str:
@@ -143,14 +143,15 @@ def encode_words(requests: DataFrame, tokenizer_path: str, flush_words: int = FL
             b, i, n = np.concatenate(blocks), np.concatenate(idx), np.concatenate(lengths)
             flat = np.concatenate(ids)
             ends = np.cumsum(n)
-            order = np.argsort(b, kind="stable")
+            order = np.lexsort((i, b))
             starts = np.flatnonzero(np.diff(b[order], prepend=b[order][0] - 1))
             out = []
             for part in np.split(order, starts[1:]):
                 total = int(n[part].sum())
                 shift = np.repeat(ends[part] - n[part] - np.concatenate([[0], np.cumsum(n[part])[:-1]]), n[part])
+                # Steps between rising codes are small numbers.
                 out.append((int(b[part[0]]), packer.pack(
-                    i[part].astype(np.int32), n[part].astype(np.int32), flat[np.arange(total) + shift].astype(np.uint32))))
+                    *planes(np.diff(i[part], prepend=0)), *planes(n[part]), *planes(flat[np.arange(total) + shift]))))
             for held in (blocks, idx, lengths, ids):
                 held.clear()
             seq += 1
@@ -242,7 +243,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, id_col:
                 if words is None or words.block != block:
                     words = _WordTable(table.value, block)
                 if kind == 0:
-                    words.add(*packer.unpack(blob, np.int32, np.int32, np.uint32))
+                    parts = packer.unpack(blob, *[np.uint8] * 12)
+                    step, sizes, flat = (from_planes(parts[k:k + 4]) for k in (0, 4, 8))
+                    words.add(np.cumsum(step, dtype=np.int64), sizes.astype(np.int64), flat)
                     continue
                 words.finish()
                 counts, *parts = packer.unpack(blob, np.int64, *[np.uint8] * 4)
