@@ -27,13 +27,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                 compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared folder and read it
     back: a cut in the lineage that survives lost executors and, unlike
     ``checkpoint()``, is columnar and compressed."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/vigil-{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
