@@ -232,29 +232,29 @@ from vigil.operators import checks, joins, profile  # noqa: E402
 
 @register("j1_merge_identity", V.with_(V.IDENTITY) + "SELECT * FROM merged")
 def j1_merge_identity(spark, sf_dir):
-    return joins.merge_identity(tables.documents_meta(spark, sf_dir),
+    return joins.merge_identity(tables.document_rows(spark, sf_dir),
                                 tables.identity(spark, sf_dir), key="doc_id")
 
 
 @register("j6_missing_keys", """
-SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def j6_missing_keys(spark, sf_dir):
-    return joins.missing_keys(tables.documents_meta(spark, sf_dir),
+    return joins.missing_keys(tables.document_rows(spark, sf_dir),
                               tables.identity(spark, sf_dir), "doc_id")
 
 
 @register("j6_matched_keys", """
-SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars FROM documents d
 WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def j6_matched_keys(spark, sf_dir):
-    return joins.matched_keys(tables.documents_meta(spark, sf_dir),
+    return joins.matched_keys(tables.document_rows(spark, sf_dir),
                               tables.identity(spark, sf_dir), "doc_id")
 
 
 # ── profiling (A1, A3, A4, A14–A19, T5, T6) ──────────────────────────────────
 
-_MERGED_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+_MERGED_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
 
 def _null_rates_sql() -> str:
@@ -264,7 +264,7 @@ def _null_rates_sql() -> str:
 
 
 def _merged(spark, sf_dir):
-    return joins.merge_identity(tables.documents_meta(spark, sf_dir),
+    return joins.merge_identity(tables.document_rows(spark, sf_dir),
                                 tables.identity(spark, sf_dir), key="doc_id")
 
 
@@ -1168,7 +1168,7 @@ def k6_export_label_first(spark, sf_dir):
 
 @register("k8_write_merged", ORACLE["j1_merge_identity"])
 def k8_write_merged(spark, sf_dir):
-    merged = joins.merge_identity(tables.documents_meta(spark, sf_dir),
+    merged = joins.merge_identity(tables.document_rows(spark, sf_dir),
                                   tables.identity(spark, sf_dir), key="doc_id")
     path = streams.scratch(spark, "k8")
     sinks.write_merged(merged, path)

@@ -42,7 +42,7 @@ transactions AS (
 
 IDENTITY = """
 merged AS (
-  SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 

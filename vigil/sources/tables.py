@@ -125,9 +125,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Left side of the identity join: documents without the text body."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Left side of the identity join: every column of the documents; a query
+    that needs no text prunes it from the scan."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
