@@ -12,7 +12,6 @@ or two passes over the scores:
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ MIN_RECALL = 0.70
 TEST_FRACTION = 0.2
 SEED = 42
 DIGITS = 4
+HASH_BITS, RANGE_BITS = 64, 16
 
 
 def _ratio(num, den):
@@ -41,26 +41,30 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str],
     class proportions, deterministic, and without a per-class single-task
     sort.
 
-    Only the narrow ``(label, hash, key)`` projection is ranked, with the
-    range-partitioned prefix sums; the k-th row of each class (one row per
-    class) is the cut, and the wide table is split by comparing each row
-    with its class's cut — a projection, so the wide rows never shuffle."""
+    The hash is uniform, so the cut of a class is found without sorting its
+    rows: counts per 16-bit hash range (at most 65,536 per class) tell which
+    range holds the k-th row, and only that range (n / 65,536 rows, with
+    repeated keys counted first) is ranked. The wide table is split by
+    comparing each row with its class's cut (one row per class reaches the
+    driver) — a projection, so the wide rows never shuffle."""
     h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    sizes = {r["k"]: r["n"] for r in
-             df.groupBy(F.col(label).alias("k")).count().withColumnRenamed("count", "n").collect()}
-
-    def k_of(n):
-        if n < 2:
-            return 0
-        return max(1, min(n - 1, math.floor(test_fraction * n + 0.5)))
-
-    ks = {k: k_of(n) for k, n in sizes.items() if k is not None}
-    narrow = df.select(F.col(label).alias("_y"), h.alias("_h"),
-                       *[F.col(c).alias(f"_k{i}") for i, c in enumerate(key_cols)])
+    narrow = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("_y"), h.alias("_h"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(key_cols)])
     order = ["_h", *[f"_k{i}" for i in range(len(key_cols))]]
-    ranked = prefix_sums(narrow, order, {"_rank": F.lit(1).cast("bigint")}, ["_y"])
-    wanted = F.create_map(*[a for k, kk in ks.items() for a in (F.lit(k), F.lit(kk))])
-    cuts = ranked.where(F.col("_rank") == wanted[F.col("_y")]).select("_y", *order).collect()
+    ranged = narrow.withColumn("_range", F.shiftright("_h", HASH_BITS - RANGE_BITS))
+    upto = Window.partitionBy("_y").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    counts = ranged.groupBy("_y", "_range").agg(F.count(F.lit(1)).alias("c")).withColumns({
+        "_upto": F.sum("c").over(upto), "_n": F.sum("c").over(Window.partitionBy("_y"))})
+    k = F.when(F.col("_n") < 2, F.lit(0)).otherwise(F.greatest(F.lit(1), F.least(
+        F.col("_n") - 1, F.floor(F.lit(test_fraction) * F.col("_n") + F.lit(0.5)))))
+    holding = counts.withColumn("_k", k).where(
+        (F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("c") < F.col("_k"))).select(
+        "_y", "_range", "_k", (F.col("_upto") - F.col("c")).alias("_before"))
+    inside = ranged.join(F.broadcast(holding), ["_y", "_range"])        # one row per class
+    keyed = inside.groupBy("_y", "_k", "_before", *order).agg(F.count(F.lit(1)).alias("c"))
+    within = Window.partitionBy("_y").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cuts = keyed.withColumn("_rank", F.col("_before") + F.sum("c").over(within)).where(
+        (F.col("_rank") >= F.col("_k")) & (F.col("_rank") - F.col("c") < F.col("_k"))).select("_y", *order).collect()
 
     types = [narrow.schema[c].dataType for c in order]
     row_key = F.struct(*[c.alias(f"c{i}") for i, c in

@@ -942,10 +942,16 @@ def e5_classification_report(spark, sf_dir):
 @register("e1_stratified_split", V.with_(V.LABELLED) + """,
 n AS (SELECT label, count(*) AS n FROM labelled_scores GROUP BY label),
 k AS (SELECT label, n, CASE WHEN n < 2 THEN 0 ELSE greatest(1, least(n - 1, CAST(floor(0.2 * n + 0.5) AS BIGINT))) END AS k FROM n)
-SELECT label, true AS is_test, k AS n FROM k UNION ALL SELECT label, false, n - k FROM k""")
+SELECT label, k AS n_test, n - k AS n_train, true AS hash_order FROM k""")
 def e1_stratified_split(spark, sf_dir):
-    s = ev.stratified_split(tables.labelled_scores(spark, sf_dir), "label", ["order_key", "line_number"])
-    return s.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+    """Sizes per class, and whether every test row precedes every training row
+    in the seeded hash order, which with the sizes fixes the test set."""
+    keys = ["order_key", "line_number"]
+    s = ev.stratified_split(tables.labelled_scores(spark, sf_dir), "label", keys).withColumn(
+        "_at", F.struct(F.xxhash64(*keys, F.lit(ev.SEED)), *keys))
+    return s.groupBy("label").agg(
+        F.count_if("is_test").alias("n_test"), F.count_if(~F.col("is_test")).alias("n_train"),
+        (F.max(F.when(F.col("is_test"), F.col("_at"))) < F.min(F.when(~F.col("is_test"), F.col("_at")))).alias("hash_order"))
 
 
 # ── training and scoring (E6–E10, T7, T9, F8–F10, F13, J5) ───────────────────
