@@ -210,6 +210,29 @@ def test_skip_edges_carry_labels():
     assert kinds("born 2024-01-15, paid 1,200.00 on 12.05.2024, room 1234567") == []
 
 
+def test_op5_spans_do_not_depend_on_copies_and_look_alikes(spark):
+    from pyspark.sql import functions as F
+    texts = ["call +1 (017) 555-7713 today, then much later in the day call (017) 555-7713 again",
+             "mail jo@ex-a.org first; if there is no answer until the evening, write to jo (at) ex-a.org instead",
+             "4111 1111 1111 1111 was charged on the first of the month, see also entry 4111.1111.1111.1111 below"]
+    near = [F.format_string(t, F.col("id") % 997 + 1000) for t in (
+        "call (017) 444-%d today, then much later in the day call (017) 333-%1$d again",
+        "write to jo (at) ex-%d.org instead", "see also entry 4111.1111.1111.%d below")]
+    alone = {}
+    for i, t in enumerate(texts):
+        [row] = pii.op5_query(spark.createDataFrame([(i, t)], "doc_id bigint, text string")).collect()
+        alone[i] = row["spans"]
+        assert row["spans"].count(",") == 1 and len({x.split(":")[0] for x in row["spans"].split(",")}) == 1
+    many = spark.range(10_000)
+    copies = many.select(F.explode(F.array([F.struct(F.lit(i).cast("bigint").alias("doc_id"), F.lit(t).alias("text"))
+                                            for i, t in enumerate(texts)])).alias("r")).select("r.*")
+    alike = many.select(F.lit(-1).cast("bigint").alias("doc_id"), F.explode(F.array(near)).alias("text"))
+    once = spark.createDataFrame(list(enumerate(texts)), copies.schema)
+    for docs in (copies.union(alike), once.union(alike)):
+        got = pii.op5_query(docs).select("doc_id", "spans").distinct().collect()
+        assert {r["doc_id"]: r["spans"] for r in got} == alone | {-1: ""} and len(got) == 4
+
+
 def test_messages_agree_with_enumeration():
     """On a tree loopy propagation is exact: compare with all labellings."""
     import itertools
