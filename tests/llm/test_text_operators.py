@@ -233,6 +233,29 @@ def test_op5_spans_do_not_depend_on_copies_and_look_alikes(spark):
         assert {r["doc_id"]: r["spans"] for r in got} == alone | {-1: ""} and len(got) == 4
 
 
+def test_every_repeat_of_a_number_is_labelled():
+    bare, far = "(017) 555-7713", " and then nothing for quite a number of words until "
+    unseen = pii.fit([])
+    common = pii.fit([("shape", pii._shape(bare), 0, 1_000_000), ("cue", pii._cue("x until (", 8), 0, 1_000_000)])
+    for model in (unseen, common):
+        for before, after in ((0, 50), (50, 0), (25, 25), (1, 1000)):
+            text = far.join([bare] * before + ["+1 " + bare] + [bare] * after)
+            base, spans = pii.label_spans(text, model)
+            assert len(base) == 1 and len(spans) == before + after + 1 and {k for _, k, _ in spans} == {3}
+        assert pii.label_spans(far.join([bare, "017.555.7713", "555-7713"] * 50), model) == ([], [])
+        # neighbours of other values do not outvote the number, and are not labelled
+        text = far.join(["+1 " + bare] + [f"{bare} or 04 {i:03} 77 99" for i in range(50)])
+        added = [text[s:e] for s, _, e in pii.label_spans(text, model)[1][1:]]
+        assert added == [bare] * 50
+
+
+def test_skip_edges_are_linear():
+    for text in ("+1 (017) 555-7713 x " * 500 + "(017) 555-7713 x " * 500,
+                 " x ".join(f"{i:04}5557713" for i in range(1000)) + " x 5557713"):
+        nodes, _, skip = pii.graph(text, pii.base_spans(text))
+        assert len(skip) <= 9 * len(nodes)
+
+
 def test_messages_agree_with_enumeration():
     """On a tree loopy propagation is exact: compare with all labellings."""
     import itertools

@@ -17,12 +17,15 @@ and look-alikes of a document do not change what the field finds in it:
 - *skip*, of fixed strength ``SKIP``, above all that the other factors can say
   against it (a shape 6.1, a word 2.1, two neighbours 2): labels of distant
   nodes whose texts repeat or resemble each other: the
-  same letters and digits after normalising, or numbers of 7 to 15 digits that
-  end in the same 7 and of which one is the end of the other. Consecutive
-  occurrences are joined, so a text with many repeats has a linear number of
-  edges.
+  same letters and digits after normalising, or numbers of 7 to 15 digits of
+  which one is the end of the other.
 
-Loopy sum-product message passing (damped, a fixed number of sweeps) gives each
+All candidates with one value share one variable, with the mean of their unaries
+and chain factors: the value is judged once, however often it occurs, and any
+base span of this value is one edge away from all of them. Numbers look up their
+own ends, so the number of edges is linear.
+
+Loopy sum-product message passing (damped, until the messages settle) gives each
 candidate's marginals; it becomes a span when one kind reaches ``ACCEPT``. A
 candidate with no skip edge to evidence stays what its shape and neighbours make
 it, which on clean text is no personal data.
@@ -47,7 +50,8 @@ from vigil.llm.common import map_batches, text_list
 KINDS = ("email", "ip", "card", "phone")          # fixed values: kinds in the contract's order
 LABELS = len(KINDS) + 1
 NEAR = 32
-SWEEPS = 12
+SETTLED = 1e-6                                    # greatest change of a message in the last sweep
+LOOPS = 100                                       # sweeps, besides one per variable, after which loops count as settled
 DAMPING = 0.5
 ACCEPT = 0.6
 SMOOTH = 1.0
@@ -178,7 +182,8 @@ def _cue(text: str, start: int) -> int:
 
 def graph(text: str, spans: list[tuple[int, int, int]]):
     """Nodes (start, end, label or -1, shape, cue) in text order, chain edges and
-    skip edges as index pairs."""
+    skip edges as index pairs. The first candidate of a value has the skip edges
+    of all, see ``variables``; two base spans need none."""
     free = _candidates(text, spans)
     nodes = sorted([(s, e, kind + 1) for s, kind, e in spans] + [(s, e, -1) for s, e in free])
     described = []
@@ -186,27 +191,35 @@ def graph(text: str, spans: list[tuple[int, int, int]]):
         part = text[s:e]
         described.append((s, e, label, _shape(part.lstrip("+")), _cue(text, s)))
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= NEAR]
-    last: dict[str, int] = {}
-    groups: dict[str, list[tuple[str, int]]] = defaultdict(list)
-    skip = set()
-    for i, (s, e, _) in enumerate(nodes):
+    known: dict[str, list[int]] = defaultdict(list)
+    open_: dict[str, int] = {}
+    for i, (s, e, label) in enumerate(nodes):
         key = _normal(text[s:e])
-        if key in last:
-            skip.add((last[key], i))
-        last[key] = i
-        if key.isdigit() and 7 <= len(key) <= 15:
-            ends = groups[key[-7:]]
-            for j, (other, at) in enumerate(ends):          # one entry per distinct number
-                if other != key and (other.endswith(key) or key.endswith(other)):
-                    skip.add((at, i))
-                if other == key:
-                    ends[j] = (key, i)
-                    break
-            else:
-                ends.append((key, i))
+        if label > 0:
+            known[key].append(i)
+        else:
+            open_.setdefault(key, i)
+    skip = {(k, i) for key, i in open_.items() for k in known.get(key, ())}
+    if open_:
+        first = {key: {nodes[i][2]: i for i in reversed(at)}.values() for key, at in known.items()}   # one per label
+        for key in [k for k in known.keys() | open_.keys() if k.isdigit() and 7 < len(k) <= 15]:
+            for end in (key[cut:] for cut in range(1, len(key) - 6)):
+                if end in open_:
+                    skip.update((i, open_[end]) for i in first.get(key, ()))
+                if key in open_:
+                    skip.update((i, open_[key]) for i in first.get(end, ()))
+                    if end in open_:
+                        skip.add((open_[key], open_[end]))
     return described, chain, sorted(skip)
 
 
+def variables(text: str, nodes) -> np.ndarray:
+    """The variable of each node: its own for a base span, one per value for candidates."""
+    ids: dict[object, int] = {}
+    return np.array([ids.setdefault(i if label > 0 else _normal(text[start:end]), len(ids))
+                     for i, (start, end, label, _, _) in enumerate(nodes)], dtype=np.int64)
+
+
 def _label(node) -> int:
     return max(node[2], 0)
 
@@ -271,31 +284,42 @@ def marginals(text, nodes, chain, skip, model) -> np.ndarray:
         else:
             unary[i] = model["unary"].get(shape, model["prior"]) + np.clip(
                 model["cue"].get(cue, 0.0), -CUE_LIMIT, CUE_LIMIT) + _admissible(text[start:end])
-    pairs = chain + skip
-    if not pairs:
-        out = np.exp(unary - unary.max(axis=1, keepdims=True))
-        return out / out.sum(axis=1, keepdims=True)
-    src = np.array([p[0] for p in pairs] + [p[1] for p in pairs])
-    dst = np.array([p[1] for p in pairs] + [p[0] for p in pairs])
-    e = len(pairs)
+    var = variables(text, nodes)
+    size = np.bincount(var)
+    mean = np.zeros((len(size), LABELS))
+    np.add.at(mean, var, unary)
+    unary = mean / size[:, None]
     same = model["skip"] * np.eye(LABELS)
-    factor = np.concatenate([np.repeat(model["chain"][None], len(chain), axis=0),
-                             np.repeat(same[None], len(skip), axis=0)])
-    factor = np.concatenate([factor, factor.transpose(0, 2, 1)])   # [edge, label of src, label of dst]
-    back = np.concatenate([np.arange(e, 2 * e), np.arange(e)])
-    messages = np.zeros((2 * e, LABELS))
-    for _ in range(SWEEPS):
-        belief = unary.copy()
-        np.add.at(belief, dst, messages)
-        out = belief[src] - messages[back]
-        new = np.logaddexp.reduce(out[:, :, None] + factor, axis=1)
-        new -= np.logaddexp.reduce(new, axis=1)[:, None]
-        messages = DAMPING * messages + (1 - DAMPING) * new
+    pairs, factors = [], []
+    for i, j in chain:
+        if var[i] != var[j]:
+            pairs.append((var[i], var[j]))
+            factors.append(model["chain"] / max(size[var[i]], size[var[j]]))
+    for i, j in skip:
+        pairs.append((var[i], var[j]))
+        factors.append(same)
     belief = unary.copy()
-    np.add.at(belief, dst, messages)
+    if pairs:
+        src = np.array([p[0] for p in pairs] + [p[1] for p in pairs])
+        dst = np.array([p[1] for p in pairs] + [p[0] for p in pairs])
+        e = len(pairs)
+        factor = np.stack(factors)
+        factor = np.concatenate([factor, factor.transpose(0, 2, 1)])   # [edge, label of src, label of dst]
+        back = np.concatenate([np.arange(e, 2 * e), np.arange(e)])
+        messages = np.zeros((2 * e, LABELS))
+        for _ in range(LOOPS + len(size)):
+            out = belief[src] - messages[back]
+            new = np.logaddexp.reduce(out[:, :, None] + factor, axis=1)
+            new -= np.logaddexp.reduce(new, axis=1)[:, None]
+            change = np.abs(new - messages).max()
+            messages = DAMPING * messages + (1 - DAMPING) * new
+            belief = unary.copy()
+            np.add.at(belief, dst, messages)
+            if change < SETTLED:
+                break
     belief -= belief.max(axis=1, keepdims=True)
     out = np.exp(belief)
-    return out / out.sum(axis=1, keepdims=True)
+    return (out / out.sum(axis=1, keepdims=True))[var]
 
 
 def label_spans(text: str, model) -> tuple[list, list]:
