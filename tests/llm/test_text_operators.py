@@ -249,6 +249,16 @@ def test_every_repeat_of_a_number_is_labelled():
         assert added == [bare] * 50
 
 
+def test_numbers_in_a_row_are_told_apart():
+    phone, card, far = "+1 (017) 555-7713", "4111 1111 1111 1111", " and then nothing for quite a number of words until "
+    row = far.join([phone, card, "555-7713 4111.1111.1111.1111", "555-7713 10.0.0.1", "(017) 555-7713  98765432109876543210"])
+    assert kinds(row) == [("phone", "555-7713"), ("card", "4111.1111.1111.1111"), ("phone", "555-7713"),
+                          ("phone", "(017) 555-7713")]
+    assert kinds(far.join(["+7536784127813", "4845168114407329 7536784127813"])) == [("phone", "7536784127813")]
+    assert kinds("+1 (017) 555-7713 or " + "555-7713 " * 200) == [("phone", "555-7713")] * 200
+    assert kinds(far.join(["20240115 7713555 20240116 7713556", "7713555 9"])) == []
+
+
 def test_skip_edges_are_linear():
     for text in ("+1 (017) 555-7713 x " * 500 + "(017) 555-7713 x " * 500,
                  " x ".join(f"{i:04}5557713" for i in range(1000)) + " x 5557713"):

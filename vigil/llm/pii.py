@@ -69,7 +69,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){2}\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){6,40}")
+_NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+")
+_RUN = re.compile(r"[0-9]+")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]{1,63})+",
                     re.I)
 _AT = re.compile(r" ?[\[(]at[\])] ?", re.I)
@@ -126,9 +127,67 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _ends(key: str) -> list[str]:
+    """The proper ends of 7 digits or more of a number of at most 15."""
+    return [key[cut:] for cut in range(1, len(key) - 6)] if len(key) <= 15 else []
+
+
+def _numbers(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Number-like stretches between the base spans. A stretch that is related
+    to no other number of the text may be several numbers in a row: from the
+    left, the most runs that together repeat a number or its end stand alone,
+    and a rest that cannot be one number is offered run by run."""
+    stretches, at = [], 0
+    for s, e in [*sorted((s, e) for s, _, e in taken), (len(text), len(text))]:
+        if s > at:
+            stretches += [m.span() for m in _NUMBER.finditer(text, at, s)]
+        at = max(at, e)
+    if not stretches:
+        return []
+    whole = Counter(_normal(text[s:e]) for s, e in stretches)
+    base = {key for key in (_normal(text[s:e]) for s, _, e in taken) if key.isdigit()}
+    known = base | {key for key in whole if 7 <= len(key) <= 19}
+    ends = {end for key in known for end in _ends(key)}
+    found = []
+    for s, e in stretches:
+        runs = [(m.start() - (m.start() > s and text[m.start() - 1] == "("), m.end(), m.group())
+                for m in _RUN.finditer(text, s, e)]
+        key = "".join(r[2] for r in runs)
+        again = key in base or whole[key] > 1 and len(key) <= 19
+        if len(runs) == 1 or again or key in ends or any(end in known for end in _ends(key)):
+            found.append((s, e))
+            continue
+        i, rest = 0, []
+        while i < len(runs):
+            part, best = "", None
+            for j in range(i, len(runs)):
+                part += runs[j][2]
+                if len(part) > 19:
+                    break
+                if len(part) >= 7 and j - i + 1 < len(runs) and (part in known or part in ends):
+                    best = j
+            if best is None:
+                rest.append(runs[i])
+                i += 1
+            else:
+                found += _rest(rest)
+                found.append((runs[i][0], runs[best][1]))
+                i, rest = best + 1, []
+        found += _rest(rest)
+    return found
+
+
+def _rest(runs: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Runs of one stretch that repeat nothing, as one number if they may be one."""
+    key = "".join(r[2] for r in runs)
+    if len(key) > 15 and not (len(key) <= 19 and luhn(key)) and any(len(r[2]) >= 7 for r in runs):
+        return [r[:2] for r in runs if len(r[2]) >= 7]
+    return [(runs[0][0], runs[-1][1])] if len(key) >= 7 else []
+
+
 def _candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Stretches that may be personal data and touch no base span."""
-    found = [m.span() for m in _NUMBER.finditer(text)] if _DIGIT.search(text) else []
+    found = _numbers(text, taken) if _DIGIT.search(text) else []
     if "at" in text or "AT" in text:
         if "(" in text or "[" in text:
             found += [m.span() for m in _SPELT.finditer(text)]
@@ -202,8 +261,8 @@ def graph(text: str, spans: list[tuple[int, int, int]]):
     skip = {(k, i) for key, i in open_.items() for k in known.get(key, ())}
     if open_:
         first = {key: {nodes[i][2]: i for i in reversed(at)}.values() for key, at in known.items()}   # one per label
-        for key in [k for k in known.keys() | open_.keys() if k.isdigit() and 7 < len(k) <= 15]:
-            for end in (key[cut:] for cut in range(1, len(key) - 6)):
+        for key in [k for k in known.keys() | open_.keys() if k.isdigit()]:
+            for end in _ends(key):
                 if end in open_:
                     skip.update((i, open_[end]) for i in first.get(key, ()))
                 if key in open_:
