@@ -150,6 +150,29 @@ def test_op9_equals_brute_force(spark, rows):
         want, key=lambda t: tuple((x is None, x) for x in t))
 
 
+def test_op9_labels_do_not_depend_on_the_offset(spark):
+    notice = licenses.TEMPLATES[4][1].split()
+    spread = " x ".join(notice) + " "
+    gap = " ".join(w + " y" * (5 * (i % 4 == 3)) for i, w in enumerate(licenses.TEMPLATES[5][1].split()))
+    assert len(spread.split()) <= licenses.BLOCK and len(gap.split()) <= licenses.BLOCK
+    texts = ["w " * at + passage + " z" * 40 for passage in (spread, gap) for at in range(26)]
+    texts += ["w " * at + (" x " * 3).join(notice) for at in range(5)]
+    want = {}
+    for i, t in enumerate(texts):
+        words, best, labels = t.split(), 0.0, set()
+        for at in range(len(words)):                  # every window of the text
+            inside = set(words[at:at + licenses.BLOCK])
+            for _, label, template in licenses.template_table():
+                share = len(inside.intersection(template)) / len(template)
+                if licenses.DEN * len(inside.intersection(template)) >= licenses.NUM * len(template):
+                    best = max(best, share)
+                    labels.add(label)
+        want[i] = (",".join(sorted(labels)), best)
+    got = licenses.op9_query(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == want
+    assert [want[i][0] for i in range(len(texts))] == ["apache-2"] * 26 + ["bsd"] * 26 + [""] * 5
+
+
 def test_op9_empty_table(none):
     assert licenses.op9_query(none).count() == 0
 

@@ -1,15 +1,17 @@
 """License scan: an exact set-similarity join of text blocks with notice templates.
 
-Blocks are windows of ``BLOCK`` words that start every ``STEP`` words, so any run
-of ``BLOCK - STEP`` words lies whole in one block (no template has more). A
-block matches a template T when it holds at least ``need = ceil(9/10 |T|)`` of T's
-distinct words.
+Blocks are all windows of ``BLOCK`` words, so a passage matches wherever it starts.
+A block matches a template T when it holds at least ``need = ceil(9/10 |T|)`` of T's
+distinct words. A window that starts between template words holds no more of them
+than the one that starts at the next, so only those are looked at; windows of one
+document with the same template words are one block, at its first place.
 
 1. Every word of the templates is counted over all documents; the counts give
    the global order, rarest first.
 2. *Prefix filter.* A block that holds ``need`` words of T holds one of T's
-   ``|T| - need + 1`` rarest. Only blocks with such a word leave the scan, each as
-   its template words in global order.
+   ``|T| - need + 1`` rarest. Only blocks with such a word, and with as many
+   template words as the least ``need``, leave the scan, each as its template
+   words in global order.
 3. *Length and positional filters* on the join of block words with template
    prefixes: the words left after the shared one must still reach ``need``.
 4. What remains is counted exactly.
@@ -54,7 +56,7 @@ TEMPLATES = (
     ("cc-by-sa", "creative commons attribution sharealike 4 0 international license"),
 )
 NUM, DEN = 9, 10               # containment: short notices differ from each other by one word
-BLOCK, STEP = 32, 12
+BLOCK, STEP = 32, 1
 _LOWER_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -99,12 +101,31 @@ def prefix_size(size: int) -> int:
     return size - (NUM * size + DEN - 1) // DEN + 1
 
 
+def blocks_of(words: list[bytes], order: dict[bytes, int], firsts: set[bytes], least: int) -> list[dict]:
+    """The blocks that hold a word of ``firsts`` and ``least`` words of ``order``."""
+    held = [i for i, w in enumerate(words) if w in order]
+    rare = [i for i in held if words[i] in firsts]
+    found: dict[tuple[int, ...], int] = {}
+    k = 0
+    for at, start in enumerate(held):
+        while k < len(rare) and rare[k] < start:
+            k += 1
+        if k == len(rare):
+            break
+        if rare[k] - start < BLOCK:
+            inside = {order[words[i]] for i in held[at:at + BLOCK] if i < start + BLOCK}
+            if len(inside) >= least:
+                found.setdefault(tuple(sorted(inside)), start)
+    return [{"start": start, "words": list(inside)} for inside, start in found.items()]
+
+
 def scan(docs: DataFrame, templates, rank: dict[str, int], phrases: dict[str, str]) -> DataFrame:
     """One row per document: base columns, and the blocks that hold a prefix
     word of a template, as ranks of their template words in rising order."""
     order = {w.encode(): r for w, r in rank.items()}
     firsts = {w.encode() for _, _, ws in templates
               for w in sorted(ws, key=rank.__getitem__)[:prefix_size(len(ws))]}
+    least = min((len(ws) - prefix_size(len(ws)) + 1 for _, _, ws in templates), default=1)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, text_hash bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
               "base_labels array<string>, blocks array<struct<start: bigint, words: array<int>>>")
@@ -117,15 +138,7 @@ def scan(docs: DataFrame, templates, rank: dict[str, int], phrases: dict[str, st
             distinct = set(words)
             places = phrase_places(words, phrases) if any(
                 distinct.issuperset(p.encode().split()) for p in phrases) else []
-            blocks = []
-            if not firsts.isdisjoint(distinct):
-                # Block k covers words k * STEP to k * STEP + BLOCK - 1.
-                wanted = sorted({k for i, w in enumerate(words) if w in firsts
-                                 for k in range(max(0, -(-(i - BLOCK + 1) // STEP)), i // STEP + 1)})
-                for k in wanted:
-                    inside = words[k * STEP:k * STEP + BLOCK]
-                    blocks.append({"start": k * STEP,
-                                   "words": sorted({order[w] for w in inside if w in order})})
+            blocks = blocks_of(words, order, firsts, least) if not firsts.isdisjoint(distinct) else []
             rows.append((xxhash.xxh3_64_intdigest(text) - 2**63, len(words), len(places),
                          places[0][0] if places else None, places[-1][0] if places else None,
                          sorted({label for _, label in places}), blocks))
