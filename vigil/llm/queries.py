@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import (bpe, chat, fingerprint, licenses, lm, mixing, ngram_join, pii, quality,
-                       sharding)
+from vigil.llm import (bpe, chat, fingerprint, licenses, lm, mixing, ngram_join, periodic, pii,
+                       quality, sharding)
 from vigil.llm.common import documents
 
 
@@ -55,13 +55,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op10_query(documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.op12_query(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_label_propagation_shards, op2_compression_bands, op3_event_sourced_chat, op4_ppm_scoring,
         op5_skip_chain_pii, op6_distinct_word_bpe, op7_systematic_mixing, op8_multiset_fingerprint,
-        op9_license_join, op10_ngram_join)}
+        op9_license_join, op10_ngram_join, op12_periodic_runs)}
 ORACLE: dict[str, str] = {
     "op3_event_sourced_chat": chat.OP3_SQL,
     "op7_systematic_mixing": mixing.OP7_SQL,
     "op10_ngram_join": ngram_join.OP10_SQL,
+    "op12_periodic_runs": periodic.OP12_SQL,
 }
