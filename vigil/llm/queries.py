@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import (bpe, chat, fingerprint, licenses, lm, mixing, ngram_join, periodic, pii,
+from vigil.llm import (alignment, bpe, chat, fingerprint, licenses, lm, mixing, ngram_join, periodic, pii,
                        quality, sharding, superminhash)
 from vigil.llm.common import documents
 
@@ -55,6 +55,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op10_query(documents(spark, sf_dir))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.op11_query(documents(spark, sf_dir))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.op12_query(documents(spark, sf_dir))
 
@@ -67,8 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_label_propagation_shards, op2_compression_bands, op3_event_sourced_chat, op4_ppm_scoring,
         op5_skip_chain_pii, op6_distinct_word_bpe, op7_systematic_mixing, op8_multiset_fingerprint,
-        op9_license_join, op10_ngram_join, op12_periodic_runs,
-        op13_superminhash_near_dedup)}
+        op9_license_join, op10_ngram_join, op11_cross_tokenizer_alignment,
+        op12_periodic_runs, op13_superminhash_near_dedup)}
 ORACLE: dict[str, str] = {
     "op3_event_sourced_chat": chat.OP3_SQL,
     "op7_systematic_mixing": mixing.OP7_SQL,
