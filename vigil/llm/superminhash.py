@@ -55,9 +55,10 @@ NUM, DEN = 17, 20                # fixed value of the contract: 85 %
 LEAST = 6                        # smaller sets link with equal sets only
 LEADER_ROUNDS = 2
 GROUP = 400                      # documents a task holds as arrays at a time
-ELEMENTS = 1 << 17               # elements whose permutations a task holds at a time
+ELEMENTS = 1 << 15               # elements whose permutations a task holds at a time
 REMEMBERED = 100_000             # names of sets a task remembers as sent
 FOREST = 500_000                 # classes a task's union-find holds
+FILTER_BITS = 24                 # bit array of the classes that share a bucket: 2 MB
 SKETCH = 512
 SKETCH_COLUMNS = [f"s{k}" for k in range(SKETCH // 64)]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -302,6 +303,19 @@ def class_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     return links.unionByName(verify(rest, sets))
 
 
+def probable(sets: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``sets`` whose class may be among ``wanted`` (cls): a bit array
+    of ``2**bits`` bits, joined as a table of 64-bit words. It holds at most
+    ``2**(bits - 6)`` rows, so it is broadcast whatever the input; what it lets
+    through falsely the exact join behind it drops."""
+    at = F.pmod(F.xxhash64("cls"), F.lit(1 << bits))
+    words = wanted.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    marked = sets.withColumn("at", at).withColumn("word", F.expr("at div 64"))
+    return marked.join(F.broadcast(words), "word").where(
+        F.expr("shiftrightunsigned(bits, cast(at % 64 as int)) & 1") == 1).drop("at", "word", "bits")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", plan: Plan = PLAN) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: component_id is the
     smallest id reachable over links of Jaccard 0.85 or more; ``kept`` marks the
@@ -311,9 +325,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     index = shared_table(band_index(source, plan), "band-index", ["kind"])
     buckets = shared_buckets(index.where("kind = 'band'"))
-    wanted = buckets.select("cls").distinct()
+    wanted = cut_lineage(buckets.select("cls").distinct())
     sets = shared_table(
-        index.where("kind = 'set'").join(wanted, "cls", "left_semi").groupBy("cls").agg(
+        probable(index.where("kind = 'set'"), wanted).join(wanted, "cls", "left_semi").groupBy("cls").agg(
             *[F.max(c).alias(c) for c in ("n", *SKETCH_COLUMNS, "tokens")]), "band-sets")
     labels = components(forest(class_links(buckets, sets)))
     members = index.where("kind = 'doc'").select("doc_id", "n", "cls")
