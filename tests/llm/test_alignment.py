@@ -96,6 +96,27 @@ def test_documents_and_pair_table_equal_brute_force(spark, tokenizers, block_byt
         (a, b, n, n == best[a]) for (a, b), n in count.items())
 
 
+def test_cutting_at_spaces_changes_no_id(tokenizers):
+    """Whole texts and remembered stretches have the same ids, whatever stands
+    around the spaces."""
+    import random
+    rng = random.Random(3)
+    parts = ["a", "The", "don't", "'s", "9", "12.5", "x_y", "é", "中文", "\u0301", "\u3000", "\u00a0", "\u2581", "\n", "\t", "\r\n",
+             "\x1c", "\x85", "\u200b", "!", "<|endoftext|>", "</s>", "\U0001f600", "_", "²", "ⅷ", ""]
+    texts = [" ".join(rng.choices(parts, k=rng.randrange(1, 12))) + rng.choice(["", " ", "  "]) for _ in range(3000)]
+    texts += ["".join(rng.choices(parts + [" ", "  ", "   "], k=rng.randrange(1, 16))) for _ in range(3000)]
+    both = alignment.Sides(alignment.byte_bpe(), alignment.piece_bpe())
+    assert both._cuts
+    a, b = both.encode([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        if a.counts[i]:
+            assert a.of(i).tolist() == tokenizers[0].encode(" " + t, add_special_tokens=False).ids, repr(t)
+            assert b.of(i).tolist() == tokenizers[1].encode(t), repr(t)
+        else:
+            ids = tokenizers[1].encode(t)
+            assert not t or b"".join(both.b_bytes[j] for j in ids) != b" " + t.encode(), repr(t)
+
+
 def test_groups_are_written_out(spark, tokenizers):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "k bigint, body string")
     got = {r["k"]: r["groups"] for r in alignment.token_groups(df, "k", "body").collect()}

@@ -34,6 +34,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +53,14 @@ BLOCK_BYTES = 8 << 20
 RADIXES = 64
 FAN_IN = 64                       # runs that one merge opens
 FRAME = 16_384                    # entries of a frame
+REMEMBERED = 400_000              # stretches whose ids a worker remembers
 DOC_BITS = 31                     # number of a document in its block, in the sort key
 
+# A single space before a character that is white space in no reading of Unicode.
+_CUT = re.compile(r" (?<=[^ ] )(?=[!-~\w])")
+# Stretches that can stand side by side with such a space between.
+_CLEAN = re.compile(r"[!-~\w][^\s▁]{0,63}")
+
 
 def byte_bpe() -> str:
     import public_tokenizers
@@ -73,6 +82,41 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Ids:
+    """Token ids of several texts, one after the other."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts, self._ends = ids, counts, np.cumsum(counts)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.ids[self._ends[i] - self.counts[i]:self._ends[i]]
+
+    def without(self, texts: np.ndarray) -> Ids:
+        if not texts.any():
+            return self
+        return Ids(self.ids[~np.repeat(texts, self.counts)], np.where(texts, 0, self.counts))
+
+
+class Known:
+    """The ids of remembered stretches, by code."""
+
+    def __init__(self):
+        self._ids, self._lengths, self._starts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self._ids = np.concatenate([self._ids, ids.astype(np.int32)])
+        self._lengths = np.concatenate([self._lengths, lengths])
+        self._starts = np.cumsum(self._lengths) - self._lengths
+
+    def of(self, codes: np.ndarray, counts: np.ndarray) -> Ids:
+        """The ids of texts of ``counts`` stretches each."""
+        lengths = self._lengths[codes]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self._starts[codes] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return Ids(self._ids[at].astype(np.int64), np.diff(upto))
+
+
 class Sides:
     """Both tokenizers, with the bytes of each of their ids."""
 
@@ -95,52 +139,116 @@ class Sides:
         self.a_size, self.b_size = len(self.a_bytes), len(self.b_bytes)
         self._a_len = np.array([len(b) for b in self.a_bytes], np.int64)
         self._b_len = np.array([len(b) for b in self.b_bytes], np.int64)
+        self._cuts = self._cuttable(a_path)
+        self._forget()
         a_text, b_text = ([str(i).encode() for i in range(n)] for n in (self.a_size, self.b_size))
         # How an id is written: within its part of a group, or as its last.
         self._written = [t + b"," for t in a_text] + [t + b"|" for t in a_text] + \
             [t + b"," for t in b_text] + [t + b";" for t in b_text]
 
-    def encode(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides for each text; both empty if either side's bytes
-        differ from space + text."""
-        plain = [t.decode() for t in texts]
-        a = [e.ids for e in self._a.encode_batch([" " + t for t in plain], add_special_tokens=False)]
-        b = self._b.encode(plain, num_threads=1) if plain else []
-        none = np.empty(0, np.int64)
-        for i, text in enumerate(texts):
-            same = text and b"".join(map(self.a_bytes.__getitem__, a[i])) == b" " + text and \
-                b"".join(map(self.b_bytes.__getitem__, b[i])) == b" " + text
-            a[i] = np.array(a[i], np.int64) if same else none
-            b[i] = np.array(b[i], np.int64) if same else none
-        return a, b
+    def _cuttable(self, a_path: str) -> bool:
+        """Whether both sides cut a text at every space that ``_CUT`` names: side
+        A if it is a byte-level BPE with the usual pattern, in which such a space
+        begins a word of its own, and no normalizer; side B if no piece goes on
+        with a space after another character."""
+        with open(a_path, encoding="utf-8") as file:
+            stages = json.load(file)
+        first = stages.get("pre_tokenizer") or {}
+        return stages.get("normalizer") is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and \
+            not first.get("add_prefix_space") and all(b" " not in piece.lstrip(b" ") for piece in self.b_bytes)
+
+    def _apart(self, keys: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both sides for each key, encoded one by one."""
+        return [e.ids for e in self._a.encode_batch([" " + k for k in keys], add_special_tokens=False)], \
+            self._b.encode(keys, num_threads=1) if keys else []
+
+    def _together(self, keys: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(ids, ids per key) of each side for keys between which both sides cut:
+        encoded as one text, taken apart by byte offsets. None if the bytes
+        differ anywhere."""
+        whole = " ".join(keys)
+        ends = np.cumsum([len(k.encode()) + 1 for k in keys])
+        out = []
+        for ids, lengths, names in ((self._a.encode(" " + whole, add_special_tokens=False).ids, self._a_len, self.a_bytes),
+                                    (self._b.encode(whole), self._b_len, self.b_bytes)):
+            if b"".join(map(names.__getitem__, ids)) != b" " + whole.encode():
+                return None
+            ids = np.array(ids, np.int64)
+            at = np.cumsum(lengths[ids])
+            cut = np.searchsorted(at, ends)
+            if not np.array_equal(at[cut], ends):
+                return None
+            out.append((ids, np.diff(cut, prepend=-1)))
+        return out
+
+    def _learn(self, keys: list[str]) -> None:
+        clean = [k for k in keys if _CLEAN.fullmatch(k)] if self._cuts else []
+        found = self._together(clean) if clean else None
+        if found is None:
+            clean = []
+        rest = list(set(keys).difference(clean))
+        single = self._apart(rest)
+        odd = [b"".join(map(self.a_bytes.__getitem__, x)) != b" " + k.encode()
+               or b"".join(map(self.b_bytes.__getitem__, y)) != b" " + k.encode() for k, x, y in zip(rest, *single)]
+        for code, key in enumerate([*clean, *rest], len(self._codes)):
+            self._codes[key] = code
+        self._odd = np.concatenate([self._odd, np.zeros(len(clean), bool), np.array(odd, bool)])
+        for i, side in enumerate((self._a_known, self._b_known)):
+            if found is not None:
+                side.add(*found[i])
+            side.add(np.array([x for ids in single[i] for x in ids], np.int64), np.array([len(x) for x in single[i]], np.int64))
+
+    def encode(self, texts: list[bytes]) -> tuple[Ids, Ids]:
+        """Ids of both sides; none for a text if either side's bytes differ from
+        space + text. A stretch between cuts is encoded once and remembered; a
+        worker remembers a bounded number of them."""
+        keys = [(_CUT.split(t.decode()) if self._cuts else [t.decode()]) if t else [] for t in texts]
+        if len(self._codes) > REMEMBERED:
+            self._forget()
+        if new := {k for ks in keys for k in ks}.difference(self._codes):
+            self._learn(list(new))
+        counts = np.array([len(ks) for ks in keys], np.int64)
+        codes = np.fromiter(map(self._codes.__getitem__, itertools.chain.from_iterable(keys)), np.int64, int(counts.sum()))
+        a, b = (side.of(codes, counts) for side in (self._a_known, self._b_known))
+        owner = np.repeat(np.arange(len(texts)), counts)
+        differ = np.zeros(len(texts), bool)
+        for i in np.unique(owner[self._odd[codes]]).tolist():
+            differ[i] = any(b"".join(map(names.__getitem__, x.of(i).tolist())) != b" " + texts[i]
+                            for names, x in ((self.a_bytes, a), (self.b_bytes, b)))
+        return a.without(differ), b.without(differ)
+
+    def _forget(self) -> None:
+        self._codes: dict[str, int] = {}
+        self._a_known, self._b_known, self._odd = Known(), Known(), np.empty(0, bool)
 
     def align(self, texts: list[bytes]) -> Aligned:
-        a, b = self.encode(texts)
-        return Aligned(self, a, b)
+        return Aligned(self, *self.encode(texts))
 
 
 class Aligned:
     """Groups and links of some documents, as one sequence of tokens: the two
     sides of a document have the same bytes, so offsets agree throughout."""
 
-    def __init__(self, sides: Sides, a: list[np.ndarray], b: list[np.ndarray]):
+    def __init__(self, sides: Sides, a: Ids, b: Ids):
         self._sides = sides
-        docs = len(a)
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        a, b = (np.concatenate(side) if side else np.empty(0, np.int64) for side in (a, b))
+        self.n_a, self.n_b, a, b = a.counts, b.counts, a.ids, b.ids
+        docs = len(self.n_a)
         doc = np.repeat(np.arange(docs), self.n_a)
         a_end, b_end = np.cumsum(sides._a_len[a]), np.cumsum(sides._b_len[b])
-        a_start, b_start = a_end - sides._a_len[a], b_end - sides._b_len[b]
-        first = np.searchsorted(b_end, a_start, side="right")
+        b_start = b_end - sides._b_len[b]
+        # B tokens that begin before each A token's end; both sides end together
+        # where the last of these ends there too, else it reaches into the next.
         last = np.searchsorted(b_start, a_end, side="left")
+        self._a_cut = b_end[last - 1] == a_end if len(a) else np.empty(0, bool)
+        self._b_cut = np.zeros(len(b), bool)
+        self._b_cut[last[self._a_cut] - 1] = True
+        first = np.concatenate([[0], (last - ~self._a_cut)[:-1]]) if len(a) else last
         width = last - first
         before = np.cumsum(width) - width
         partner = np.arange(int(width.sum())) + np.repeat(first - before, width)
         self.pairs = np.repeat(a, width) * sides.b_size + b[partner]      # one entry a link
         self.pair_docs = np.repeat(doc, width)
         self.n_links = np.bincount(self.pair_docs, minlength=docs)
-        self._a_cut = np.isin(a_end, b_end, assume_unique=True)
-        self._b_cut = np.isin(b_end, a_end, assume_unique=True)
         self.n_groups = np.bincount(doc[self._a_cut], minlength=docs)
         self._a, self._b = a, b
 
