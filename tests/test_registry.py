@@ -15,7 +15,7 @@ from oracle_check import compare, connect  # noqa: E402
 SF = "/root/testdata/sf0.001"
 # Training-backed queries are exercised in test_training.py at a small tree count.
 SLOW = {"e6_train_classifier", "e7_score_batch", "t7_top_importance", "e10_evaluation_report",
-        "e9_promotion_gate", "t9_top_deviations", "m1_score_trades_stream"}
+        "e9_promotion_gate", "m1_score_trades_stream"}
 ORACLE = oracle_sql()
 NAMES = sorted(n for n in queries() if n in ORACLE)
 

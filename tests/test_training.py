@@ -98,12 +98,58 @@ def test_retrain_history_latest_first_then_ascending(spark):
     assert out[1]["triggered_by"] == "manual"
 
 
-def test_prefix_auc_last_round_equals_model(fitted, data):
+def test_prefix_auc_of_every_round(fitted, data):
     valid = data.where(F.col("is_test"))
-    per_round = train.prefix_auc(fitted, valid, "isFraud").collect()
-    assert [r["k"] for r in per_round] == list(range(1, 11))
-    full = ev.roc_auc(train.score(fitted, valid), "isFraud", "fraud_score").first()["auc"]
-    assert per_round[-1]["auc"] == pytest.approx(full, abs=1e-12)
+    per_round = dict(train.prefix_auc(fitted, valid, "isFraud"))
+    assert sorted(per_round) == list(range(1, 11))
+    cur = fitted.stages[0].transform(valid)
+    margin = F.lit(0.0)
+    for k, (tree, w) in enumerate(zip(fitted.stages[-1].trees, fitted.stages[-1].treeWeights), 1):
+        cur = tree.copy().setPredictionCol(f"t{k}").transform(cur)
+        margin = margin + F.lit(float(w)) * F.col(f"t{k}")
+        want = ev.roc_auc(cur.select("isFraud", margin.alias("m")), "isFraud", "m").first()["auc"]
+        assert per_round[k] == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("bins", [2, 64, 1 << 14])
+def test_curve_of_any_width_settles_on_the_same_best_round(fitted, data, bins):
+    valid = data.where(F.col("is_test"))
+    exact = train.prefix_auc(fitted, valid, "isFraud")
+    curve = train.trees.ValidationCurve(train.trees.model_of(fitted, FEATURES), valid, "isFraud", bins)
+    for k, a in exact:
+        low, high = curve.bounds(k)
+        assert low - 1e-12 <= a <= high + 1e-12
+    for patience in (2, 4, 20):
+        assert train.patience_stop(curve.settled(), patience) == train.patience_stop(exact, patience)
+
+
+def test_no_exchange_carries_rows_times_rounds(fitted, data):
+    curve = train.trees.ValidationCurve(train.trees.model_of(fitted, FEATURES), data, "isFraud", 8)
+    assert curve._histogram().count() <= 10 * 8
+
+
+def test_tree_table_scores_like_the_model(spark, fitted, data, tmp_dir):
+    train.save_model(spark, fitted, tmp_dir, FEATURES, auc=0.9)
+    holes = data.withColumn("card1", F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("card1")))
+    loaded, meta = train.load_tree_model(spark, tmp_dir)
+    for model in (loaded, train.trees.model_of(fitted, FEATURES)):
+        a = train.score(model, holes).orderBy("id").collect()
+        b = train.score(fitted, holes).orderBy("id").collect()
+        assert [r["fraud_score"] for r in a] == pytest.approx([r["fraud_score"] for r in b], abs=1e-12)
+    assert meta["auc"] == 0.9
+
+
+def test_importance_of_the_table_is_the_models(spark, fitted, tmp_dir):
+    train.save_model(spark, fitted, tmp_dir, FEATURES, auc=None)
+    got = {r["feature"]: r["importance"] for r in
+           train.trees.importance(train.trees.load_trees(spark, tmp_dir + "/trees")).collect()}
+    want = dict(zip(FEATURES, fitted.stages[-1].featureImportances.toArray()))
+    assert {f: got.get(f, 0.0) for f in FEATURES} == pytest.approx(want, abs=1e-9)
+
+
+def test_layout_follows_the_rows():
+    from vigil.plans import training
+    assert training.matrix_layout(10) == 16 and training.matrix_layout(100_000_001) == 401
 
 
 def test_patience_stop():

@@ -22,12 +22,13 @@ SOURCE_TAG = "binance"
 
 def parse_trades(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text → typed trade columns + ``_parsed`` (false for bad
-    JSON: route those rows to a quarantine table)."""
+    JSON: route those rows to a quarantine table). Other columns of ``raw``
+    stay unless they bear the name of a parsed one."""
     j = parse_trade_json(value_col)
     staged = raw.select("*", j.alias("_j"))
     g = lambda k: F.col("_j").getItem(k)
     return staged.select(
-        *[c for c in raw.columns],
+        *[c for c in raw.columns if c not in (*WIRE_FIELDS.values(), "_parsed")],
         g("e").alias("event_type"),
         g("E").try_cast("bigint").alias("event_ms"),
         g("s").alias("symbol"),

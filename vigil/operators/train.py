@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.scalars import FAILED_SCORE, NULL_FILL
+from vigil.operators import trees
 from vigil.operators.features import class_weight_column
 
 # Fixed values of the reference's training job.
@@ -82,8 +83,10 @@ def score(model, df: DataFrame, score_col: str = "fraud_score",
 def save_model(spark: SparkSession, model: PipelineModel, path: str, feature_cols: list[str],
                auc: float | None, threshold: float = DEFAULT_THRESHOLD,
                scale_pos_weight: float | None = None) -> None:
-    """Spark ML writer for the fitted stages + one metadata row."""
+    """Spark ML writer for the fitted stages, their node table, and one
+    metadata row."""
     model.write().overwrite().save(os.path.join(path, "model"))
+    trees.save_trees(trees.read_saved_trees(spark, os.path.join(path, "model"), list(feature_cols)), os.path.join(path, "trees"))
     meta = {"auc": auc, "feature_cols": list(feature_cols), "threshold": threshold,
             "model_type": MODEL_TYPE, "scale_pos_weight": scale_pos_weight}
     spark.createDataFrame([(json.dumps(meta),)], "metadata string") \
@@ -96,6 +99,12 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return model, meta
 
 
+def load_tree_model(spark: SparkSession, path: str) -> tuple[trees.TreeModel, dict]:
+    """The saved model from its node table alone."""
+    meta = json.loads(spark.read.json(os.path.join(path, "metadata")).collect()[0]["metadata"])
+    return trees.TreeModel.of(trees.load_trees(spark, os.path.join(path, "trees")), meta["feature_cols"]), meta
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols: list[str],
                        k: int = 10) -> DataFrame:
     """Top-k importances with names (bounded by the number of features)."""
@@ -154,33 +163,24 @@ def current_model(metrics: DataFrame, key=(), ts_col: str = "deployed_at") -> Da
 PATIENCE = 20   # rounds without validation-AUC improvement before the reference stops
 
 
-def prefix_auc(model: PipelineModel, valid: DataFrame, label: str = "isFraud") -> DataFrame:
-    """Validation AUC after every boosting round, in one distributed pass:
-    each tree's prediction (public tree models), running margins inside each
-    row (no shuffle), exploded to (round, margin), then the grouped exact AUC
-    per round (partial aggregation by (round, margin) before the shuffle). AUC is rank-based, so the
-    margin stands in for the probability."""
-    from vigil.operators.evaluate import roc_auc
-    asm, gbt = model.stages[0], model.stages[-1]
-    cur = asm.transform(valid).select(F.col(label).alias("_y"), "features")
-    for i, tree in enumerate(gbt.trees):
-        cur = tree.copy().setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(cur)
-    w = gbt.treeWeights
-    contrib = F.array(*[F.col(f"_t{i}") * F.lit(float(w[i])) for i in range(len(w))])
-    # Running margins inside the row (sequential sum, no shuffle): the
-    # accumulator carries the prefix array and the running total.
-    start = F.struct(F.array().cast("array<double>").alias("p"), F.lit(0.0).alias("s"))
-    prefix = F.aggregate(contrib, start, lambda acc, x: F.struct(
-        F.concat(acc["p"], F.array(acc["s"] + x)).alias("p"), (acc["s"] + x).alias("s")))
-    margins = cur.select("_y", F.posexplode(prefix["p"]).alias("pos", "margin")) \
-        .select((F.col("pos") + 1).alias("k"), "_y", "margin")
-    return roc_auc(margins, "_y", "margin", by=["k"]).select("k", "auc").orderBy("k")
+def prefix_auc(model: PipelineModel, valid: DataFrame, label: str = "isFraud") -> list[tuple[int, float | None]]:
+    """Exact validation AUC after every boosting round (AUC is rank-based, so
+    margins stand in for probabilities)."""
+    curve = trees.ValidationCurve(trees.model_of(model, model.stages[0].getInputCols()), valid, label)
+    return sorted(curve.exact(curve.rounds).items())
+
+
+def validation_stop(model: PipelineModel, valid: DataFrame, label: str, patience: int) -> dict:
+    """:func:`patience_stop` of the validation curve, of which only the rounds
+    that decide the best one are counted exactly."""
+    curve = trees.ValidationCurve(trees.model_of(model, model.stages[0].getInputCols()), valid, label)
+    return patience_stop(curve.settled(), patience)
 
 
 def patience_stop(aucs: list[tuple[int, float]], patience: int = PATIENCE) -> dict:
     """Best round (first maximum) and the round at which a patience rule
-    would have stopped; ``aucs`` is the (round, auc) list of
-    :func:`prefix_auc` (one row per round, bounded by maxIter)."""
+    would have stopped; ``aucs`` is a (round, auc) list (one entry per round,
+    bounded by maxIter)."""
     best_k, best, stopped = None, None, None
     for k, a in aucs:
         if a is not None and (best is None or a > best):
@@ -212,8 +212,7 @@ def train_with_patience(train: DataFrame, valid: DataFrame, feature_cols: list[s
     while True:
         model = train_classifier(train, feature_cols, label, class_weight,
                                  **{**overrides, "maxIter": n})
-        aucs = [(r["k"], r["auc"]) for r in prefix_auc(model, valid, label).collect()]
-        stop = patience_stop(aucs, patience)
+        stop = validation_stop(model, valid, label, patience)
         if stop["early"] or n >= max_iter:
             break
         best = stop["best_iteration"]

@@ -958,6 +958,7 @@ def e1_stratified_split(spark, sf_dir):
 
 from vigil.operators import train as tr  # noqa: E402
 from vigil.operators import trades as trd  # noqa: E402
+from vigil.operators import trees  # noqa: E402
 from vigil.plans import training  # noqa: E402
 
 
@@ -1035,13 +1036,47 @@ def f13_parse_trade_json(spark, sf_dir):
                     "is_buyer_maker", "source")
 
 
-@register("t9_top_deviations")
-def t9_top_deviations(spark, sf_dir):
-    """Flagged live trades with their most deviating features."""
-    run = training.training_run(spark, sf_dir)
-    trades = scoring.score_trades(tables.trade_json(spark, sf_dir), run.features, run.model, scale=True)
-    return tr.top_deviations(trades.where(F.col("is_fraud") == 1), run.features.feature_cols, 5, run.features.means,
-                             run.features.stds, values="features").select("trade_id", "fraud_score", "top_deviations")
+# A stated model: two small trees over raw transaction columns, as node rows
+# (tree, weight, node, feature, split, left, right, leaf, gain, n).
+_STATED_TREES = [
+    (0, 1.0, 0, "TransactionAmt", 150000.0, 1, 2, None, 0.04, 1000.0), (0, 1.0, 1, None, None, None, None, -0.4, None, 600.0),
+    (0, 1.0, 2, "acct_balance", 5000.0, 3, 4, None, 0.02, 400.0), (0, 1.0, 3, None, None, None, None, 0.1, None, 250.0),
+    (0, 1.0, 4, None, None, None, None, 0.9, None, 150.0),
+    (1, 0.5, 0, "card1", 12.0, 1, 2, None, 0.01, 1000.0), (1, 0.5, 1, "TransactionAmt", 60000.0, 3, 4, None, 0.03, 500.0),
+    (1, 0.5, 2, None, None, None, None, -0.2, None, 500.0), (1, 0.5, 3, None, None, None, None, 0.3, None, 200.0),
+    (1, 0.5, 4, None, None, None, None, -0.6, None, 300.0)]
+_STATED_FEATURES = ["TransactionAmt", "card1", "acct_balance"]
+
+
+def _sql_value(v) -> str:
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else repr(v)
+
+
+_TREES_SQL = "trees(tree, weight, node, feature, split, l, r, leaf, gain, n) AS (VALUES " + ", ".join(
+    "(" + ", ".join(map(_sql_value, row)) + ")" for row in _STATED_TREES) + ")"
+
+
+@register("e8_tree_table_scores", "WITH RECURSIVE " + V.TRANSACTIONS.strip() + ", " + _TREES_SQL + """,
+walk AS (
+  SELECT t.TransactionID, t.TransactionAmt, t.card1, t.acct_balance, r.tree, 0 AS node
+  FROM transactions t, (SELECT DISTINCT tree FROM trees) r
+  UNION ALL
+  SELECT w.TransactionID, w.TransactionAmt, w.card1, w.acct_balance, w.tree,
+         CASE WHEN CASE n.feature WHEN 'TransactionAmt' THEN w.TransactionAmt WHEN 'card1' THEN w.card1
+                   ELSE w.acct_balance END <= n.split THEN n.l ELSE n.r END
+  FROM walk w JOIN trees n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL)
+SELECT w.TransactionID, round(1 / (1 + exp(-2 * sum(n.weight * n.leaf))), 6) AS fraud_score,
+       CAST(sum(n.weight * n.leaf) >= 0 AS INTEGER) AS is_fraud
+FROM walk w JOIN trees n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL GROUP BY w.TransactionID""")
+def e8_tree_table_scores(spark, sf_dir):
+    """The stated trees, written as a model's node table, loaded and applied to
+    all transactions."""
+    path = streams.scratch(spark, "e8")
+    trees.save_trees(spark.createDataFrame(_STATED_TREES, trees.TREE_SCHEMA), path)
+    model = trees.TreeModel.of(trees.load_trees(spark, path), _STATED_FEATURES)
+    scored = tr.score(model, tables.transactions(spark, sf_dir).select("TransactionID", *_STATED_FEATURES))
+    return scored.select("TransactionID", rnd(F.col("fraud_score"), 6).alias("fraud_score"),
+                         _flag("fraud_score", 0.5).cast("int").alias("is_fraud"))
 
 
 # ── streaming (M1–M4): stream over a file source = batch result ─────────────
@@ -1301,6 +1336,26 @@ scored AS (SELECT id AS trade_id, symbol, price, quantity, trade_time, is_buyer_
                   round(1 / (1 + exp(-(-4.5 + 0.9 * amt - 0.05 * h + 0.1 * w))), 6) AS fraud_score FROM raw)"""
 
 
+@register("t9_top_deviations", V.with_(_SCORED) + """,
+dev AS (
+  SELECT trade_id, 'TransactionAmt' AS feature, amt AS value, abs((amt - 4.0) / 1.5) AS deviation FROM scored WHERE fraud_score >= 0.5
+  UNION ALL SELECT trade_id, 'hour_of_day', h, abs((h - 11.5) / 7.0) FROM scored WHERE fraud_score >= 0.5
+  UNION ALL SELECT trade_id, 'day_of_week', w, abs((w - 3.0) / 2.0) FROM scored WHERE fraud_score >= 0.5),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY deviation DESC, feature DESC) AS place FROM dev)
+SELECT trade_id, place, feature, round(value, 6) AS value, round(deviation, 6) AS deviation FROM ranked WHERE place <= 2""")
+def t9_top_deviations(spark, sf_dir):
+    """The two most deviating features of every flagged live trade, by given
+    means and spreads, one row per feature (``card1`` is filled in trades, so it
+    never counts)."""
+    scored = scoring.score_trades(tables.trade_json(spark, sf_dir), _linear_features(spark), _LINEAR)
+    told = tr.top_deviations(scored.where(F.col("is_fraud") == 1), _LINEAR_FEATURES, 2, _LINEAR_MEANS, _LINEAR_STDS,
+                             values="features")
+    rows = told.select("trade_id", F.posexplode("top_deviations").alias("pos", "d"))
+    return rows.select("trade_id", (F.col("pos") + 1).cast("bigint").alias("place"), "d.feature",
+                       rnd(F.col("d.value"), 6).alias("value"), rnd(F.col("d.deviation"), 6).alias("deviation"))
+
+
 @register("m1_scored_log", V.with_(_SCORED) + """
 SELECT trade_id, symbol, price, quantity, trade_time, is_buyer_maker,
        fraud_score, CAST(fraud_score >= 0.5 AS INTEGER) AS is_fraud, CAST(0.5 AS DOUBLE) AS threshold FROM scored""")

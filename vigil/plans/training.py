@@ -32,11 +32,17 @@ class TrainingRun:
 
 
 _RUNS: dict = {}
-MATRIX_PARTITIONS = 16     # fixed layout of the training matrix; raise it with the input, on purpose
+MATRIX_PARTITIONS = 16         # least layout of the training matrix
+ROWS_PER_PARTITION = 250_000   # more rows take more partitions
+
+
+def matrix_layout(rows: int) -> int:
+    """Partitions of a training matrix: a function of its row count alone."""
+    return max(MATRIX_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
 
 
 def training_run(spark: SparkSession, sf_dir: str, key: str = "TransactionID",
-                 label: str = "isFraud", layout: int = MATRIX_PARTITIONS, **params) -> TrainingRun:
+                 label: str = "isFraud", layout: int | None = None, **params) -> TrainingRun:
     """Memoised per (input, params) within the session's process, so several
     registered queries over the same model train it once."""
     memo = (spark.sparkContext.applicationId, sf_dir, key, label, layout, tuple(sorted(params.items())))
@@ -46,9 +52,9 @@ def training_run(spark: SparkSession, sf_dir: str, key: str = "TransactionID",
     fm = feat.fit_features(raw, label=label)
     matrix = ev.stratified_split(fm.transform(raw, keep=[key]), label, [key])
     # Row sampling in the boosted trees is seeded per partition, so the layout
-    # is part of the model: one hash layout by key for every input size and
-    # core count.
-    matrix = cut_lineage(matrix.repartition(layout, key))
+    # is part of the model: a hash layout by key whose width follows the rows,
+    # whatever the core count.
+    matrix = cut_lineage(matrix.repartition(layout or matrix_layout(raw.count()), key))
     train_part, valid = matrix.where(~F.col("is_test")), matrix.where(F.col("is_test"))
     opts = dict(params)
     if opts.pop("early_stopping", True):
@@ -71,9 +77,8 @@ def stopping_summary(run: TrainingRun, label: str = "isFraud") -> dict:
     """Validation AUC per round → best round, best AUC (the value the
     reference reports and gates on) and the 20-round patience stop."""
     if "stopping" not in run.memo:
-        aucs = [(r["k"], r["auc"]) for r in      # one row per round (≤ maxIter)
-                train.prefix_auc(run.model, run.matrix.where(F.col("is_test")), label).collect()]
-        run.memo["stopping"] = train.patience_stop(aucs)
+        run.memo["stopping"] = train.validation_stop(
+            run.model, run.matrix.where(F.col("is_test")), label, train.PATIENCE)
     return run.memo["stopping"]
 
 
