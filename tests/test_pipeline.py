@@ -1,7 +1,10 @@
 """End to end: raw → features → model → streaming scorer → log; sinks and
 readers; stream = batch."""
 
+import contextlib
+import datetime as dt
 import glob
+import io
 import json
 import os
 
@@ -12,7 +15,8 @@ from fixtures import TRADE, raw_transactions
 from vigil.operators import evaluate as ev
 from vigil.operators import features as feat
 from vigil.operators import train
-from vigil.sources import readers, sinks
+from vigil.plans import drift_job
+from vigil.sources import log_catalog, readers, sinks
 from vigil.sources import tables
 from vigil.streaming import scoring
 from vigil.streaming.sources import kafka_source_options, trade_stream
@@ -122,6 +126,75 @@ def test_logs_are_read_by_column_name(spark, tmp_dir):
     assert [os.path.basename(r["file"]) for r in bad] == ["c.csv"]
 
 
+def _write(folder, name, text):
+    os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.write(text)
+
+
+def _mixed_logs(folder):
+    _write(folder, "dt=2024-01-01/a.csv", "timestamp,trade_id,fraud_score,model_version\n2024-01-01T01:00:00,1,0.5,v7\n")
+    _write(folder, "dt=2024-01-02/b.csv", "model_version,trade_id,timestamp,model_version\nv8,2,2024-01-02T00:00:00,x\n"
+                                          "v8,3,not a time,y\n")
+    _write(folder, "dt=2024-01-02/c.csv", "a,b\n1,2\n")
+    _write(folder, "dt=2024-01-03/d.csv", "trade_id,timestamp,fraud_score\n4,2024-01-03T00:00:00,0.25\n")
+
+
+@pytest.mark.parametrize("with_catalog", [False, True])
+def test_unknown_columns_lose_no_row_and_foreign_files_are_named(spark, tmp_dir, with_catalog):
+    logs, catalog = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "catalog") if with_catalog else None
+    _mixed_logs(logs)
+    read = lambda **k: sorted(
+        (r["trade_id"], r["fraud_score"]) for r in readers.read_prediction_logs(spark, logs, catalog=catalog, **k).collect())
+    assert read() == [(1, 0.5), (2, None), (3, None), (4, 0.25)]
+    assert read(since="2024-01-02 00:00:00", until="2024-01-02 23:00:00") == [(2, None)]
+    assert read(since="2024-01-01 00:00:00", until="2024-01-03 00:00:00", strict=True) == [(1, 0.5), (2, None), (4, 0.25)]
+    bad = readers.rejected_log_files(spark, logs, catalog=catalog).collect()
+    assert [os.path.basename(r["file"]) for r in bad] == ["c.csv"]
+    assert readers.rejected_log_files(spark, logs, since="2024-01-03 00:00:00", catalog=catalog).count() == 0
+    assert readers.rejected_log_files(spark, os.path.join(tmp_dir, "none"), catalog=catalog).count() == 0
+
+
+def test_catalogue_grows_by_new_files_only(spark, tmp_dir):
+    logs, catalog = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "catalog")
+    _mixed_logs(logs)
+    day = log_catalog.Span(since="2024-01-02", until="2024-01-02")
+    assert log_catalog.refresh(spark, logs, catalog, readers.LOG_COLUMNS, day) == 2
+    assert log_catalog.refresh(spark, logs, catalog, readers.LOG_COLUMNS) == 2
+    assert log_catalog.refresh(spark, logs, catalog, readers.LOG_COLUMNS) == 0
+    _write(logs, "dt=2024-01-04/e.csv", "trade_id,timestamp\n5,2024-01-04T00:00:00\n")
+    _write(logs, "dt=2024-01-04/empty.csv", "")
+    _write(logs, "dt=2024-01-02/c.csv", "timestamp,trade_id\n2024-01-02T05:00:00,6\n")     # mended
+    stamp = os.stat(os.path.join(logs, "dt=2024-01-02/c.csv")).st_mtime + 5
+    os.utime(os.path.join(logs, "dt=2024-01-02/c.csv"), (stamp, stamp))
+    assert log_catalog.refresh(spark, logs, catalog, readers.LOG_COLUMNS) == 2      # Spark lists no file without bytes
+    back = readers.read_prediction_logs(spark, logs, catalog=catalog)
+    assert sorted(r["trade_id"] for r in back.collect()) == [1, 2, 3, 4, 5, 6]
+    assert readers.rejected_log_files(spark, logs, catalog=catalog).count() == 0
+
+
+def test_only_the_dates_asked_for_are_read(spark, tmp_dir):
+    _mixed_logs(tmp_dir)
+    text = log_catalog.lines(spark, tmp_dir, log_catalog.Span(since="2024-01-03", until="2024-01-03"))
+    assert [os.path.basename(f) for f in text.inputFiles()] and text.select("_file").distinct().count() == 1
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        text.explain()
+    assert "PartitionFilters: [isnotnull(dt" in out.getvalue()
+
+
+def test_drift_job_runs_again_with_the_same_reports(spark, tmp_dir):
+    logs, reports = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "reports")
+    sinks.write_prediction_log(tables.predictions(spark, SF), logs)
+    _write(logs, "dt=2024-01-29/foreign.csv", "a,b\n1,2\n")
+    kinds = []
+    for _ in range(2):
+        drift_job.run_drift_job(spark, logs, reports, dt.datetime(2024, 1, 30), catalog=os.path.join(tmp_dir, "catalog"))
+        kinds.append(sorted(map(tuple, spark.read.parquet(reports).collect())))
+    assert kinds[0] == kinds[1]
+    assert "rejected_logs" in {r["kind"] for r in spark.read.parquet(reports).collect()}
+
+
 def test_prediction_log_csv_roundtrip(spark, tmp_dir):
     log = tables.predictions(spark, SF)
     sinks.write_prediction_log(log, tmp_dir)

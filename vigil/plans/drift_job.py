@@ -18,10 +18,12 @@ from vigil.sources import readers, sinks
 
 
 def run_drift_job(spark: SparkSession, log_path: str, reports_path: str, now: _dt.datetime,
-                  threshold: float = drift.DRIFT_THRESHOLD, by=(), exclude_failed: bool = True) -> DataFrame:
-    """Returns the decided drift result (also appended as kind ``drift``)."""
+                  threshold: float = drift.DRIFT_THRESHOLD, by=(), exclude_failed: bool = True,
+                  catalog: str | None = None) -> DataFrame:
+    """Returns the decided drift result (also appended as kind ``drift``). Log
+    files of the range that cannot be read are reported as ``rejected_logs``."""
     since = now - _dt.timedelta(hours=drift.WINDOW_HOURS) - _dt.timedelta(days=drift.BASELINE_DAYS)
-    logs = readers.read_prediction_logs(spark, log_path, since=since, until=now)
+    logs = readers.read_prediction_logs(spark, log_path, since=since, until=now, catalog=catalog)
     result = drift.drift_decision(drift.mean_shift_drift(
         logs, now, threshold=threshold, by=by, exclude_failed=exclude_failed)).cache()
     try:
@@ -30,6 +32,8 @@ def run_drift_job(spark: SparkSession, log_path: str, reports_path: str, now: _d
         sinks.append_report(result, reports_path, "drift", at=stamp)
         sinks.append_report(drift.drift_alert(result), reports_path, "drift_alert", at=stamp)
         sinks.append_report(drift.retrain_request(result, stamp.isoformat()), reports_path, "retrain_request", at=stamp)
+        sinks.append_report(readers.rejected_log_files(spark, log_path, since, now, catalog=catalog),
+                            reports_path, "rejected_logs", at=stamp)
         return result.select(*result.columns)
     finally:
         result.unpersist()

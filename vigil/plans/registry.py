@@ -1150,6 +1150,28 @@ def s4_read_prediction_logs(spark, sf_dir):
     return logs.select("trade_id", ts_text("ts"), "symbol", "fraud_score", "is_fraud")
 
 
+@register("s4_mixed_layouts", V.with_(V.PREDICTIONS) + f"""
+SELECT id AS trade_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CASE WHEN id % 3 <> 2 THEN symbol END AS symbol,
+       fraud_score, is_fraud, CASE WHEN id % 3 <> 2 THEN threshold END AS threshold
+FROM predictions WHERE ts >= {NOW_SQL} - INTERVAL 8 DAY AND ts <= {NOW_SQL}""")
+def s4_mixed_layouts(spark, sf_dir):
+    """Logs of three writers: the usual columns; other order and two columns
+    more; two columns fewer. Read by name through the header catalogue."""
+    path = streams.scratch(spark, "mixed-logs")
+    log = tables.predictions(spark, sf_dir)
+    part = F.pmod(F.col("id"), F.lit(3))
+    sinks.write_prediction_log(log.where(part == 0), path)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    day = F.to_date("ts").alias("dt")
+    for rows in (
+            log.where(part == 1).select(F.lit("v2").alias("model_version"), "threshold", "is_fraud", "fraud_score", stamp,
+                                        "symbol", F.col("id").alias("trade_id"), F.lit(7).alias("latency_ms"), day),
+            log.where(part == 2).select(stamp, F.col("id").alias("trade_id"), "fraud_score", "is_fraud", day)):
+        rows.write.mode("append").option("header", "true").partitionBy("dt").csv(path)
+    logs = readers.read_prediction_logs(spark, path, since=B_START, until=NOW, catalog=path + "-catalog")
+    return logs.select("trade_id", ts_text("ts"), "symbol", "fraud_score", "is_fraud", "threshold")
+
+
 @register("s5_recent_predictions", V.with_(V.PREDICTIONS) + f"""
 SELECT count(*) AS n_predictions, round(avg(CAST(is_fraud AS DOUBLE)), 6) AS fraud_rate,
        round(avg(fraud_score), 6) AS avg_score, round(avg(price * quantity), 6) AS transaction_amt_mean,

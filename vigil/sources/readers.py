@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.sources import log_catalog as cat
+
 # Prediction log as written by the scorer (FIXTURES §6): text timestamps,
 # price/quantity as received strings.
 PREDICTION_LOG_SCHEMA = ("timestamp string, trade_id bigint, symbol string, price string, "
@@ -32,7 +34,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
         # Paths only: no content is read, no list of files comes to the driver.
         none = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
     except AnalysisException as e:
-        if not _missing_path(e):
+        if not cat.missing_path(e):
             raise
         none = True
     if none:
@@ -67,38 +69,31 @@ LOG_COLUMNS = [f.split()[0] for f in PREDICTION_LOG_SCHEMA.split(", ")]
 _LOG_TYPES = dict(f.split() for f in PREDICTION_LOG_SCHEMA.split(", "))
 
 
-def _missing_path(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND"
-
-
-def _log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of every log file, with its file and the file's time."""
-    return spark.read.text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_mtime", F.col("_metadata.file_modification_time"))
-
-
-def _is_header(line) -> object:
-    """A line that names known columns only; no line of values does."""
-    names = F.transform(F.split(line, ","), lambda x: F.trim(F.regexp_replace(x, '"', "")))
-    return (F.size(F.array_except(names, F.array(*map(F.lit, LOG_COLUMNS)))) == 0) & F.array_contains(
-        names, F.lit("fraud_score"))
-
-
-def _read_csv_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Values are matched with columns by the header of their own file, so
-    files may order their columns differently or lack some. The distinct
-    headers (a few layouts, however many files) come to the driver; each
-    layout is parsed with its own order and the parts are united by name."""
-    lines = _log_lines(spark, path)
-    headers = lines.where(_is_header(F.col("value"))).select("_file", F.col("value").alias("_header")).distinct()
+def _read_csv_logs(spark: SparkSession, path: str, span: cat.Span, catalog: str | None) -> DataFrame:
+    """Values are matched with columns by the header of their own file, so files
+    may order their columns differently, lack some or have more (which are left
+    out). The layouts of the span (a few, however many files) come to the driver;
+    each is parsed with its own order and the parts are united by name."""
+    told = cat.headers(spark, path, LOG_COLUMNS, span, catalog)
+    layouts = [r["header"] for r in told.select("header").distinct().orderBy("header").collect()]
+    usable = [h for h in layouts if h]
+    lines = cat.lines(spark, path, span)
     keep = [c for c in lines.columns if c not in ("value", "_file")]
     parts = []
-    for r in headers.select("_header").distinct().orderBy("_header").collect():
-        names = [x.strip().strip('"') for x in r["_header"].split(",")]
-        schema = ", ".join(f"{n} {_LOG_TYPES[n]}" for n in names)
-        own = headers.where(F.col("_header") == r["_header"]).select("_file")
-        rows = lines.join(own, "_file", "left_semi").where((F.col("value") != r["_header"]) & (F.col("value") != ""))
-        parts.append(rows.select(*keep, F.from_csv("value", schema).alias("r")).select(*keep, "r.*"))
+    for header in usable:
+        seen: set[str] = set()
+        fields = []
+        for i, name in enumerate(cat.names_of(header)):
+            known = name in _LOG_TYPES and name not in seen
+            seen.add(name)
+            fields.append(f"{name} {_LOG_TYPES[name]}" if known else f"_other{i} string")
+        rows = lines
+        if len(usable) > 1 or None in layouts:             # else every line belongs to the one layout
+            own = told.where(F.col("header") == header).select(F.col("file").alias("_file"))
+            rows = lines.join(own, "_file", "left_semi")
+        rows = rows.where((F.col("value") != header) & (F.col("value") != ""))
+        wanted = [f"r.{c}" for c in _LOG_TYPES if c in seen]
+        parts.append(rows.select(*keep, F.from_csv("value", ", ".join(fields)).alias("r")).select(*keep, *wanted))
     if not parts:
         return lines.where(F.lit(False)).select(
             *keep, *[F.lit(None).cast(t).alias(c) for c, t in _LOG_TYPES.items()])
@@ -108,60 +103,59 @@ def _read_csv_logs(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
-def rejected_log_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, reason) of the CSV log files whose rows ``read_prediction_logs``
-    cannot take: they have lines, but no header of known columns."""
-    lines = _log_lines(spark, path).where(F.col("value") != "")
-    per_file = lines.groupBy(F.col("_file").alias("file")).agg(
-        F.count_if(_is_header(F.col("value"))).alias("headers"))
-    return per_file.where("headers = 0").select("file", F.lit("no header of known columns").alias("reason"))
+def rejected_log_files(spark: SparkSession, path: str, since=None, until=None, by: str = "row",
+                       catalog: str | None = None) -> DataFrame:
+    """(file, reason) of the CSV log files of a range whose rows
+    ``read_prediction_logs`` cannot take: they have lines, but no header."""
+    span = cat.Span(None if since is None else _ts(since), None if until is None else _ts(until), by)
+    try:
+        told = cat.headers(spark, path, LOG_COLUMNS, span, catalog)
+    except AnalysisException as e:
+        if not cat.missing_path(e):
+            raise
+        return spark.createDataFrame([], "file string, reason string")
+    return told.where(F.col("header").isNull()).select("file", F.lit("no header of known columns").alias("reason"))
 
 
 def read_prediction_logs(spark: SparkSession, path: str, since=None, until=None,
-                         by: str = "row", strict: bool = False, fmt: str = "csv") -> DataFrame:
+                         by: str = "row", strict: bool = False, fmt: str = "csv",
+                         catalog: str | None = None) -> DataFrame:
     """S4/S5 (+U1): every log file under ``path`` concatenated by column name
-    (a column that a file lacks is null); a missing path is an empty typed
-    frame. Reads what both writers leave: the batch writer's CSV and the stream
-    writer's Parquet (``fmt``). Unreadable files fail the job; files without a
-    usable header are listed by ``rejected_log_files``.
+    (a column that a file lacks is null, unknown ones are left out); a missing
+    path is an empty typed frame. Reads what both writers leave: the batch
+    writer's CSV and the stream writer's Parquet (``fmt``). Unreadable files
+    fail the job; files without a usable header are listed by
+    ``rejected_log_files``. ``catalog`` names a table of known headers
+    (``log_catalog``), kept up to date, so only new files are read for theirs.
 
     ``by="row"``   keeps rows whose parsed ``timestamp`` is in range; with a
-                   ``dt=`` date layout the date predicate prunes partitions.
+                   ``dt=`` date layout the dates prune partitions before any
+                   line is read.
     ``by="mtime"`` selects whole files by modification time (the reference's
                    rule) through the hidden ``_metadata`` column, which reaches
-                   the scan's data filters.
+                   the scan's listing.
     ``strict`` makes the lower bound exclusive (S5)."""
+    span = cat.Span(None if since is None else _ts(since), None if until is None else _ts(until), by, strict)
     try:
         if fmt == "csv":
-            df = _read_csv_logs(spark, path)
+            df = _read_csv_logs(spark, path, span, catalog)
         else:
-            df = spark.read.option("mergeSchema", "true").format(fmt).load(path).withColumn(
-                "_mtime", F.col("_metadata.file_modification_time"))
+            df = span.prune(spark.read.option("mergeSchema", "true").format(fmt).load(path))
     except AnalysisException as e:
-        if not _missing_path(e):
+        if not cat.missing_path(e):
             raise
         return spark.createDataFrame([], PREDICTION_LOG_SCHEMA).withColumn(
             "ts", F.lit(None).cast("timestamp"))
-    extra = [c for c in ("dt", "_mtime") if c in df.columns]
+    extra = [c for c in ("dt",) if c in df.columns]
     df = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in _LOG_TYPES.items()],
-                   *extra).withColumn("ts", F.to_timestamp("timestamp"))
-    if by == "mtime":
-        col = F.col("_mtime")
-    else:
-        col = F.col("ts")
-        if "dt" in df.columns:
-            lo_d = F.to_date(F.lit(_ts(since))) if since is not None else None
-            hi_d = F.to_date(F.lit(_ts(until))) if until is not None else None
-            if lo_d is not None:
-                df = df.where(F.col("dt") >= lo_d)
-            if hi_d is not None:
-                df = df.where(F.col("dt") <= hi_d)
-    if since is not None:
-        lo = F.lit(_ts(since)).cast("timestamp")
-        df = df.where(col > lo if strict else col >= lo)
-    if until is not None:
-        df = df.where(col <= F.lit(_ts(until)).cast("timestamp"))
-    return df.drop("_mtime")
+                   *extra).withColumn("ts", F.try_to_timestamp("timestamp"))
+    if by == "row":
+        if since is not None:
+            lo = F.lit(span.since).cast("timestamp")
+            df = df.where(F.col("ts") > lo if strict else F.col("ts") >= lo)
+        if until is not None:
+            df = df.where(F.col("ts") <= F.lit(span.until).cast("timestamp"))
+    return df
 
 
 def read_metric_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -170,7 +164,7 @@ def read_metric_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).json(path)
     except AnalysisException as e:
-        if not _missing_path(e):
+        if not cat.missing_path(e):
             raise
         return spark.createDataFrame([], schema)
 
@@ -181,7 +175,7 @@ def read_reports(spark: SparkSession, path: str, kind: str, schema: str) -> Data
     try:
         rows = spark.read.schema("document string, reported_at string, kind string").parquet(path)
     except AnalysisException as e:
-        if not _missing_path(e):
+        if not cat.missing_path(e):
             raise
         rows = spark.createDataFrame([], "document string, reported_at string, kind string")
     return rows.where(F.col("kind") == kind).select("reported_at", F.from_json("document", schema).alias("d")).select(

@@ -42,13 +42,15 @@ def export_label_first(matrix: DataFrame, feature_cols: list[str], label: str, p
 
 
 def append_report(report: DataFrame, path: str, kind: str, at: _dt.datetime | None = None) -> None:
-    """K7: append the rows of a report to the ``reports`` dataset, partitioned
-    by kind. Every kind has one shape, ``reported_at`` and the row as a JSON
-    ``document`` (``readers.read_reports`` takes it apart); no rows append
-    nothing."""
+    """K7: add the rows of a report to the ``reports`` dataset, partitioned by
+    kind and time of the report. Every kind has one shape, ``reported_at`` and
+    the row as a JSON ``document`` (``readers.read_reports`` takes it apart); no
+    rows add nothing. A report of the same kind and time replaces the earlier
+    one (dynamic partition overwrite), so a job that runs again for its time
+    leaves the same rows."""
     stamp = (at or _dt.datetime.now(_dt.timezone.utc)).isoformat()
-    (report.select(F.to_json(F.struct("*")).alias("document"), F.lit(stamp).alias("reported_at"), F.lit(kind).alias("kind"))
-     .write.mode("append").partitionBy("kind").parquet(path))
+    (report.select(F.to_json(F.struct("*")).alias("document"), F.lit(kind).alias("kind"), F.lit(stamp).alias("reported_at"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "reported_at").parquet(path))
 
 
 def write_merged(df: DataFrame, path: str) -> None:
