@@ -155,3 +155,18 @@ def test_keep_one_of_each(spark, tricky, rows):
     full = [d for d, n, c in want if n and (d == c or d is None)]
     assert sorted(kept, key=lambda d: (d is None, d or 0)) == sorted(
         list(dict.fromkeys(full)) + empties, key=lambda d: (d is None, d or 0))
+
+
+def test_keep_one_carries_any_column_name_and_type(spark):
+    from pyspark.sql import functions as F
+    text = prose(31, 40)
+    rows = [(1, text), (1, text), (2, text), (3, prose(32, 40)), (3, prose(33, 40)), (None, prose(34, 30)), (4, ""), (4, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
+        {c: F.lit("x") for c in ("_id", "_hash", "_row", "_row_hash", "_nth", "_key", "_text", "_at", "_word", "_one", "_sid", "row")}
+    ).withColumn("tags", F.create_map(F.lit("a"), F.lit(1)))
+    out = nj.keep_one_of_each(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in got) == sorted(
+        (d is None, d or 0, t or "") for d, t in [(1, text), *rows[3:]])
+    assert all(r["_nth"] == "x" and r["tags"] == {"a": 1} for r in got)

@@ -46,7 +46,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -60,6 +60,7 @@ STAR_ROUNDS = 2
 GROUP = 500                    # documents a task holds as arrays at a time
 REMEMBERED = 100_000           # names of sets a task remembers as sent
 POSTING = ["token", "cls", "n", "pos", "lone"]
+KEY_BITS = 24                  # bit array of the keys that do not simply stay: 2 MB
 SKETCH = 512
 SKETCH_COLUMNS = [f"s{k}" for k in range(SKETCH // 64)]
 
@@ -379,18 +380,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with
     the smallest id stays (of equal ids the one whose text hash is smallest, of
-    repeated rows one). Rows with empty sets all stay."""
-    keys = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
-    rows = keys.select(F.struct("_id", "_hash").alias("_key"), "_text")
-    named = near_duplicates(rows, "_key", "_text")
-    keep = cut_lineage(named.where((F.col("n_shingles") == 0) | (F.col("_key") == F.col("component_id"))).select(
-        F.col("_key._id").alias("_id"), F.col("_key._hash").alias("_hash"),
-        (F.col("n_shingles") == 0).alias("_empty")).distinct())
-    tagged = docs.withColumn("_row_hash", F.xxhash64(text_col))
-    j = tagged.join(keep, tagged[id_col].eqNullSafe(keep["_id"]) & (tagged["_row_hash"] == keep["_hash"]))
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    nth = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(*[F.col(c) for c in rest] or [F.lit(0)]))
-    return j.withColumn("_nth", nth).where(F.col("_empty") | (F.col("_nth") == 1)).select(*docs.columns)
+    rows equal in both the one whose columns come first as JSON). Rows with
+    empty sets all stay.
+
+    Rows travel as structs, so no name clashes. A narrow table lists the special
+    keys, those that go and those of which one row stays; a bit array of a fixed
+    size tells the rows that may be special, and only these meet the table."""
+    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_hash"),
+                        F.col(text_col).alias("_text"), F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    named = near_duplicates(keyed.select(F.struct("_id", "_hash").alias("_key"), "_text"), "_key", "_text")
+    per_key = named.where("n_shingles > 0").groupBy("_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("component_id").alias("component_id"))
+    leads = F.col("_key") == F.col("component_id")
+    special = cut_lineage(per_key.where(~leads | (F.col("rows") > 1)).select(
+        F.col("_key._id").alias("_sid"), F.col("_key._hash").alias("_shash"), leads.alias("_one")))
+    at = F.pmod(F.xxhash64("_hash"), F.lit(1 << KEY_BITS))
+    words = special.select(F.pmod(F.xxhash64("_shash"), F.lit(1 << KEY_BITS)).alias("at")).groupBy(
+        F.expr("at div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("_bits"))
+    # At most 2**(KEY_BITS - 6) rows, whatever the input.
+    marked = keyed.drop("_text").withColumns({"_at": at, "_word_no": F.expr(f"pmod(xxhash64(_hash), {1 << KEY_BITS}) div 64")}).join(
+        F.broadcast(words), F.col("_word_no") == F.col("_word"), "left")
+    may = F.coalesce(F.expr("shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1") == 1, F.lit(False))
+    met = marked.where(may).select("_id", "_hash", "_row").join(
+        special, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_hash") == F.col("_shash")), "left")
+    # Partial minima before the exchange: a row that is repeated often meets itself task by task.
+    ones = met.where("_one").groupBy("_id", "_hash").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return marked.where(~may).select("_row.*").unionByName(
+        met.where(F.col("_one").isNull()).select("_row.*")).unionByName(ones.select("_row.*"))
 
 
 def op10_query(docs: DataFrame) -> DataFrame:
