@@ -60,6 +60,15 @@ def test_groups_meet_and_a_hot_group_takes_few_shards(spark, n_shards):
     assert (cut["edges"], cut["cut"]) == (len(pairs), sum(pairs))
 
 
+@pytest.mark.parametrize("groups,size,most", [(200, 10, 0.10), (50, 40, 0.35)])
+def test_groups_that_nearly_pack_stay_together(spark, groups, size, most):
+    df = spark.createDataFrame([(g * size + i, f"k{g}") for g in range(groups) for i in range(size)], "doc_id bigint, key string")
+    out = sharding.balanced_shards(df, 24)
+    check_shards(out.collect(), 24)
+    cut = sharding.cut_edges(out).first()
+    assert cut["edges"] == groups * size * (size - 1) // 2 and cut["cut"] <= most * cut["edges"]
+
+
 def test_all_rows_linked_still_balances(spark):
     df = spark.createDataFrame([(i, f"k{i % 7}") for i in range(350)], "doc_id bigint, key string")
     out = sharding.balanced_shards(df, 6).collect()
