@@ -29,10 +29,12 @@ def brute_kept(text):
     data, bands = text.encode(), quality.DEFAULT_BANDS
     ratio = lambda b: len(b) / len(zstandard.ZstdCompressor(level=bands.level).compress(b))
     lo, hi = next((lo, hi) for below, lo, hi in bands.whole if len(data) < below)
-    chunks = [data[i:i + bands.chunk_bytes] for i in range(0, len(data), bands.chunk_bytes)]
-    chunks = [c for c in chunks if 2 * len(c) >= bands.chunk_bytes] if len(data) > bands.chunk_bytes else []
-    bad = sum(not bands.chunk_limits[0] <= ratio(c) <= bands.chunk_limits[1] for c in chunks)
-    return lo <= ratio(data) <= hi and not (chunks and 100 * bad >= bands.bad_chunk_pct * len(chunks))
+    size, limits = bands.chunk_bytes, bands.chunk_limits
+    starts = [*range(0, len(data) - size, size), len(data) - size] if len(data) > size else []
+    marks = "".join(".X"[not limits[0] <= ratio(data[i:i + size]) <= limits[1]] for i in starts)
+    pct = next(p for below, p in bands.bad_chunk_pct if len(data) < below)
+    return lo <= ratio(data) <= hi and "X" * bands.bad_run not in marks and \
+        ("X" not in marks or 100 * marks.count("X") < pct * len(marks))
 
 
 def by_id(rows):

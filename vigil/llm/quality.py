@@ -35,15 +35,18 @@ WINDOW = 5
 class Bands:
     """Limits of bytes / compressed bytes. ``whole``: (length below which the
     band holds, least ratio, largest ratio), by rising length. Short texts pay
-    the frame header, so their least ratio is low. ``bad_chunk_pct``: percent
-    of chunks outside ``chunk_limits`` from which a text is rejected."""
+    the frame header, so their least ratio is low. ``bad_chunk_pct``: (length
+    below which it holds, percent of chunks outside ``chunk_limits`` from which a
+    text is rejected); ``bad_run``: so many of them in a row reject a text of any
+    length."""
     whole: tuple[tuple[float, float, float], ...] = (
         (64, 0.60, 1.8), (128, 0.75, 2.0), (256, 0.95, 2.4), (512, 1.10, 2.6), (1024, 1.20, 2.9),
         (2048, 1.25, 3.2), (4096, 1.30, 3.5), (16384, 1.35, 3.8), (65536, 1.40, 4.2),
         (float("inf"), 1.40, 4.6))
     chunk_bytes: int = 4096
     chunk_limits: tuple[float, float] = (1.25, 4.0)
-    bad_chunk_pct: int = 25
+    bad_chunk_pct: tuple[tuple[float, int], ...] = ((65536, 25), (262144, 15), (float("inf"), 8))
+    bad_run: int = 3
     level: int = 3
 
 
@@ -88,20 +91,22 @@ def band_verdict(text: bytes, compressor: zstandard.ZstdCompressor, bands: Bands
     ratio = len(text) / len(compressor.compress(text))
     low, high = next((lo, hi) for below, lo, hi in bands.whole if len(text) < below)
     size, least, most = bands.chunk_bytes, *bands.chunk_limits
-    n_chunks = bad = 0
+    n_chunks = bad = run = longest = 0
     if len(text) > size:
-        for at in range(0, len(text), size):
-            chunk = text[at:at + size]
-            if len(chunk) * 2 < size:          # a short tail says little
-                continue
+        # The last chunk ends with the text and overlaps the one before it.
+        for at in [*range(0, len(text) - size, size), len(text) - size]:
             n_chunks += 1
-            r = len(chunk) / len(compressor.compress(chunk))
-            bad += not least <= r <= most
+            if least <= size / len(compressor.compress(text[at:at + size])) <= most:
+                run = 0
+            else:
+                bad, run = bad + 1, run + 1
+                longest = max(longest, run)
     if ratio > high:
         verdict = "repetitive"
     elif ratio < low:
         verdict = "incompressible"
-    elif n_chunks and 100 * bad >= bands.bad_chunk_pct * n_chunks:
+    elif longest >= bands.bad_run or bad and 100 * bad >= next(
+            pct for below, pct in bands.bad_chunk_pct if len(text) < below) * n_chunks:
         verdict = "bad chunks"
     else:
         verdict = "ok"
