@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tests.llm.conftest import prose
 from vigil.llm import fingerprint, licenses, pii, quality
 from vigil.llm.common import WordHashes
 
@@ -150,6 +151,32 @@ def test_op9_equals_brute_force(spark, rows):
         want, key=lambda t: tuple((x is None, x) for x in t))
 
 
+def test_a_long_template_is_found_whole(spark):
+    words = [f"w{k}" for k in range(120)]
+    templates = ((*licenses.TEMPLATES[0],), ("long", " ".join(words)))
+    assert licenses.block_words(licenses.TEMPLATES) == licenses.BLOCK and licenses.block_words(templates) == 150
+    texts = ["a b " + " ".join(words) + " c", " ".join(words[:108]), " ".join(words[:107]), "released under the mit license"]
+    _, found = licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"),
+                                     templates=templates)
+    assert {(r["doc_id"], r["label"]) for r in found.collect()} == {(0, "long"), (1, "long"), (3, "mit")}
+
+
+def test_an_address_may_have_many_zeros():
+    text = "0" * 500 + "1.2.3.4 and 1.2.3.256 and 0.0.0.0"
+    assert [s for s in pii.base_spans(text) if s[1] == 1] == [(0, 1, 507), (text.index("0.0.0.0"), 1, len(text))]
+
+
+def test_tails_and_long_texts_are_judged(spark):
+    import random
+    rng = random.Random(1)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=éüñ") for _ in range(n))
+    clean = prose(5, 60_000)
+    rows = [(0, prose(6, 700)[:4090]), (1, prose(6, 700)[:4090] + " " + noise(2040)), (2, clean), (3, clean + " " + noise(84_000))]
+    got = {r["doc_id"]: r["verdict"] for r in quality.compression_bands(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0] == got[2] == "ok" and got[3] == "bad chunks" and got[1] != "ok"
+
+
 def test_op9_labels_do_not_depend_on_the_offset(spark):
     notice = licenses.TEMPLATES[4][1].split()
     spread = " x ".join(notice) + " "

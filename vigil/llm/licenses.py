@@ -1,6 +1,6 @@
 """License scan: an exact set-similarity join of text blocks with notice templates.
 
-Blocks are all windows of ``BLOCK`` words, so a passage matches wherever it starts.
+Blocks are all windows of ``BLOCK`` words (more where a template needs them), so a passage matches wherever it starts.
 A block matches a template T when it holds at least ``need = ceil(9/10 |T|)`` of T's
 distinct words. A window that starts between template words holds no more of them
 than the one that starts at the next, so only those are looked at; windows of one
@@ -72,9 +72,10 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
     found = []
     for phrase, label in phrases.items():
         key = b" " + phrase.encode() + b" "
-        at = line.find(key)
+        at, word, counted = line.find(key), 0, 0
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            word, counted = word + line.count(b" ", counted, at), at
+            found.append((word, label))
             at = line.find(key, at + 1)
     return sorted(found)
 
@@ -83,6 +84,11 @@ def template_table(templates=TEMPLATES) -> list[tuple[int, str, list[str]]]:
     return [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates)]
 
 
+def block_words(templates) -> int:
+    """Words of a block: room for the longest template with a quarter more."""
+    return max([BLOCK, *(5 * len(text.split()) // 4 for _, text in templates)])
+
+
 def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> DataFrame:
     """(word, n) of the vocabulary over all documents."""
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -101,7 +107,8 @@ def prefix_size(size: int) -> int:
     return size - (NUM * size + DEN - 1) // DEN + 1
 
 
-def blocks_of(words: list[bytes], order: dict[bytes, int], firsts: set[bytes], least: int) -> list[dict]:
+def blocks_of(words: list[bytes], order: dict[bytes, int], firsts: set[bytes], least: int,
+              width: int = BLOCK) -> list[dict]:
     """The blocks that hold a word of ``firsts`` and ``least`` words of ``order``."""
     held = [i for i, w in enumerate(words) if w in order]
     rare = [i for i in held if words[i] in firsts]
@@ -112,14 +119,14 @@ def blocks_of(words: list[bytes], order: dict[bytes, int], firsts: set[bytes], l
             k += 1
         if k == len(rare):
             break
-        if rare[k] - start < BLOCK:
-            inside = {order[words[i]] for i in held[at:at + BLOCK] if i < start + BLOCK}
+        if rare[k] - start < width:
+            inside = {order[words[i]] for i in held[at:at + width] if i < start + width}
             if len(inside) >= least:
                 found.setdefault(tuple(sorted(inside)), start)
     return [{"start": start, "words": list(inside)} for inside, start in found.items()]
 
 
-def scan(docs: DataFrame, templates, rank: dict[str, int], phrases: dict[str, str]) -> DataFrame:
+def scan(docs: DataFrame, templates, rank: dict[str, int], phrases: dict[str, str], width: int = BLOCK) -> DataFrame:
     """One row per document: base columns, and the blocks that hold a prefix
     word of a template, as ranks of their template words in rising order."""
     order = {w.encode(): r for w, r in rank.items()}
@@ -138,7 +145,7 @@ def scan(docs: DataFrame, templates, rank: dict[str, int], phrases: dict[str, st
             distinct = set(words)
             places = phrase_places(words, phrases) if any(
                 distinct.issuperset(p.encode().split()) for p in phrases) else []
-            blocks = blocks_of(words, order, firsts, least) if not firsts.isdisjoint(distinct) else []
+            blocks = blocks_of(words, order, firsts, least, width) if not firsts.isdisjoint(distinct) else []
             rows.append((xxhash.xxh3_64_intdigest(text) - 2**63, len(words), len(places),
                          places[0][0] if places else None, places[-1][0] if places else None,
                          sorted({label for _, label in places}), blocks))
@@ -179,7 +186,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = {r["word"]: r["n"] for r in word_counts(source.select("text"), vocabulary).collect()}
     ordered = sorted((w.decode() for w in vocabulary), key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(ordered)}
-    scanned = shared_table(scan(source, table, rank, phrases), "license-scan")
+    scanned = shared_table(scan(source, table, rank, phrases, block_words(templates)), "license-scan")
     return scanned, matches(spark, scanned, table, rank)
 
 

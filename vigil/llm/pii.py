@@ -113,7 +113,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if _DIGIT.search(text):
         if "." in text:
             spans += [(m.start(), 1, m.end()) for m in _IP.finditer(text)
-                      if all(len(p) <= 400 and int(p) <= 255 for p in m.group().split("."))]
+                      if all(len(q) <= 3 and int(q or 0) <= 255 for q in (p.lstrip("0") for p in m.group().split(".")))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 digits = m.group().replace(" ", "").replace("-", "")
