@@ -171,7 +171,7 @@ def test_tails_and_long_texts_are_judged(spark):
     rng = random.Random(1)
     noise = lambda n: "".join(chr(rng.randrange(1, 128)) for _ in range(n))
     clean, short = prose(5, 60_000, 400), prose(6, 700, 400)[:4090]
-    rows = [(0, short), (1, short + " " + noise(2040)), (2, clean), (3, clean + " " + noise(84_000)), (4, noise(84_000) + clean)]
+    rows = [(0, short), (1, short + " " + noise(3900)), (2, clean), (3, clean + " " + noise(84_000)), (4, noise(84_000) + clean)]
     got = {r["doc_id"]: r["verdict"] for r in quality.compression_bands(
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[0] == got[2] == "ok" and got[3] == got[4] == "bad chunks" and got[1] != "ok"
