@@ -324,6 +324,11 @@ def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_
     totals = counts.groupBy(*by).agg(F.sum("e_c").alias("e_n"), F.sum("a_c").alias("a_n"))
     grid = totals.select(*by, "e_n", "a_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(counts, [*by, "bin"], "left").fillna(0, ["e_c", "a_c"])
+    return _psi_of_counts(full, by, bins, epsilon)
+
+
+def _psi_of_counts(full: DataFrame, by: list[str], bins: int, epsilon: float) -> DataFrame:
+    """PSI from the zero-filled counts of both sides (e_c, a_c, e_n, a_n)."""
     e_p = (F.col("e_c") + epsilon) / (F.col("e_n") + epsilon * bins)
     a_p = (F.col("a_c") + epsilon) / (F.col("a_n") + epsilon * bins)
     term = (a_p - e_p) * F.log(a_p / e_p)
@@ -334,6 +339,46 @@ def psi(expected: DataFrame, actual: DataFrame, value_col: str, bins: int = PSI_
     return out.withColumn("psi_band", psi_band("psi"))
 
 
+def psi_from_baseline(histogram: DataFrame, live: DataFrame, features: list[str],
+                      bins: int = PSI_BINS, epsilon: float = PSI_EPSILON) -> DataFrame:
+    """D3 against a stored baseline (K10): the live values are binned onto the
+    stored edges, so the training rows are not read. End bins are open: a value
+    below the baseline's range counts in the first bin, one above it in the
+    last. NULL and NaN are left out, as in :func:`psi`; a feature that the
+    baseline does not hold gives no row. The stored histogram has at most
+    ``bins`` rows per feature and is broadcast, live rows stay where they are."""
+    edges = histogram.groupBy("feature").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+                                             F.sum("n").alias("e_n"))
+    long = (live.select(*[F.col(c).cast("double").alias(c) for c in features])
+            .unpivot([], features, "feature", "v").where(F.col("v").isNotNull() & ~F.isnan("v")))
+    inside = F.least(F.greatest(F.col("v"), F.col("lo")), F.col("hi"))
+    # All values equal in training: that value stands in the last bin, anything
+    # below it in the first.
+    at = F.when((F.col("lo") == F.col("hi")) & (F.col("v") < F.col("lo")), F.lit(0)).otherwise(
+        equal_width_bin(inside, F.col("lo"), F.col("hi"), bins))
+    seen = (long.join(F.broadcast(edges.select("feature", "lo", "hi")), "feature")
+            .groupBy("feature", at.alias("bin")).agg(F.count(F.lit(1)).alias("a_c")))
+    totals = edges.join(seen.groupBy("feature").agg(F.sum("a_c").alias("a_n")), "feature", "left").select(
+        "feature", "e_n", F.coalesce("a_n", F.lit(0)).alias("a_n"),
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    full = (totals.where(F.col("feature").isin(features))
+            .join(histogram.select("feature", "bin", F.col("n").alias("e_c")), ["feature", "bin"], "left")
+            .join(seen, ["feature", "bin"], "left").fillna(0, ["e_c", "a_c"]))
+    return _psi_of_counts(full, ["feature"], bins, epsilon)
+
+
+def zscore_from_baseline(moments: DataFrame, live: DataFrame, features: list[str],
+                         z_threshold: float = Z_THRESHOLD) -> DataFrame:
+    """D2's per-feature z against stored moments (K10): one aggregation of the
+    live rows, one row per feature on either side. Features missing on a side
+    or with baseline std 0 are skipped, as in :func:`zscore_drift`."""
+    now = feature_moments(live, features).select("feature", F.col("mean").alias("live_mean"))
+    told = moments.join(now, "feature").where(
+        F.col("live_mean").isNotNull() & F.col("mean").isNotNull() & F.col("std").isNotNull() & (F.col("std") != 0))
+    z = round_half_even_exact(F.abs(F.col("live_mean") - F.col("mean")) / F.col("std"), 4)
+    return told.select("feature", z.alias("z"), (z > z_threshold).alias("shifted"))
+
+
 # ── count-window drift (D5, W1, W2) ──────────────────────────────────────────
 
 def count_window_drift(log: DataFrame, n: int = COUNT_WINDOW, by=(), score_col="fraud_score",

@@ -8,8 +8,10 @@ Two phases, as in Spark ML:
   distinct category value) from fit to save, load and apply, so a column may
   have any number of values.
 * ``FeatureModel.transform`` is one projection over an equi-join per
-  categorical column; Catalyst and AQE broadcast a small encoder and shuffle a
-  large one. The same plan runs on a stream (stream-static joins).
+  categorical column. Encoders are counted first: those that fit
+  ``BROADCAST_VALUES`` together are broadcast, so wide rows do not move for
+  them; larger ones shuffle. The same plan runs on a stream (stream-static
+  joins).
 
 Order of the steps (fixed by the reference): time features → drop high-null
 and fixed columns → log1p → label encoding (NULL → "missing") → fill the
@@ -47,6 +49,8 @@ NULL_THRESHOLD = 0.9
 TIME_SOURCE = "TransactionDT"
 
 ENCODER_SCHEMA = "column string, value string, code int"
+BROADCAST_VALUES = 400_000                 # values of all broadcast encoders together
+BROADCAST_CHARS = 16 * BROADCAST_VALUES    # and their code points
 
 
 @dataclass
@@ -139,17 +143,39 @@ def _pre_encode(df: DataFrame, time_source: str | None) -> dict:
 def _join_codes(df: DataFrame, encoders: DataFrame, cols: list[str]) -> DataFrame:
     """Adds ``_code_<col>`` per column by an equi-join on the value (NULL →
     "missing"; an unseen value finds no row). One row per value on the right,
-    so no row is repeated, and a frequent value is one hot key of a join whose
-    other side AQE broadcasts or splits."""
+    so no row is repeated. A broadcast encoder is proven small by its count
+    (``small_encoders``); in the join with a larger one a frequent value is a
+    hot key, which AQE splits. Shuffled joins come last, on columns already
+    encoded."""
     out = df
-    for c in cols:
+    small = small_encoders(encoders, cols)
+    for c in sorted(cols, key=lambda c: c not in small):
         table = encoders.where(F.col("column") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}"))
+        if c in small:
+            table = F.broadcast(table)
         value = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
         out = out.join(table, F.coalesce(value, F.lit(MISSING_CATEGORY)) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     return out
 
 
+def small_encoders(encoders: DataFrame, cols: list[str], values: int | None = None,
+                   chars: int | None = None) -> set[str]:
+    """The columns whose encoders may be broadcast together: smallest first,
+    while their values and code points stay within the bounds. One aggregation
+    of the encoder table, one row per column to the driver."""
+    left, room = values or BROADCAST_VALUES, chars or BROADCAST_CHARS
+    sizes = encoders.where(F.col("column").isin(cols)).groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")).collect() if cols else []
+    small = set()
+    for r in sorted(sizes, key=lambda r: (r["n"], r["chars"] or 0, r["column"])):
+        left, room = left - r["n"], room - (r["chars"] or 0)
+        if left < 0 or room < 0:
+            break
+        small.add(r["column"])
+    return small
+
+
 def time_feature_frame(df: DataFrame) -> DataFrame:
     """F1 as a frame: adds fractional ``hour_of_day`` / ``day_of_week``."""
     if TIME_SOURCE not in df.columns:

@@ -557,15 +557,15 @@ def d3_psi_features(spark, sf_dir):
     return r6(drift.psi(long(base), long(recent_df), "value", by=["feature"], few_groups=True))
 
 
-def _d5_sql(by: str | None) -> str:
+def _d5_sql(by: str | None, n: int = 50) -> str:
     part = f"PARTITION BY {by} " if by else ""
     key = f"{by}, " if by else ""
     return V.with_(V.PREDICTIONS) + f""",
 ok AS (SELECT {key}id, ts, fraud_score - 0.5 AS x, fraud_score FROM predictions WHERE fraud_score >= 0),
 sq AS (SELECT *, row_number() OVER ({part}ORDER BY ts, id) AS seq FROM ok),
-w AS (SELECT {key}(seq - 1) // 50 AS window_no, count(*) AS cnt, sum(x) AS sx, sum(x * x) AS sxx,
+w AS (SELECT {key}(seq - 1) // {n} AS window_no, count(*) AS cnt, sum(x) AS sx, sum(x * x) AS sxx,
              avg(fraud_score) AS w_mean, stddev_pop(fraud_score) AS w_std, max(ts) AS ts_end
-      FROM sq GROUP BY ALL HAVING count(*) = 50),
+      FROM sq GROUP BY ALL HAVING count(*) = {n}),
 r AS (SELECT *, sum(cnt) OVER ({part}ORDER BY window_no) AS n_all,
              sum(sx) OVER ({part}ORDER BY window_no) AS s_all,
              sum(sxx) OVER ({part}ORDER BY window_no) AS ss_all FROM w),
@@ -1106,12 +1106,57 @@ def m3_volume_stream(spark, sf_dir):
     return r6(v.select(ts_text("bucket_start"), "total", "fraud", "avg_score"))
 
 
+_HOUR_SQL = "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@register("m3_late_rows", V.with_(V.DASHBOARD) + f"""
+SELECT {_HOUR_SQL} AS hour, count(*) AS n_in, CAST(sum(is_fraud) AS BIGINT) AS fraud, true AS some_late
+FROM dash GROUP BY 1""")
+def m3_late_rows(spark, sf_dir):
+    """Files that hold rows of all times under a watermark of an hour: what the
+    buckets count and what the side table of late rows holds make up the log.
+    (Which rows are late depends on the order of the files.)"""
+    buckets, late = streams.volume_with_late_rows(spark, sf_dir)
+    kept = buckets.select(F.date_trunc("hour", "bucket_start").alias("at"), "total", "fraud", F.lit(0).alias("n_late"))
+    behind = late.select(F.date_trunc("hour", "ts").alias("at"), F.lit(1).alias("total"),
+                         F.col("is_fraud").alias("fraud"), F.lit(1).alias("n_late"))
+    both = kept.unionByName(behind).groupBy("at").agg(
+        F.sum("total").alias("n_in"), F.sum("fraud").alias("fraud"))
+    some = behind.agg((F.count(F.lit(1)) > 0).alias("some_late"))
+    return both.join(F.broadcast(some)).select(ts_text("at", "hour"), "n_in", "fraud", "some_late")
+
+
+def _m4(spark, sf_dir, key, **options):
+    d = streams.count_window_stream(spark, sf_dir, key, **options)
+    return d.select(key, "window_no", ts_text("ts"),
+                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
+
+
 @register("m4_count_window_drift_stream", _d5_sql("is_buyer_maker"))
 def m4_count_window_drift_stream(spark, sf_dir):
-    d = streams.count_window_stream(spark, sf_dir, "is_buyer_maker")
-    return d.select("is_buyer_maker", "window_no", ts_text("ts"),
-                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")],
-                    "window_size")
+    return _m4(spark, sf_dir, "is_buyer_maker")
+
+
+@register("m4_count_window_drift_by_symbol", _d5_sql("symbol", 10))
+def m4_count_window_drift_by_symbol(spark, sf_dir):
+    """M4 + M5 per symbol, windows of ten scores: rows from unordered files
+    wait in the symbol's state and are released in event-time order."""
+    return _m4(spark, sf_dir, "symbol", n=10)
+
+
+_DRIFT_SCHEMA = ("symbol string, window_no bigint, ts timestamp, drift_score double, mean_score double, "
+                 "std_score double, window_size int")
+
+
+@register("k9_drift_sink_compacted", _d5_sql("symbol", 10))
+def k9_drift_sink_compacted(spark, sf_dir):
+    """K9: M4's rows written by micro-batch, the days before the 20th merged
+    into few files, read as one table."""
+    path = streams.drift_sink(spark, sf_dir)
+    sinks.compact_flushes(spark, path, path + "-merged", _DRIFT_SCHEMA, until=_dt.date(2024, 1, 20))
+    d = sinks.read_flushes(spark, path, path + "-merged", _DRIFT_SCHEMA)
+    return d.select("symbol", "window_no", ts_text("ts"),
+                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
 
 
 # ── sources and sinks (S1, S3, S4, S5, K1, K10) ─────────────────────────────
@@ -1199,6 +1244,73 @@ def k10_baseline_histogram(spark, sf_dir):
     return hist.select("feature", "bin", "n")
 
 
+def _baseline(spark, sf_dir):
+    """K10 written, then read: (moments, histogram, live rows)."""
+    recent, base = _windows(spark, sf_dir)
+    path = streams.scratch(spark, "baseline")
+    sinks.cache_baseline(base, MONITORED, path)
+    return *readers.read_baseline(spark, path), recent
+
+
+@register("k10_psi_from_baseline", FEATS_SQL + """,
+e AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v FROM base WHERE {c} IS NOT NULL AND NOT isnan({c})"
+                               for c in MONITORED) + """),
+a AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v FROM recent WHERE {c} IS NOT NULL AND NOT isnan({c})"
+                               for c in MONITORED) + f"""),
+r AS (SELECT feature, min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 10 AS step FROM e GROUP BY feature),
+g AS (SELECT feature, 'e' AS side, {_bin_sql('v', 10)} AS bin FROM e JOIN r USING (feature)
+      UNION ALL
+      SELECT feature, 'a', CASE WHEN v < lo THEN 0 WHEN v > hi THEN 9 ELSE {_bin_sql('v', 10)} END FROM a JOIN r USING (feature)),
+c AS (SELECT feature, bin, count(*) FILTER (WHERE side = 'e') AS e_c, count(*) FILTER (WHERE side = 'a') AS a_c
+      FROM g GROUP BY ALL),
+t AS (SELECT feature, sum(e_c) AS e_n, sum(a_c) AS a_n FROM c GROUP BY feature),
+p AS (SELECT t.feature, e_n, a_n, (coalesce(e_c, 0) + 1e-6) / (e_n + 1e-5) AS e_p, (coalesce(a_c, 0) + 1e-6) / (a_n + 1e-5) AS a_p
+      FROM t CROSS JOIN range(0, 10) k LEFT JOIN c ON c.feature = t.feature AND c.bin = k.range),
+s AS (SELECT feature, CAST(any_value(e_n) AS BIGINT) AS expected_n, CAST(any_value(a_n) AS BIGINT) AS actual_n,
+             sum((a_p - e_p) * ln(a_p / e_p)) AS psi FROM p GROUP BY feature)
+SELECT feature, CASE WHEN expected_n > 0 AND actual_n > 0 THEN round(psi, 6) END AS psi, expected_n, actual_n,
+       CASE WHEN expected_n = 0 OR actual_n = 0 THEN NULL WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.2 THEN 'minor'
+            ELSE 'significant' END AS psi_band
+FROM s""")
+def k10_psi_from_baseline(spark, sf_dir):
+    """D3 of the last day against the stored histogram; the baseline's rows are
+    read once, when it is written."""
+    _, histogram, recent = _baseline(spark, sf_dir)
+    return r6(drift.psi_from_baseline(histogram, recent, MONITORED))
+
+
+@register("k10_zscore_from_baseline", FEATS_SQL + f""",
+r AS ({_moments_sql('recent', 'recent')}),
+b AS ({_moments_sql('base', 'base')})
+SELECT r.feature, round(abs(recent_mean - base_mean) / base_std, 4) AS z,
+       round(abs(recent_mean - base_mean) / base_std, 4) > 3.0 AS shifted
+FROM r JOIN b ON r.feature = b.feature
+WHERE recent_mean IS NOT NULL AND base_mean IS NOT NULL AND base_std IS NOT NULL AND base_std <> 0""")
+def k10_zscore_from_baseline(spark, sf_dir):
+    moments, _, recent = _baseline(spark, sf_dir)
+    out = drift.zscore_from_baseline(moments, recent, MONITORED)
+    return out.select("feature", rnd(F.col("z"), 4).alias("z"), "shifted")
+
+
+@register("k1_compacted_log", V.with_(V.PREDICTIONS) + """
+SELECT id AS trade_id, symbol, round(fraud_score, 6) AS fraud_score, is_fraud FROM predictions""")
+def k1_compacted_log(spark, sf_dir):
+    """Flushes of the log by day and batch, days up to the 15th merged; then
+    flushes that arrive late in a merged day, read beside it until the next
+    run."""
+    path, merged = streams.scratch(spark, "flushes"), streams.scratch(spark, "merged")
+    schema = "trade_id bigint, symbol string, fraud_score double, is_fraud int"
+    log = tables.predictions(spark, sf_dir).select(
+        F.col("id").alias("trade_id"), "symbol", "fraud_score", "is_fraud", F.to_date("ts").alias("dt"),
+        F.lit("0").alias("run"), F.pmod("id", F.lit(4)).cast("bigint").alias("batch"))
+    put = lambda rows: (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                        .partitionBy("dt", "run", "batch").parquet(path))
+    put(log.where("batch < 3"))
+    sinks.compact_flushes(spark, path, merged, schema, until=_dt.date(2024, 1, 15))
+    put(log.where("batch = 3"))
+    return r6(sinks.read_flushes(spark, path, merged, schema).drop("dt"))
+
+
 # K4/K6/K8 write to the shared checkpoint folder and read back: the oracle is
 # the SQL of the table written (F7's matrix without the id; J1's merge).
 _F7_NO_ID_SQL = f"SELECT * EXCLUDE (TransactionID) FROM ({ORACLE['f7_apply_features']})"

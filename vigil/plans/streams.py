@@ -5,8 +5,8 @@ registry, the tests (stream = batch) and the bench."""
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,43 +56,42 @@ _PRED_SCHEMA = ("id bigint, ts timestamp, symbol string, price double, quantity
                 "is_buyer_maker boolean, fraud_score double, is_fraud int")
 
 
-def _stage_in_order(df: DataFrame, path: str, order: list[str], files: int) -> str:
-    """Replay staging: one distributed write in range layout (file part
-    number = position in ``order``), then increasing modification times by
-    part number through the Hadoop FileSystem API, because the file source
-    replays files in modification-time order and parallel writers finish in
-    any order. A Kafka source needs none of this: offsets are the order."""
-    df.repartitionByRange(files, *order).sortWithinPartitions(*order) \
-        .write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    hpath = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = sorted(st.getPath().toString() for st in fs.listStatus(hpath(path))
-                   if st.getPath().getName().startswith("part-"))
-    base = int(time.time() * 1000) - 1000 * (len(parts) + 1)
-    for i, name in enumerate(parts):                  # one call per file, bounded by ``files``
-        fs.setTimes(hpath(name), base + 1000 * i, -1)
-    return path
+LANDING_DAYS = 5              # one landing of the log: that many days of files, in no order among themselves
+DELAY = f"{LANDING_DAYS} days"
+
+
+def _log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.predictions(spark, sf_dir).select(
+        "id", F.col("ts").cast("timestamp").alias("ts"), "symbol", "price", "quantity", "is_buyer_maker",
+        "fraud_score", "is_fraud")
+
 
+def _prediction_source(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    return file_stream(spark, _stage(_log_rows(spark, sf_dir), f"{base}/src"), _PRED_SCHEMA)
 
-def _prediction_source(spark: SparkSession, sf_dir: str, base: str, successful_only: bool,
-                       files_per_trigger: int | None = None,
-                       rows_per_file: int = 2500) -> DataFrame:
-    """The prediction log as a file stream. With ``files_per_trigger`` it is
-    replayed in arrival order (ts, id) in files of about ``rows_per_file``
-    rows, that many files per micro-batch: a micro-batch — and any key's
-    group in it — has a fixed size, whatever the table size or the session's
-    shuffle width."""
-    p = tables.predictions(spark, sf_dir)
-    if successful_only:
-        p = p.where(F.col("fraud_score") >= 0)
-    staged = p.select("id", F.col("ts").cast("timestamp").alias("ts"), "symbol", "price", "quantity",
-                      "is_buyer_maker", "fraud_score", "is_fraud")
-    if files_per_trigger:
-        files = max(1, -(-staged.count() // rows_per_file))
-        src = _stage_in_order(staged, f"{base}/src", ["ts", "id"], files)
-        return file_stream(spark, src, _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
-    return file_stream(spark, _stage(staged, f"{base}/src"), _PRED_SCHEMA)
+
+def _land(rows: DataFrame, path: str, days: int = LANDING_DAYS, heartbeat: bool = False) -> list:
+    """The log as it lands: files of ``days`` days at a time, appended one
+    landing after the other, whose rows and files are in no order. Returns the
+    landings (functions that write one each). ``heartbeat`` lands a last
+    failed score behind the end plus the delay."""
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    steps = 0 if first is None else (last - first).days // days + 1
+    put = lambda part: part.write.mode("append").parquet(path)
+    landings = []
+    for k in range(steps):
+        lo = first + _dt.timedelta(days=days * k)
+        landings.append(lambda lo=lo: put(rows.where(
+            (F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(lo + _dt.timedelta(days=days))))))
+    if heartbeat and steps:
+        beat = rows.sparkSession.range(1).select(*[
+            F.lit(last + _dt.timedelta(days=days, seconds=1)).alias(c) if c == "ts" else
+            F.lit(-1.0).alias(c) if c == "fraud_score" else F.lit(None).cast(rows.schema[c].dataType).alias(c)
+            for c in rows.columns])
+        landings.append(lambda: put(beat))
+    if not landings:
+        landings.append(lambda: put(rows))
+    return landings
 
 
 def running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,52 +102,65 @@ def running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def sink(batch: DataFrame, _bid: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
-    q = (scoring.running_totals(_prediction_source(spark, sf_dir, base, False))
+    q = (scoring.running_totals(_prediction_source(spark, sf_dir, base))
          .writeStream.outputMode("complete").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     _run(q)
     return spark.read.parquet(out)
 
 
-def volume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 in update mode over the log replayed in time order, so no row is
-    behind the watermark: every batch appends the buckets it changed with its
-    batch id; the current value of a bucket is its latest row."""
+def _volume_run(spark: SparkSession, base: str, watermark: str, files_per_trigger: int) -> None:
+    src = file_stream(spark, f"{base}/src", _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
+    _run(src.where("fraud_score >= 0").writeStream.foreachBatch(
+        scoring.volume_writer(f"{base}/buckets", f"{base}/late", f"{base}/marks", watermark))
+        .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+
+
+def volume_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 8) -> DataFrame:
+    """M3 over a log that lands in parts: the stream runs after the first
+    landing, stops, and runs again from its checkpoint (M6) over the rest."""
     base = scratch(spark, "m3")
-    out = f"{base}/out"
+    first, *rest = _land(_log_rows(spark, sf_dir), f"{base}/src")
+    first()
+    _volume_run(spark, base, DELAY, files_per_trigger)
+    for landing in rest:
+        landing()
+    _volume_run(spark, base, DELAY, files_per_trigger)
+    return scoring.volume_buckets(spark, f"{base}/buckets")
 
-    def sink(batch: DataFrame, bid: int) -> None:
-        (batch.withColumn("batch", F.lit(int(bid))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out))
 
-    src = _prediction_source(spark, sf_dir, base, True, files_per_trigger=4, rows_per_file=800)
-    q = (scoring.volume_stream(src)
-         .writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    _run(q)
-    rows = spark.read.parquet(out)
-    latest = F.max_by(F.struct("total", "fraud", "avg_score"), F.col("batch")).alias("v")
-    return rows.groupBy("bucket_start").agg(latest).select("bucket_start", "v.*")
+def volume_with_late_rows(spark: SparkSession, sf_dir: str, watermark: str = "1 hour",
+                          files: int = 16) -> tuple[DataFrame, DataFrame]:
+    """M3 over files that hold rows of all times, with a short watermark:
+    (buckets, late rows)."""
+    base = scratch(spark, "m3-late")
+    _log_rows(spark, sf_dir).repartition(files, "id").write.parquet(f"{base}/src")
+    _volume_run(spark, base, watermark, max(1, files // 4))
+    return scoring.volume_buckets(spark, f"{base}/buckets"), scoring.late_rows(spark, f"{base}/late")
 
 
 def count_window_stream(spark: SparkSession, sf_dir: str, key: str = "is_buyer_maker",
-                        files_per_trigger: int = 2) -> DataFrame:
-    """M4 keyed by ``key``, append mode, over the log replayed in arrival
-    order, two files of about 2,500 rows per micro-batch (the state carries
-    the open window between batches)."""
+                        files_per_trigger: int = 8, n: int = count_window.COUNT_WINDOW) -> DataFrame:
+    """M4 keyed by ``key``, append mode, over a log whose files are in no order
+    within a landing; a closing heartbeat releases the last rows."""
     base = scratch(spark, "m4")
     out = f"{base}/out"
-    src = _prediction_source(spark, sf_dir, base, False, files_per_trigger)
-    # The state store's partition count is fixed when the query first starts
-    # (from the shuffle width). One state partition per core; the session's
-    # own setting is restored once the replay has finished.
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    try:
-        q = (count_window.count_window_drift_stream(src, key=key)
-             .writeStream.outputMode("append").format("parquet").option("path", out)
-             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-        _run(q)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
-    return spark.read.parquet(out)
+    for landing in _land(_log_rows(spark, sf_dir), f"{base}/src", heartbeat=True):
+        landing()
+    src = file_stream(spark, f"{base}/src", _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
+    windows = count_window.ordered_count_window_drift_stream(src, DELAY, key=key, n=n)
+    _run(windows.writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    return spark.read.schema(windows.schema).parquet(out)
+
+
+def drift_sink(spark: SparkSession, sf_dir: str, key: str = "symbol", n: int = 10) -> str:
+    """K9: the drift rows of M4 written by batch; returns the folder."""
+    base = scratch(spark, "k9")
+    for landing in _land(_log_rows(spark, sf_dir), f"{base}/src", heartbeat=True):
+        landing()
+    src = file_stream(spark, f"{base}/src", _PRED_SCHEMA, max_files_per_trigger=4)
+    windows = count_window.ordered_count_window_drift_stream(src, DELAY, key=key, n=n)
+    _run(windows.writeStream.outputMode("append").foreachBatch(scoring.drift_writer(f"{base}/drift"))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    return f"{base}/drift"

@@ -185,3 +185,9 @@ def read_reports(spark: SparkSession, path: str, kind: str, schema: str) -> Data
 def latest_reports(reports: DataFrame, n: int = 20, order_col: str = "completed_at") -> DataFrame:
     """The last ``n`` reports, returned oldest first."""
     return reports.orderBy(F.desc(order_col)).limit(n).orderBy(order_col)
+
+
+def read_baseline(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """K10 read back: (moments, histogram) of ``sinks.cache_baseline``."""
+    return (spark.read.schema("feature string, n bigint, mean double, std double").parquet(f"{path}/moments"),
+            spark.read.schema("feature string, lo double, hi double, bin int, n bigint").parquet(f"{path}/histogram"))

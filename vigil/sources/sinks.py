@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.drift import PSI_BINS, feature_moments
@@ -78,3 +79,47 @@ def cache_baseline(train: DataFrame, features: list[str], path: str, bins: int =
     moments, hist = baseline_tables(train, features, bins)
     moments.write.mode("overwrite").parquet(f"{path}/moments")
     hist.write.mode("overwrite").parquet(f"{path}/histogram")
+
+
+def read_flushes(spark: SparkSession, path: str, compacted: str, schema: str) -> DataFrame:
+    """The rows of a sink written by (dt, run, batch), each once: days from
+    ``compacted`` where a flush has been merged, the other flushes as they
+    are. ``schema`` names the columns without the three keys."""
+    keys = "dt date, run string, batch bigint"
+    flushes = spark.read.schema(f"{schema}, {keys}").parquet(path)
+    merged = _read_or_empty(spark, compacted, f"{schema}, run string, batch bigint, dt date")
+    done = merged.select("dt", "run", "batch").distinct()
+    return flushes.join(done, ["dt", "run", "batch"], "left_anti").unionByName(merged).drop("run", "batch")
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def compact_flushes(spark: SparkSession, path: str, compacted: str, schema: str, since: _dt.date | None = None,
+                    until: _dt.date | None = None, rows_per_file: int = 5_000_000) -> None:
+    """K1/K9: merge the small flushes of the days ``since``..``until`` into few
+    files, one folder a day. The flushes stay; a merged row carries its (run,
+    batch), by which ``read_flushes`` knows it. A day's folder is replaced when
+    the job commits (dynamic partition overwrite), so a job that fails leaves
+    the earlier state and one that runs again writes the same rows. Flushes
+    that arrive later, or late in an old day, are read from their own files
+    until the next run. A day is spread over tasks by hash of its batch and row,
+    as many as its rows need."""
+    rows = spark.read.schema(f"{schema}, dt date, run string, batch bigint").parquet(path)
+    if since is not None:
+        rows = rows.where(F.col("dt") >= F.lit(since))
+    if until is not None:
+        rows = rows.where(F.col("dt") <= F.lit(until))
+    # One row per day; AQE broadcasts it or splits a hot day.
+    sizes = rows.groupBy("dt").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
+    salted = rows.join(sizes, "dt").withColumn("_part", F.pmod(F.xxhash64(
+        *[f.name for f in rows.schema.fields if f.dataType.typeName() != "map"]), F.col("_files")))
+    (salted.repartition("dt", "_part").drop("_files", "_part").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", str(rows_per_file))
+     .partitionBy("dt").parquet(compacted))

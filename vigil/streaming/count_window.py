@@ -1,5 +1,14 @@
 """M4: count-window drift as a stateful stream, keyed (M5: one key's scores in
-arrival order, ordered by (event time, id) inside each micro-batch).
+order).
+
+``count_window_drift_stream`` takes rows as they arrive, ordered by (event
+time, id) inside each micro-batch. ``ordered_count_window_drift_stream`` takes
+them from unordered files or partitions: a key's rows wait in its state until
+the watermark has passed them and are then released in (event time, id) order,
+by new rows or by the key's timer, so the windows are those of the ordered log
+whatever the order of arrival. The buffer of a key holds what it received
+within the watermark's delay. Rows behind the watermark are dropped (Spark
+counts them in the query's progress).
 
 Per key the state is the running moments of every successful score so far
 (n, Σ(x−c), Σ(x−c)²; c = 0.5) plus the open window's scores (at most ``n``
@@ -39,8 +48,6 @@ def _step(n: int, key: str):
     cumulative sums continuing the stored ones, completed windows are found
     by position (the open window's scores come first), and only the new
     incomplete window goes back into state."""
-    cols = [key, "window_no", "ts_us", "drift_score", "mean_score", "std_score", "window_size"]
-
     def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.exists:
             n_all, s_all, ss_all, window_no, win, last_us = state.get
@@ -48,43 +55,51 @@ def _step(n: int, key: str):
             n_all, s_all, ss_all, window_no, win, last_us = 0, 0.0, 0.0, 0, [], 0
         batch = pd.concat(list(pdfs), ignore_index=True)      # bounded by the trigger size
         batch = batch.sort_values(["ts_us", "id"], kind="mergesort")
-        x = batch["score"].to_numpy(dtype=np.float64)
-        t = batch["ts_us"].to_numpy(dtype=np.int64)
-        m, p = len(x), len(win)
-        xc = x - CENTER
-        # Σ(x−c) and Σ(x−c)² over every score so far, added in arrival order.
-        s_run = np.cumsum(np.r_[s_all, xc])[1:]
-        ss_run = np.cumsum(np.r_[ss_all, xc * xc])[1:]
-        n_run = n_all + np.arange(1, m + 1)
-        scores = np.r_[np.asarray(win, dtype=np.float64), x]
-        times = np.r_[np.full(p, last_us, dtype=np.int64), t]
-        done = (p + m) // n
-        out = pd.DataFrame(columns=cols)
-        if done:
-            w = scores[:done * n].reshape(done, n)
-            end = np.arange(1, done + 1) * n - p - 1           # batch row closing each window
-            g_n, g_s, g_ss = n_run[end], s_run[end], ss_run[end]
-            mean_c = g_s / g_n
-            g_std = np.sqrt(np.maximum(g_ss / g_n - mean_c * mean_c, 0.0))
-            g_std[g_std == 0] = STD_FLOOR
-            w_mean = np.cumsum(w, axis=1)[:, -1] / n           # sequential, as the SQL sum
-            keep = g_n >= 2
-            out = pd.DataFrame({
-                key: [k[0]] * int(keep.sum()),
-                "window_no": (window_no + np.arange(done))[keep],
-                "ts_us": times[:done * n].reshape(done, n).max(axis=1)[keep],
-                "drift_score": (np.abs((w_mean - CENTER) - mean_c) / g_std)[keep],
-                "mean_score": w_mean[keep], "std_score": w.std(axis=1)[keep],
-                "window_size": np.full(int(keep.sum()), n, dtype=np.int32)})
-            window_no += done
-        rest = scores[done * n:]
-        last_us = int(times[done * n:].max()) if len(rest) else 0
-        state.update((n_all + m, float(s_run[-1]) if m else s_all, float(ss_run[-1]) if m else ss_all,
-                      window_no, rest.tolist(), last_us))
+        out, now = _advance(n, key, k[0], (n_all, s_all, ss_all, window_no, win, last_us),
+                            batch["score"].to_numpy(dtype=np.float64), batch["ts_us"].to_numpy(dtype=np.int64))
+        state.update(now)
         yield out
     return fn
 
 
+def _advance(n: int, key: str, value, held: tuple, x: np.ndarray, t: np.ndarray) -> tuple[pd.DataFrame, tuple]:
+    """The windows that the scores ``x`` (in order, at ``t``) complete, and the
+    state after them."""
+    cols = [key, "window_no", "ts_us", "drift_score", "mean_score", "std_score", "window_size"]
+    n_all, s_all, ss_all, window_no, win, last_us = held
+    m, p = len(x), len(win)
+    xc = x - CENTER
+    # Σ(x−c) and Σ(x−c)² over every score so far, added in arrival order.
+    s_run = np.cumsum(np.r_[s_all, xc])[1:]
+    ss_run = np.cumsum(np.r_[ss_all, xc * xc])[1:]
+    n_run = n_all + np.arange(1, m + 1)
+    scores = np.r_[np.asarray(win, dtype=np.float64), x]
+    times = np.r_[np.full(p, last_us, dtype=np.int64), t]
+    done = (p + m) // n
+    out = pd.DataFrame(columns=cols)
+    if done:
+        w = scores[:done * n].reshape(done, n)
+        end = np.arange(1, done + 1) * n - p - 1           # batch row closing each window
+        g_n, g_s, g_ss = n_run[end], s_run[end], ss_run[end]
+        mean_c = g_s / g_n
+        g_std = np.sqrt(np.maximum(g_ss / g_n - mean_c * mean_c, 0.0))
+        g_std[g_std == 0] = STD_FLOOR
+        w_mean = np.cumsum(w, axis=1)[:, -1] / n           # sequential, as the SQL sum
+        keep = g_n >= 2
+        out = pd.DataFrame({
+            key: [value] * int(keep.sum()),
+            "window_no": (window_no + np.arange(done))[keep],
+            "ts_us": times[:done * n].reshape(done, n).max(axis=1)[keep],
+            "drift_score": (np.abs((w_mean - CENTER) - mean_c) / g_std)[keep],
+            "mean_score": w_mean[keep], "std_score": w.std(axis=1)[keep],
+            "window_size": np.full(int(keep.sum()), n, dtype=np.int32)})
+        window_no += done
+    rest = scores[done * n:]
+    last_us = int(times[done * n:].max()) if len(rest) else 0
+    return out, (n_all + m, float(s_run[-1]) if m else s_all, float(ss_run[-1]) if m else ss_all,
+                 window_no, rest.tolist(), last_us)
+
+
 def count_window_drift_stream(scored: DataFrame, key: str = "symbol", n: int = COUNT_WINDOW,
                               score_col: str = "fraud_score", ts_col: str = "ts",
                               id_col: str = "id") -> DataFrame:
@@ -100,3 +115,51 @@ def count_window_drift_stream(scored: DataFrame, key: str = "symbol", n: int = C
         GroupStateTimeout.NoTimeout)
     return out.select(key, "window_no", F.timestamp_micros("ts_us").alias("ts"),
                       "drift_score", "mean_score", "std_score", "window_size")
+
+
+ORDERED_STATE_SCHEMA = STATE_SCHEMA + ", wait_us array<long>, wait_id array<long>, wait_score array<double>"
+
+
+def _ordered_step(n: int, key: str):
+    """One key's micro-batch or timer: new rows join the waiting ones, those
+    the watermark has passed go on in (event time, id) order."""
+    def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else (0, 0.0, 0.0, 0, [], 0, [], [], [])
+        us, ids, scores = ([np.asarray(held[i], dtype=t)] for i, t in ((6, np.int64), (7, np.int64), (8, np.float64)))
+        for part in pdfs:                                      # bounded by the trigger size; empty on a timer
+            if len(part) and not state.hasTimedOut:
+                ok = part[part["score"].to_numpy(dtype=np.float64) >= 0]
+                us.append(ok["ts_us"].to_numpy(dtype=np.int64))
+                ids.append(ok["id"].to_numpy(dtype=np.int64))
+                scores.append(ok["score"].to_numpy(dtype=np.float64))
+        us, ids, scores = np.concatenate(us), np.concatenate(ids), np.concatenate(scores)
+        order = np.lexsort((ids, us))
+        us, ids, scores = us[order], ids[order], scores[order]
+        watermark = state.getCurrentWatermarkMs()
+        millis = -(-us // 1000)
+        free = int(np.searchsorted(millis, watermark))         # everything before the watermark
+        out, now = _advance(n, key, k[0], tuple(held[:6]), scores[:free], us[:free])
+        state.update((*now, us[free:].tolist(), ids[free:].tolist(), scores[free:].tolist()))
+        if free < len(us):
+            state.setTimeoutTimestamp(max(int(millis[free]), int(watermark) + 1))
+        if len(out):
+            yield out
+    return fn
+
+
+def ordered_count_window_drift_stream(scored: DataFrame, delay: str, key: str = "symbol", n: int = COUNT_WINDOW,
+                                      score_col: str = "fraud_score", ts_col: str = "ts",
+                                      id_col: str = "id") -> DataFrame:
+    """Streaming D5 per ``key`` over rows in any order within ``delay`` (append
+    output mode). Failed scores (< 0) make no window but move the watermark, so
+    a heartbeat of that kind releases the end of a log. Null times are left out."""
+    key_type = scored.schema[key].dataType.simpleString()
+    staged = scored.where(F.col(ts_col).isNotNull()).select(
+        key, F.coalesce(F.col(score_col).cast("double"), F.lit(-1.0)).alias("score"),
+        F.col(ts_col).cast("timestamp").alias("at"), F.unix_micros(F.col(ts_col).cast("timestamp")).alias("ts_us"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("id")).withWatermark("at", delay)
+    out = staged.groupBy(key).applyInPandasWithState(
+        _ordered_step(n, key), _output_schema(key, key_type), ORDERED_STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return out.select(key, "window_no", F.timestamp_micros("ts_us").alias("ts"),
+                      "drift_score", "mean_score", "std_score", "window_size")

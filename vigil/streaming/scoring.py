@@ -159,3 +159,64 @@ def volume_stream(scored: DataFrame, ts_col: str = "ts", width: str = VOLUME_WID
                  F.sum(F.col("is_fraud").cast("bigint")).alias("fraud"),
                  F.avg("fraud_score").alias("avg_score"))
             .select(F.col("w.start").alias("bucket_start"), "total", "fraud", "avg_score"))
+
+
+def _put_batch(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Write the partitions of a micro-batch; a replayed one replaces them."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+
+
+BUCKET_SCHEMA = "bucket_start timestamp, total bigint, fraud bigint, score_sum double, batch bigint"
+
+
+def volume_writer(path: str, late_path: str, marks_path: str, watermark: str = DEFAULT_WATERMARK,
+                  ts_col: str = "ts", width: str = VOLUME_WIDTH):
+    """M3 as a ``foreachBatch`` function that loses no row. Each micro-batch
+    writes what it adds to its buckets under its own ``batch`` (an upsert keyed
+    by bucket and batch, merged by ``volume_buckets``), its rows behind the
+    watermark to ``late_path``, and the latest event time so far to
+    ``marks_path``, of which the next batch reads one row. The watermark of a
+    batch is the latest event time of the earlier ones less ``watermark``; rows
+    without a time count as late."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumn(ts_col, F.col(ts_col).cast("timestamp")).persist()
+        try:
+            seen = None
+            if batch_id > 0:
+                seen = spark.read.schema("seen timestamp, batch bigint").parquet(marks_path).where(
+                    F.col("batch") == batch_id - 1).agg(F.max("seen")).first()[0]
+            line = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+            late = F.col(ts_col).isNull() if seen is None else F.coalesce(F.col(ts_col) < line, F.lit(True))
+            mark = F.lit(int(batch_id)).cast("bigint").alias("batch")
+            _put_batch(batch.where(late).select("*", mark), late_path, ["batch"])
+            added = batch.where(~late).groupBy(F.window(ts_col, width)["start"].alias("bucket_start")).agg(
+                F.count("fraud_score").alias("total"), F.sum(F.col("is_fraud").cast("bigint")).alias("fraud"),
+                F.sum("fraud_score").alias("score_sum"))
+            _put_batch(added.select("*", mark), path, ["batch"])
+            # Last: a batch that fails before has no mark and is run again.
+            _put_batch(batch.agg(F.greatest(F.max(ts_col), F.lit(seen).cast("timestamp")).alias("seen"))
+                       .select("seen", mark), marks_path, ["batch"])
+        finally:
+            batch.unpersist()
+    return write
+
+
+def volume_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The buckets that ``volume_writer`` keeps: the sums over its batches."""
+    added = spark.read.schema(BUCKET_SCHEMA).parquet(path)
+    return added.groupBy("bucket_start").agg(
+        F.sum("total").alias("total"), F.sum("fraud").alias("fraud"),
+        F.try_divide(F.sum("score_sum"), F.sum("total").cast("double")).alias("avg_score"))
+
+
+def late_rows(spark: SparkSession, path: str, schema: str = "id bigint, ts timestamp, fraud_score double, is_fraud int") -> DataFrame:
+    return spark.read.schema(schema + ", batch bigint").parquet(path)
+
+
+def drift_writer(path: str, run: str = "0", ts_col: str = "ts"):
+    """K9 as a ``foreachBatch`` function: drift rows by day, run and batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _put_batch(batch.withColumns({"dt": F.to_date(ts_col), "run": F.lit(run),
+                                      "batch": F.lit(int(batch_id)).cast("bigint")}), path, ["dt", "run", "batch"])
+    return write
