@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tests.llm.conftest import prose
 from vigil.llm import fingerprint, licenses, pii, quality
@@ -65,7 +66,12 @@ def test_op2_empty_table(none):
 
 
 def half_edits(rows):
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    def place(r):
+        text = (r[1] or "").encode()
+        tie = xxhash.xxh64_intdigest(text, 42)                 # Spark's xxhash64, signed
+        return r[0] is not None, r[0] or 0, tie - (1 << 64) * (tie >> 63), text
+
+    ordered = sorted(rows, key=place)
     texts = [(r[0], r[1] or "") for r in ordered]
     return [(d, len(t), hashlib.sha256(fingerprint.half_edit(t, texts[(i + 1) % len(texts)][1]).encode()).hexdigest())
             for i, (d, t) in enumerate(texts)]
@@ -82,6 +88,16 @@ def test_op8_equals_brute_force(tricky, clashing, rows):
         assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
 
 
+def test_op8_rows_of_one_id_follow_across_partitions(spark):
+    """Several range partitions hold one id; each row's neighbour is the next
+    one by hash of the text."""
+    rows = [(7, prose(500 + i, 12 + i % 5)) for i in range(300)] + [(7, prose(500, 12))] * 5 + [(8, "end"), (None, "first")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    out = fingerprint.op8_query(df).collect()
+    assert by_key(out, "doc_id", "n_chars", "edited_sha256") == sorted(
+        half_edits(rows), key=lambda t: tuple((x is None, x) for x in t))
+
+
 def test_fingerprint_is_homomorphic():
     a, b, c = b"first paragraph of the text", b"second one", b"and a third paragraph here"
     whole = fingerprint.vector(b"\n".join([a, b, c]))

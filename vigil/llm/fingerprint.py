@@ -13,12 +13,15 @@ the sum of its vectors modulo 2**16, so
   difference of their multisets, which gives ``likeness`` from 0 to 1.
 
 Two different multisets collide only if all lanes of a random walk return to
-zero together (about 2**-LANES).
+zero together, or if the 64-bit hashes of their units do. A lane is read as a
+signed 16-bit number, so likeness holds while no lane's sum leaves that range
+(a unit repeated over 32,767 times wraps); equality does not depend on it.
 
 ``with_next`` pairs every document with the next one by id: one range shuffle,
 after which the neighbour is the next row of the partition; only the first and
 last document of each partition are matched across partitions. Rows of equal
-id follow each other by text; a null id comes first. Null texts are empty; an
+id follow each other by the hash of their text, then text; a null id comes
+first. Null texts are empty; an
 empty text has the zero fingerprint.
 """
 
@@ -128,7 +131,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ordered = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ranged = ordered.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text").withColumn("part", F.spark_partition_id())
+        F.col("doc_id").asc_nulls_first(), tie, "text").withColumn("part", F.spark_partition_id())
     id_type = ordered.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
