@@ -104,3 +104,13 @@ def test_op3_empty_table_has_the_probe(spark):
 def test_op3_plan_has_no_python(spark):
     plan = chat.op3_query(spark, spark.createDataFrame(TURNS, SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_registered_log_holds_edits_and_regenerations(spark):
+    """The log of finished turns has every kind of event and more messages than
+    turns; the plain fold gives the turns back."""
+    log = chat.conversation_events(spark.createDataFrame(TURNS, SCHEMA)).collect()
+    assert {e["kind"] for e in log} == {"message", "delta", "edit", "regenerate"}
+    assert any(e["msg"] < 0 for e in log)
+    kept = fold([(e["conv_id"], e["seq"], e["kind"], e["msg"], e["role"], e["text"]) for e in log])
+    assert len(kept) == len(TURNS) and "x" * 100_000 in {t for *_, t in kept.values()}

@@ -51,23 +51,36 @@ def _unescape_role(role: Column) -> Column:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """The event log of a table of finished turns: each row opens a message
-    with the first half of its text and streams the rest as a delta. Rows are
-    ordered by turn, then role, then text (nulls first), so repeated rows stay
-    apart."""
+    """An event log that leads to a table of finished turns. Rows are ordered
+    by turn, then role, then text (nulls first), so repeated rows stay apart.
+    Turns take three ways by their number: streamed in two parts; a draft that
+    an edit replaces, then the rest; a draft that is regenerated after another
+    message (with a negative number) answered it, then two parts."""
     order = Window.partitionBy("conv_id").orderBy(
         F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     text = F.coalesce(F.col("text"), F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
-    event = lambda kind, k, role, part: F.struct(
-        (F.col("msg") * 2 + k).alias("seq"), F.lit(kind).alias("kind"),
-        role.cast("string").alias("role"), part.alias("text"))
+    first, rest, draft = F.left(text, half), F.substring(text, half + 1, F.length(text)), F.reverse(text)
+    nothing = F.lit(None).cast("string")
+
+    def event(kind, k, role=nothing, part=nothing, msg=F.col("msg")):
+        return F.struct((F.col("msg") * 8 + k).alias("seq"), F.lit(kind).alias("kind"), msg.alias("msg"),
+                        role.cast("string").alias("role"), part.alias("text"))
+
+    role = F.col("role")
+    streamed = F.array(event("message", 0, role, first), event("delta", 1, part=rest))
+    edited = F.array(event("message", 0, role, draft), event("delta", 1, part=draft), event("edit", 2, part=first),
+                     event("delta", 3, part=rest))
+    regenerated = F.array(
+        event("message", 0, role, draft), event("message", 1, F.lit("user"), draft, -F.col("msg")),
+        event("delta", 2, part=draft, msg=-F.col("msg")), event("regenerate", 3), event("delta", 4, part=first),
+        event("delta", 5, part=rest))
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn(
         "msg", F.row_number().over(order).cast("bigint"))
-    return rows.select("conv_id", "msg", F.explode(F.array(
-        event("message", 0, F.col("role"), F.left(text, half)),
-        event("delta", 1, F.lit(None), F.substring(text, half + 1, F.length(text))))).alias("e")
-    ).select("conv_id", "e.seq", "e.kind", "msg", "e.role", "e.text")
+    way = F.pmod(F.col("msg"), F.lit(3))
+    return rows.select("conv_id", "msg", F.explode(
+        F.when(way == 1, streamed).when(way == 2, edited).otherwise(regenerated)).alias("e")
+    ).select("conv_id", "e.seq", "e.kind", "e.msg", "e.role", "e.text")
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
