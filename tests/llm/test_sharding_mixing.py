@@ -1,5 +1,6 @@
 """Sharding and mixing: laws, cohesion, edge cases, oracle-independent brute force."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import prose
 from vigil.llm import mixing, sharding
 
 
@@ -150,3 +152,33 @@ def test_mix_documents_repeats_rows(tricky):
         got[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
     assert set(got) <= set(want) | {4, 5, 6}
     assert abs(sum(got.values()) - sum(want.values())) <= 0.2 * sum(want.values())
+
+
+def test_mix_documents_takes_the_systematic_share(spark, tricky):
+    """Each distinct row is taken as often as its expected copies, rounded down
+    or up, and a source's copies add up exactly; names of the function's own
+    columns and a map column do not clash."""
+    names = ("_id", "_hash", "_nth", "_copy", "_copies", "_key", "_src", "_size", "_row", "_n", "_mid", "_mhash",
+             "_mrest", "_entry", "id", "hash", "rest", "col", "source_size", "target", "_units", "_upto")
+    hot = spark.createDataFrame([(500, prose(77, 60), "en", "hot", 1)] * 25 + [(500, prose(77, 60), "en", "a", 1)] * 3, tricky.schema)
+    docs = tricky.unionByName(hot).withColumns({c: F.lit(c) for c in names}).withColumn(
+        "tags", F.create_map(F.lit("k"), F.col("lang")))
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    out = mixed.collect()
+    assert {r[c] for r in out for c in names} == set(names)
+    rows = [tuple(r[:5]) for r in docs.collect()]
+    own, got = Counter(rows), Counter(tuple(r[:5]) for r in out)
+    assert set(got) <= set(own)
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    targets = {(size, t) for *_, size, t, _ in brute_mix(rows)}
+    for source, size in sizes.items():
+        (target,) = {t for n, t in targets if n == size}
+        e = math.floor((target / size if size else 0.0) * mixing.UNIT)
+        offset = int(hashlib.md5((f"{mixing.SEED}|" + ("n" if source is None else "s" + source)).encode()).hexdigest()[:6], 16)
+        mine = {r: k for r, k in own.items() if r[3] == source}
+        assert sum(got[r] for r in mine) == (offset + e * sum(mine.values())) // mixing.UNIT
+        for r, k in mine.items():
+            assert e * k // mixing.UNIT <= got[r] <= -(-e * k // mixing.UNIT)

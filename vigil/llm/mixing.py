@@ -16,7 +16,7 @@ reruns agree. Null texts have size 0, a null source is a source of its own
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import WORD
@@ -73,13 +73,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 
 def systematic_sample(docs: DataFrame, expected: Column, source_col: str, order: list[str],
-                      seed: str = SEED) -> DataFrame:
+                      seed: str = SEED, rows: Column | None = None) -> DataFrame:
     """Adds ``copies``: how many integer boundaries the document's interval of
     expected copies crosses. ``expected`` is in copies; ``order`` must order a
-    source's rows totally, up to rows that are equal."""
+    source's rows totally, up to rows that are equal. A row that stands for
+    ``rows`` equal ones takes the intervals of all of them."""
     offset = F.conv(F.substring(F.md5(F.concat(
         F.lit(seed + "|"), _source_tag(F.col(source_col))).cast("binary")), 1, 6), 16, 10).cast("bigint")
     units = F.floor(expected * F.lit(float(UNIT))).cast("bigint")
+    if rows is not None:
+        units = units * rows
     summed = prefix_sums(docs.withColumn("_units", units), order, {"_upto": F.col("_units")}, by=[source_col])
     boundary = lambda x: F.floor(x / F.lit(UNIT))
     whole = F.expr(f"(_upto + _offset) div {UNIT} - (_upto - _units + _offset) div {UNIT}")
@@ -88,35 +91,49 @@ def systematic_sample(docs: DataFrame, expected: Column, source_col: str, order:
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size",
-                weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """``docs`` (id, source, size) -> with source_size, target and copies."""
+                weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED,
+                rows_col: str | None = None) -> DataFrame:
+    """``docs`` (id, source, size) -> with source_size, target and copies.
+    ``rows_col`` says how many equal rows a row stands for; ``copies`` is then
+    what all of them are taken."""
     rows = cut_lineage(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-                                   F.col(size_col).cast("bigint").alias("size")))
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+                                   F.col(size_col).cast("bigint").alias("size"),
+                                   (F.col(rows_col) if rows_col else F.lit(1)).cast("bigint").alias("_rows")))
+    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("_rows")).alias("source_size"))
     targets = source_targets(sizes, weights, max_repeat)
     # One row per source on the right; a hot source is split by the skew join.
     joined = rows.join(targets.withColumnRenamed("source", "_source"),
                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "weight")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     tie = F.md5(F.concat(F.lit(seed + "|"), _id_string(rows)).cast("binary"))
-    return systematic_sample(joined.withColumn("_tie", tie), expected, "source", ["size", "_tie"], seed).select(
+    return systematic_sample(joined.withColumn("_tie", tie), expected, "source", ["size", "_tie"], seed,
+                             F.col("_rows") if rows_col else None).select(
         F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                   **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (rows that
-    it does not take go). Repeated rows are numbered, so each is sampled once."""
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    numbered = docs.withColumn("_hash", F.xxhash64(text_col)).withColumn("_nth", F.row_number().over(
-        Window.partitionBy(id_col, "_hash").orderBy(*[F.col(c) for c in rest] or [F.lit(0)])))
-    rows = numbered.select(F.struct(id_col, "_hash", "_nth").alias("_row"), F.col(source_col).alias("_src"),
-                           word_count(F.col(text_col)).alias("_size"))
-    mixed = mix_sources(rows, "_row", "_src", "_size", **options).where("copies > 0").select(
-        F.col(f"_row.{id_col}").alias("_id"), F.col("_row._hash").alias("_h"), F.col("_row._nth").alias("_k"), F.col("copies").alias("_copies"))
-    j = numbered.join(mixed, numbered[id_col].eqNullSafe(mixed["_id"]) & (numbered["_hash"] == mixed["_h"])
-                      & (numbered["_nth"] == mixed["_k"]))
-    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+    it does not take go). Equal rows are one entry of the sample, with the
+    copies of all of them. Rows travel as structs, so no name clashes."""
+    rest = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+    keyed = docs.select(
+        F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"),
+                 F.md5(F.to_json(F.struct(*rest or [F.lit(0)])).cast("binary")).alias("rest")).alias("_key"),
+        F.col(source_col).alias("_src"), word_count(F.col(text_col)).alias("_size"),
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    entries = keyed.groupBy("_key", "_src", "_size").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = mix_sources(entries.select(F.struct("_key", "_n").alias("_entry"), "_src", "_size", "_n"),
+                        "_entry", "_src", "_size", rows_col="_n", **options).where("copies > 0").select(
+        F.col("_entry._key.id").alias("_mid"), F.col("_entry._key.hash").alias("_mhash"), F.col("_entry._key.rest").alias("_mrest"),
+        F.col("_entry._n").alias("_n"), F.col("copies").alias("_copies"))
+    met = keyed.select("_key", "_row").join(
+        mixed, F.col("_key.id").eqNullSafe(F.col("_mid")) & (F.col("_key.hash") == F.col("_mhash"))
+        & (F.col("_key.rest") == F.col("_mrest")))
+    # Equal rows meet task by task first; one of them carries the copies.
+    ones = met.where("_n > 1").groupBy("_key", "_copies").agg(F.any_value("_row").alias("_row"))
+    taken = met.where("_n = 1").select("_row", "_copies").unionByName(ones.select("_row", "_copies"))
+    return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select("_row.*")
 
 
 def op7_query(docs: DataFrame) -> DataFrame:
