@@ -557,7 +557,7 @@ def d3_psi_features(spark, sf_dir):
     return r6(drift.psi(long(base), long(recent_df), "value", by=["feature"], few_groups=True))
 
 
-def _d5_sql(by: str | None, n: int = 50) -> str:
+def _d5_sql(by: str | None, n: int = 50, digits: int = 6) -> str:
     part = f"PARTITION BY {by} " if by else ""
     key = f"{by}, " if by else ""
     return V.with_(V.PREDICTIONS) + f""",
@@ -572,8 +572,8 @@ r AS (SELECT *, sum(cnt) OVER ({part}ORDER BY window_no) AS n_all,
 z AS (SELECT *, sqrt(greatest(ss_all / n_all - (s_all / n_all) * (s_all / n_all), 0)) AS g_std FROM r)
 SELECT {key}CAST(window_no AS BIGINT) AS window_no,
        strftime(ts_end, '%Y-%m-%d %H:%M:%S.%f') AS ts,
-       round(abs((w_mean - 0.5) - s_all / n_all) / CASE WHEN g_std = 0 THEN 1e-6 ELSE g_std END, 6) AS drift_score,
-       round(w_mean, 6) AS mean_score, round(w_std, 6) AS std_score,
+       round(abs((w_mean - 0.5) - s_all / n_all) / CASE WHEN g_std = 0 THEN 1e-6 ELSE g_std END, {digits}) AS drift_score,
+       round(w_mean, {digits}) AS mean_score, round(w_std, {digits}) AS std_score,
        CAST(cnt AS INTEGER) AS window_size
 FROM z WHERE n_all >= 2"""
 
@@ -1126,10 +1126,10 @@ def m3_late_rows(spark, sf_dir):
     return both.join(F.broadcast(some)).select(ts_text("at", "hour"), "n_in", "fraud", "some_late")
 
 
-def _m4(spark, sf_dir, key, **options):
+def _m4(spark, sf_dir, key, digits=6, **options):
     d = streams.count_window_stream(spark, sf_dir, key, **options)
     return d.select(key, "window_no", ts_text("ts"),
-                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
+                    *[rnd(F.col(c), digits).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
 
 
 @register("m4_count_window_drift_stream", _d5_sql("is_buyer_maker"))
@@ -1137,18 +1137,20 @@ def m4_count_window_drift_stream(spark, sf_dir):
     return _m4(spark, sf_dir, "is_buyer_maker")
 
 
-@register("m4_count_window_drift_by_symbol", _d5_sql("symbol", 10))
+@register("m4_count_window_drift_by_symbol", _d5_sql("symbol", 10, 9))
 def m4_count_window_drift_by_symbol(spark, sf_dir):
     """M4 + M5 per symbol, windows of ten scores: rows from unordered files
-    wait in the symbol's state and are released in event-time order."""
-    return _m4(spark, sf_dir, "symbol", n=10)
+    wait in the symbol's state and are released in event-time order. Compared
+    to nine digits: the mean of ten scores of six digits has seven, so six would
+    leave ties to the order of the sums."""
+    return _m4(spark, sf_dir, "symbol", digits=9, n=10)
 
 
 _DRIFT_SCHEMA = ("symbol string, window_no bigint, ts timestamp, drift_score double, mean_score double, "
                  "std_score double, window_size int")
 
 
-@register("k9_drift_sink_compacted", _d5_sql("symbol", 10))
+@register("k9_drift_sink_compacted", _d5_sql("symbol", 10, 9))
 def k9_drift_sink_compacted(spark, sf_dir):
     """K9: M4's rows written by micro-batch, the days before the 20th merged
     into few files, read as one table."""
@@ -1156,7 +1158,7 @@ def k9_drift_sink_compacted(spark, sf_dir):
     sinks.compact_flushes(spark, path, path + "-merged", _DRIFT_SCHEMA, until=_dt.date(2024, 1, 20))
     d = sinks.read_flushes(spark, path, path + "-merged", _DRIFT_SCHEMA)
     return d.select("symbol", "window_no", ts_text("ts"),
-                    *[rnd(F.col(c)).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
+                    *[rnd(F.col(c), 9).alias(c) for c in ("drift_score", "mean_score", "std_score")], "window_size")
 
 
 # ── sources and sinks (S1, S3, S4, S5, K1, K10) ─────────────────────────────
