@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import byte_list
+from vigil.llm.common import byte_list, lean
 
 BLOCK_BYTES = 24 << 20
 CHUNK_BYTES = 1 << 20
@@ -111,4 +111,4 @@ def deliver(answers: DataFrame, chunks: DataFrame, fn, schema: str) -> DataFrame
     """Run ``fn`` over partitions in which each block's answers (``kind`` 0)
     come before its document chunks (``kind`` 1, by ``seq``)."""
     rows = answers.unionByName(chunks, allowMissingColumns=True)
-    return rows.repartition("block").sortWithinPartitions("block", "kind", "seq").mapInArrow(fn, schema)
+    return rows.repartition("block").sortWithinPartitions("block", "kind", "seq").mapInArrow(lean(fn), schema)

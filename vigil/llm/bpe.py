@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm.blocks import BLOCK_BYTES, Packer, deliver, from_planes, iter_blocks, iter_chunks, planes, split_documents
+from vigil.llm.common import lean
 
 FLUSH_WORDS = 1_000_000        # answered words a task holds before packing them by block
 
@@ -101,7 +102,7 @@ def word_requests(source: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([words[i] for i in part], pa.binary()), pa.array([block] * len(part), pa.int64()),
                      pa.array(part, pa.int32())], ["word", "block", "idx"])
-    return source.mapInArrow(run, "word binary, block bigint, idx int")
+    return source.mapInArrow(lean(run), "word binary, block bigint, idx int")
 
 
 def word_chunks(source: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -118,7 +119,7 @@ def word_chunks(source: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                      pa.array([columns[0][part]], pa.list_(id_type)), pa.array([blob], pa.binary())],
                     ["block", "kind", "seq", "doc_ids", "blob"])
     id_type = _arrow_type(source, "doc_id")
-    return source.mapInArrow(run, f"block bigint, kind int, seq bigint, "
+    return source.mapInArrow(lean(run), f"block bigint, kind int, seq bigint, "
                                   f"doc_ids array<{source.schema['doc_id'].dataType.simpleString()}>, blob binary")
 
 
@@ -190,7 +191,7 @@ def encode_words(requests: DataFrame, tokenizer_path: str, flush_words: int = FL
             yield out
 
     ordered = requests.repartition("word").sortWithinPartitions("word")
-    return ordered.mapInArrow(run, "block bigint, kind int, seq bigint, blob binary")
+    return ordered.mapInArrow(lean(run), "block bigint, kind int, seq bigint, blob binary")
 
 
 class _WordTable:

@@ -8,6 +8,8 @@ partition.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +45,26 @@ def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)       # an empty table has no files to infer it from
 
 
+def release_memory() -> None:
+    """Give memory that is no longer used back to the system. Spark reuses its
+    Python workers, which otherwise keep what their largest task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with the memory of its task released at its end."""
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return task
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
                 schema: str) -> DataFrame:
     """``mapInArrow`` for a stateless batch function."""
@@ -51,7 +73,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
             if batch.num_rows:
                 out = fn(batch)
                 yield from (out if isinstance(out, Iterator) else [out])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def byte_list(column: pa.Array) -> list[bytes]:

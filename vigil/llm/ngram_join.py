@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import WordHashes, byte_list, map_batches, mix, shared_table, window_hashes
+from vigil.llm.common import WordHashes, byte_list, lean, map_batches, mix, shared_table, window_hashes
 from vigil.session import cut_lineage
 
 WIDTH = 5                      # fixed values of the contract: 5 words, 80 %
@@ -110,7 +110,7 @@ def token_counts(source: DataFrame, bounds: Bounds = BOUNDS) -> DataFrame:
                     set_of(text, hashes)[2] for text in byte_list(batch.column(0).slice(at, GROUP)))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], ["token"])
 
-    tokens = source.select("text").where(F.col("text").isNotNull()).mapInArrow(run, "token bigint")
+    tokens = source.select("text").where(F.col("text").isNotNull()).mapInArrow(lean(run), "token bigint")
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
 
 
@@ -199,7 +199,7 @@ def prefix_index(source: DataFrame, repeated: np.ndarray, hot: np.ndarray, bound
                 yield batch_of(len(found), kind=pa.array(["set"] * len(found)), cls=pa.array([f[0] for f in found], pa.binary()),
                                tokens=pa.array([pack(f[1]) for f in found], pa.binary()))
 
-    return source.mapInArrow(run, f"kind string, doc_id {source.schema['doc_id'].dataType.simpleString()}, token bigint, "
+    return source.mapInArrow(lean(run), f"kind string, doc_id {source.schema['doc_id'].dataType.simpleString()}, token bigint, "
                                   "cls binary, n bigint, pos bigint, lone bigint, tokens binary")
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import WordHashes, byte_list, map_batches, mix, shared_table
+from vigil.llm.common import WordHashes, byte_list, lean, map_batches, mix, shared_table
 from vigil.llm.ngram_join import components, pack, set_of, unpack
 from vigil.session import cut_lineage
 
@@ -180,7 +180,7 @@ def band_index(source: DataFrame, plan: Plan = PLAN) -> DataFrame:
                                tokens=pa.array([pack(s[2]) for s in new], pa.binary()),
                                **{c: pa.array(np.ascontiguousarray(words[:, i])) for i, c in enumerate(SKETCH_COLUMNS)})
 
-    return source.mapInArrow(run, f"kind string, doc_id {source.schema['doc_id'].dataType.simpleString()}, key bigint, "
+    return source.mapInArrow(lean(run), f"kind string, doc_id {source.schema['doc_id'].dataType.simpleString()}, key bigint, "
                                   "cls binary, n bigint, tokens binary, " + ", ".join(f"{c} bigint" for c in SKETCH_COLUMNS))
 
 
@@ -243,7 +243,7 @@ def forest(links: DataFrame) -> DataFrame:
             rows = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
 
-    return links.select("a", "b").mapInArrow(run, "a binary, b binary")
+    return links.select("a", "b").mapInArrow(lean(run), "a binary, b binary")
 
 
 def shared_buckets(bands: DataFrame) -> DataFrame:
