@@ -82,13 +82,17 @@ def files(spark: SparkSession, path: str, span: Span = EVERYTHING) -> DataFrame:
 def _describe(spark: SparkSession, path: str, span: Span, wanted: DataFrame, columns: list[str], first=None) -> DataFrame:
     """``wanted`` files (none older than ``first``) with their headers, from
     their lines. Files without any line (empty flushes) have an empty header:
-    nothing to read, nothing lost."""
+    nothing to read, nothing lost. The lines stay where they are read: the list
+    of files (a row each) goes to them, and of a file at most its distinct
+    headers and one null leave a task, kept in a hash map, not sorted."""
     text = lines(spark, path, span).where(F.col("value") != "")
     if first is not None:
         text = text.where(F.col("_mtime") >= F.lit(first))          # the scan leaves out older files
-    per_file = text.join(wanted.select(F.col("file").alias("_file")), "_file", "left_semi").groupBy(
-        F.col("_file").alias("file")).agg(F.min(F.when(is_header(F.col("value"), columns), F.col("value"))).alias("header"),
-                                          F.lit(True).alias("told"))
+    heads = text.join(F.broadcast(wanted.select(F.col("file").alias("_file"))), "_file", "left_semi").select(
+        F.col("_file").alias("file"), F.when(is_header(F.col("value"), columns), F.col("value")).alias("header"))
+    # Counts of (file, header) first: a minimum of texts alone would sort every line.
+    per_file = heads.groupBy("file", "header").agg(F.count(F.lit(1)).alias("lines")).groupBy("file").agg(
+        F.min("header").alias("header"), (F.sum("lines") > 0).alias("told"))
     return wanted.join(per_file, "file", "left").select(
         "file", "mtime", "dt", F.when(F.col("told"), F.col("header")).otherwise(F.lit("")).alias("header"))
 

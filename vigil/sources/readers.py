@@ -90,7 +90,7 @@ def _read_csv_logs(spark: SparkSession, path: str, span: cat.Span, catalog: str
         rows = lines
         if len(usable) > 1 or None in layouts:             # else every line belongs to the one layout
             own = told.where(F.col("header") == header).select(F.col("file").alias("_file"))
-            rows = lines.join(own, "_file", "left_semi")
+            rows = lines.join(F.broadcast(own), "_file", "left_semi")      # a row per file, no line moves
         rows = rows.where((F.col("value") != header) & (F.col("value") != ""))
         wanted = [f"r.{c}" for c in _LOG_TYPES if c in seen]
         parts.append(rows.select(*keep, F.from_csv("value", ", ".join(fields)).alias("r")).select(*keep, *wanted))
