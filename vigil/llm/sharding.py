@@ -7,8 +7,9 @@ while every shard holds the same number of rows.
    ``pieces`` nodes (a hash of the id splits them), so a key that holds a third
    of all rows becomes a bounded number of movable nodes and no later step
    handles its rows one by one.
-2. *Propagate.* Each round joins the nodes with their keys' votes per shard. A
-   key that fits a shard votes for the shard that holds most of it; a larger
+2. *Propagate.* A key's nodes start in neighbouring shards, one more than its
+   rows fill, so its votes and the shards' room choose between them. Each round
+   joins the nodes with their keys' votes per shard. A key that fits a shard votes for the shard that holds most of it; a larger
    key votes for as many shards as it needs, and its nodes are dealt over
    those by hash. A node asks to move to the shard with the most linked rows,
    other than its own rows. Requests to a shard are granted by falling gain up
@@ -159,9 +160,9 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     linked_keys = per_key.groupBy("key").agg(F.sum("w").alias("rows"))
     # A key whose rows are one node is already together, but still has to be
     # moved as a whole, so every key of two rows or more takes part.
-    # Rows of a key start together, those of a key above the quota in as many
-    # neighbouring shards as they fill.
-    spread = F.greatest(F.lit(1), F.least(F.lit(n_shards), F.ceil(F.col("rows") / F.lit(capacity))))
+    # Nodes of a key start in one shard more than its rows fill, side by side;
+    # in which of them they meet is decided by their votes and the shards' room.
+    spread = F.least(F.lit(n_shards), F.ceil(F.col("rows") / F.lit(capacity)) + 1)
     start = hash_bucket([F.col("key")], n_shards) + F.pmod(F.col("piece"), spread)
     cells = per_key.join(linked_keys.where("rows > 1"), "key").select(
         F.xxhash64("key", "piece").alias("node"), "key", "piece", "w",
