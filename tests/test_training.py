@@ -165,3 +165,37 @@ def test_train_with_patience_stops_and_keeps_prefix(data):
     assert model.stages[-1].getNumTrees == stop["stopped_at"] <= 12
     if stop["early"]:
         assert stop["stopped_at"] - stop["best_iteration"] == 3
+
+
+def test_no_round_is_fitted_again_when_the_rule_fires_late(spark, data, monkeypatch, tmp_dir):
+    """The AUC rises past the first fit and the rule fires at round 9 of 12: one
+    more fit, cut to what a fit of nine rounds gives."""
+    rounds, fit = [], train.train_classifier
+
+    def counted(*args, **options):
+        rounds.append(options["maxIter"])
+        return fit(*args, **options)
+
+    def stop(model, *_):
+        n = model.stages[-1].getNumTrees
+        return {"best_iteration": min(n, 6), "best_val_auc": 0.9, "early": n >= 9, "stopped_at": min(n, 9)}
+
+    monkeypatch.setattr(train, "train_classifier", counted)
+    monkeypatch.setattr(train, "validation_stop", stop)
+    got, _ = train.train_with_patience(data, data, FEATURES, "isFraud", 27.6, patience=3, maxIter=12)
+    assert rounds == [4, 12]
+    want = fit(data, FEATURES, "isFraud", 27.6, maxIter=9)
+    assert got.stages[-1].getNumTrees == got.stages[-1].getMaxIter() == 9
+    scores = lambda m: [r["fraud_score"] for r in train.score(m, data).orderBy("id").collect()]
+    assert scores(got) == scores(want)
+    importance = lambda m: train.feature_importance(spark, m, FEATURES).collect()
+    assert importance(got) == importance(want)
+    train.save_model(spark, got, tmp_dir, FEATURES, auc=None)
+    assert scores(train.load_model(spark, tmp_dir)[0]) == scores(want)
+
+
+def test_cut_model_tells_features_that_no_tree_asks(spark, data):
+    padded = data.withColumn("never", F.lit(0.0))
+    got = train.first_rounds(train.train_classifier(padded, [*FEATURES, "never"], "isFraud", maxIter=3), 2)
+    told = {r["feature"]: r["importance"] for r in train.feature_importance(spark, got, [*FEATURES, "never"]).collect()}
+    assert got.stages[-1].getNumTrees == 2 and set(told) == {*FEATURES, "never"} and told["never"] == 0.0
