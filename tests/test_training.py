@@ -199,3 +199,11 @@ def test_cut_model_tells_features_that_no_tree_asks(spark, data):
     got = train.first_rounds(train.train_classifier(padded, [*FEATURES, "never"], "isFraud", maxIter=3), 2)
     told = {r["feature"]: r["importance"] for r in train.feature_importance(spark, got, [*FEATURES, "never"]).collect()}
     assert got.stages[-1].getNumTrees == 2 and set(told) == {*FEATURES, "never"} and told["never"] == 0.0
+
+
+def test_curve_sends_its_bins_from_few_tasks(spark, fitted, data):
+    """A task sends rounds x bins, however few rows it has."""
+    valid = data.where(F.col("is_test"))
+    curve = train.trees.ValidationCurve(train.trees.model_of(fitted, FEATURES), valid.repartition(100), "isFraud")
+    assert curve._rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert curve.exact(curve.rounds) == dict(train.prefix_auc(fitted, valid, "isFraud"))
