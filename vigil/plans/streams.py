@@ -58,6 +58,7 @@ _PRED_SCHEMA = ("id bigint, ts timestamp, symbol string, price double, quantity
 
 LANDING_DAYS = 5              # one landing of the log: that many days of files, in no order among themselves
 DELAY = f"{LANDING_DAYS} days"
+PART_ROWS = 500_000           # rows of a file that a landing is read from
 
 
 def _log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,18 +74,25 @@ def _prediction_source(spark: SparkSession, sf_dir: str, base: str) -> DataFrame
 def _land(rows: DataFrame, path: str, days: int = LANDING_DAYS, heartbeat: bool = False) -> list:
     """The log as it lands: files of ``days`` days at a time, appended one
     landing after the other, whose rows and files are in no order. Returns the
-    landings (functions that write one each). ``heartbeat`` lands a last
-    failed score behind the end plus the delay."""
+    landings (functions that write one each). The log is read and split once,
+    into a folder per landing: a filter per landing would read it that often,
+    with all the work in one task where the log is kept by time. ``heartbeat``
+    lands a last failed score behind the end plus the delay."""
+    spark = rows.sparkSession
     first, last = rows.agg(F.min("ts"), F.max("ts")).first()
     steps = 0 if first is None else (last - first).days // days + 1
     put = lambda part: part.write.mode("append").parquet(path)
     landings = []
-    for k in range(steps):
-        lo = first + _dt.timedelta(days=days * k)
-        landings.append(lambda lo=lo: put(rows.where(
-            (F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(lo + _dt.timedelta(days=days))))))
+    if steps:
+        since = F.unix_micros("ts") - F.unix_micros(F.lit(first))
+        width = F.lit(days * 86_400_000_000)
+        number = ((since - F.pmod(since, width)) / width).cast("int")
+        (rows.where(F.col("ts").isNotNull()).withColumn("_landing", number)
+         .write.option("maxRecordsPerFile", str(PART_ROWS)).partitionBy("_landing").parquet(f"{path}-landings"))
+        split = spark.read.parquet(f"{path}-landings")
+        landings = [lambda k=k: put(split.where(F.col("_landing") == k).drop("_landing")) for k in range(steps)]
     if heartbeat and steps:
-        beat = rows.sparkSession.range(1).select(*[
+        beat = spark.range(1).select(*[
             F.lit(last + _dt.timedelta(days=days, seconds=1)).alias(c) if c == "ts" else
             F.lit(-1.0).alias(c) if c == "fraud_score" else F.lit(None).cast(rows.schema[c].dataType).alias(c)
             for c in rows.columns])
