@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,32 @@ def _run(query) -> None:
         raise query.exception()
 
 
+STATE_PARTITIONS = 16         # least partitions of a stateful stream
+STATE_ROWS = 1_000_000        # more rows of its log take more partitions
+
+
+def state_partitions(rows: int, most: int) -> int:
+    """Partitions of a stateful stream over a log of ``rows`` rows. Each one
+    commits its own state files in every micro-batch, whatever it holds, so
+    they follow the rows; ``most`` (the session's shuffle width) bounds them."""
+    return min(most, max(STATE_PARTITIONS, -(-rows // STATE_ROWS)))
+
+
+@contextmanager
+def _state_width(spark: SparkSession, src: str):
+    """The shuffle width for a stateful stream over the files of ``src`` that is
+    started inside: a query takes the settings of its start along and keeps the
+    width in its checkpoint. Counting reads the footers."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    rows = spark.read.schema(_PRED_SCHEMA).parquet(src).count()
+    spark.conf.set(name, str(state_partitions(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scored_log_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     """M1 over the trade messages of ``events`` (JSON lines)."""
     return spark.read.parquet(score_events(spark, sf_dir, run.features, run.model) + "/log")
@@ -157,8 +184,10 @@ def count_window_stream(spark: SparkSession, sf_dir: str, key: str = "is_buyer_m
         landing()
     src = file_stream(spark, f"{base}/src", _PRED_SCHEMA, max_files_per_trigger=files_per_trigger)
     windows = count_window.ordered_count_window_drift_stream(src, DELAY, key=key, n=n)
-    _run(windows.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    with _state_width(spark, f"{base}/src"):
+        query = (windows.writeStream.outputMode("append").format("parquet").option("path", out)
+                 .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    _run(query)
     return spark.read.schema(windows.schema).parquet(out)
 
 
@@ -169,6 +198,8 @@ def drift_sink(spark: SparkSession, sf_dir: str, key: str = "symbol", n: int = 1
         landing()
     src = file_stream(spark, f"{base}/src", _PRED_SCHEMA, max_files_per_trigger=4)
     windows = count_window.ordered_count_window_drift_stream(src, DELAY, key=key, n=n)
-    _run(windows.writeStream.outputMode("append").foreachBatch(scoring.drift_writer(f"{base}/drift"))
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    with _state_width(spark, f"{base}/src"):
+        query = (windows.writeStream.outputMode("append").foreachBatch(scoring.drift_writer(f"{base}/drift"))
+                 .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    _run(query)
     return f"{base}/drift"
