@@ -207,3 +207,32 @@ def test_curve_sends_its_bins_from_few_tasks(spark, fitted, data):
     curve = train.trees.ValidationCurve(train.trees.model_of(fitted, FEATURES), valid.repartition(100), "isFraud")
     assert curve._rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     assert curve.exact(curve.rounds) == dict(train.prefix_auc(fitted, valid, "isFraud"))
+
+
+def test_a_level_merges_its_nodes_in_few_tasks(spark, tmp_dir):
+    """The shuffle of a level is not as wide as the matrix, and the trees are
+    those of the wide one."""
+    from vigil.plans import training
+    day = dt.date(2024, 1, 1)
+    (spark.createDataFrame([(i, day + dt.timedelta(days=i % 300), float(i * 37 % 1000), f"{i % 5}-P", i % 50, "P" if i % 9 == 0 else "O")
+                            for i in range(900)], "o_orderkey long, o_orderdate date, o_totalprice double, "
+                           "o_orderpriority string, o_custkey long, o_orderstatus string")
+     .write.parquet(f"{tmp_dir}/orders.parquet"))
+    (spark.createDataFrame([(i, f"S{i % 4}", i % 25, float(i * 13 % 90)) for i in range(50)],
+                           "c_custkey long, c_mktsegment string, c_nationkey int, c_acctbal double")
+     .write.parquet(f"{tmp_dir}/customer.parquet"))
+    sc, layout = spark.sparkContext, training.MATRIX_PARTITIONS + 8
+    sc.setJobGroup("few-merges", "fit")
+    try:
+        run = training.training_run(spark, tmp_dir, layout=layout, early_stopping=False, maxIter=2, maxDepth=2)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    told = sc.statusTracker()
+    stages = [told.getStageInfo(i) for j in told.getJobIdsForGroup("few-merges") for i in told.getJobInfo(j).stageIds]
+    merges = [i.numTasks for i in stages if i is not None and i.name.startswith("collectAsMap at RandomForest")]
+    assert len(merges) >= 2 and max(merges) <= training.MATRIX_PARTITIONS
+    assert run.matrix.rdd.getNumPartitions() == layout
+    wide = train.train_classifier(run.matrix.where(~F.col("is_test")), run.features.feature_cols, "isFraud",
+                                  class_weight=run.features.class_weight, maxIter=2, maxDepth=2)
+    tree = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]
+    assert tree(run.model) == tree(wide)
