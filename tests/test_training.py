@@ -209,10 +209,19 @@ def test_curve_sends_its_bins_from_few_tasks(spark, fitted, data):
     assert curve.exact(curve.rounds) == dict(train.prefix_auc(fitted, valid, "isFraud"))
 
 
-def test_a_level_merges_its_nodes_in_few_tasks(spark, tmp_dir):
+def test_a_level_merges_its_nodes_in_few_tasks(spark, tmp_dir, monkeypatch):
     """The shuffle of a level is not as wide as the matrix, and the trees are
-    those of the wide one."""
+    those of the wide one. The joined rows are made once."""
     from vigil.plans import training
+    made = spark.sparkContext.accumulator(0)
+    joined = training.tables.transactions
+
+    def told(parts):
+        for part in parts:
+            made.add(len(part))
+            yield part
+
+    monkeypatch.setattr(training.tables, "transactions", lambda *a: (lambda df: df.mapInPandas(told, df.schema))(joined(*a)))
     day = dt.date(2024, 1, 1)
     (spark.createDataFrame([(i, day + dt.timedelta(days=i % 300), float(i * 37 % 1000), f"{i % 5}-P", i % 50, "P" if i % 9 == 0 else "O")
                             for i in range(900)], "o_orderkey long, o_orderdate date, o_totalprice double, "
@@ -231,7 +240,7 @@ def test_a_level_merges_its_nodes_in_few_tasks(spark, tmp_dir):
     stages = [told.getStageInfo(i) for j in told.getJobIdsForGroup("few-merges") for i in told.getJobInfo(j).stageIds]
     merges = [i.numTasks for i in stages if i is not None and i.name.startswith("collectAsMap at RandomForest")]
     assert len(merges) >= 2 and max(merges) <= training.MATRIX_PARTITIONS
-    assert run.matrix.rdd.getNumPartitions() == layout
+    assert run.matrix.rdd.getNumPartitions() == layout and made.value == 900
     wide = train.train_classifier(run.matrix.where(~F.col("is_test")), run.features.feature_cols, "isFraud",
                                   class_weight=run.features.class_weight, maxIter=2, maxDepth=2)
     tree = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]
